@@ -101,7 +101,7 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
     """Add running columns in group order. Kinds of step:
 
     row_number; lag(value); last(value): last non-null before this row; sum(value), max(value): up to and
-    with this row; count, least(value): over the whole group.
+    with this row; count, least(value), total(value): over the whole group.
     """
     group = Window.partitionBy(*o.keys, *([BLOCK] if o.split else []))
     ordered = group.orderBy(*o.order)
@@ -115,6 +115,7 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
         "max": lambda v: F.max(v).over(upto),
         "count": lambda v: F.count(F.lit(1)).over(group),
         "least": lambda v: F.min(v).over(group),
+        "total": lambda v: F.sum(v).over(group),
     }
     if not o.split:
         return o._replace(rows=o.rows.withColumns({n: inside[s.kind](s.value) for n, s in steps.items()}))
@@ -128,6 +129,7 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
         "max": lambda v: F.max(v),
         "count": lambda v: F.count(F.lit(1)),
         "least": lambda v: F.min(v),
+        "total": lambda v: F.sum(v),
     }
     blocks = Window.partitionBy(*o.keys)
     earlier = blocks.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
@@ -139,6 +141,7 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
         "max": lambda t: F.max(t).over(earlier),
         "count": lambda t: F.sum(t).over(blocks),
         "least": lambda t: F.min(t).over(blocks),
+        "total": lambda t: F.sum(t).over(blocks),
     }
 
     def joined(kind, name):

@@ -11,16 +11,17 @@ PIECE, BUCKET = 65_536, 64
 NUMBER_ORDER = ["channel_seq", "channel_url", "case_index"]
 HEAD_MESSAGES = 10
 
+# Case columns of a message without a case.
 CASE_DEFAULTS = {
-    "case_number": F.lit(""),
-    "case_start_time": F.lit(None).cast("timestamp"),
-    "case_end_time": F.lit(None).cast("timestamp"),
-    "case_duration_minutes": F.lit(0.0),
-    "case_confidence": F.lit(0.0),
-    "case_summary": F.lit(""),
-    "case_forced_ending": F.lit(False),
-    "case_forced_starting": F.lit(False),
-    "case_truncated": F.lit(False),
+    "case_number": "''",
+    "case_start_time": "cast(null as timestamp)",
+    "case_end_time": "cast(null as timestamp)",
+    "case_duration_minutes": "0.0D",
+    "case_confidence": "0.0D",
+    "case_summary": "''",
+    "case_forced_ending": "false",
+    "case_forced_starting": "false",
+    "case_truncated": "false",
 }
 
 
@@ -127,7 +128,8 @@ def case_order(number: Column) -> Column:
 
 def with_case_defaults(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        c: F.coalesce(F.col(c), default) if c in df.columns else default for c, default in CASE_DEFAULTS.items()
+        c: F.coalesce(F.col(c), F.expr(default)) if c in df.columns else F.expr(default)
+        for c, default in CASE_DEFAULTS.items()
     })
 
 

@@ -14,13 +14,14 @@ CHUNK_SIZE, COHERENCE_THRESHOLD = 32, 0.3
 
 
 def with_running_tokens(messages: DataFrame, tokens: Column | None = None, cuts: Cuts | None = None) -> DataFrame:
-    """Position, tokens of the message and tokens of the channel up to and with it."""
+    """Position, tokens of the message, of the channel up to and with it, and of the whole channel."""
     tokens = text.approx_tokens(F.col("message")) if tokens is None else tokens
     rows = drop_untimed(messages).withColumn("tokens", tokens)
     o = in_channel_order(rows, cuts)
     o = blocks.scan(
         o, pos=Step("row_number"), running_tokens=Step("sum", F.col("tokens")),
-        channel_messages=Step("count"), channel_seq=Step("least", F.col("ingest_seq")),
+        channel_tokens=Step("total", F.col("tokens")), channel_messages=Step("count"),
+        channel_seq=Step("least", F.col("ingest_seq")),
     )
     return blocks.finish(o)
 
@@ -35,10 +36,8 @@ def fit_token_budget(
     """
     budget = max_context - reserve
     rows = with_running_tokens(messages, tokens, cuts)
-    o = in_channel_order(rows, cuts)
-    o = blocks.scan(o, _over=Step("least", (F.col("running_tokens") <= budget).cast("int")))
-    kept = blocks.finish(o).where(F.col("running_tokens") <= budget)
-    return kept.withColumn("case_truncated", F.col("_over") == 0).drop("_over")
+    kept = rows.where(F.col("running_tokens") <= budget)
+    return kept.withColumn("case_truncated", F.col("channel_tokens") > budget)
 
 
 def sink_and_recent(

@@ -94,18 +94,19 @@ def force_boundaries(segmented: DataFrame, max_queue_size: int, cuts: Cuts | Non
     """
     o = in_channel_order(segmented, cuts)
     start = F.when(F.col("rule").isNotNull(), F.col("pos"))
-    o = blocks.scan(o, _start=Step("max", start))
+    o = blocks.scan(o, _start=Step("max", start), _opened_with=Step("last", F.col("boundary_confidence")))
     in_segment = F.col("pos") - F.col("_start")
     piece_start = (in_segment % max_queue_size) == 0
     o = o._replace(rows=o.rows.withColumns({
         "forced_starting": F.floor(in_segment / max_queue_size) > 0,
+        "boundary_confidence": F.coalesce("boundary_confidence", "_opened_with"),
         "_opens": piece_start.cast("long"),
     }))
     o = blocks.scan(o, _pieces=Step("sum", F.col("_opens")))
     rows = blocks.finish(o).withColumns({
         "segment_index": F.col("case_index"), "case_index": F.col("_pieces") - 1,
     })
-    return rows.drop("_start", "_opens", "_pieces")
+    return rows.drop("_start", "_opened_with", "_opens", "_pieces")
 
 
 def compare_segmentations(a: DataFrame, b: DataFrame) -> DataFrame:
