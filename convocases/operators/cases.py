@@ -1,5 +1,7 @@
 """Cases: ranges to messages, numbering, case rows, labels on messages."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from convocases.functions import text
@@ -52,25 +54,25 @@ def cases_to_messages_range(ranges: DataFrame, positioned: DataFrame) -> DataFra
     return joined.where(F.col("pos").between(F.col("start_pos"), F.col("end_pos"))).drop("_bucket")
 
 
-def build_cases(case_messages: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
+def build_cases(case_messages: DataFrame, extra: dict[str, tuple[Callable, str]] | None = None) -> DataFrame:
     """One row per case from its messages (rows with `case_index`).
 
     First per (case, sender), then per case, so the participant list is gathered from distinct senders.
-    `extra` holds further aggregates that may be taken twice, such as min or max of a case column.
+    `extra` names further columns, each an aggregate that may be taken twice (min or max) and its source.
     """
     extra = extra or {}
     per_sender = case_messages.groupBy(*CASE, "sender_id").agg(
         F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"),
         F.min("created_time").alias("start_time"), F.max("created_time").alias("end_time"),
         F.count(F.lit(1)).alias("n_messages"),
-        *(agg.alias(name) for name, agg in extra.items()),
+        *(agg(source).alias(name) for name, (agg, source) in extra.items()),
     )
     cases = per_sender.groupBy(*CASE).agg(
         F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"),
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
         F.sum("n_messages").alias("n_messages"),
         F.sort_array(F.collect_list("sender_id")).alias("participants"),
-        *(agg.alias(name) for name, agg in extra.items()),
+        *(agg(name).alias(name) for name, (agg, _) in extra.items()),
     )
     return cases.withColumns({
         "duration_minutes": text.minutes_between(F.col("start_time"), F.col("end_time")),
@@ -96,9 +98,9 @@ def forced_endings(pieces: DataFrame) -> DataFrame:
 
 def cases_of_segments(segmented: DataFrame) -> DataFrame:
     """Cases of rule-segmented messages; a case has the confidence of the boundary that opens it."""
-    extra = {"channel_seq": F.min("channel_seq"), "confidence": F.max("boundary_confidence")}
+    extra = {"channel_seq": (F.min, "channel_seq"), "confidence": (F.max, "boundary_confidence")}
     if "forced_starting" in segmented.columns:
-        extra["forced_starting"] = F.max("forced_starting")
+        extra["forced_starting"] = (F.max, "forced_starting")
     cases = with_summary(build_cases(segmented, extra))
     return forced_endings(cases.drop("forced_ending")) if "forced_starting" in extra else cases
 

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from convocases.functions import text
 from convocases.operators.blocks import join_spread
-from convocases.operators.cases import assigned_only, case_head
+from convocases.operators.cases import HEAD_MESSAGES, assigned_only, case_head
 from convocases.operators.replies import (
     CLASSIFICATION_KEYS, extract_json_classification, field, first_good_reply, has_keys, kind,
 )
@@ -88,9 +88,9 @@ def assign_categories(messages: DataFrame, classifications: DataFrame) -> DataFr
     })
 
 
-def case_excerpt_lines(labelled: DataFrame) -> DataFrame:
-    """First ten messages of each case as text lines, with the number left out."""
-    head = case_head(labelled)
+def case_excerpt_lines(labelled: DataFrame, n: int = HEAD_MESSAGES) -> DataFrame:
+    """First messages of each case as text lines, with the number left out."""
+    head = case_head(labelled, n)
     time = F.date_format("created_time", "yyyy-MM-dd HH:mm:ss")
     line = F.format_string(
         "**Message %d** [%s] (%s) (%s): %s",
@@ -99,9 +99,9 @@ def case_excerpt_lines(labelled: DataFrame) -> DataFrame:
     return head.withColumn("line", line)
 
 
-def format_case_excerpt(labelled: DataFrame) -> DataFrame:
-    """`case_number, excerpt`: at most ten lines per case and a note on the rest."""
-    per_case = case_excerpt_lines(labelled).groupBy("case_number").agg(
+def format_case_excerpt(labelled: DataFrame, n: int = HEAD_MESSAGES) -> DataFrame:
+    """`case_number, excerpt`: at most `n` lines per case and a note on the rest."""
+    per_case = case_excerpt_lines(labelled, n).groupBy("case_number").agg(
         F.sort_array(F.collect_list(F.struct("case_pos", "line"))).alias("_lines"), F.max("remaining").alias("remaining")
     )
     lines = F.transform("_lines", lambda x: x["line"])

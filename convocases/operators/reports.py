@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from convocases.functions import text
 from convocases.operators import stats
+from convocases.sources.scratch import checkpointed
 
 REVIEW_TOTALS = ("channels_with_review", "total_review_iterations", "total_cases_reviewed", "total_cases_split")
 
@@ -30,11 +31,17 @@ def times(name: str):
 
 
 def segmentation_report(cases: DataFrame, per_channel: DataFrame) -> DataFrame:
-    """Header, confidence bands, review totals, cases, channels and verdict of a segmentation."""
+    """Header, confidence bands, review totals, cases, channels and verdict of a segmentation.
+
+    The sections read the cases several times, so they are written once first.
+    """
     everything = F.lit("all")
+    columns = (
+        "case_number", "channel_url", "case_index", "start_time", "end_time", "duration_minutes", "confidence", "summary"
+    )
+    cases, per_channel = checkpointed(cases.select(*columns)), checkpointed(per_channel)
     totals = stats.total_stats(per_channel)
     rate = F.try_divide(F.col("total_cases_split") * 100.0, F.col("total_cases_reviewed"))
-    listing = cases.select("case_number", "channel_url", "start_time", "end_time", "duration_minutes", "confidence", "summary")
     breakdown = stats.channel_case_summary(cases, per_channel)
     verdict = stats.confidence_verdicts(cases)
     return union_all([
@@ -48,7 +55,7 @@ def segmentation_report(cases: DataFrame, per_channel: DataFrame) -> DataFrame:
         long_rows(totals.withColumn("_rate", F.coalesce(rate, F.lit(0.0))), "review", everything, {
             **{name: F.col(name) for name in REVIEW_TOTALS}, "split_rate": number("_rate", 1),
         }),
-        long_rows(listing, "case", F.col("case_number"), {
+        long_rows(cases, "case", F.col("case_number"), {
             "channel": text.channel_label(F.col("channel_url")),
             "start_time": times("start_time"), "end_time": times("end_time"),
             "duration": F.concat(number("duration_minutes", 1), F.lit("m")),
@@ -65,8 +72,12 @@ def segmentation_report(cases: DataFrame, per_channel: DataFrame) -> DataFrame:
 
 
 def classification_report(classifications: DataFrame) -> DataFrame:
-    """Bands, primaries, largest categories, insights, cases, verdict and recommendations."""
+    """Bands, primaries, largest categories, insights, cases, verdict and recommendations.
+
+    The sections read the classifications several times, so they are written once first.
+    """
     everything = F.lit("all")
+    classifications = checkpointed(classifications)
     verdict = stats.classification_verdicts(classifications)
     insights = stats.category_insights(classifications)
     return union_all([

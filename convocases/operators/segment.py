@@ -9,7 +9,7 @@ from convocases.operators.blocks import Cuts, Step
 from convocases.operators.messages import drop_untimed, in_channel_order
 from convocases.operators.stats import side_by_side
 
-REF_PATTERN = r"(?i)(?:order|ticket|tracking)\s*#?\s*(\d{3,})"
+REF_PATTERN = r"(?i)\b(?:order|ticket|tracking|case)\s*(?:number|no\.?|#)?\s*(\d+)"
 CUE_PATTERN = r"(?i)\b(another question|by the way|new issue|different (?:order|item|issue)|separately|also,)"
 SESSION_HOURS, DAY_HOURS = 4, 24
 
@@ -56,14 +56,18 @@ def opening(rules: Rules) -> dict[str, Column]:
     cue = F.coalesce(F.col("message").rlike(rules.cue_pattern), F.lit(False))
     other_day = F.to_date("created_time") != F.to_date("previous_time")
     session, day = rules.session_hours * 60, rules.day_hours * 60
-    rule = (
-        F.when(F.col("previous_time").isNull(), 1)
-        .when(changed, 2)
-        .when((gap > day) & ~same, 3)
-        .when((gap > session) & (gap <= day) & ~same & (cue | other_day), 4)
-        .when((gap <= session) & cue & ~same, 5)
+    # The first line that holds opens a case: rule number, condition, confidence.
+    lines = (
+        (1, F.col("previous_time").isNull(), 0.9),
+        (2, changed, 0.9),
+        (3, (gap > day) & ~same, 0.8),
+        (4, (gap > session) & (gap <= day) & ~same & (cue | other_day), 0.6),
+        (5, (gap <= session) & cue & ~same, 0.5),
     )
-    confidence = F.element_at(F.array(*map(F.lit, (0.9, 0.9, 0.8, 0.6, 0.5))), F.col("rule"))
+    rule, confidence = F.lit(None).cast("int"), F.lit(None).cast("double")
+    for number, holds, score in reversed(lines):
+        rule = F.when(holds, number).otherwise(rule)
+        confidence = F.when(F.col("rule") == number, score).otherwise(confidence)
     return {"rule": rule, "boundary_confidence": confidence}
 
 

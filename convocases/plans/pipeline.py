@@ -12,6 +12,7 @@ from convocases.operators.review import review_loop
 from convocases.operators.segment import Rules
 from convocases.operators.taxonomy import taxonomy_table
 from convocases.plans.requests import classification_requests, segmentation_requests
+from convocases.sources.scratch import checkpointed
 
 
 class Segmented(NamedTuple):
@@ -85,6 +86,7 @@ def run_pipeline(
     """The whole run. Without replies the deterministic rules segment and classify.
 
     A skipped stage leaves its label column as it is, or adds an empty one. Skipping all is refused.
+    Classification reads the segmented messages several times, so they are written between the stages.
     """
     if skip_clean and skip_segment and skip_classify:
         raise ValueError("all stages skipped")
@@ -107,6 +109,8 @@ def run_pipeline(
             messages = messages.withColumn("category", F.lit(""))
     else:
         taxonomy = taxonomy_table(raw.sparkSession) if taxonomy is None else taxonomy
+        if not skip_segment:
+            messages = checkpointed(messages)
         if classification_replies is None:
             classifications = rule_classifications(messages, taxonomy, classified_at)
         else:

@@ -136,6 +136,14 @@ def classification_requests(labelled: DataFrame, taxonomy: DataFrame, task: str
     return as_requests(rows, "classify", (F.col("case_number"),), prompt)
 
 
+def nullable(column: pd.Series, kind: str) -> pd.Series:
+    if kind == "long":
+        return column.astype("Int64")
+    if kind == "double":
+        return column.astype("float64")
+    return pd.Series([None if pd.isna(v) else str(v) for v in column], index=column.index, dtype=object)
+
+
 def map_requests(
     requests: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], concurrency: int = 1
 ) -> DataFrame:
@@ -145,19 +153,19 @@ def map_requests(
     reply columns. If it raises, or leaves a request out, that request gets an error row. Write or
     checkpoint the result before reading it twice: each evaluation calls `fn` again.
     """
-    names = [part.strip().split()[0] for part in REPLY_SCHEMA.split(",")]
+    kinds = dict(part.split() for part in REPLY_SCHEMA.split(", "))
+    names = list(kinds)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             asked = batch[["request_id"]]
             try:
                 answer = fn(batch).reindex(columns=names).drop_duplicates("request_id")
-                joined = asked.merge(answer, on="request_id", how="left")
-                silent = joined["content"].isna() & joined["error"].isna()
-                joined.loc[silent, "error"] = "no reply"
+                joined = asked.merge(answer, on="request_id", how="left").astype({"error": object})
+                joined.loc[joined["content"].isna() & joined["error"].isna(), "error"] = "no reply"
             except Exception as problem:  # a failed call is a row, not a failed job
                 joined = asked.reindex(columns=names).assign(error=f"{type(problem).__name__}: {problem}")
-            yield joined[names]
+            yield pd.DataFrame({n: nullable(joined[n], kind) for n, kind in kinds.items()})
 
     return requests.repartition(concurrency, "request_id").mapInPandas(call, REPLY_SCHEMA)
 

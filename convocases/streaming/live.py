@@ -3,8 +3,8 @@
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from convocases.operators import blocks
 from convocases.operators.blocks import Cuts, Step
@@ -53,71 +53,64 @@ STATE = (
 HOUR = 3_600_000_000
 
 
-class QueueProcessor(StatefulProcessor):
-    """State of a channel: one row on its open case. A full queue or a rule closes it, or a quiet day."""
+def names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
 
-    def __init__(self, rules: Rules, max_queue_size: int):
-        self.rules, self.size = rules, max_queue_size
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open_case = handle.getValueState("open_case", STATE)
-
-    def opened_by(self, state: dict, us: int, ref: str | None, cue: bool) -> float | None:
-        """Confidence of the boundary before this message, None if it continues the open case."""
-        gap, session, day = us - state["last_us"], self.rules.session_hours * HOUR, self.rules.day_hours * HOUR
-        known = ref is not None and state["ref"] is not None
-        if known and ref != state["ref"]:
+def opened_by(rules: Rules, state: dict, us: int, ref: str | None, cue: bool) -> float | None:
+    """Confidence of the boundary before this message, None if it continues the open case."""
+    gap, session, day = us - state["last_us"], rules.session_hours * HOUR, rules.day_hours * HOUR
+    if ref is not None and state["ref"] is not None:
+        if ref != state["ref"]:
             return 0.9
-        if known:
-            return None
-        if gap > day:
-            return 0.8
-        if gap > session:
-            return 0.6 if cue or us // (24 * HOUR) != state["last_us"] // (24 * HOUR) else None
-        return 0.5 if cue else None
-
-    def closed(self, channel: str, state: dict, forced: bool) -> tuple:
-        return (
-            channel, state["case_index"], state["start_pos"], state["pos"],
-            pd.Timestamp(state["start_us"], unit="us"), pd.Timestamp(state["last_us"], unit="us"),
-            state["pos"] - state["start_pos"] + 1, state["confidence"], state["forced"], forced,
-        )
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = [c.strip().split()[0] for c in STATE.split(",")]
-        state = dict(zip(names, self.open_case.get())) if self.open_case.exists() else None
+        return None
+    if gap > day:
+        return 0.8
+    if gap > session:
+        return 0.6 if cue or us // (24 * HOUR) != state["last_us"] // (24 * HOUR) else None
+    return 0.5 if cue else None
+
+
+def closed(channel: str, state: dict, forced: bool) -> tuple:
+    return (
+        channel, state["case_index"], state["start_pos"], state["pos"],
+        pd.Timestamp(state["start_us"], unit="us"), pd.Timestamp(state["last_us"], unit="us"),
+        state["pos"] - state["start_pos"] + 1, state["confidence"], state["forced"], forced,
+    )
+
+
+def queue_step(rules: Rules, size: int):
+    """The state of a channel is one row on its open case; a boundary rule or a full queue closes it."""
+    def step(key: tuple, rows: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
+        state = dict(zip(names(STATE), kept.get)) if kept.exists else None
         done = []
-        for batch in rows:
-            batch = batch.sort_values(["_us", "ingest_seq", "message_id"])
-            for us, ref, cue in zip(batch["_us"], batch["_ref"], batch["_cue"]):
-                us, ref = int(us), ref if isinstance(ref, str) else None
-                if state is None:
-                    state = dict(pos=1, case_index=0, start_pos=1, start_us=us, last_us=us, ref=ref,
-                                 confidence=0.9, forced=False)
-                    continue
-                confidence = self.opened_by(state, us, ref, bool(cue))
-                full = confidence is None and state["pos"] - state["start_pos"] + 1 >= self.size
-                if confidence is not None or full:
-                    done.append(self.closed(key[0], state, full))
-                    state.update(case_index=state["case_index"] + 1, start_pos=state["pos"] + 1, start_us=us,
-                                 confidence=state["confidence"] if full else confidence, forced=full)
-                state.update(pos=state["pos"] + 1, last_us=us, ref=ref or state["ref"])
-        self.open_case.update(tuple(state[n] for n in names))
+        batch = pd.concat(list(rows)).sort_values(["_us", "ingest_seq", "message_id"])
+        for us, ref, cue in zip(batch["_us"].tolist(), batch["_ref"], batch["_cue"].tolist()):
+            ref = ref if isinstance(ref, str) else None
+            if state is None:
+                state = dict(pos=1, case_index=0, start_pos=1, start_us=us, last_us=us, ref=ref,
+                             confidence=0.9, forced=False)
+                continue
+            confidence = opened_by(rules, state, us, ref, cue)
+            full = confidence is None and state["pos"] - state["start_pos"] + 1 >= size
+            if confidence is not None or full:
+                done.append(closed(key[0], state, full))
+                state.update(case_index=state["case_index"] + 1, start_pos=state["pos"] + 1, start_us=us,
+                             confidence=state["confidence"] if full else confidence, forced=full)
+            state.update(pos=state["pos"] + 1, last_us=us, ref=ref or state["ref"])
+        kept.update(tuple(state[n] for n in names(STATE)))
         if done:
-            columns = [c.strip().split()[0] for c in OUTPUT.split(",")]
-            yield pd.DataFrame(done, columns=columns)
-
-    def close(self) -> None:
-        pass
+            yield pd.DataFrame(done, columns=names(OUTPUT))
+    return step
 
 
 def stream_sliding_queue(messages: DataFrame, rules: Rules = Rules(), max_queue_size: int = 128) -> DataFrame:
     """Finished cases of each channel, as messages arrive: the boundary rules, and a forced cut at `max_queue_size`.
 
     The open case of a channel stays in state as one row, whatever its length. Messages are taken in time
-    order inside a micro-batch; one that comes in a later batch counts as next. Patterns run as Spark
-    expressions before the rows reach Python.
+    order inside a micro-batch; one that comes in a later batch counts as next. The times of a channel's
+    messages in one micro-batch meet in one task, so bound the batches at the source (`maxBytesPerTrigger`).
+    Patterns run as Spark expressions before the rows reach Python.
     """
     rows = drop_untimed(messages).select(
         "channel_url", "ingest_seq", "message_id",
@@ -125,7 +118,6 @@ def stream_sliding_queue(messages: DataFrame, rules: Rules = Rules(), max_queue_
         first_match(F.col("message"), rules.ref_pattern).alias("_ref"),
         F.coalesce(F.col("message").rlike(rules.cue_pattern), F.lit(False)).alias("_cue"),
     )
-    return rows.groupBy("channel_url").transformWithStateInPandas(
-        statefulProcessor=QueueProcessor(rules, max_queue_size),
-        outputStructType=OUTPUT, outputMode="append", timeMode="none",
+    return rows.groupBy("channel_url").applyInPandasWithState(
+        queue_step(rules, max_queue_size), OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout,
     )
