@@ -7,6 +7,8 @@ group is too large nothing is cut and the plan is a plain window: one exchange a
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -204,13 +206,18 @@ def join_spread(
         return left.join(right, keys, how)
     spark = left.sparkSession
     schema = T.StructType([*(left.schema[k] for k in keys), T.StructField("_shares", T.IntegerType())])
+    names = {k: f"_hot_{k}" for k in keys}
     # Bounded by MAX_CUTS rows.
-    table = F.broadcast(spark.createDataFrame(hot, schema))
+    table = F.broadcast(spark.createDataFrame(hot, schema).withColumnsRenamed(names))
+
+    def with_shares(df):
+        same = reduce(and_, (df[k].eqNullSafe(F.col(name)) for k, name in names.items()))
+        return df.join(table, same, "left").drop(*names.values())
+
     spread = list(spread) or [c for c in left.columns if c not in keys]
-    dealt = left.join(table, keys, "left").withColumn(
-        "_share", F.when(F.col("_shares").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.col("_shares"))).cast("int")
-    ).drop("_shares")
-    copies = right.join(table, keys, "left").withColumn(
+    share = F.when(F.col("_shares").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.col("_shares")))
+    dealt = with_shares(left).withColumn("_share", share.cast("int")).drop("_shares")
+    copies = with_shares(right).withColumn(
         "_share", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1))
     ).drop("_shares")
     return dealt.join(copies, [*keys, "_share"], how).drop("_share")

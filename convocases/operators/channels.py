@@ -8,6 +8,7 @@ from convocases.operators.blocks import join_spread
 
 # Limits of the size bands and the number of candidates for the largest one.
 MANY_ABOVE, MEDIUM_FROM, TOP_CHANNELS = 50, 10, 5
+BROADCAST_CHANNELS = 100_000
 
 
 def channel_counts(messages: DataFrame) -> DataFrame:
@@ -72,7 +73,9 @@ def filter_channels(
 ) -> DataFrame:
     """Keep the rows of the listed channels (a list, or a table with `channel_url`).
 
-    An empty selection keeps every row, or none with `empty_selection='none'`.
+    An empty selection keeps every row, or none with `empty_selection='none'`. A table of up to
+    `BROADCAST_CHANNELS` channels is broadcast, so the messages do not move; a longer one is joined with hot
+    channels dealt out.
     """
     if not isinstance(channels, DataFrame):
         wanted = list(channels)
@@ -82,6 +85,8 @@ def filter_channels(
     if empty_selection == "all" and channels.isEmpty():
         return messages
     wanted = channels.select("channel_url").distinct()
+    if wanted.limit(BROADCAST_CHANNELS + 1).count() <= BROADCAST_CHANNELS:
+        return messages.join(F.broadcast(wanted), ["channel_url"], "left_semi")
     return join_spread(messages, wanted, ["channel_url"], "left_semi")
 
 

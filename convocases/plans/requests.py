@@ -145,9 +145,9 @@ def nullable(column: pd.Series, kind: str) -> pd.Series:
 
 
 def map_requests(
-    requests: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], concurrency: int = 1
+    requests: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], concurrency: int | None = None
 ) -> DataFrame:
-    """Reply table from a batch callable, run by `concurrency` tasks.
+    """Reply table from a batch callable, run by `concurrency` tasks (default: as the requests are partitioned).
 
     `fn` takes a batch of requests and returns rows with `request_id, content` and, as it likes, the other
     reply columns. If it raises, or leaves a request out, that request gets an error row. Write or
@@ -167,11 +167,12 @@ def map_requests(
                 joined = asked.reindex(columns=names).assign(error=f"{type(problem).__name__}: {problem}")
             yield pd.DataFrame({n: nullable(joined[n], kind) for n, kind in kinds.items()})
 
-    return requests.repartition(concurrency, "request_id").mapInPandas(call, REPLY_SCHEMA)
+    dealt = requests.repartition(concurrency, "request_id") if concurrency else requests
+    return dealt.mapInPandas(call, REPLY_SCHEMA)
 
 
 def retry_failed_requests(
-    requests: DataFrame, replies: DataFrame, fns: Sequence[Callable], concurrency: int = 1
+    requests: DataFrame, replies: DataFrame, fns: Sequence[Callable], concurrency: int | None = None
 ) -> DataFrame:
     """Requests without a good reply go to the next callable; the first good reply wins.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from convocases.operators.blocks import join_spread
 from convocases.operators.cases import cases_to_messages_range
 
-MESSAGES_PER_OBJECT = 10_000
+MESSAGES_PER_OBJECT = 1_000
 LOG_SAMPLE, LOG_SAMPLE_CHARS = 3, 100
 
 
