@@ -74,7 +74,9 @@ def display_category(category: Column) -> Column:
 
 
 def clamp_confidence(value: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value.try_cast("double")))
+    """A number, or text of one, cut to [0, 1]; null for anything else."""
+    number = value.try_cast("double")
+    return F.when(number.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)))
 
 
 def confidence_band(value: Column) -> Column:

@@ -6,7 +6,7 @@ from convocases.functions import text
 from convocases.operators.blocks import join_spread
 from convocases.operators.cases import HEAD_MESSAGES, assigned_only, case_head
 from convocases.operators.replies import (
-    CLASSIFICATION_KEYS, extract_json_classification, field, first_good_reply, has_keys, kind,
+    CLASSIFICATION_KEYS, extract_json_classification, field, first_good_reply, has_keys, is_object, kind,
 )
 from convocases.operators.taxonomy import leaf_words, small
 
@@ -27,7 +27,7 @@ def validate_classification(replies: DataFrame, taxonomy: DataFrame) -> DataFram
     primary, secondary = field(body, "primary_category"), field(body, "secondary_category")
     raw = read.withColumns({
         "_body_reason": F.when(F.col("json").isNull(), "no_json")
-        .when(body.isNull(), "bad_json")
+        .when(~is_object(F.col("json")), "bad_json")
         .when(~has_keys(body, CLASSIFICATION_KEYS), "missing_key"),
         "primary": F.when(kind(primary) == "STRING", field(body, "primary_category", "string")),
         "secondary": F.when(kind(secondary) == "STRING", field(body, "secondary_category", "string")),

@@ -28,7 +28,15 @@ def kind(value: Column) -> Column:
 
 
 def is_object(json: Column) -> Column:
-    return F.coalesce(kind(F.try_parse_json(json)).startswith("OBJECT"), F.lit(False))
+    """Whether a text is one JSON object and nothing else.
+
+    The parser stops at the end of the first value, so the text is tried inside a list and inside an
+    object: what follows a value may end one of the two early, but never both.
+    """
+    in_list = F.try_parse_json(F.concat(F.lit("["), json, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), json, F.lit("}")))
+    kept = kind(F.try_variant_get(in_object, "$.v", "variant")).startswith("OBJECT")
+    return F.coalesce(in_list.isNotNull() & kept, F.lit(False))
 
 
 def extract_json(content: Column) -> dict[str, Column]:
