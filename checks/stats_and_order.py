@@ -17,7 +17,7 @@ from convocases.sources import sinks
 @query("flagship", sql("""
 SELECT channel_url, count(*) AS cases, round(avg(duration_minutes), 3) AS mean_minutes FROM m2_cases GROUP BY 1""", "m2_cases"))
 def flagship(spark, sf):
-    cases = pipeline.segment_with_rules(a.m2(spark, sf), b.M2_RULES).cases
+    cases = pipeline.rule_cases(a.m2(spark, sf), b.M2_RULES)
     return cases.groupBy("channel_url").agg(
         F.count("case_number").alias("cases"), F.round(F.avg("duration_minutes"), 3).alias("mean_minutes"))
 

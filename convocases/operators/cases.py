@@ -12,6 +12,7 @@ CASE = ["channel_url", "case_index"]
 PIECE, BUCKET = 65_536, 64
 NUMBER_ORDER = ["channel_seq", "channel_url", "case_index"]
 HEAD_MESSAGES = 10
+CASES_PER_BLOCK = 500_000
 
 # Case columns of a message without a case.
 CASE_DEFAULTS = {
@@ -116,7 +117,7 @@ def cases_of_boundaries(boundaries: DataFrame, positioned: DataFrame) -> DataFra
     return with_summary(build_cases(rows, {}).join(labels, CASE))
 
 
-def number_cases(cases: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def number_cases(cases: DataFrame, rows_per_block: int = CASES_PER_BLOCK) -> DataFrame:
     """`CASE_0001`... over all channels in ingest order, then by case index; dense and without gaps."""
     o = blocks.in_blocks(cases, [], NUMBER_ORDER, rows_per_block=rows_per_block)
     numbered = blocks.finish(blocks.scan(o, _n=Step("row_number")))

@@ -112,26 +112,27 @@ def format_case_excerpt(labelled: DataFrame, n: int = HEAD_MESSAGES) -> DataFram
 def classify_by_rules(labelled: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Leaf whose words are best covered by the words of the case; `Other_Other` with 0.0 if none is.
 
-    Words meet the taxonomy while still in the message rows, so only matched words are shuffled.
+    Words meet the vocabulary while still in the message rows, and only distinct (case, known word) pairs
+    are shuffled, at most a vocabulary per case. From then on all steps share one partitioning by case.
     """
-    rows = assigned_only(labelled).select("case_number", F.split(F.lower("message"), "[^a-z0-9]+").alias("_words"))
-    words = rows.select("case_number", F.explode(F.array_distinct("_words")).alias("word"))
-    hits = words.join(small(leaf_words(taxonomy)), ["word"]).groupBy(
-        "case_number", "primary", "secondary", "n_words", "word"
-    ).agg(F.lit(1).alias("_hit"))
+    leaves = leaf_words(taxonomy)
+    known = small(leaves.select("word", F.col("word").alias("_known")).distinct())
+    words = F.array_distinct(F.split(F.lower(F.coalesce("message", F.lit(""))), "[^a-z0-9]+"))
+    rows = assigned_only(labelled).select("case_number", F.explode(words).alias("word"))
+    pairs = rows.join(known, ["word"], "left").select("case_number", F.col("_known").alias("word")).distinct()
+    hits = pairs.repartition("case_number").join(small(leaves), ["word"], "left")
     scores = hits.groupBy("case_number", "primary", "secondary", "n_words").agg(
-        (F.count(F.lit(1)) / F.col("n_words")).alias("score")
+        (F.count("word") / F.col("n_words")).alias("score")
     )
-    best = scores.groupBy("case_number").agg(
-        F.min(F.struct((-F.col("score")).alias("s"), "primary", "secondary")).alias("_b")
-    ).select("case_number", "_b.primary", "_b.secondary", F.round(-F.col("_b.s"), 3).alias("confidence"))
-    cases = rows.groupBy("case_number").agg(F.lit(1).alias("_one")).drop("_one")
-    joined = cases.join(best, ["case_number"], "left").withColumns({
-        "primary": F.coalesce("primary", F.lit("Other")),
-        "secondary": F.coalesce("secondary", F.lit("Other")),
-        "confidence": F.coalesce("confidence", F.lit(0.0)),
-    })
-    return joined.withColumn("category", text.combine_category(F.col("primary"), F.col("secondary")))
+    ranked = F.struct((-F.col("score")).alias("s"), "primary", "secondary")
+    best = scores.groupBy("case_number").agg(F.min(F.when(F.col("score").isNotNull(), ranked)).alias("_b"))
+    found = best.select(
+        "case_number",
+        F.coalesce("_b.primary", F.lit("Other")).alias("primary"),
+        F.coalesce("_b.secondary", F.lit("Other")).alias("secondary"),
+        F.coalesce(F.round(-F.col("_b.s"), 3), F.lit(0.0)).alias("confidence"),
+    )
+    return found.withColumn("category", text.combine_category(F.col("primary"), F.col("secondary")))
 
 
 def sorted_classifications(classifications: DataFrame) -> DataFrame:

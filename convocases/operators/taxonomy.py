@@ -48,14 +48,16 @@ STOP_WORDS = ("and", "by", "not", "other")
 
 def taxonomy_table(spark: SparkSession, taxonomy: dict[str, list[str]] | None = None) -> DataFrame:
     """`primary_no, leaf_no, primary, secondary`; names at most `MAX_TAXONOMY_ROWS` leaves."""
-    rows = [
-        (i, j, primary, secondary)
-        for i, (primary, leaves) in enumerate((taxonomy or TAXONOMY).items())
-        for j, secondary in enumerate(leaves)
-    ]
-    if len(rows) > MAX_TAXONOMY_ROWS:
-        raise ValueError(f"a taxonomy may have {MAX_TAXONOMY_ROWS} leaves, got {len(rows)}")
-    return spark.createDataFrame(rows, "primary_no int, leaf_no int, primary string, secondary string")
+    taxonomy = taxonomy or TAXONOMY
+    if sum(map(len, taxonomy.values())) > MAX_TAXONOMY_ROWS:
+        raise ValueError(f"a taxonomy may have {MAX_TAXONOMY_ROWS} leaves")
+    groups = F.array(*(
+        F.struct(F.lit(name).alias("primary"), F.array(*map(F.lit, leaves)).alias("leaves"))
+        for name, leaves in taxonomy.items()
+    ))
+    primaries = spark.range(1).select(F.posexplode(groups).alias("primary_no", "_group"))
+    rows = primaries.select("primary_no", "_group.primary", F.posexplode("_group.leaves").alias("leaf_no", "secondary"))
+    return rows.select("primary_no", "leaf_no", "primary", "secondary")
 
 
 def small(taxonomy: DataFrame) -> DataFrame:

@@ -26,21 +26,35 @@ class Run(NamedTuple):
     classifications: DataFrame | None
 
 
-def segment_with_rules(
+def segmented_rows(
     messages: DataFrame, rules: Rules = Rules(), max_queue_size: int | None = None, cuts: Cuts | None = None
-) -> Segmented:
-    """Cases by the deterministic rules, on every timed message."""
+) -> DataFrame:
     cuts = message_cuts(messages.where(F.col("created_time").isNotNull())) if cuts is None else cuts
     rows = segment.segment_by_rules(messages, cuts, rules)
-    if max_queue_size:
-        rows = segment.force_boundaries(rows, max_queue_size, cuts)
-    cases = case_ops.number_cases(case_ops.cases_of_segments(rows))
+    return segment.force_boundaries(rows, max_queue_size, cuts) if max_queue_size else rows
+
+
+def rule_cases(messages: DataFrame, rules: Rules = Rules(), **options) -> DataFrame:
+    """Numbered cases by the deterministic rules. Only the case table is written on the way."""
+    cases = case_ops.cases_of_segments(segmented_rows(messages, rules, **options))
+    return case_ops.number_cases(checkpointed(cases))
+
+
+def segment_with_rules(
+    messages: DataFrame, rules: Rules = Rules(), max_queue_size: int | None = None, cuts: Cuts | None = None
+) -> Segmented:
+    """Cases by the deterministic rules, on every timed message.
+
+    Rows and cases are written once: building, numbering and assigning the cases all read them.
+    """
+    rows = checkpointed(segmented_rows(messages, rules, max_queue_size, cuts))
+    cases = case_ops.number_cases(checkpointed(case_ops.cases_of_segments(rows)))
     return Segmented(case_ops.assign_segments(rows, cases), cases)
 
 
 def segment_with_boundaries(messages: DataFrame, boundaries: DataFrame, positioned: DataFrame) -> Segmented:
     """Cases of checked boundary rows, numbered and put on the messages; untimed messages stay unassigned."""
-    cases = case_ops.number_cases(case_ops.cases_of_boundaries(boundaries, positioned))
+    cases = case_ops.number_cases(checkpointed(case_ops.cases_of_boundaries(boundaries, positioned)))
     return Segmented(case_ops.assign_cases(messages, cases, positioned), cases)
 
 
@@ -81,7 +95,7 @@ def run_pipeline(
     raw: DataFrame, skip_clean: bool = False, skip_segment: bool = False, skip_classify: bool = False,
     segmentation_replies: DataFrame | None = None, classification_replies: DataFrame | None = None,
     review: Callable[[DataFrame, int], DataFrame] | None = None, taxonomy: DataFrame | None = None,
-    rules: Rules = Rules(), classified_at: Column | None = None, empty_labels: bool = True,
+    rules: Rules = Rules(), classified_at: Column | None = None,
 ) -> Run:
     """The whole run. Without replies the deterministic rules segment and classify.
 
@@ -93,7 +107,7 @@ def run_pipeline(
     messages = raw if skip_clean else clean_messages(raw)
     cases = classifications = None
     if skip_segment:
-        if "case_number" not in messages.columns and empty_labels:
+        if "case_number" not in messages.columns:
             messages = messages.withColumn("case_number", F.lit(""))
     else:
         untimed = messages.where(F.col("created_time").isNull())
@@ -105,7 +119,7 @@ def run_pipeline(
         rest = case_ops.with_case_defaults(untimed)
         messages, cases = done.messages.unionByName(rest, allowMissingColumns=True), done.cases
     if skip_classify:
-        if "category" not in messages.columns and empty_labels:
+        if "category" not in messages.columns:
             messages = messages.withColumn("category", F.lit(""))
     else:
         taxonomy = taxonomy_table(raw.sparkSession) if taxonomy is None else taxonomy

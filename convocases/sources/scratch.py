@@ -1,10 +1,12 @@
-"""Shared scratch space for checkpoints and round trips."""
+"""Shared scratch space for steps that are read more than once."""
 
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`; a temporary one only for a local session."""
@@ -13,9 +15,9 @@ def shared_folder(spark: SparkSession) -> str:
         return given
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return spark.sparkContext.getCheckpointDir()
+    if spark.sparkContext.applicationId not in _local:
+        _local[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _local[spark.sparkContext.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -23,9 +25,10 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read from there: short lineage that outlives lost executors."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Written as a table to the shared folder and read from there.
+
+    The lineage ends here and outlives lost executors; later reads take only the columns they need.
+    """
+    path = new_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

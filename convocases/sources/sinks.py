@@ -77,30 +77,34 @@ def export_cases_csv(cases: DataFrame, path: str) -> None:
     write_messages(cases.withColumn("participants", F.array_join("participants", ";")), path, "csv")
 
 
-def interaction_log(requests: DataFrame, replies: DataFrame, positioned: DataFrame) -> DataFrame:
-    """One audit row per request: call, status, cost, texts and a sample of its first three messages.
+def message_sample(requests: DataFrame, positioned: DataFrame) -> DataFrame:
+    """`request_id, sample`: the first three messages of each request, found by (channel, position).
 
-    The sample positions are looked up by (channel, position), which no channel can crowd.
+    Requests about a case count from its `start_pos`.
     """
+    offset = F.col("start_pos") - 1 if "start_pos" in requests.columns else F.lit(0)
+    last = F.least(F.col("last_pos"), F.col("first_pos") + LOG_SAMPLE - 1)
     wanted = requests.select(
-        "request_id", "channel_url",
-        F.explode(F.sequence(F.col("first_pos"), F.least(F.col("last_pos"), F.col("first_pos") + LOG_SAMPLE - 1))).alias("pos"),
-    )
-    line = F.format_string(
-        "Message %d: [%s] %s...", F.col("_n"), F.col("sender_id"), F.substring("message", 1, LOG_SAMPLE_CHARS)
-    )
+        "request_id", "channel_url", offset.alias("_offset"), F.posexplode(F.sequence("first_pos", last)).alias("_n", "_at")
+    ).select("request_id", "channel_url", "_n", (F.col("_at") + F.col("_offset")).alias("pos"))
     found = positioned.select("channel_url", "pos", "sender_id", "message").join(wanted, ["channel_url", "pos"])
-    found = found.join(requests.select("request_id", "first_pos"), ["request_id"])
-    lines = found.withColumn("_n", F.col("pos") - F.col("first_pos") + 1).select("request_id", "pos", line.alias("_line"))
-    sample = lines.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct("pos", "_line"))).alias("_s")).select(
-        "request_id", F.array_join(F.transform("_s", lambda x: x["_line"]), "\n").alias("sample")
+    line = F.format_string(
+        "Message %d: [%s] %s...", F.col("_n") + 1, F.col("sender_id"), F.substring("message", 1, LOG_SAMPLE_CHARS)
     )
+    lines = found.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct("_n", line.alias("_line")))).alias("_s"))
+    return lines.select("request_id", F.array_join(F.transform("_s", lambda x: x["_line"]), "\n").alias("sample"))
+
+
+def interaction_log(requests: DataFrame, replies: DataFrame, positioned: DataFrame | None = None) -> DataFrame:
+    """One audit row per answered request: call, status, cost, texts, and a message sample where it has positions."""
     answers = replies.select(
         "request_id", "content", "model", "provider", "input_tokens", "output_tokens", "seconds", "error"
     )
     status = F.when(F.col("error").isNull() & F.col("content").isNotNull(), "success").otherwise("error")
-    joined = requests.select("request_id", "call_type", "channel_url", "n_messages", "prompt")
-    joined = joined.join(answers, ["request_id"]).join(sample, ["request_id"], "left")
+    known = [c for c in ("channel_url", "case_index", "case_number") if c in requests.columns]
+    joined = requests.select("request_id", "call_type", *known, "n_messages", "prompt").join(answers, ["request_id"])
+    if positioned is not None and "first_pos" in requests.columns:
+        joined = joined.join(message_sample(requests, positioned), ["request_id"], "left")
     return joined.withColumns({"status": status, "response_length": F.length("content")})
 
 
