@@ -99,6 +99,19 @@ def in_blocks(
     return Ordered(df.drop("_cuts"), keys, order, True)
 
 
+def by_place(df: DataFrame, keys: Sequence[str], order: str, place: Column, length: Column, any_long: bool) -> Ordered:
+    """Blocks of groups whose rows carry their 1-based `place` and the group's `length`: no sampling.
+
+    `any_long` says whether any group exceeds a block; the caller can tell from the lengths.
+    """
+    if not any_long:
+        return Ordered(df, list(keys), [order], False)
+    rows = df.withColumns({
+        BLOCK: F.floor((place - 1) / ROWS_PER_BLOCK).cast("int"), SPLIT: length > ROWS_PER_BLOCK,
+    })
+    return Ordered(rows, list(keys), [order], True)
+
+
 def scan(o: Ordered, **steps: Step) -> Ordered:
     """Add running columns in group order. Kinds of step:
 

@@ -24,8 +24,7 @@ class Rules(NamedTuple):
 def first_match(text: Column, pattern: str) -> Column:
     """First group of the first match (whole match without a group), null without one."""
     group = 1 if "(" in pattern.replace("(?", "").replace(r"\(", "") else 0
-    found = F.regexp_extract(text, pattern, group)
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
 def gap_minutes(now: Column, before: Column) -> Column:

@@ -11,7 +11,7 @@ from convocases.operators.messages import clean_messages, load_messages, message
 from convocases.operators.review import review_loop
 from convocases.operators.segment import Rules
 from convocases.operators.taxonomy import taxonomy_table
-from convocases.plans.requests import classification_requests, segmentation_requests
+from convocases.plans import requests as request_ops
 from convocases.sources.scratch import checkpointed
 
 
@@ -62,9 +62,14 @@ def segment_with_replies(
     messages: DataFrame, replies: DataFrame, review: Callable[[DataFrame, int], DataFrame] | None = None,
     cuts: Cuts | None = None, requests: DataFrame | None = None,
 ) -> Segmented:
-    """Replies to boundaries (with fallbacks), range check, optional review rounds, cases, assignment."""
-    positioned = message_positions(messages, cuts)
-    requests = segmentation_requests(messages, cuts) if requests is None else requests
+    """Replies to boundaries (with fallbacks), range check, optional review rounds, cases, assignment.
+
+    Hand in the written `requests` the replies belong to, to spare building them again. The positions,
+    without the texts, are written once: case building and assignment both read them.
+    """
+    places = message_positions(messages, cuts)
+    positioned = checkpointed(places.select("channel_url", "message_id", "pos", "created_time", "sender_id"))
+    requests = request_ops.segmentation_requests(messages, cuts) if requests is None else requests
     boundaries = reply_ops.valid_ranges(reply_ops.boundaries_of_replies(requests, replies))
     if review is not None:
         boundaries, _ = review_loop(boundaries, review)
@@ -77,7 +82,7 @@ def classify_with_replies(
 ) -> DataFrame:
     """Labelled messages with category columns from the replies; unclassified rows keep defaults."""
     taxonomy = taxonomy_table(labelled.sparkSession) if taxonomy is None else taxonomy
-    requests = classification_requests(labelled, taxonomy) if requests is None else requests
+    requests = request_ops.classification_requests(labelled, taxonomy) if requests is None else requests
     found = classify.classifications_of_replies(requests, replies, taxonomy, classified_at)
     return classify.assign_categories(labelled, found)
 
@@ -93,7 +98,8 @@ def rule_classifications(labelled: DataFrame, taxonomy: DataFrame | None = None,
 
 def run_pipeline(
     raw: DataFrame, skip_clean: bool = False, skip_segment: bool = False, skip_classify: bool = False,
-    segmentation_replies: DataFrame | None = None, classification_replies: DataFrame | None = None,
+    segmentation_replies: DataFrame | None = None, segmentation_requests: DataFrame | None = None,
+    classification_replies: DataFrame | None = None, classification_requests: DataFrame | None = None,
     review: Callable[[DataFrame, int], DataFrame] | None = None, taxonomy: DataFrame | None = None,
     rules: Rules = Rules(), classified_at: Column | None = None,
 ) -> Run:
@@ -115,7 +121,7 @@ def run_pipeline(
         if segmentation_replies is None:
             done = segment_with_rules(timed, rules)
         else:
-            done = segment_with_replies(timed, segmentation_replies, review)
+            done = segment_with_replies(timed, segmentation_replies, review, requests=segmentation_requests)
         rest = case_ops.with_case_defaults(untimed)
         messages, cases = done.messages.unionByName(rest, allowMissingColumns=True), done.cases
     if skip_classify:
@@ -128,8 +134,9 @@ def run_pipeline(
         if classification_replies is None:
             classifications = rule_classifications(messages, taxonomy, classified_at)
         else:
-            requests = classification_requests(messages, taxonomy)
-            classifications = classify.classifications_of_replies(requests, classification_replies, taxonomy, classified_at)
+            asked = classification_requests
+            asked = request_ops.classification_requests(messages, taxonomy) if asked is None else asked
+            classifications = classify.classifications_of_replies(asked, classification_replies, taxonomy, classified_at)
         messages = classify.assign_categories(messages, classifications)
     return Run(messages, cases, classifications)
 

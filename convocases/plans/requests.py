@@ -113,7 +113,10 @@ def review_requests(
     fields = ("channel_url", "pos", "created_time", "sender_id", "sender_type", "message")
     rows = cases_to_messages_range(ranges, positioned.select(*fields))
     rows = rows.withColumn("case_pos", F.col("pos") - F.col("start_pos") + 1)
-    parts = transcript_parts(blocks.in_blocks(rows, CASE, ["pos"]), number="case_pos", carry=("start_pos",), **options)
+    length = F.col("end_pos") - F.col("start_pos") + 1
+    any_long = not ranges.where(length > blocks.ROWS_PER_BLOCK).isEmpty()
+    o = blocks.by_place(rows, CASE, "pos", F.col("case_pos"), length, any_long)
+    parts = transcript_parts(o, number="case_pos", carry=("start_pos",), **options)
     ids = (F.lit(round_no), F.col("channel_url"), F.col("case_index"), F.col("part"))
     return as_requests(parts, "review", ids, F.concat(F.lit(task), F.col("transcript")))
 

@@ -122,3 +122,15 @@ def test_empty_input_gives_null_safe_statistics(spark, raw):
     assert cases.count() == 0 and stats.confidence_distribution(cases).count() == 0
     verdict = stats.confidence_verdicts(cases).first()
     assert (verdict.total_cases, verdict.low_warning, verdict.quality) == (0, False, "poor")
+
+
+def test_review_requests_of_a_case_beyond_a_block(spark, chat, monkeypatch):
+    from convocases.operators import blocks
+    from convocases.operators.messages import message_positions
+    positioned = message_positions(chat([("a", i, "y" * 60) for i in range(40)]))
+    bounds = spark.createDataFrame([("a", 0, 1, 37), ("a", 1, 38, 40)], "channel_url string, case_index long, start_pos long, end_pos long")
+    whole = requests.review_requests(bounds, positioned, budget=150).select("request_id", "prompt", "first_pos", "last_pos").collect()
+    monkeypatch.setattr(blocks, "ROWS_PER_BLOCK", 5)
+    cut = requests.review_requests(bounds, positioned, budget=150).select("request_id", "prompt", "first_pos", "last_pos").collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, cut)) and len(whole) > 5
+    assert sum(r.prompt.count("<message id=") for r in cut) == 40
