@@ -1,6 +1,6 @@
 """Registered queries with their DuckDB counterparts."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 QUERIES, SQL = {}, {}
 
@@ -20,7 +20,12 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, sf: tidy(fn(spark, sf))
+
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return tidy(fn(spark, sf))
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn

@@ -16,13 +16,14 @@ def as_stream(spark, df, files: int = 1, per_batch: int = 1):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
+def finish(spark, writer) -> None:
+    writer = writer.option("checkpointLocation", new_path(spark, "progress")).trigger(availableNow=True)
+    writer.start().awaitTermination()
+
+
 def drained(spark, stream):
     path = new_path(spark, "drained")
-    running = (
-        stream.writeStream.format("parquet").outputMode("append").option("path", path)
-        .option("checkpointLocation", new_path(spark, "progress")).trigger(availableNow=True).start()
-    )
-    running.awaitTermination()
+    finish(spark, stream.writeStream.format("parquet").outputMode("append").option("path", path))
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -62,5 +63,8 @@ SELECT channel_url, case_index, start_pos, end_pos, start_time, end_time, n_mess
   SELECT *, row_number() OVER (PARTITION BY channel_url ORDER BY start_pos) - 1 AS case_index, row_number() OVER (PARTITION BY channel_url ORDER BY start_pos DESC) AS back,
     piece > 0 AS forced_starting, (piece + 1) * 3 < len AS forced_ending FROM pieces) WHERE back > 1""", "m2_seg"))
 def stream_sliding_queue(spark, sf):
-    """Closed cases of the event stream, in files of rising event number; the last case of a user stays open."""
-    return drained(spark, live.stream_sliding_queue(as_stream(spark, a.m2(spark, sf)), b.M2_RULES, 3))
+    """Finished cases of the event stream; the last case of each user stays open."""
+    folder = new_path(spark, "queue")
+    writer = live.stream_sliding_queue(as_stream(spark, a.m2(spark, sf)), folder, b.M2_RULES, 3)
+    finish(spark, writer)
+    return live.finished_cases(spark, folder)

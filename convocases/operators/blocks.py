@@ -164,7 +164,7 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
         if kind in ("row_number", "sum"):
             return F.when(own.isNull(), carry).otherwise(own + F.coalesce(carry, F.lit(0)))
         if kind == "lag":
-            return F.when(F.col("_nth") == 1, carry).otherwise(own)
+            return F.when(F.col("_scan_row") == 1, carry).otherwise(own)
         if kind == "last":
             return F.coalesce(own, carry)
         if kind == "max":
@@ -177,13 +177,13 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
     )
     carry = totals.select(*o.keys, BLOCK, *(carried[s.kind](F.col(f"_carry_{n}")).alias(f"_carry_{n}") for n, s in steps.items()))
     rows = o.rows.withColumns({
-        "_nth": F.row_number().over(ordered),
+        "_scan_row": F.row_number().over(ordered),
         **{f"_in_{n}": inside[s.kind](s.value) for n, s in steps.items()},
     })
     # Rows already lie by (group, block); only the small carry table moves for this join.
     rows = rows.join(carry, [*o.keys, BLOCK], "left")
     rows = rows.withColumns({n: joined(s.kind, n) for n, s in steps.items()})
-    return o._replace(rows=rows.drop("_nth", *(f"_{p}_{n}" for p in ("in", "carry") for n in steps)))
+    return o._replace(rows=rows.drop("_scan_row", *(f"_{p}_{n}" for p in ("in", "carry") for n in steps)))
 
 
 def finish(o: Ordered) -> DataFrame:

@@ -1,15 +1,13 @@
 """Live message feeds: cleaning, sessions, and a per-channel queue that emits finished cases."""
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from convocases.operators import blocks
 from convocases.operators.blocks import Cuts, Step
+from convocases.operators.cases import forced_endings
 from convocases.operators.messages import clean_messages, drop_untimed, in_channel_order
-from convocases.operators.segment import Rules, first_match
+from convocases.operators.segment import Rules, first_match, opening
 
 
 def stream_messages(raw: DataFrame, straighten: bool = False) -> DataFrame:
@@ -42,82 +40,96 @@ def sessions(messages: DataFrame, gap_hours: float = 4, cuts: Cuts | None = None
     ).drop("_session")
 
 
-OUTPUT = (
-    "channel_url string, case_index long, start_pos long, end_pos long, start_time timestamp, "
-    "end_time timestamp, n_messages long, confidence double, forced_starting boolean, forced_ending boolean"
-)
-STATE = (
-    "pos long, case_index long, start_pos long, start_us long, last_us long, "
-    "ref string, confidence double, forced boolean"
+OPEN_CASE = (
+    "channel_url string, case_index long, start_pos long, end_pos long, segment_start long, start_time timestamp, "
+    "end_time timestamp, ref string, confidence double, forced_starting boolean"
 )
-HOUR = 3_600_000_000
-
-
-def names(schema: str) -> list[str]:
-    return [part.split()[0] for part in schema.split(", ")]
+ARRIVAL = ["_turn", "created_time", "ingest_seq", "message_id"]
 
 
-def opened_by(rules: Rules, state: dict, us: int, ref: str | None, cue: bool) -> float | None:
-    """Confidence of the boundary before this message, None if it continues the open case."""
-    gap, session, day = us - state["last_us"], rules.session_hours * HOUR, rules.day_hours * HOUR
-    if ref is not None and state["ref"] is not None:
-        if ref != state["ref"]:
-            return 0.9
-        return None
-    if gap > day:
-        return 0.8
-    if gap > session:
-        return 0.6 if cue or us // (24 * HOUR) != state["last_us"] // (24 * HOUR) else None
-    return 0.5 if cue else None
+def advance_cases(
+    open_cases: DataFrame, batch: DataFrame, rules: Rules = Rules(), max_queue_size: int = 128,
+    rows_per_block: int = blocks.ROWS_PER_BLOCK,
+) -> DataFrame:
+    """Cases of each channel after one more batch of messages, from its open case (`OPEN_CASE`) and the batch.
 
-
-def closed(channel: str, state: dict, forced: bool) -> tuple:
-    return (
-        channel, state["case_index"], state["start_pos"], state["pos"],
-        pd.Timestamp(state["start_us"], unit="us"), pd.Timestamp(state["last_us"], unit="us"),
-        state["pos"] - state["start_pos"] + 1, state["confidence"], state["forced"], forced,
+    The open case joins its channel as one row ahead of the new messages; the boundary rules and the forced
+    cuts then run as on a table, in blocks where the batch holds much of one channel. `open` marks the last
+    case of each channel, all others are finished.
+    """
+    new = drop_untimed(batch).select(
+        "channel_url", F.lit(1).alias("_turn"), "created_time", "ingest_seq", "message_id", "message",
+        first_match(F.col("message"), rules.ref_pattern).alias("ref"),
+    )
+    fields = ("case_index", "start_pos", "end_pos", "segment_start", "start_time", "confidence", "forced_starting")
+    old = open_cases.select(
+        "channel_url", F.lit(0).alias("_turn"), F.col("end_time").alias("created_time"),
+        F.lit(0).cast("long").alias("ingest_seq"), F.lit("").alias("message_id"), F.lit("").alias("message"),
+        "ref", F.struct(*fields).alias("_kept"),
     )
+    rows = new.unionByName(old, allowMissingColumns=True)
+    o = blocks.in_blocks(rows, ["channel_url"], ARRIVAL, rows_per_block=rows_per_block)
+    o = blocks.scan(
+        o, _nth=Step("row_number"), previous_time=Step("lag", F.col("created_time")),
+        previous_ref=Step("last", F.col("ref")), _was=Step("least", F.col("_kept")),
+    )
+    is_new, had = F.col("_turn") == 1, F.col("_was").isNotNull()
+    rule, score = opening(rules).values()
+    o = o._replace(rows=o.rows.withColumn("rule", F.when(is_new, rule)))
+    o = o._replace(rows=o.rows.withColumns({
+        "pos": F.when(had, F.col("_was.end_pos") - 1).otherwise(0) + F.col("_nth"),
+        "boundary_confidence": score,
+        "_ref": F.coalesce("ref", "previous_ref"),
+    }))
+    o = blocks.scan(
+        o, _opened_at=Step("max", F.when(F.col("rule").isNotNull(), F.col("pos"))),
+        _opened_with=Step("last", F.col("boundary_confidence")),
+    )
+    segment_start = F.coalesce("_opened_at", "_was.segment_start")
+    in_segment = F.col("pos") - segment_start
+    opens = is_new & (in_segment % max_queue_size == 0)
+    o = o._replace(rows=o.rows.withColumns({
+        "segment_start": segment_start,
+        "confidence": F.coalesce("boundary_confidence", "_opened_with", "_was.confidence"),
+        "forced_starting": F.coalesce("_kept.forced_starting", opens & (in_segment > 0)),
+        "_opens": opens.cast("long"),
+    }))
+    o = blocks.scan(o, _sum=Step("sum", F.col("_opens")), _all=Step("total", F.col("_opens")))
+    base = F.when(had, F.col("_was.case_index")).otherwise(-1)
+    rows = blocks.finish(o).withColumns({"case_index": base + F.col("_sum"), "open": F.col("_sum") == F.col("_all")})
+    cases = rows.groupBy("channel_url", "case_index").agg(
+        F.min(F.coalesce("_kept.start_pos", "pos")).alias("start_pos"), F.max("pos").alias("end_pos"),
+        F.min("segment_start").alias("segment_start"),
+        F.min(F.coalesce("_kept.start_time", "created_time")).alias("start_time"),
+        F.max("created_time").alias("end_time"), F.max_by("_ref", "pos").alias("ref"),
+        F.max("confidence").alias("confidence"), F.max("forced_starting").alias("forced_starting"),
+        F.max("open").alias("open"),
+    )
+    return forced_endings(cases).withColumn("n_messages", F.col("end_pos") - F.col("start_pos") + 1)
 
 
-def queue_step(rules: Rules, size: int):
-    """The state of a channel is one row on its open case; a boundary rule or a full queue closes it."""
-    def step(key: tuple, rows: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
-        state = dict(zip(names(STATE), kept.get)) if kept.exists else None
-        done = []
-        batch = pd.concat(list(rows)).sort_values(["_us", "ingest_seq", "message_id"])
-        for us, ref, cue in zip(batch["_us"].tolist(), batch["_ref"], batch["_cue"].tolist()):
-            ref = ref if isinstance(ref, str) else None
-            if state is None:
-                state = dict(pos=1, case_index=0, start_pos=1, start_us=us, last_us=us, ref=ref,
-                             confidence=0.9, forced=False)
-                continue
-            confidence = opened_by(rules, state, us, ref, cue)
-            full = confidence is None and state["pos"] - state["start_pos"] + 1 >= size
-            if confidence is not None or full:
-                done.append(closed(key[0], state, full))
-                state.update(case_index=state["case_index"] + 1, start_pos=state["pos"] + 1, start_us=us,
-                             confidence=state["confidence"] if full else confidence, forced=full)
-            state.update(pos=state["pos"] + 1, last_us=us, ref=ref or state["ref"])
-        kept.update(tuple(state[n] for n in names(STATE)))
-        if done:
-            yield pd.DataFrame(done, columns=names(OUTPUT))
-    return step
-
-
-def stream_sliding_queue(messages: DataFrame, rules: Rules = Rules(), max_queue_size: int = 128) -> DataFrame:
-    """Finished cases of each channel, as messages arrive: the boundary rules, and a forced cut at `max_queue_size`.
-
-    The open case of a channel stays in state as one row, whatever its length. Messages are taken in time
-    order inside a micro-batch; one that comes in a later batch counts as next. The times of a channel's
-    messages in one micro-batch meet in one task, so bound the batches at the source (`maxBytesPerTrigger`).
-    Patterns run as Spark expressions before the rows reach Python.
+def stream_sliding_queue(
+    messages: DataFrame, folder: str, rules: Rules = Rules(), max_queue_size: int = 128
+) -> DataStreamWriter:
+    """A writer that turns a message stream into finished cases under `folder`; set its checkpoint and start it.
+
+    Every micro-batch writes one table, `folder/batch=N`, with the cases it finished and the open case of
+    every channel, which the next one reads. A batch that runs again overwrites its own table. Messages of a
+    batch are taken in time order; one that comes in a later batch counts as next.
     """
-    rows = drop_untimed(messages).select(
-        "channel_url", "ingest_seq", "message_id",
-        F.unix_micros("created_time").alias("_us"),
-        first_match(F.col("message"), rules.ref_pattern).alias("_ref"),
-        F.coalesce(F.col("message").rlike(rules.cue_pattern), F.lit(False)).alias("_cue"),
-    )
-    return rows.groupBy("channel_url").applyInPandasWithState(
-        queue_step(rules, max_queue_size), OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout,
-    )
+    def step(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if number:
+            before = spark.read.schema(OPEN_CASE + ", open boolean").parquet(f"{folder}/batch={number - 1}").where("open")
+        else:
+            before = spark.createDataFrame([], OPEN_CASE)
+        cases = advance_cases(before.drop("open"), batch, rules, max_queue_size)
+        cases.write.mode("overwrite").partitionBy("open").parquet(f"{folder}/batch={number}")
+
+    return messages.writeStream.foreachBatch(step)
+
+
+def finished_cases(spark: SparkSession, folder: str) -> DataFrame:
+    """Cases that the batches under `folder` have finished."""
+    schema = OPEN_CASE + ", forced_ending boolean, n_messages long, open boolean, batch long"
+    return spark.read.schema(schema).parquet(folder).where("not open").drop("open", "batch", "segment_start", "ref")

@@ -30,7 +30,10 @@ def test_queue_over_several_batches(spark, chat):
     texts = ["order #1", "x", "order #2", "x", "signup", "x", "x", "x", "x", "x", "x", "order #2", "y"]
     messages = chat(sorted([(ch, m, t) for ch in ("a", "b") for m, t in zip(MINUTES, texts)], key=lambda r: r[1]))
     rules = Rules(cue_pattern="^signup$")
-    got = drain(spark, live.stream_sliding_queue(feed(spark, messages, [0, 3, 8, 9, 20, 26]), rules, 4)).collect()
+    folder = new_path(spark, "queue")
+    writer = live.stream_sliding_queue(feed(spark, messages, [0, 3, 8, 9, 20, 26]), folder, rules, 4)
+    writer.option("checkpointLocation", new_path(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    got = live.finished_cases(spark, folder).collect()
     batch = cases_of_segments(force_boundaries(segment_by_rules(messages, rules=rules), 4)).collect()
     last = {}
     for r in batch:
@@ -42,6 +45,22 @@ def test_queue_over_several_batches(spark, chat):
     assert any(r.forced_ending for r in got) and len(got) >= 8
 
 
+def test_a_hot_channel_in_one_batch(spark, chat):
+    """The open case carries over, and the result does not depend on how the batch is cut into blocks."""
+    messages = chat([("hot", m * 3 + i * 0.01, t) for i, (m, t) in enumerate((m, t) for m in range(30) for t in ("x", "order #%d" % (m // 4)))])
+    rules = Rules(cue_pattern="^signup$")
+    first = live.advance_cases(spark.createDataFrame([], live.OPEN_CASE), messages.where("ingest_seq < 17"), rules, 4)
+    still_open = first.where("open").select(*(part.split()[0] for part in live.OPEN_CASE.split(", ")))
+    def after(**options):
+        cases = live.advance_cases(still_open, messages.where("ingest_seq >= 17"), rules, 4, **options)
+        return sorted(map(tuple, cases.select(sorted(cases.columns)).collect()))
+    assert after() == after(rows_per_block=5) and len(after()) > 8
+    batch = cases_of_segments(force_boundaries(segment_by_rules(messages, rules=rules), 4))
+    whole = sorted(map(tuple, batch.select("case_index", "start_pos", "end_pos", "confidence", "forced_starting", "forced_ending").collect()))
+    parts = first.where("not open").unionByName(live.advance_cases(still_open, messages.where("ingest_seq >= 17"), rules, 4))
+    assert sorted(map(tuple, parts.select("case_index", "start_pos", "end_pos", "confidence", "forced_starting", "forced_ending").collect())) == whole
+
+
 def test_sessions(spark, chat):
     rows = [(ch, m, "x") for ch in ("a", "b") for m in MINUTES] + [("ahead", 600_000, "x")]
     messages = chat(rows)
