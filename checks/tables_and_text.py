@@ -244,7 +244,11 @@ def format_case_excerpt(spark, sf):
     return classify.format_case_excerpt(b.m3_rules(spark, sf).messages, 4)
 
 
-@query("format_taxonomy")
+@query("format_taxonomy", sql("""
+, used AS (SELECT DISTINCT leaf, t.prim, t.sec FROM taxonomy t JOIN r3 USING (prim, sec) WHERE v IN (0, 3, 5)),
+blocks AS (SELECT min(t.leaf) AS no, '**' || prim || ':**' || chr(10) || any_value(names) || chr(10) AS block FROM taxonomy t
+  JOIN (SELECT prim, string_agg('  - ' || sec, chr(10) ORDER BY leaf) AS names FROM used GROUP BY 1) USING (prim) GROUP BY prim)
+SELECT string_agg(block, chr(10) ORDER BY no) AS taxonomy_text FROM blocks""", "taxonomy", "r3"))
 def format_taxonomy(spark, sf):
     """The categories that occur in the classifications, in taxonomy order."""
     used = b.classifications(spark, sf).select("category").distinct()

@@ -39,7 +39,8 @@ def clean_message(text: Column, straighten: bool = False, limit: int | None = No
     tidy = F.trim(F.regexp_replace(kept, r"(?U)\s+", " "))
     if limit:
         tidy = truncate_message(tidy, limit)
-    return F.when(F.coalesce(text, F.lit("")) == "", "").otherwise(F.coalesce(F.nullif(tidy, F.lit("")), F.lit(EMPTY_MESSAGE)))
+    marked = F.coalesce(F.nullif(tidy, F.lit("")), F.lit(EMPTY_MESSAGE))
+    return F.when(F.coalesce(text, F.lit("")) == "", "").otherwise(marked)
 
 
 def parse_created_time(raw: Column) -> Column:

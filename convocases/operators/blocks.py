@@ -175,7 +175,9 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
         o.rows.where(F.col(SPLIT)).groupBy(*o.keys, BLOCK)
         .agg(*(per_block[s.kind](s.value).alias(f"_carry_{n}") for n, s in steps.items()))
     )
-    carry = totals.select(*o.keys, BLOCK, *(carried[s.kind](F.col(f"_carry_{n}")).alias(f"_carry_{n}") for n, s in steps.items()))
+    carry = totals.select(
+        *o.keys, BLOCK, *(carried[s.kind](F.col(f"_carry_{n}")).alias(f"_carry_{n}") for n, s in steps.items())
+    )
     rows = o.rows.withColumns({
         "_scan_row": F.row_number().over(ordered),
         **{f"_in_{n}": inside[s.kind](s.value) for n, s in steps.items()},
@@ -214,9 +216,10 @@ def join_spread(
     apart and must not change when a task is run again; the default is every other left column.
     """
     keys = list(keys)
+    added = [] if how == "left_semi" else [c for c in right.columns if c not in keys]
     hot = hot_keys(left, keys, hot_rows)
     if not hot:
-        return left.join(right, keys, how)
+        return left.join(right, keys, how).select(*left.columns, *added)
     spark = left.sparkSession
     schema = T.StructType([*(left.schema[k] for k in keys), T.StructField("_shares", T.IntegerType())])
     names = {k: f"_hot_{k}" for k in keys}
@@ -233,4 +236,4 @@ def join_spread(
     copies = with_shares(right).withColumn(
         "_share", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1))
     ).drop("_shares")
-    return dealt.join(copies, [*keys, "_share"], how).drop("_share")
+    return dealt.join(copies, [*keys, "_share"], how).select(*left.columns, *added)

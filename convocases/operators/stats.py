@@ -185,11 +185,12 @@ def pipeline_summary(raw_rows: DataFrame, final: DataFrame, legacy_counts: bool
         F.sum(F.when(score > 0, score)).alias("class_sum"), count_if(score > 0).alias("class_n"),
     )
     unique = F.count_distinct if legacy_counts else distinct_non_empty
+    both = (F.col("category") != "") & (F.col("case_number") != "")
     row = groups.agg(
         F.sum("n").alias("output_rows"),
         unique("case_number").alias("unique_cases"),
         F.try_divide(F.sum("case_sum"), F.sum("n")).alias("row_avg_confidence"),
-        F.count_distinct(F.when((F.col("category") != "") & (F.col("case_number") != ""), F.col("case_number"))).alias("classified_cases"),
+        F.count_distinct(F.when(both, F.col("case_number"))).alias("classified_cases"),
         unique("category").alias("unique_categories"),
         F.try_divide(F.sum("class_sum"), F.sum("class_n")).alias("avg_classification_confidence"),
     )

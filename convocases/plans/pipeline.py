@@ -5,9 +5,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from convocases.functions.text import parse_created_time
 from convocases.operators import cases as case_ops, classify, replies as reply_ops, segment
 from convocases.operators.blocks import Cuts
-from convocases.operators.messages import clean_messages, load_messages, message_cuts, message_positions
+from convocases.operators.messages import clean_messages, drop_untimed, message_cuts, message_positions
 from convocases.operators.review import review_loop
 from convocases.operators.segment import Rules
 from convocases.operators.taxonomy import taxonomy_table
@@ -67,6 +68,7 @@ def segment_with_replies(
     Hand in the written `requests` the replies belong to, to spare building them again. The positions,
     without the texts, are written once: case building and assignment both read them.
     """
+    cuts = message_cuts(messages.where(F.col("created_time").isNotNull())) if cuts is None else cuts
     places = message_positions(messages, cuts)
     positioned = checkpointed(places.select("channel_url", "message_id", "pos", "created_time", "sender_id"))
     requests = request_ops.segmentation_requests(messages, cuts) if requests is None else requests
@@ -87,7 +89,9 @@ def classify_with_replies(
     return classify.assign_categories(labelled, found)
 
 
-def rule_classifications(labelled: DataFrame, taxonomy: DataFrame | None = None, classified_at: Column | None = None) -> DataFrame:
+def rule_classifications(
+    labelled: DataFrame, taxonomy: DataFrame | None = None, classified_at: Column | None = None
+) -> DataFrame:
     taxonomy = taxonomy_table(labelled.sparkSession) if taxonomy is None else taxonomy
     at = F.current_timestamp() if classified_at is None else classified_at
     found = classify.classify_by_rules(labelled, taxonomy)
@@ -106,24 +110,27 @@ def run_pipeline(
     """The whole run. Without replies the deterministic rules segment and classify.
 
     A skipped stage leaves its label column as it is, or adds an empty one. Skipping all is refused.
-    Classification reads the segmented messages several times, so they are written between the stages.
+    Later stages read the cleaned and the segmented messages several times, a few columns at a time, so both
+    are written as tables on the way.
     """
     if skip_clean and skip_segment and skip_classify:
         raise ValueError("all stages skipped")
-    messages = raw if skip_clean else clean_messages(raw)
+    messages = raw if skip_clean else checkpointed(clean_messages(raw))
     cases = classifications = None
     if skip_segment:
         if "case_number" not in messages.columns:
             messages = messages.withColumn("case_number", F.lit(""))
     else:
+        if dict(messages.dtypes)["created_time"] == "string":
+            messages = messages.withColumn("created_time", parse_created_time(F.col("created_time")))
         untimed = messages.where(F.col("created_time").isNull())
-        timed = load_messages(messages)
+        timed = drop_untimed(messages)
         if segmentation_replies is None:
             done = segment_with_rules(timed, rules)
         else:
             done = segment_with_replies(timed, segmentation_replies, review, requests=segmentation_requests)
-        rest = case_ops.with_case_defaults(untimed)
-        messages, cases = done.messages.unionByName(rest, allowMissingColumns=True), done.cases
+        labelled = done.messages.select(*messages.columns, *case_ops.CASE_DEFAULTS)
+        messages, cases = labelled.unionByName(case_ops.with_case_defaults(untimed)), done.cases
     if skip_classify:
         if "category" not in messages.columns:
             messages = messages.withColumn("category", F.lit(""))

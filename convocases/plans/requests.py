@@ -101,8 +101,10 @@ def segmentation_requests(
         parts = parts.where(F.col("part") == 0)
     elif overflow != "parts":
         raise ValueError("overflow must be 'parts' or 'truncate'")
-    parts = parts.withColumn("case_truncated", F.lit(overflow == "truncate") & (F.col("last_pos") < F.col("channel_messages")))
-    return as_requests(parts, "segment", (F.col("channel_url"), F.col("part")), F.concat(F.lit(task), F.col("transcript")))
+    left_out = F.lit(overflow == "truncate") & (F.col("last_pos") < F.col("channel_messages"))
+    ids = (F.col("channel_url"), F.col("part"))
+    prompt = F.concat(F.lit(task), F.col("transcript"))
+    return as_requests(parts.withColumn("case_truncated", left_out), "segment", ids, prompt)
 
 
 def review_requests(

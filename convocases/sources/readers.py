@@ -25,9 +25,13 @@ def read_messages(spark: SparkSession, path: str, multi_line: bool = True) -> Da
 
 
 def load_raw_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """Any table with a channel column, for runs that skip cleaning; adds an empty `review` if it has none."""
+    """Any table with a channel column, for runs that skip cleaning; adds what is missing of
+    `review` (empty) and `ingest_seq` (by file order).
+    """
     df = spark.read.format(fmt).options(**options).load(path)
     df = rename_source_columns(df)
     if "channel_url" not in df.columns:
         raise ValueError("the table has no channel column")
+    if "ingest_seq" not in df.columns:
+        df = df.withColumn("ingest_seq", F.monotonically_increasing_id())
     return df if "review" in df.columns else df.withColumn("review", F.lit(""))

@@ -91,6 +91,17 @@ def test_run_without_a_model(raw):
     assert (legacy.unique_cases, legacy.unique_categories, legacy.coverage) == (4, 4, 0.75)
 
 
+def test_other_columns_come_through(raw, spark):
+    wide = raw.withColumns({"round 1": F.concat(F.lit("r"), "message_id"), "review": F.lit("5")})
+    none = spark.createDataFrame([], "request_id string, content string, error string")
+    by_rules = pipeline.run_pipeline(wide).messages
+    by_reply = pipeline.run_pipeline(wide, segmentation_replies=none, skip_classify=True).messages
+    assert by_rules.drop("classification_confidence", "classification_reasoning", "classified_at").columns == by_reply.columns
+    assert {r.message_id: (r["round 1"], r.review) for r in by_rules.collect()} == {i: (f"r{i}", "5") for i in "12345"}
+    assert {r.message_id: (r.case_confidence, r.case_number) for r in by_reply.collect()} == {
+        "1": (0.3, "CASE_0001"), "2": (0.3, "CASE_0001"), "3": (0.3, "CASE_0001"), "4": (0.0, ""), "5": (0.3, "CASE_0002")}
+
+
 def test_skipped_stages(raw):
     with pytest.raises(ValueError):
         pipeline.run_pipeline(raw, skip_clean=True, skip_segment=True, skip_classify=True)
@@ -118,7 +129,7 @@ def test_classification_request_text(raw, spark):
 
 
 def test_empty_input_gives_null_safe_statistics(spark, raw):
-    cases = pipeline.segment_with_rules(pipeline.load_messages(pipeline.clean_messages(raw.where("false")))).cases
+    cases = pipeline.segment_with_rules(pipeline.drop_untimed(pipeline.clean_messages(raw.where("false")))).cases
     assert cases.count() == 0 and stats.confidence_distribution(cases).count() == 0
     verdict = stats.confidence_verdicts(cases).first()
     assert (verdict.total_cases, verdict.low_warning, verdict.quality) == (0, False, "poor")
