@@ -11,6 +11,7 @@ from convocases.plans import pipeline, requests
 from convocases.sources.scratch import checkpointed
 
 M2_RULES = segment.Rules(cue_pattern="^signup$")
+M1_RULES = segment.Rules(cue_pattern="^[A-D]")
 M3_RULES = segment.Rules(ref_pattern=r"order #(\d+)")
 SHORT_RULES = M2_RULES._replace(session_hours=2)
 AT = "2024-06-01 12:00:00"

@@ -114,6 +114,7 @@ M3_REF = r"nullif(regexp_extract(message, 'order #(\d+)', 1), '')"
 rule_tables("m2", "m2_pos", "NULL::VARCHAR", "message = 'signup'")
 rule_tables("m2", "m2_pos", "NULL::VARCHAR", "message = 'signup'", 2 * 3600 * 10**6, "_short")
 rule_tables("m3", "m3_pos", M3_REF, "false")
+rule_tables("m1", "m1_pos", "NULL::VARCHAR", "regexp_matches(message, '^[A-D]')")
 
 define("m3_labelled", """
 SELECT s.*, c.case_number, c.start_time AS case_start_time, c.end_time AS case_end_time, c.duration_minutes AS case_duration_minutes,

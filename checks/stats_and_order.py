@@ -231,12 +231,27 @@ def token_usage(spark, sf):
 
 
 @query("compare_segmentations", sql("""
+, x AS (SELECT channel_url, start_pos FROM cases WHERE start_pos > 1), y AS (SELECT channel_url, start_pos FROM m1_cases WHERE start_pos > 1),
+k AS (SELECT (SELECT count(*) FROM x) AS cuts_a, (SELECT count(*) FROM y) AS cuts_b, (SELECT count(*) FROM x JOIN y USING (channel_url, start_pos)) AS cuts_both)
+SELECT (SELECT count(*) FROM cases) AS cases_a, (SELECT count(*) FROM m1_cases) AS cases_b,
+  round((SELECT avg(confidence) FROM cases), 6) AS avg_confidence_a, round((SELECT avg(confidence) FROM m1_cases), 6) AS avg_confidence_b,
+  (SELECT sum(input_tokens + output_tokens) FROM r1 WHERE status NOT IN ('missing', 'error'))::BIGINT AS tokens_a, 0::BIGINT AS tokens_b,
+  cuts_a, cuts_b, cuts_both, round(cuts_both::DOUBLE / cuts_b, 6) AS "precision", round(cuts_both::DOUBLE / cuts_a, 6) AS recall FROM k""", "cases", "m1_cases", "r1"))
+def compare_segmentations(spark, sf):
+    """Cases of the replies against cases by rules with a simple cue, on the same messages."""
+    rules = c.cases_of_segments(segment.segment_by_rules(a.m1(spark, sf), rules=b.M1_RULES))
+    replies = a.r1_replies(spark, sf).where("error is null")
+    return segment.compare_segmentations(b.segmented(spark, sf).cases, rules, replies)
+
+
+@query("compare_gap_settings", sql("""
 , x AS (SELECT channel_url, start_pos FROM m2_cases WHERE start_pos > 1), y AS (SELECT channel_url, start_pos FROM m2_cases_short WHERE start_pos > 1),
 k AS (SELECT (SELECT count(*) FROM x) AS cuts_a, (SELECT count(*) FROM y) AS cuts_b, (SELECT count(*) FROM x JOIN y USING (channel_url, start_pos)) AS cuts_both)
 SELECT (SELECT count(*) FROM m2_cases) AS cases_a, (SELECT count(*) FROM m2_cases_short) AS cases_b,
   round((SELECT avg(confidence) FROM m2_cases), 6) AS avg_confidence_a, round((SELECT avg(confidence) FROM m2_cases_short), 6) AS avg_confidence_b,
+  0::BIGINT AS tokens_a, 0::BIGINT AS tokens_b,
   cuts_a, cuts_b, cuts_both, round(cuts_both::DOUBLE / cuts_b, 6) AS "precision", round(cuts_both::DOUBLE / cuts_a, 6) AS recall FROM k""", "m2_cases", "m2_cases_short"))
-def compare_segmentations(spark, sf):
+def compare_gap_settings(spark, sf):
     short = c.cases_of_segments(segment.segment_by_rules(a.m2(spark, sf), rules=b.SHORT_RULES))
     return segment.compare_segmentations(b.m2_rules(spark, sf).cases, short)
 

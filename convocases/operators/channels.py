@@ -30,14 +30,10 @@ def size_band(n: Column) -> Column:
 
 def channel_size_bands(counts: DataFrame) -> DataFrame:
     """Channels per size band with the largest and mean size in the band and overall."""
-    per_band = counts.groupBy(size_band(F.col("n_messages")).alias("size_band")).agg(
+    bands = counts.rollup(size_band(F.col("n_messages")).alias("size_band")).agg(
         F.count(F.lit(1)).alias("channels"), F.max("n_messages").alias("largest"), F.avg("n_messages").alias("mean")
     )
-    overall = counts.agg(
-        F.lit("all").alias("size_band"),
-        F.count(F.lit(1)).alias("channels"), F.max("n_messages").alias("largest"), F.avg("n_messages").alias("mean"),
-    )
-    return per_band.unionByName(overall)
+    return bands.withColumn("size_band", F.coalesce("size_band", F.lit("all")))
 
 
 def channel_size_summary(counts: DataFrame) -> DataFrame:

@@ -112,11 +112,14 @@ def force_boundaries(segmented: DataFrame, max_queue_size: int, cuts: Cuts | Non
     return rows.drop("_start", "_opened_with", "_opens", "_pieces")
 
 
-def compare_segmentations(a: DataFrame, b: DataFrame) -> DataFrame:
+def compare_segmentations(
+    a: DataFrame, b: DataFrame, replies_a: DataFrame | None = None, replies_b: DataFrame | None = None
+) -> DataFrame:
     """Two sets of cases over the same messages, side by side, with agreement of their cut points.
 
     Takes case tables with `channel_url, start_pos, end_pos, confidence`; a cut point is the start of a
-    case other than at position 1. Precision and recall are those of `b` against `a`.
+    case other than at position 1. Precision and recall are those of `b` against `a`. The tokens are those
+    of the replies behind each side, 0 for rules.
     """
     def points(cases, flag):
         starts = cases.where(F.col("start_pos") > 1).select("channel_url", "start_pos").distinct()
@@ -133,7 +136,14 @@ def compare_segmentations(a: DataFrame, b: DataFrame) -> DataFrame:
         F.count("in_b").alias("cuts_b"),
         F.count(F.when(F.col("in_a").isNotNull() & F.col("in_b").isNotNull(), 1)).alias("cuts_both"),
     )
-    row = side_by_side(totals(a, "a"), totals(b, "b"), agreement)
+    def tokens(replies, side):
+        spent = F.coalesce(F.sum(F.col("input_tokens") + F.col("output_tokens")), F.lit(0)).cast("long")
+        return replies.agg(spent.alias(f"tokens_{side}"))
+
+    asked = [tokens(r, side) for r, side in ((replies_a, "a"), (replies_b, "b")) if r is not None]
+    row = side_by_side(totals(a, "a"), totals(b, "b"), agreement, *asked)
+    free = {f"tokens_{side}": F.lit(0).cast("long") for side in "ab" if f"tokens_{side}" not in row.columns}
+    row = row.withColumns(free) if free else row
     return row.withColumns({
         "precision": F.try_divide("cuts_both", "cuts_b"),
         "recall": F.try_divide("cuts_both", "cuts_a"),

@@ -1,6 +1,6 @@
 """Counts, shares and verdicts over messages, cases, replies and classifications."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from convocases.functions import text
 from convocases.operators.channels import channel_counts
@@ -44,6 +44,14 @@ def preprocess_stats(raw: DataFrame, selected: DataFrame | None = None, malforme
     )
 
 
+def observed_rows(raw: DataFrame, malformed: str | None = None) -> tuple[DataFrame, Observation]:
+    """The same rows, with the row counts of `preprocess_stats` taken while another action reads them."""
+    seen = Observation("preprocess")
+    bad = F.col(malformed).isNotNull() if malformed else F.lit(False)
+    counts = {"total_rows": F.lit(True), "processed_rows": ~bad & has_ids(), "error_rows": bad}
+    return raw.observe(seen, *(count_if(c).alias(n) for n, c in counts.items())), seen
+
+
 def channel_stats(sizes: DataFrame, cases: DataFrame, replies: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
     """Per channel: messages, cases, tokens, calls, seconds and review counters. Failed calls do not count."""
     found = cases.groupBy("channel_url").agg(

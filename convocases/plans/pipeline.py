@@ -111,7 +111,7 @@ def run_pipeline(
 
     A skipped stage leaves its label column as it is, or adds an empty one. Skipping all is refused.
     Later stages read the cleaned and the segmented messages several times, a few columns at a time, so both
-    are written as tables on the way.
+    are written as tables on the way, and so are the classifications.
     """
     if skip_clean and skip_segment and skip_classify:
         raise ValueError("all stages skipped")
@@ -139,11 +139,12 @@ def run_pipeline(
         if not skip_segment:
             messages = checkpointed(messages)
         if classification_replies is None:
-            classifications = rule_classifications(messages, taxonomy, classified_at)
+            found = rule_classifications(messages, taxonomy, classified_at)
         else:
             asked = classification_requests
             asked = request_ops.classification_requests(messages, taxonomy) if asked is None else asked
-            classifications = classify.classifications_of_replies(asked, classification_replies, taxonomy, classified_at)
+            found = classify.classifications_of_replies(asked, classification_replies, taxonomy, classified_at)
+        classifications = checkpointed(found)
         messages = classify.assign_categories(messages, classifications)
     return Run(messages, cases, classifications)
 

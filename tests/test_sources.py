@@ -32,6 +32,13 @@ def test_malformed_rows_are_counted_not_fatal(spark, tmp_path):
     assert (counted.total_rows, counted.processed_rows, counted.error_rows, counted.filtered_rows) == (4, 2, 2, 0)
 
 
+def test_counts_come_with_the_write(spark):
+    raw = spark.createDataFrame([("1", "c", None), ("", "c", None), ("3", "c", "x")], "message_id string, channel_url string, bad string")
+    rows, seen = stats.observed_rows(raw, "bad")
+    rows.write.parquet(new_path(spark, "t"))
+    assert seen.get == {"total_rows": 3, "processed_rows": 1, "error_rows": 1}
+
+
 def test_table_without_channel_is_refused(spark):
     path = new_path(spark, "t")
     spark.range(3).write.parquet(path)
