@@ -13,7 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-ROWS_PER_BLOCK = 4_000_000
+ROWS_PER_BLOCK = 2_000_000
 SAMPLES_PER_BLOCK = 64
 MAX_CUTS = 100_000
 MAX_GLOBAL_CUTS = 1_000

@@ -135,23 +135,27 @@ def first_good_reply(replies: DataFrame) -> DataFrame:
     return replies.groupBy("request_id").agg(best.alias("_r")).select("request_id", "_r.*")
 
 
-def explode_cases(checked: DataFrame) -> DataFrame:
-    """Accepted replies to boundary rows; a position or confidence of the wrong type becomes null."""
-    rows = checked.where(F.col("cases").isNotNull()).select("*", F.posexplode("cases").alias("_at", "_case"))
-    case = F.col("_case")
-
-    def whole(name):
+def proposals(part: Column) -> Column:
+    """Accepted `cases` as boundary structs; a position or confidence of the wrong type becomes null."""
+    def whole(case, name):
         return F.when(kind(field(case, name)) == "BIGINT", field(case, name, "bigint"))
 
-    number = kind(field(case, "confidence")).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    def boundary(case, at):
+        number = kind(field(case, "confidence")).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+        return F.struct(
+            (part * PART_INDEX + at).cast("long").alias("case_index"),
+            whole(case, "start_message").alias("start_pos"), whole(case, "end_message").alias("end_pos"),
+            field(case, "summary", "string").alias("summary"),
+            F.when(number, field(case, "confidence", "double")).alias("confidence"),
+        )
+    return F.transform("cases", boundary)
+
+
+def explode_cases(checked: DataFrame) -> DataFrame:
+    """Accepted replies to boundary rows."""
     part = F.col("part") if "part" in checked.columns else F.lit(0)
-    return rows.withColumns({
-        "case_index": part * PART_INDEX + F.col("_at").cast("long"),
-        "start_pos": whole("start_message"),
-        "end_pos": whole("end_message"),
-        "summary": field(case, "summary", "string"),
-        "confidence": F.when(number, field(case, "confidence", "double")),
-    }).drop("_at", "_case", "cases", "content", "branch", "reason")
+    kept = [c for c in checked.columns if c not in ("cases", "content", "branch", "reason")]
+    return checked.where(F.col("cases").isNotNull()).select(*kept, F.inline(proposals(part)))
 
 
 def mark_ranges(boundaries: DataFrame) -> DataFrame:
@@ -190,21 +194,29 @@ def join_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
     return joined.withColumn("status", status).drop("_answered")
 
 
-def fallback_cases(joined: DataFrame) -> DataFrame:
-    """One case over the whole request where there is no usable reply."""
+def fallback(part: Column) -> Column:
+    """One boundary struct over the whole request."""
     missing = F.col("status") == "missing"
-    return joined.where(F.col("status") != "ok").select(
-        "channel_url", (F.col("part") * PART_INDEX).cast("long").alias("case_index"),
+    return F.struct(
+        (part * PART_INDEX).cast("long").alias("case_index"),
         F.col("first_pos").alias("start_pos"), F.col("last_pos").alias("end_pos"),
         F.when(missing, NO_REPLY_SUMMARY).otherwise(FAILED_SUMMARY).alias("summary"),
         F.when(missing, NO_REPLY_CONFIDENCE).otherwise(FAILED_CONFIDENCE).alias("confidence"),
-        "channel_messages", "channel_seq",
     )
 
 
+def fallback_cases(joined: DataFrame) -> DataFrame:
+    """One case over the whole request where there is no usable reply."""
+    unusable = joined.where(F.col("status") != "ok")
+    return unusable.select("channel_url", "channel_messages", "channel_seq", F.inline(F.array(fallback(F.col("part")))))
+
+
 def boundaries_of_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
-    """All proposed boundaries of all requests, fallbacks included; not yet checked for their range."""
+    """All proposed boundaries of all requests, fallbacks included; not yet checked for their range.
+
+    One pass over the joined requests: each gives the list of its reply or its fallback.
+    """
+    part = F.col("part")
+    listed = F.when(F.col("status") == "ok", proposals(part)).otherwise(F.array(fallback(part)))
     joined = join_replies(requests, replies)
-    fallback = fallback_cases(joined)
-    proposed = explode_cases(joined.where(F.col("status") == "ok")).select(*fallback.columns)
-    return proposed.unionByName(fallback)
+    return joined.select("channel_url", "channel_messages", "channel_seq", F.inline(listed))

@@ -1,10 +1,12 @@
 """Boundaries, cases and labels on messages; rules; invariants."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from convocases.operators import cases as c, context, segment
 from convocases.operators.messages import message_cuts, message_positions
+from convocases.operators.replies import valid_ranges
 from convocases.plans import pipeline
 
 BOUNDS = "channel_url string, case_index long, start_pos long, end_pos long, summary string, confidence double, channel_seq long"
@@ -133,3 +135,25 @@ def test_compare_segmentations_with_no_cuts(spark):
     halves = spark.createDataFrame([("a", 1, 4, 0.5), ("a", 5, 9, 1.0)], whole.schema)
     row = segment.compare_segmentations(halves, whole).first()
     assert (row.cases_a, row.cases_b, row.cuts_a, row.cuts_b, row.cuts_both, row.precision, row.recall) == (2, 1, 1, 0, 0, None, 0.0)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    ids=st.lists(st.sampled_from(["i1", "i2", "i3", "i4", "i5", "i6", "i7", "i8"]), min_size=1, max_size=12),
+    ranges=st.lists(st.tuples(st.integers(-1, 13), st.integers(0, 14)), max_size=5),
+)
+def test_assignment_equals_brute_force(spark, chat, ids, ranges):
+    """Overlapping, invalid and repeated ranges over messages with repeated ids."""
+    messages = chat([("a", i, "x", f"u{i % 3}", mid) for i, mid in enumerate(ids)])
+    proposed = bounds(spark, *[("a", k, s, e, 0.5) for k, (s, e) in enumerate(ranges)]) if ranges else spark.createDataFrame([], BOUNDS)
+    valid = valid_ranges(proposed.withColumn("channel_messages", F.lit(len(ids))))
+    done = pipeline.segment_with_boundaries(messages, valid, message_positions(messages))
+    expected, n = {}, 0
+    for s, e in ranges:
+        if 1 <= s <= e <= len(ids):
+            n += 1
+            for mid in ids[s - 1:e]:
+                expected[mid] = f"CASE_{n:04d}"
+    got = sorted((r.ingest_seq, r.case_number) for r in done.messages.collect())
+    assert got == [(i, expected.get(mid, "")) for i, mid in enumerate(ids)]
+    assert done.cases.count() == n
