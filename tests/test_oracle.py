@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, duck
+from checks.registry import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
