@@ -1,8 +1,8 @@
 """Queries of this package and, where SQL can express them, their DuckDB counterparts."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from convocases.llm import exact, pii, quality, urls
+from convocases.llm import bpe, exact, packing, pii, quality, urls
 
 QUERIES, SQL = {}, {}
 
@@ -33,6 +33,22 @@ def exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf, "documents"))
 
 
+def word_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_bpe")
+def byte_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    path = word_vocabulary()
+    both = bpe.decode(bpe.encode(table(spark, sf, "documents"), path), path)
+    return both.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query("op3_pii")
 def personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.personal_data(table(spark, sf, "documents"))
@@ -43,6 +59,11 @@ def quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf, "documents"))
 
 
+@query("op6_packing")
+def best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), word_vocabulary(), with_ids=False)
+
+
 #: The rules of the query.
 URL_RULES = (
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
