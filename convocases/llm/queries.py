@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from convocases.llm import bpe, exact, packing, pii, quality, urls
+from convocases.llm import bpe, exact, minhash, packing, pii, quality, toxicity, urls
 
 QUERIES, SQL = {}, {}
 
@@ -91,3 +91,13 @@ URL_RULES = (
 def url_filters(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judge_urls(table(spark, sf, "pages"), rules)
+
+
+@query("op9_minhash")
+def near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"), size=4)
+
+
+@query("op7_toxicity")
+def toxic_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
