@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from convocases.llm import bpe, exact, minhash, packing, pii, quality, toxicity, urls
+from convocases.llm import bpe, exact, minhash, packing, pii, quality, toxicity, urls, warc
 
 QUERIES, SQL = {}, {}
 
@@ -101,3 +101,18 @@ def near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_toxicity")
 def toxic_documents(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op10_warc", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    f AS (
+        SELECT page_id, html, strlen(html) AS payload_bytes,
+            CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first
+        FROM p)
+    SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+        CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN first <> page_id THEN first END AS refers_to
+    FROM f""")
+def warc_archives(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
