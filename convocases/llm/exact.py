@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from convocases.llm.common import text_of, without_space
+from convocases.sources.scratch import checkpointed
 
 #: Parts into which every group of copies is dealt before its parts' winners meet.
 SALTS = 64
@@ -56,7 +57,14 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with the columns of `docs`. Of rows that repeat the doc_id that stays, one stays."""
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    """The rows that stay, with the columns of `docs`. Of rows that repeat the doc_id that stays, any one stays."""
+    kept = checkpointed(exact_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("id")).count())
     ids = docs["doc_id"].cast("long")
-    return docs.join(kept, ids.eqNullSafe(kept["_kept_id"]), "left_semi")
+
+    def those(found: DataFrame) -> DataFrame:
+        return docs.join(found, ids.eqNullSafe(found["id"]), "left_semi")
+
+    often = kept.where("count > 1")
+    if often.isEmpty():
+        return those(kept)
+    return those(kept.where("count = 1")).unionByName(those(often).dropDuplicates(["doc_id"]))

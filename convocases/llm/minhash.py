@@ -235,4 +235,4 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` whose document stays, with its columns."""
     gone = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")

@@ -156,18 +156,21 @@ def redact(docs: DataFrame) -> DataFrame:
     Spans that overlap become one stretch. n_chars, where there is such a column, follows the new text. Texts without
     spans, null ones too, stay as they are.
     """
-    found = with_spans(docs, into="_found")
-    found = found.withColumn("_found", F.expr(
-        "aggregate(_found, cast(array() as array<struct<s: int, k: int, e: int>>), (a, m) ->"
+    spans = "_found"
+    while spans in docs.columns:
+        spans += "_"
+    found = with_spans(docs, into=spans)
+    found = found.withColumn(spans, F.expr(
+        f"aggregate({spans}, cast(array() as array<struct<s: int, k: int, e: int>>), (a, m) ->"
         " if(size(a) > 0 and m.s < element_at(a, -1).e, concat(slice(a, 1, size(a) - 1), array(named_struct("
         "'s', element_at(a, -1).s, 'k', element_at(a, -1).k, 'e', greatest(element_at(a, -1).e, m.e)))), array_append(a, m)))"
     ))
     kinds = F.array(*[F.lit(f"[{kind.name}]") for kind in KINDS])
-    before = lambda i: F.when(i == 0, 0).otherwise(F.get("_found", i - 1)["e"])
-    parts = F.transform("_found", lambda m, i: F.concat(
+    before = lambda i: F.when(i == 0, 0).otherwise(F.get(spans, i - 1)["e"])
+    parts = F.transform(spans, lambda m, i: F.concat(
         F.col("text").substr(before(i) + 1, m["s"] - before(i)), F.element_at(kinds, m["k"] + 1)))
-    tail = F.expr("substring(text, element_at(_found, -1).e + 1)")
-    found = found.withColumn("text", F.when(F.size("_found") > 0, F.concat(F.array_join(parts, ""), tail)).otherwise(F.col("text")))
+    tail = F.expr(f"substring(text, element_at({spans}, -1).e + 1)")
+    found = found.withColumn("text", F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), tail)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.size("_found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from convocases.llm import bpe, exact, minhash, packing, pii, quality, toxicity, urls, warc
+from convocases.llm import bpe, exact, minhash, packing, pii, quality, suffixes, toxicity, urls, warc
 
 QUERIES, SQL = {}, {}
 
@@ -116,3 +116,9 @@ def toxic_documents(spark: SparkSession, sf: str) -> DataFrame:
 def warc_archives(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_suffix_array")
+def repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.drop_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from convocases.llm.common import text_of
@@ -294,13 +295,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, s
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """The rows of `docs` whose score is below `threshold`, with its columns."""
     model = fit(docs, labels, sample)
-    names = docs.columns
-    kinds = docs.schema
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score_of = model.scorer()
         for batch in batches:
-            keep = [score_of(t) < threshold for t in batch["text"]]
-            yield batch.loc[np.array(keep, bool), names]
+            yield batch.filter(pa.array([score_of(t.as_py()) < threshold for t in batch.column("text")], pa.bool_()))
 
-    return docs.mapInPandas(run, kinds)
+    return docs.mapInArrow(run, docs.schema)
