@@ -76,23 +76,23 @@ def _report() -> Transducer:
     return Transducer(0, step)
 
 
-def _target(bonus: float = 0.5) -> Transducer:
-    """An insult or threat and its target, in either order, weigh more together; a threat without target is none."""
+def _target(bonus: float = 0.5, threat: float = 2.0) -> Transducer:
+    """An insult and its target, in either order, weigh more together; a threat counts with a target, before or behind it."""
     def step(state, symbol):
-        target, open_ = state
+        target, waiting = state
         if symbol == "Y":
-            return (1, 0), "O", bonus if open_ else 0.0
+            return (True, ""), "O", {"": 0.0, "I": bonus, "T": threat}[waiting]
         if symbol == "I":
-            return (target, 1 - target), symbol, bonus if target else 0.0
+            return (target, "" if target else "I"), symbol, bonus if target else 0.0
         if symbol == "T":
-            return (target, open_), "T" if target else "t", 0.0
+            return (target, "" if target else "T"), "O", threat if target else 0.0
         return state, symbol, 0.0
-    return Transducer((0, 0), step)
+    return Transducer((False, ""), step)
 
 
-def _value(threat: float = 2.0, denied: float = 0.25) -> Transducer:
-    """What is left of the classes: an insult counts whole, a denied one by a part, a threat by a weight of its own."""
-    worth = {"I": 1.0, "i": denied, "T": threat, "t": 0.0}
+def _value(denied: float = 0.25) -> Transducer:
+    """What is left of the insults: one counts whole, a denied one by a part."""
+    worth = {"I": 1.0, "i": denied}
 
     def step(state, symbol):
         return state, symbol, worth.get(symbol, 0.0)
