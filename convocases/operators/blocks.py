@@ -31,6 +31,7 @@ class Ordered(NamedTuple):
     keys: list[str]
     order: list[str]
     split: bool
+    null_keys: bool = False  # whether a group with a null in its key is cut
 
 
 class Step(NamedTuple):
@@ -80,7 +81,7 @@ def in_blocks(
         # Bounded by MAX_CUTS entries, so it fits a broadcast at any data size.
         table = spark.createDataFrame(cuts.rows, cuts.schema)
         lists = table.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
-        df = df.join(F.broadcast(lists), keys, "left")
+        df = left_join_null_safe(df, F.broadcast(lists), keys)
         bounds = F.col("_cuts")
     else:
         points = [F.struct(*(F.lit(r[c]).cast(cuts.schema[c].dataType).alias(c) for c in order)) for r in cuts.rows]
@@ -96,7 +97,15 @@ def in_blocks(
         BLOCK: F.when(F.col("_cuts").isNull(), 0).otherwise(found),
         SPLIT: F.col("_cuts").isNotNull(),
     })
-    return Ordered(df.drop("_cuts"), keys, order, True)
+    return Ordered(df.drop("_cuts"), keys, order, True, any(r[k] is None for r in cuts.rows for k in keys))
+
+
+def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which null keys match; the key columns are those of the left side."""
+    names = {k: f"_right_{k}" for k in keys}
+    renamed = right.withColumnsRenamed(names)
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(name)) for k, name in names.items()))
+    return left.join(renamed, same, "left").drop(*names.values())
 
 
 def by_place(df: DataFrame, keys: Sequence[str], order: str, place: Column, length: Column, any_long: bool) -> Ordered:
@@ -182,8 +191,9 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
         "_scan_row": F.row_number().over(ordered),
         **{f"_in_{n}": inside[s.kind](s.value) for n, s in steps.items()},
     })
-    # Rows already lie by (group, block); only the small carry table moves for this join.
-    rows = rows.join(carry, [*o.keys, BLOCK], "left")
+    # Rows already lie by (group, block); only the small carry table moves, unless a null group has to match too.
+    at = [*o.keys, BLOCK]
+    rows = left_join_null_safe(rows, carry, at) if o.null_keys else rows.join(carry, at, "left")
     rows = rows.withColumns({n: joined(s.kind, n) for n, s in steps.items()})
     return o._replace(rows=rows.drop("_scan_row", *(f"_{p}_{n}" for p in ("in", "carry") for n in steps)))
 
@@ -195,7 +205,7 @@ def finish(o: Ordered) -> DataFrame:
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = ROWS_PER_BLOCK) -> list:
     """Keys held by about `hot_rows` rows or more, from a sample, with the number of shares to deal them into.
 
-    At most rows / hot_rows keys can qualify.
+    At most rows / hot_rows keys can qualify; of more than `MAX_CUTS` the hottest are dealt out.
     """
     step = max(1, hot_rows // SAMPLES_PER_BLOCK)
     sample = df.select(*keys)
@@ -213,7 +223,7 @@ def join_spread(
     """Equi-join whose left side may hold a hot key: hot keys are dealt into shares by the `spread` columns.
 
     Only the right rows of hot keys are copied, once per share. `spread` has to tell the rows of one key
-    apart and must not change when a task is run again; the default is every other left column.
+    apart and must not change when a task is run again; the default is every other left column that can be hashed.
     """
     keys = list(keys)
     added = [] if how == "left_semi" else [c for c in right.columns if c not in keys]
@@ -230,7 +240,8 @@ def join_spread(
         same = reduce(and_, (df[k].eqNullSafe(F.col(name)) for k, name in names.items()))
         return df.join(table, same, "left").drop(*names.values())
 
-    spread = list(spread) or [c for c in left.columns if c not in keys]
+    hashable = [c for c, kind in left.dtypes if c not in keys and "map<" not in kind and "variant" not in kind]
+    spread = list(spread) or hashable or keys
     share = F.when(F.col("_shares").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.col("_shares")))
     dealt = with_shares(left).withColumn("_share", share.cast("int")).drop("_shares")
     copies = with_shares(right).withColumn(

@@ -113,7 +113,8 @@ def cases_of_boundaries(boundaries: DataFrame, positioned: DataFrame) -> DataFra
     """
     ranges = boundaries.select(*CASE, "start_pos", "end_pos")
     rows = cases_to_messages_range(ranges, positioned.select("channel_url", "pos", "created_time", "sender_id"))
-    labels = boundaries.select(*CASE, "channel_seq", "summary", "confidence")
+    truncated = [c for c in ("case_truncated",) if c in boundaries.columns]
+    labels = boundaries.select(*CASE, "channel_seq", "summary", "confidence", *truncated)
     return with_summary(build_cases(rows, {}).join(labels, CASE))
 
 
@@ -139,7 +140,8 @@ def with_case_defaults(df: DataFrame) -> DataFrame:
 def assign_cases(messages: DataFrame, cases: DataFrame, positioned: DataFrame) -> DataFrame:
     """Case columns on every message; the last case wins, rows without a case get defaults.
 
-    The match is by (channel, message id), so copies of an id in one channel share its last case.
+    The match is by (channel, message id), so copies of an id in one channel share its last case. Only numbers of
+    cases move with the ranges; the texts come in by case at the end, where a hot case is dealt into shares.
     """
     columns = {
         "case_number": "case_number", "start_time": "case_start_time", "end_time": "case_end_time",
@@ -148,15 +150,16 @@ def assign_cases(messages: DataFrame, cases: DataFrame, positioned: DataFrame) -
     }
     if "case_truncated" in cases.columns:
         columns["case_truncated"] = "case_truncated"
-    wanted = cases.select("channel_url", "start_pos", "end_pos", *(F.col(a).alias(b) for a, b in columns.items()))
-    rows = cases_to_messages_range(wanted, positioned.select("channel_url", "message_id", "pos"))
-    labels = F.struct(*columns.values())
-    last = rows.groupBy("channel_url", "message_id").agg(
-        F.max_by(labels, case_order(F.col("case_number"))).alias("_labels")
-    ).select("channel_url", "message_id", "_labels.*")
+    nth = case_order(F.col("case_number")).alias("_nth_case")
+    rows = cases_to_messages_range(
+        cases.select("channel_url", "start_pos", "end_pos", nth), positioned.select("channel_url", "message_id", "pos"))
+    last = rows.groupBy("channel_url", "message_id").agg(F.max("_nth_case").alias("_nth_case"))
     left = messages.drop(*CASE_DEFAULTS)
     spread = [c for c in ("ingest_seq", "created_time") if c in left.columns]
-    return with_case_defaults(join_spread(left, last, ["channel_url", "message_id"], spread=spread))
+    numbered = join_spread(left, last, ["channel_url", "message_id"], spread=spread)
+    labels = cases.select(nth, *(F.col(a).alias(b) for a, b in columns.items()))
+    labelled = join_spread(numbered, labels, ["_nth_case"], spread=["message_id", *spread])
+    return with_case_defaults(labelled.drop("_nth_case"))
 
 
 def assign_segments(segmented: DataFrame, cases: DataFrame) -> DataFrame:

@@ -17,13 +17,6 @@ def channel_counts(messages: DataFrame) -> DataFrame:
     return named.groupBy("channel_url").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
-def channel_sizes(messages: DataFrame) -> DataFrame:
-    """Messages per channel and its first ingest number, which orders the channels."""
-    return messages.groupBy("channel_url").agg(
-        F.count(F.lit(1)).alias("n_messages"), F.min("ingest_seq").alias("channel_seq")
-    )
-
-
 def size_band(n: Column) -> Column:
     return F.when(n > MANY_ABOVE, "many").when(n >= MEDIUM_FROM, "medium").otherwise("few")
 

@@ -20,6 +20,8 @@ REQUIRED = {
     "File URL": "file_url",
     "Sender Type": "sender_type",
 }
+#: Column in which a reader puts the line of a row that doesn't fit the header.
+MALFORMED = "_malformed"
 CHANNEL = ["channel_url"]
 TIME_ORDER = ["created_time", "ingest_seq", "message_id"]
 
@@ -63,9 +65,12 @@ def drop_types(df: DataFrame, types: Sequence[str] = ("FILE",)) -> DataFrame:
 def clean_messages(df: DataFrame, straighten: bool = False, drop: Sequence[str] = ()) -> DataFrame:
     """Raw text rows to cleaned ones: ids required, text cleaned, time parsed, sender type filled.
 
-    `created_time_raw` keeps the original text. A row with a bad time stays, with a null time.
+    Required columns come first, empty where the source has none. Malformed rows are dropped, as `preprocess_stats`
+    counts them. `created_time_raw` keeps the original text. A row with a bad time stays, with a null time.
     """
-    df = require_ids(df)
+    if MALFORMED in df.columns:
+        df = df.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+    df = require_ids(project_required(rename_source_columns(df)))
     if drop:
         df = drop_types(df, drop)
     return df.withColumns({

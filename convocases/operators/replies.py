@@ -5,7 +5,8 @@ Everything is native expressions on `VARIANT`; a reply that fails a check keeps
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from convocases.operators.blocks import join_spread
+from convocases.operators import blocks
+from convocases.operators.blocks import Step
 
 # Fallback cases and the patterns that find JSON in a reply.
 NO_REPLY_SUMMARY, NO_REPLY_CONFIDENCE = "No LLM analysis available - processed as single case", 0.3
@@ -19,8 +20,6 @@ FENCED = r"(?is)```(?:json)?\s*(\{.*?\})\s*```"
 OUTER_BRACES = r"(?s)\{.*\}"
 ONE_LEVEL_OBJECT = r"\{[^{}]*+(?:\{[^{}]*+\}[^{}]*+)*+\}"
 
-PART_INDEX = 1_000_000
-
 
 def kind(value: Column) -> Column:
     """Type name of a variant: OBJECT<...>, ARRAY<...>, BIGINT, STRING, BOOLEAN, VOID, ...; null if absent."""
@@ -126,8 +125,9 @@ def validate_review(replies: DataFrame) -> DataFrame:
 
 
 def first_good_reply(replies: DataFrame) -> DataFrame:
-    """One reply per request: one without an error if there is any.
+    """One reply per request: one without an error if there is any; of several, the one with the lowest content hash.
 
+    Reply tables carry no order of arrival, so the pick has to come from the content to be the same on every run.
     Copies of a reply, as from a call made twice, collapse before the exchange.
     """
     columns = [c for c in replies.columns if c != "request_id"]
@@ -135,15 +135,15 @@ def first_good_reply(replies: DataFrame) -> DataFrame:
     return replies.groupBy("request_id").agg(best.alias("_r")).select("request_id", "_r.*")
 
 
-def proposals(part: Column) -> Column:
-    """Accepted `cases` as boundary structs; a position or confidence of the wrong type becomes null."""
+def proposals(before: Column) -> Column:
+    """Accepted `cases` as boundary structs, numbered from `before` on; a position or confidence of the wrong type becomes null."""
     def whole(case, name):
         return F.when(kind(field(case, name)) == "BIGINT", field(case, name, "bigint"))
 
     def boundary(case, at):
         number = kind(field(case, "confidence")).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
         return F.struct(
-            (part * PART_INDEX + at).cast("long").alias("case_index"),
+            (before + at).cast("long").alias("case_index"),
             whole(case, "start_message").alias("start_pos"), whole(case, "end_message").alias("end_pos"),
             field(case, "summary", "string").alias("summary"),
             F.when(number, field(case, "confidence", "double")).alias("confidence"),
@@ -153,9 +153,9 @@ def proposals(part: Column) -> Column:
 
 def explode_cases(checked: DataFrame) -> DataFrame:
     """Accepted replies to boundary rows."""
-    part = F.col("part") if "part" in checked.columns else F.lit(0)
+    before = F.col("cases_before") if "cases_before" in checked.columns else F.lit(0)
     kept = [c for c in checked.columns if c not in ("cases", "content", "branch", "reason")]
-    return checked.where(F.col("cases").isNotNull()).select(*kept, F.inline(proposals(part)))
+    return checked.where(F.col("cases").isNotNull()).select(*kept, F.inline(proposals(before)))
 
 
 def mark_ranges(boundaries: DataFrame) -> DataFrame:
@@ -174,15 +174,10 @@ def rejected_ranges(boundaries: DataFrame) -> DataFrame:
     return mark_ranges(boundaries).where(F.col("reject_reason").isNotNull())
 
 
-def with_channel_sizes(boundaries: DataFrame, sizes: DataFrame) -> DataFrame:
-    """`channel_messages` and `channel_seq` on boundary rows; a channel may hold many of the rows."""
-    small = sizes.select("channel_url", F.col("n_messages").alias("channel_messages"), "channel_seq")
-    return join_spread(boundaries, small, ["channel_url"], "inner")
-
-
 def join_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
     """Requests (without their prompts) with their reply checked; `status` is ok, invalid, error or missing."""
-    asked = requests.select("request_id", "channel_url", "part", "first_pos", "last_pos", "channel_messages", "channel_seq")
+    wanted = ["request_id", "channel_url", "part", "first_pos", "last_pos", "channel_messages", "channel_seq", "case_truncated"]
+    asked = requests.select(*(c for c in wanted if c in requests.columns))
     answers = validate_segmentation(first_good_reply(replies.select("request_id", "content", "error")))
     status = (
         F.when(F.col("_answered").isNull(), "missing")
@@ -191,32 +186,70 @@ def join_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
         .otherwise("ok")
     )
     joined = asked.join(answers.withColumn("_answered", F.lit(True)), ["request_id"], "left")
-    return joined.withColumn("status", status).drop("_answered")
+    several = not asked.where(F.col("part") > 0).isEmpty()
+    return beside_parts(joined.withColumn("status", status).drop("_answered"), several)
+
 
+def beside_parts(joined: DataFrame, several: bool) -> DataFrame:
+    """What the other parts of the channel say: `cases_before` this part, `answered` (parts with a usable reply),
+    `unasked` (parts without any reply is all there are), and `asked_from`, `asked_to`, the messages of all parts.
 
-def fallback(part: Column) -> Column:
-    """One boundary struct over the whole request."""
-    missing = F.col("status") == "missing"
-    return F.struct(
-        (part * PART_INDEX).cast("long").alias("case_index"),
-        F.col("first_pos").alias("start_pos"), F.col("last_pos").alias("end_pos"),
+    Where no channel has `several` parts there is nothing beside a request. Else a scan over narrow rows counts, which
+    cuts a channel of very many parts into blocks.
+    """
+    ok = F.col("status") == "ok"
+    if not several:
+        return joined.withColumns({
+            "cases_before": F.lit(0).cast("long"), "answered": ok.cast("long"), "unasked": F.col("status") == "missing",
+            "asked_from": F.col("first_pos"), "asked_to": F.col("last_pos"),
+        })
+    narrow = joined.select(
+        "request_id", "channel_url", "part", "first_pos", "last_pos", F.coalesce(F.size("cases"), F.lit(1)).alias("_n"),
+        ok.cast("long").alias("_ok"), (F.col("status") != "missing").cast("long").alias("_replied"),
+    )
+    o = blocks.in_blocks(narrow, ["channel_url"], ["part", "request_id"])
+    rows = blocks.finish(blocks.scan(
+        o, _upto=Step("sum", F.col("_n")), answered=Step("total", F.col("_ok")), _replies=Step("total", F.col("_replied")),
+        asked_from=Step("least", F.col("first_pos")), _to=Step("least", -F.col("last_pos")),
+    ))
+    beside = rows.select(
+        "request_id", (F.col("_upto") - F.col("_n")).alias("cases_before"), "answered", (F.col("_replies") == 0).alias("unasked"),
+        "asked_from", (-F.col("_to")).alias("asked_to"),
+    )
+    return joined.join(beside, ["request_id"])
+
+
+def fallback() -> Column:
+    """Boundary structs of a request without usable reply.
+
+    Where no part of the channel has one, a single case takes the place of all parts; else one over the request.
+    """
+    alone = F.col("answered") == 0
+    missing = F.when(alone, F.col("unasked")).otherwise(F.col("status") == "missing")
+    case = F.struct(
+        F.when(alone, 0).otherwise(F.col("cases_before")).cast("long").alias("case_index"),
+        F.when(alone, F.col("asked_from")).otherwise(F.col("first_pos")).alias("start_pos"),
+        F.when(alone, F.col("asked_to")).otherwise(F.col("last_pos")).alias("end_pos"),
         F.when(missing, NO_REPLY_SUMMARY).otherwise(FAILED_SUMMARY).alias("summary"),
         F.when(missing, NO_REPLY_CONFIDENCE).otherwise(FAILED_CONFIDENCE).alias("confidence"),
     )
+    return F.when(alone & (F.col("first_pos") > F.col("asked_from")), F.slice(F.array(case), 1, 0)).otherwise(F.array(case))
+
+
+def _channel(joined: DataFrame) -> list[str]:
+    return [c for c in ("channel_url", "channel_messages", "channel_seq", "case_truncated") if c in joined.columns]
 
 
 def fallback_cases(joined: DataFrame) -> DataFrame:
-    """One case over the whole request where there is no usable reply."""
-    unusable = joined.where(F.col("status") != "ok")
-    return unusable.select("channel_url", "channel_messages", "channel_seq", F.inline(F.array(fallback(F.col("part")))))
+    """The cases of requests without usable reply."""
+    return joined.where(F.col("status") != "ok").select(*_channel(joined), F.inline(fallback()))
 
 
 def boundaries_of_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
     """All proposed boundaries of all requests, fallbacks included; not yet checked for their range.
 
-    One pass over the joined requests: each gives the list of its reply or its fallback.
+    Case numbers are dense in a channel over all its parts. `case_truncated` comes along if the requests have it.
     """
-    part = F.col("part")
-    listed = F.when(F.col("status") == "ok", proposals(part)).otherwise(F.array(fallback(part)))
     joined = join_replies(requests, replies)
-    return joined.select("channel_url", "channel_messages", "channel_seq", F.inline(listed))
+    listed = F.when(F.col("status") == "ok", proposals(F.col("cases_before"))).otherwise(fallback())
+    return joined.select(*_channel(joined), F.inline(listed))

@@ -1,6 +1,6 @@
 """The stages put together: clean, segment, review, classify."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from convocases.functions.text import parse_created_time
 from convocases.operators import cases as case_ops, classify, replies as reply_ops, segment
 from convocases.operators.blocks import Cuts
+from convocases.operators.channels import filter_channels
 from convocases.operators.messages import clean_messages, drop_untimed, message_cuts, message_positions
 from convocases.operators.review import review_loop
 from convocases.operators.segment import Rules
@@ -105,17 +106,21 @@ def run_pipeline(
     segmentation_replies: DataFrame | None = None, segmentation_requests: DataFrame | None = None,
     classification_replies: DataFrame | None = None, classification_requests: DataFrame | None = None,
     review: Callable[[DataFrame, int], DataFrame] | None = None, taxonomy: DataFrame | None = None,
-    rules: Rules = Rules(), classified_at: Column | None = None,
+    rules: Rules = Rules(), classified_at: Column | None = None, channels: DataFrame | Sequence[str] | None = None,
+    straighten: bool = False, drop: Sequence[str] = (), max_queue_size: int | None = None,
 ) -> Run:
     """The whole run. Without replies the deterministic rules segment and classify.
 
-    A skipped stage leaves its label column as it is, or adds an empty one. Skipping all is refused.
+    `channels` selects channels, `drop` message types to leave out, `max_queue_size` forces cuts in long cases. A
+    labelled table may run again: its case and category columns are overwritten. A skipped stage leaves its label column as it is, or adds an empty one. Skipping all is refused.
     Later stages read the cleaned and the segmented messages several times, a few columns at a time, so both
     are written as tables on the way, and so are the classifications.
     """
     if skip_clean and skip_segment and skip_classify:
         raise ValueError("all stages skipped")
-    messages = raw if skip_clean else checkpointed(clean_messages(raw))
+    messages = raw if skip_clean else checkpointed(clean_messages(raw, straighten, drop).drop("created_time_raw"))
+    if channels is not None:
+        messages = filter_channels(messages, channels)
     cases = classifications = None
     if skip_segment:
         if "case_number" not in messages.columns:
@@ -123,10 +128,11 @@ def run_pipeline(
     else:
         if dict(messages.dtypes)["created_time"] == "string":
             messages = messages.withColumn("created_time", parse_created_time(F.col("created_time")))
+        messages = messages.drop(*case_ops.CASE_DEFAULTS)
         untimed = messages.where(F.col("created_time").isNull())
         timed = drop_untimed(messages)
         if segmentation_replies is None:
-            done = segment_with_rules(timed, rules)
+            done = segment_with_rules(timed, rules, max_queue_size)
         else:
             done = segment_with_replies(timed, segmentation_replies, review, requests=segmentation_requests)
         labelled = done.messages.select(*messages.columns, *case_ops.CASE_DEFAULTS)

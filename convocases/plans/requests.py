@@ -150,27 +150,34 @@ def nullable(column: pd.Series, kind: str) -> pd.Series:
 
 
 def map_requests(
-    requests: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], concurrency: int | None = None
+    requests: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], concurrency: int | None = None, slice_rows: int = 100,
 ) -> DataFrame:
     """Reply table from a batch callable, run by `concurrency` tasks (default: as the requests are partitioned).
 
-    `fn` takes a batch of requests and returns rows with `request_id, content` and, as it likes, the other
-    reply columns. If it raises, or leaves a request out, that request gets an error row. Write or
-    checkpoint the result before reading it twice: each evaluation calls `fn` again.
+    `fn` takes up to `slice_rows` requests and returns rows with `request_id, content` and, as it likes, the other
+    reply columns. If it raises, its requests are asked again one at a time, so an error stays with the request that
+    causes it and what other slices returned is kept. A request that fails alone, or that `fn` leaves out, gets an
+    error row. Write or checkpoint the result before reading it twice: each evaluation calls `fn` again.
     """
     kinds = dict(part.split() for part in REPLY_SCHEMA.split(", "))
     names = list(kinds)
 
+    def ask(batch: pd.DataFrame) -> pd.DataFrame:
+        try:
+            answer = fn(batch).reindex(columns=names).drop_duplicates("request_id")
+        except Exception as problem:  # a failed call is a row, not a failed job
+            if len(batch) > 1:
+                return pd.concat([ask(batch.iloc[i:i + 1]) for i in range(len(batch))], ignore_index=True)
+            return batch[["request_id"]].reindex(columns=names).assign(error=f"{type(problem).__name__}: {problem}")
+        joined = batch[["request_id"]].merge(answer, on="request_id", how="left").astype({"error": object})
+        joined.loc[joined["content"].isna() & joined["error"].isna(), "error"] = "no reply"
+        return joined
+
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            asked = batch[["request_id"]]
-            try:
-                answer = fn(batch).reindex(columns=names).drop_duplicates("request_id")
-                joined = asked.merge(answer, on="request_id", how="left").astype({"error": object})
-                joined.loc[joined["content"].isna() & joined["error"].isna(), "error"] = "no reply"
-            except Exception as problem:  # a failed call is a row, not a failed job
-                joined = asked.reindex(columns=names).assign(error=f"{type(problem).__name__}: {problem}")
-            yield pd.DataFrame({n: nullable(joined[n], kind) for n, kind in kinds.items()})
+            for at in range(0, len(batch), slice_rows):
+                joined = ask(batch.iloc[at:at + slice_rows])
+                yield pd.DataFrame({n: nullable(joined[n], kind) for n, kind in kinds.items()})
 
     dealt = requests.repartition(concurrency, "request_id") if concurrency else requests
     return dealt.mapInPandas(call, REPLY_SCHEMA)

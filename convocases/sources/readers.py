@@ -1,17 +1,34 @@
 """Message sources: chat exports as CSV, or any table."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from convocases.operators.messages import rename_source_columns
+from convocases.operators.messages import MALFORMED, rename_source_columns
+
 
-MALFORMED = "_malformed"
+def with_ingest_seq(df: DataFrame) -> DataFrame:
+    """`ingest_seq` in the order of file paths, and of rows inside a file, however files are packed into partitions.
+
+    A number is the rank of the file, then the byte at which the row's split starts plus the rows read before it in its
+    task, which are fewer than the bytes of a split. It reads nothing ahead; the ranks come from the listing the driver
+    has. Sources without files are numbered as they are read.
+    """
+    files = sorted({re.sub(":/+", ":/", f, count=1) for f in df.inputFiles()})
+    if not files:
+        return df.withColumn("ingest_seq", F.monotonically_increasing_id())
+    in_task = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    rows = df.select("*", F.regexp_replace("_metadata.file_path", "^([^/]*):/+", "$1:/").alias("_file"), (F.col("_metadata.file_block_start") + in_task).alias("_place"))
+    ranks = df.sparkSession.createDataFrame(list(zip(files, range(len(files)))), "_file string, _rank long")
+    rows = rows.join(F.broadcast(ranks), ["_file"], "left")  # one row for each file of the listing
+    return rows.withColumn("ingest_seq", F.col("_rank") * (1 << 42) + F.col("_place")).select(*df.columns, "ingest_seq")
 
 
 def read_messages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Header CSV, all columns as text. Short and long rows are kept with their line in `_malformed`.
 
     `multi_line` allows line breaks in quoted cells but keeps Spark from splitting a file; set it to False
-    for exports without them, or convert to parquet once. `ingest_seq` follows file order.
+    for exports without them, or convert to parquet once. `ingest_seq` follows the order of file names.
     """
     options = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
     names = spark.read.options(**options).option("multiLine", multi_line).csv(path).columns
@@ -20,8 +37,7 @@ def read_messages(spark: SparkSession, path: str, multi_line: bool = True) -> Da
         path, schema=schema, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED,
         enforceSchema=True,
     )
-    rows = rows.na.fill("", names).withColumn("ingest_seq", F.monotonically_increasing_id())
-    return rename_source_columns(rows)
+    return rename_source_columns(with_ingest_seq(rows).na.fill("", names))
 
 
 def load_raw_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -29,9 +45,7 @@ def load_raw_table(spark: SparkSession, path: str, fmt: str = "parquet", **optio
     `review` (empty) and `ingest_seq` (by file order).
     """
     df = spark.read.format(fmt).options(**options).load(path)
-    df = rename_source_columns(df)
+    df = rename_source_columns(df if "ingest_seq" in df.columns else with_ingest_seq(df))
     if "channel_url" not in df.columns:
         raise ValueError("the table has no channel column")
-    if "ingest_seq" not in df.columns:
-        df = df.withColumn("ingest_seq", F.monotonically_increasing_id())
     return df if "review" in df.columns else df.withColumn("review", F.lit(""))

@@ -104,3 +104,21 @@ def test_hot_keys_are_dealt_out(spark):
     left = spark.range(900).selectExpr("if(id % 3 = 0, 'hot', 'k' || id) as k", "id")
     hot = blocks.hot_keys(left, ["k"], hot_rows=50)
     assert [(r["k"], r["_shares"]) for r in hot] == [("hot", 7)]
+
+
+def test_a_null_group_is_cut_and_counted(spark):
+    rows = spark.range(2000).selectExpr("if(id % 4 = 0, 'a', null) as g", "id as t", "id as v")
+    o = blocks.in_blocks(rows, ["g"], ["t"], rows_per_block=64)
+    assert o.null_keys and o.rows.where("g is null").select(blocks.BLOCK).distinct().count() > 10
+    found = blocks.finish(blocks.scan(o, n=Step("row_number"), s=Step("sum", F.col("v")))).orderBy("t").collect()
+    seen = {None: (0, 0), "a": (0, 0)}
+    for r in found:
+        n, s = seen[r.g]
+        seen[r.g] = (n + 1, s + r.v)
+        assert (r.n, r.s) == seen[r.g]
+
+
+def test_hot_join_on_rows_with_a_map(spark):
+    left = spark.range(3000).selectExpr("if(id < 2500, 'hot', string(id)) as k", "id", "map('a', string(id)) as m")
+    right = spark.createDataFrame([("hot",), ("2999",)], "k string")
+    assert blocks.join_spread(left, right, ["k"], "left_semi", hot_rows=200).count() == 2501

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from convocases.operators import stats
+from convocases.operators import replies, stats
 from convocases.operators.messages import message_cuts
 from convocases.operators.taxonomy import taxonomy_table
 from convocases.plans import pipeline, requests
@@ -145,3 +145,58 @@ def test_review_requests_of_a_case_beyond_a_block(spark, chat, monkeypatch):
     cut = requests.review_requests(bounds, positioned, budget=150).select("request_id", "prompt", "first_pos", "last_pos").collect()
     assert sorted(map(tuple, whole)) == sorted(map(tuple, cut)) and len(whole) > 5
     assert sum(r.prompt.count("<message id=") for r in cut) == 40
+
+
+def test_parts_of_a_channel_do_not_change_its_cases(spark, chat):
+    """Case numbers are dense over the parts; without any usable reply a channel is one case at every budget."""
+    rows = chat([("a", i, "some words in a message") for i in range(30)])
+    empty = spark.createDataFrame([], requests.REPLY_SCHEMA)
+    for budget in (10_000, 200):
+        asked = requests.segmentation_requests(rows, budget=budget)
+        cases = pipeline.segment_with_replies(rows, empty, requests=asked).cases.collect()
+        assert [(c.start_pos, c.end_pos, c.confidence, c.case_number) for c in cases] == [(1, 30, 0.3, "CASE_0001")]
+    parts = {r.part: r for r in asked.collect()}
+    assert len(parts) > 2
+    first = '{"complete_cases": [' + ", ".join(
+        f'{{"start_message": {i}, "end_message": {i}, "summary": "s", "confidence": 0.5}}' for i in (1, 2)) + "]}"
+    answered = spark.createDataFrame(
+        [(parts[0].request_id, first, None), (parts[1].request_id, None, "timeout")], "request_id string, content string, error string")
+    found = replies.boundaries_of_replies(asked, answered).orderBy("case_index").collect()
+    assert [c.case_index for c in found] == list(range(2 + len(parts) - 1))
+    assert [(c.start_pos, c.end_pos) for c in found[2:]] == [(parts[p].first_pos, parts[p].last_pos) for p in sorted(parts)[1:]]
+    assert [c.confidence for c in found[2:]] == [0.1] + [0.3] * (len(parts) - 2)
+
+
+def test_truncation_shows_on_the_rows(spark, chat):
+    rows = chat([("a", i, "some words in a message") for i in range(30)] + [("b", 0, "x")])
+    asked = requests.segmentation_requests(rows, overflow="truncate", budget=200)
+    done = pipeline.segment_with_replies(rows, spark.createDataFrame([], requests.REPLY_SCHEMA), requests=asked).messages
+    flags = {(r.channel_url, r.case_number != "", r.case_truncated) for r in done.collect()}
+    assert flags == {("a", True, True), ("a", False, False), ("b", True, False)}
+
+
+def test_an_error_stays_with_its_request(spark):
+    asked = spark.range(500, numPartitions=2).selectExpr("'r' || id as request_id", "'p' as prompt")
+
+    def fn(batch):
+        if (batch["request_id"] == "r77").any():
+            raise ValueError("no")
+        return batch[["request_id"]].assign(content="fine")
+
+    rows = requests.map_requests(asked, fn).collect()
+    assert len(rows) == 500 and [(r.request_id, r.error) for r in rows if r.error] == [("r77", "ValueError: no")]
+
+
+def test_run_on_a_labelled_table_and_without_columns(spark):
+    raw = spark.createDataFrame(
+        [("2024-01-01T10:00:00Z", "m1", "c1", "hello", None, 1), ("2024-01-01T10:01:00Z", "m2", "c1", "Order #1", None, 2),
+         ("bad", "m3", "c2", "x", None, 3), ("2024-01-01T10:02:00Z", "m4", "c2", "x", "a,b,c,d", 4)],
+        "`Created Time` string, `Message ID` string, `Channel URL` string, Message string, _malformed string, ingest_seq long")
+    run = pipeline.run_pipeline(raw)
+    first = run.messages
+    assert "_malformed" not in first.columns and "created_time_raw" not in first.columns and first.count() == 3
+    again = pipeline.run_pipeline(first, skip_clean=True).messages
+    assert sorted(again.columns) == sorted(first.columns)
+    names = ["message_id", "case_number", "case_summary", "category"]
+    assert sorted(map(tuple, again.select(*names).collect())) == sorted(map(tuple, first.select(*names).collect()))
+    assert {r.channel_url for r in pipeline.run_pipeline(raw, skip_classify=True, channels=["c1"]).messages.collect()} == {"c1"}

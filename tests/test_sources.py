@@ -76,3 +76,14 @@ def test_long_cases_continue_in_further_objects(spark, chat):
     assert [len(o["messages"]) for o in objects] == [10, 10, 5]
     assert [x["message"] for o in objects for x in o["messages"]] == [f"text {i}" for i in range(25)]
     assert objects[0]["participants"] == ["u1"]
+
+
+def test_ingest_seq_follows_file_names_not_sizes(spark, tmp_path):
+    """The file that sorts last is the largest, so Spark packs it first."""
+    for name, n in (("a 1.csv", 3), ("b.csv", 5), ("c.csv", 4000)):
+        rows = "".join(f"2024-01-01T10:00:00Z,u1,text,{name[0]}{i:05d},MESG,c1,user,x\n" for i in range(n))
+        (tmp_path / name).write_text(HEADER + rows, encoding="utf-8")
+    for multi_line in (True, False):
+        rows = readers.read_messages(spark, str(tmp_path), multi_line).orderBy("ingest_seq").collect()
+        assert [r.message_id for r in rows] == sorted(r.message_id for r in rows) and len(rows) == 4008
+        assert len({r.ingest_seq for r in rows}) == 4008
