@@ -16,6 +16,10 @@ HASHES, ROWS = 160, 5
 #: Four standard deviations of the share of equal minima at a similarity of 0.8: less than that below it is no proof.
 SLACK = 4 * (0.8 * 0.2 / HASHES) ** 0.5
 
+#: Bits of the sketch that the last round compares, one for each of as many hashes, and four deviations of theirs.
+BITS = 2048
+BIT_SLACK = 4 * 2 * (0.9 * 0.1 / BITS) ** 0.5
+
 #: Rounds in which the members of a bucket are held against one of them, before all pairs between components are.
 STAR_ROUNDS = 2
 
@@ -158,8 +162,27 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _agreeing(floor: int) -> Column:
-    return F.expr(f"aggregate(zip_with(x, y, (p, q) -> if(p = q, 1, 0)), 0, (s, p) -> s + p) >= {floor}")
+def _sketches(sets: DataFrame) -> DataFrame:
+    """id, bits (array of 64-bit numbers), bands: one bit of each of BITS further minima, and the keys of the bands."""
+    seeds = np.random.default_rng(21).integers(0, 2**63, (2, BITS), dtype=np.uint64) * np.uint64(2) + np.array([[1], [0]], np.uint64)
+
+    def sketch(x: np.ndarray) -> np.ndarray:
+        least = [(x * seeds[0, i:i + 64, None] + seeds[1, i:i + 64, None]).min(axis=1) for i in range(0, BITS, 64)]
+        return np.packbits((np.concatenate(least) >> np.uint64(23) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = [np.frombuffer(x, np.uint64) for x in batch["shingles"]]
+            if own:
+                yield pd.DataFrame({"id": batch["id"], "bits": [sketch(x) for x in own], "bands": list(band_keys(minima(own)))})
+
+    return sets.mapInPandas(run, "id long, bits array<long>, bands array<long>")
+
+
+def _agreeing(percent: int) -> Column:
+    """Whether the sketches x and y may belong to sets that similar: sets of similarity s agree in (1 + s) / 2 of the bits."""
+    most = int(BITS * (1 - (percent / 100 - BIT_SLACK)) / 2)
+    return F.expr(f"aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d) <= {most}")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_rounds: int = STAR_ROUNDS) -> DataFrame:
@@ -167,10 +190,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
 
     Documents are linked where their sets of word shingles have at least `percent` of their union in common, and a
     component is what links connect; its smallest doc_id stays. Documents with the same set form a class, represented
-    by its smallest doc_id, and only representatives go on. Those that share a band are candidates. In the first rounds
-    each member of a bucket is held against one member, another one each round; once a bucket lies in one component it
-    is done. In the buckets that remain, all pairs between different components are held against each other, first by
-    signature and then by set, so no link between candidates is lost, and within a group of copies no pairs are made.
+    by its smallest doc_id, and only representatives go on. Those that share a band are candidates. In the first round
+    each member of a bucket is held against the one that shares buckets with most others, as an original does with its
+    copies; in further rounds against any other. Once a bucket lies in one component it is done. In the buckets that
+    remain, all pairs between different components are held against each other, by sketches of some thousand bits and
+    then by set, so no link between candidates is lost, and within a group of copies no pairs are made.
 
     Texts are in lower case (A-Z), words lie between white space; with fewer words than a shingle the whole sequence is
     one. Shingles are compared by 64-bit hashes. Without words or text the set is empty and linked with nothing. Rows
@@ -182,11 +206,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
     classes = checkpointed(classes)
     known = signed.select(F.col("doc_id").alias("id"), "signature", "digest").join(classes, ["id", "digest"]).select("id", "signature")
     known = checkpointed(known.dropDuplicates(["id"]))
-    shared = _buckets(known).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    buckets = checkpointed(_buckets(known).join(shared, "key"))
-    members = checkpointed(buckets.select("id").distinct())
-    sets = checkpointed(_sets(docs, members, size).dropDuplicates(["id"]))
-    known = checkpointed(known.join(members, "id"))
+    shared = _buckets(known).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    in_buckets = checkpointed(_buckets(known).join(shared, "key"))
+    members = checkpointed(in_buckets.groupBy("id").agg(F.sum("n").alias("meets")))
+    buckets = checkpointed(in_buckets.drop("n").join(members, "id"))
+    sets = checkpointed(_sets(docs, members.select("id"), size).dropDuplicates(["id"]))
+    known = checkpointed(known.join(members.select("id"), "id"))
 
     spark = docs.sparkSession
     found = spark.createDataFrame([], "id long, component long")
@@ -210,20 +235,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
         left = open_buckets(found)
         if left.isEmpty():
             break
-        hub = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), "id", "component")).alias("hub")
+        order = F.xxhash64("id", "key", F.lit(turn)) if turn else -F.col("meets")
+        hub = F.min(F.struct(order.alias("order"), "id", "component")).alias("hub")
         hubs = left.groupBy("key").agg(hub).select("key", F.col("hub.id").alias("b"), F.col("hub.component").alias("hub_component"))
         take(left.join(hubs, "key").where("component <> hub_component").select(F.col("id").alias("a"), "b"))
     left = open_buckets(found)
     if not left.isEmpty():
-        def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                yield pd.DataFrame({"id": batch["id"], "numbers": [np.frombuffer(s, np.int32) for s in batch["signature"]]})
-
-        spread = left.join(known.mapInPandas(numbers, "id long, numbers array<int>"), "id")
-        one = spread.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("numbers").alias("x"))
-        two = spread.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("numbers").alias("y"))
-        floor = int((percent / 100 - SLACK) * HASHES)
-        take(one.join(two, (one["key"] == two["key"]) & (F.col("ca") < F.col("cb")) & _agreeing(floor)).select("a", "b"))
+        sketches = checkpointed(_sketches(sets.join(left.select("id").distinct(), "id")))
+        spread = left.join(sketches, "id")
+        one = spread.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("bits").alias("x"), F.col("bands").alias("v"))
+        two = spread.select(F.col("key").alias("other"), F.col("id").alias("b"), F.col("component").alias("cb"), F.col("bits").alias("y"), F.col("bands").alias("w"))
+        once = F.expr("key = array_min(array_intersect(v, w))")  # a pair may share many buckets
+        take(one.join(two, (F.col("key") == F.col("other")) & (F.col("ca") < F.col("cb")) & _agreeing(percent) & once).select("a", "b"))
 
     home = classes.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     return signed.select("doc_id", "n_shingles", "digest").join(home, "digest", "left").select(
