@@ -1,6 +1,5 @@
 """Repeated byte strings: deep-shallow sorting of the suffixes that share an anchor."""
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -259,25 +258,44 @@ def _runs(rows: DataFrame, size: int, anchor: int, with_place: bool) -> DataFram
     return needed.mapInPandas(run, kinds)
 
 
+def _places(lengths: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pieces laid end to end: for each window its piece, its number in it, and its place in the whole."""
+    of = np.repeat(np.arange(len(count)), count)
+    offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return of, offset, np.repeat(np.cumsum(lengths) - lengths, count) + offset
+
+
+def _windows(pieces: pd.DataFrame, size: int) -> pd.DataFrame:
+    """One row for each window of the pieces, with a hash of its content instead of its bytes."""
+    count, mark = np.divmod(pieces["shape"].to_numpy().astype(np.int64), 1024)
+    of, offset, start = _places(count - 1 + size, count)
+    words = _words(b"".join(pieces["piece"]) + bytes(size + 16), "<")
+    content = np.zeros(len(of), np.uint64)
+    for k in range(0, size, 8):
+        content = (content ^ words[start + k]) * _P
+        content ^= content >> np.uint64(31)
+    whole = pieces.drop(columns="piece").iloc[of].reset_index(drop=True)
+    return whole.assign(
+        content=pd.array(content.view(np.int64), "Int64"), piece=None, first=(whole["first"] + offset).astype("int32"),
+        shape=(1024 + mark[of] - offset).astype(np.int32))
+
+
 def _pieces(texts: DataFrame, size: int) -> DataFrame:
     """For each wanted run of a document the bytes of its windows; windows of hot keys one by one, by their content."""
+    names = ["key", "content", "piece", "doc_id", "tag", "first", "shape", "sure"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows: dict[bool, list[tuple]] = {True: [], False: []}
             for doc_id, tag, data, wanted in zip(batch["doc_id"], batch["tag"], batch["data"], batch["wanted"]):
-                rows = []
                 for w in wanted:
-                    key, first, shape, sure, hot = w["key"], w["first"], w["shape"], w["sure"], w["hot"]
-                    count, mark = divmod(shape, 1024)
-                    if hot:
-                        for k in range(count):
-                            window = data[first + k:first + k + size]
-                            by = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                            rows.append((key, by, None, doc_id, tag, first + k, 1024 + mark - k, sure))
-                    else:
-                        rows.append((key, None, data[first:first + count - 1 + size], doc_id, tag, first, shape, sure))
-                for at in range(0, len(rows), 2_000):
-                    out = pd.DataFrame(rows[at:at + 2_000], columns=["key", "content", "piece", "doc_id", "tag", "first", "shape", "sure"])
-                    yield out.astype({"content": "Int64"})
+                    first, shape = w["first"], w["shape"]
+                    piece = data[first:first + shape // 1024 - 1 + size]
+                    rows[w["hot"]].append((w["key"], None, piece, doc_id, tag, first, shape, w["sure"]))
+            for hot, own in rows.items():
+                for at in range(0, len(own), 2_000):
+                    out = pd.DataFrame(own[at:at + 2_000], columns=names).astype({"content": "Int64", "first": "int32", "shape": "int32"})
+                    yield _windows(out, size)[names] if hot else out
 
     return texts.mapInPandas(run, f"key long, content long, piece binary, {_WHO}, first int, shape int, sure boolean")
 
@@ -288,13 +306,9 @@ def _sorted_repeats(pieces: DataFrame, size: int) -> DataFrame:
     Keys come sorted, so a task holds the contexts of some keys at a time, not its whole partition.
     """
     def stretch(batch: pd.DataFrame) -> pd.DataFrame:
-        shape = batch["shape"].to_numpy().astype(np.int64)
-        count, mark = shape // 1024, shape % 1024
-        lengths = count - 1 + size
+        count, mark = np.divmod(batch["shape"].to_numpy().astype(np.int64), 1024)
         buffer = b"".join(batch["piece"]) + bytes(size + 16)
-        of = np.repeat(np.arange(len(batch)), count)
-        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        starts = np.repeat(np.cumsum(lengths) - lengths, count) + offset
+        of, offset, starts = _places(count - 1 + size, count)
         _, group = np.unique(batch["key"].to_numpy(), return_inverse=True)
         _, repeated = deep_shallow(buffer, starts, group[of] * 1024 + mark[of] - offset, size)
         of, offset = of[repeated], offset[repeated]
