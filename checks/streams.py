@@ -16,6 +16,19 @@ def as_stream(spark, df, files: int = 1, per_batch: int = 1):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
+def in_time_order(spark, df, batches: int):
+    """The timed rows as a feed of micro-batches, cut at times; a batch is written after the one before."""
+    df = df.where("created_time is not null")
+    path = new_path(spark, "feed")
+    shares = [i / batches for i in range(1, batches)]
+    times = [None, *df.select(F.unix_micros("created_time").alias("t")).approxQuantile("t", shares, 0.01), None]
+    for low, high in zip(times, times[1:]):
+        rows = df if low is None else df.where(F.unix_micros("created_time") >= int(low))
+        rows = rows if high is None else rows.where(F.unix_micros("created_time") < int(high))
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def finish(spark, writer) -> None:
     writer = writer.option("checkpointLocation", new_path(spark, "progress")).trigger(availableNow=True)
     writer.start().awaitTermination()
@@ -60,11 +73,11 @@ pieces AS (SELECT m.channel_url, g.s, (m.pos - first_pos) // 3 AS piece, min(m.p
   max(created_time) AS end_time, count(*) AS n_messages, any_value(len) AS len, any_value(confidence) AS confidence
   FROM m2_seg m JOIN segs g ON m.channel_url = g.channel_url AND m.case_index = g.s GROUP BY 1, 2, 3)
 SELECT channel_url, case_index, start_pos, end_pos, start_time, end_time, n_messages, confidence, forced_starting, forced_ending FROM (
-  SELECT *, row_number() OVER (PARTITION BY channel_url ORDER BY start_pos) - 1 AS case_index, row_number() OVER (PARTITION BY channel_url ORDER BY start_pos DESC) AS back,
-    piece > 0 AS forced_starting, (piece + 1) * 3 < len AS forced_ending FROM pieces) WHERE back > 1""", "m2_seg"))
+  SELECT *, row_number() OVER (PARTITION BY channel_url ORDER BY start_pos) - 1 AS case_index,
+    piece > 0 AS forced_starting, (piece + 1) * 3 < len AS forced_ending FROM pieces)""", "m2_seg"))
 def stream_sliding_queue(spark, sf):
-    """Finished cases of the event stream; the last case of each user stays open."""
+    """All cases of the event stream, which comes in four micro-batches; at its end every channel counts as idle."""
     folder = new_path(spark, "queue")
-    writer = live.stream_sliding_queue(as_stream(spark, a.m2(spark, sf)), folder, b.M2_RULES, 3)
+    writer = live.stream_sliding_queue(in_time_order(spark, a.m2(spark, sf), 4), folder, b.M2_RULES, 3)
     finish(spark, writer)
-    return live.finished_cases(spark, folder)
+    return live.finished_cases(spark, folder, idle="0 seconds")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from convocases.functions import text
 from convocases.operators import blocks
 from convocases.operators.blocks import ROWS_PER_BLOCK, Step, join_spread
+from convocases.sources.scratch import checkpointed
 
 CASE = ["channel_url", "case_index"]
 PIECE, BUCKET = 65_536, 64
@@ -119,10 +120,23 @@ def cases_of_boundaries(boundaries: DataFrame, positioned: DataFrame) -> DataFra
 
 
 def number_cases(cases: DataFrame, rows_per_block: int = CASES_PER_BLOCK) -> DataFrame:
-    """`CASE_0001`... over all channels in ingest order, then by case index; dense and without gaps."""
-    o = blocks.in_blocks(cases, [], NUMBER_ORDER, rows_per_block=rows_per_block)
-    numbered = blocks.finish(blocks.scan(o, _n=Step("row_number")))
-    return numbered.withColumn("case_number", text.case_id(F.col("_n"))).drop("_n")
+    """`CASE_0001`... over all channels in ingest order, then by case index; dense and without gaps.
+
+    The cases are dealt into ranges of the order, as many as their number asks for, and written once with the number of
+    their range; a case's number is its place in the range and the sizes of the ranges before. So a task never holds
+    more than a range, and there is no limit to their number.
+    """
+    ranges = max(1, -(-cases.count() // rows_per_block))
+    placed = cases.withColumn("_range", F.lit(0))
+    if ranges > 1:
+        dealt = cases.repartitionByRange(ranges, *NUMBER_ORDER)
+        placed = checkpointed(dealt.withColumn("_range", F.spark_partition_id()))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    before = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*NUMBER_ORDER))
+    numbered = placed.withColumn("_n", place).join(F.broadcast(before), ["_range"])
+    return numbered.withColumn("case_number", text.case_id(F.col("_n") + F.col("_before"))).drop("_n", "_before", "_range")
 
 
 def case_order(number: Column) -> Column:

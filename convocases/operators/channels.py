@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from convocases.operators.blocks import join_spread
+from convocases.operators.blocks import ROWS_PER_BLOCK, join_spread
 
 # Limits of the size bands and the number of candidates for the largest one.
 MANY_ABOVE, MEDIUM_FROM, TOP_CHANNELS = 50, 10, 5
@@ -58,13 +58,14 @@ def representative_channels(counts: DataFrame, seed: int = 0, by_rank: bool = Fa
 
 
 def filter_channels(
-    messages: DataFrame, channels: DataFrame | Sequence[str], empty_selection: str = "all"
+    messages: DataFrame, channels: DataFrame | Sequence[str], empty_selection: str = "all",
+    broadcast_channels: int = BROADCAST_CHANNELS, hot_rows: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Keep the rows of the listed channels (a list, or a table with `channel_url`).
 
     An empty selection keeps every row, or none with `empty_selection='none'`. A table of up to
-    `BROADCAST_CHANNELS` channels is broadcast, so the messages do not move; a longer one is joined with hot
-    channels dealt out.
+    `broadcast_channels` channels is broadcast, so the messages do not move; a longer one is joined with channels of
+    `hot_rows` rows or more dealt out.
     """
     if not isinstance(channels, DataFrame):
         wanted = list(channels)
@@ -74,9 +75,9 @@ def filter_channels(
     if empty_selection == "all" and channels.isEmpty():
         return messages
     wanted = channels.select("channel_url").distinct()
-    if wanted.limit(BROADCAST_CHANNELS + 1).count() <= BROADCAST_CHANNELS:
+    if wanted.limit(broadcast_channels + 1).count() <= broadcast_channels:
         return messages.join(F.broadcast(wanted), ["channel_url"], "left_semi")
-    return join_spread(messages, wanted, ["channel_url"], "left_semi")
+    return join_spread(messages, wanted, ["channel_url"], "left_semi", hot_rows=hot_rows)
 
 
 def missing_channels(messages: DataFrame, channels: DataFrame) -> DataFrame:

@@ -129,7 +129,18 @@ def stream_sliding_queue(
     return messages.writeStream.foreachBatch(step)
 
 
-def finished_cases(spark: SparkSession, folder: str) -> DataFrame:
-    """Cases that the batches under `folder` have finished."""
+def finished_cases(spark: SparkSession, folder: str, idle: str | None = None) -> DataFrame:
+    """Cases that the batches under `folder` have finished.
+
+    With `idle`, an interval, also the open cases of the last batch whose channel has been silent for so long, counted
+    to the newest message of all channels: "0 seconds" gives every case of a feed that has ended. A message that comes
+    later may still prolong such a case.
+    """
     schema = OPEN_CASE + ", forced_ending boolean, n_messages long, open boolean, batch long"
-    return spark.read.schema(schema).parquet(folder).where("not open").drop("open", "batch", "segment_start", "ref")
+    cases = spark.read.schema(schema).parquet(folder)
+    done = F.col("open") == F.lit(False)
+    if idle is not None:
+        last, newest = cases.agg(F.max("batch"), F.max("end_time")).first()
+        silent = F.col("end_time") <= F.lit(newest) - F.expr(f"interval {idle}")
+        done = done | (F.col("open") & (F.col("batch") == last) & silent)
+    return cases.where(done).drop("open", "batch", "segment_start", "ref")
