@@ -30,7 +30,9 @@ def once(fn):
 
 def written(base):
     """The tables of a base, each written once."""
-    return base._make(map(checkpointed, base)) if isinstance(base, tuple) else checkpointed(base)
+    if isinstance(base, tuple):
+        return base._make(None if df is None else checkpointed(df) for df in base)
+    return checkpointed(base)
 
 
 def at():

@@ -102,3 +102,23 @@ SELECT 'segment:' || channel_url || ':0' AS request_id, channel_url LIKE '%\\_7'
 def map_requests_one_raises(spark, sf):
     replies = requests.map_requests(b.m1_requests(spark, sf), brittle, concurrency=2)
     return replies.select("request_id", (F.col("error") == "ValueError: no").isNotNull().alias("failed"))
+
+
+@query("channel_stats_reviewed", sql("""
+, per AS (SELECT channel_url, any_value(v) AS v, count(*) AS reviewed FROM r2 GROUP BY 1),
+found AS (SELECT channel_url, count(*) AS k, sum(confidence::DOUBLE) AS cs FROM refined GROUP BY 1)
+SELECT channel_url, n AS total_messages, coalesce(k, 0) AS cases_found,
+  CASE WHEN status IN ('missing', 'error') THEN 0 ELSE input_tokens END::BIGINT AS input_tokens,
+  CASE WHEN status IN ('missing', 'error') THEN 0 ELSE output_tokens END::BIGINT AS output_tokens,
+  CASE WHEN status IN ('missing', 'error') THEN 0 ELSE 1 END::BIGINT AS calls,
+  CASE WHEN status IN ('missing', 'error') THEN 0 ELSE seconds END::DOUBLE AS seconds,
+  round(coalesce(cs, 0), 6) AS confidence_sum, CASE WHEN per.v IN (1, 2, 5, 6) THEN 1 ELSE 0 END::BIGINT AS review_iterations,
+  CASE WHEN per.v IN (1, 2, 5, 6) THEN reviewed ELSE 0 END::BIGINT AS cases_reviewed, CASE WHEN per.v IN (1, 2, 5, 6) THEN reviewed ELSE 0 END::BIGINT AS cases_split
+FROM r1 LEFT JOIN found USING (channel_url) LEFT JOIN per USING (channel_url)""", "r1", "r2", "refined"))
+def channel_stats_reviewed(spark, sf):
+    """Statistics of a run with a review: its counters reach every channel."""
+    replies = a.r1_replies(spark, sf)
+    run = pipeline.run_pipeline(
+        a.m1(spark, sf), skip_clean=True, skip_classify=True, segmentation_replies=replies, segmentation_requests=b.m1_requests(spark, sf),
+        review=a.r2_replies)
+    return pipeline.results(run, replies).channels

@@ -6,9 +6,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from convocases.functions.text import parse_created_time
-from convocases.operators import cases as case_ops, classify, replies as reply_ops, segment
+from convocases.operators import cases as case_ops, classify, replies as reply_ops, reports, segment, stats
 from convocases.operators.blocks import Cuts
-from convocases.operators.channels import filter_channels
+from convocases.operators.channels import channel_counts, filter_channels
 from convocases.operators.messages import clean_messages, drop_untimed, message_cuts, message_positions
 from convocases.operators.review import review_loop
 from convocases.operators.segment import Rules
@@ -20,12 +20,21 @@ from convocases.sources.scratch import checkpointed
 class Segmented(NamedTuple):
     messages: DataFrame
     cases: DataFrame
+    reviews: DataFrame | None = None  # counters per channel, if there was a review
 
 
 class Run(NamedTuple):
     messages: DataFrame
     cases: DataFrame | None
     classifications: DataFrame | None
+    reviews: DataFrame | None = None
+
+
+class Results(NamedTuple):
+    channels: DataFrame
+    totals: DataFrame
+    segmentation: DataFrame
+    classification: DataFrame | None
 
 
 def segmented_rows(
@@ -74,9 +83,10 @@ def segment_with_replies(
     positioned = checkpointed(places.select("channel_url", "message_id", "pos", "created_time", "sender_id"))
     requests = request_ops.segmentation_requests(messages, cuts) if requests is None else requests
     boundaries = reply_ops.valid_ranges(reply_ops.boundaries_of_replies(requests, replies))
+    reviews = None
     if review is not None:
-        boundaries, _ = review_loop(boundaries, review)
-    return segment_with_boundaries(messages, boundaries, positioned)
+        boundaries, reviews = review_loop(boundaries, review)
+    return segment_with_boundaries(messages, boundaries, positioned)._replace(reviews=reviews)
 
 
 def classify_with_replies(
@@ -118,6 +128,7 @@ def run_pipeline(
     """
     if skip_clean and skip_segment and skip_classify:
         raise ValueError("all stages skipped")
+    reviews = None
     messages = raw if skip_clean else checkpointed(clean_messages(raw, straighten, drop).drop("created_time_raw"))
     if channels is not None:
         messages = filter_channels(messages, channels)
@@ -137,6 +148,7 @@ def run_pipeline(
             done = segment_with_replies(timed, segmentation_replies, review, requests=segmentation_requests)
         labelled = done.messages.select(*messages.columns, *case_ops.CASE_DEFAULTS)
         messages, cases = labelled.unionByName(case_ops.with_case_defaults(untimed)), done.cases
+        reviews = done.reviews
     if skip_classify:
         if "category" not in messages.columns:
             messages = messages.withColumn("category", F.lit(""))
@@ -152,6 +164,23 @@ def run_pipeline(
             found = classify.classifications_of_replies(asked, classification_replies, taxonomy, classified_at)
         classifications = checkpointed(found)
         messages = classify.assign_categories(messages, classifications)
-    return Run(messages, cases, classifications)
+    return Run(messages, cases, classifications, reviews)
+
+
+def results(run: Run, replies: DataFrame | None = None) -> Results:
+    """Statistics per channel and in all, and both reports, of a run that segmented.
+
+    `replies` are all replies that were paid for, those of reviews too: `channel_url`, the columns of their costs, and
+    `error`. Review counters come from the run.
+    """
+    if run.cases is None:
+        raise ValueError("the run did not segment")
+    if replies is None:
+        replies = run.messages.sparkSession.createDataFrame([], "channel_url string, " + request_ops.REPLY_SCHEMA)
+    channels = checkpointed(stats.channel_stats(channel_counts(run.messages), run.cases, replies, run.reviews))
+    return Results(
+        channels, stats.total_stats(channels), reports.segmentation_report(run.cases, channels),
+        None if run.classifications is None else reports.classification_report(run.classifications),
+    )
 
 
