@@ -6,6 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,7 +22,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Removes what this application has written to the shared folder so far, and gives the number of tables and files.
+
+    Call it when results are written elsewhere: frames that still read from the folder fail afterwards.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
