@@ -89,7 +89,7 @@ URL_RULES = (
     SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
     FROM parts p LEFT JOIN hits h ON p.page_id = h.page_id AND nth = 1""")
 def url_filters(spark: SparkSession, sf: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.sql("VALUES " + ", ".join(map(str, URL_RULES))).toDF("host", "path", "verdict")
     return urls.judge_urls(table(spark, sf, "pages"), rules)
 
 
