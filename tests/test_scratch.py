@@ -7,13 +7,9 @@ from convocases.sources import scratch
 
 def test_what_was_written_is_removed(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(scratch, "_written", {})
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        kept = tmp_path / "other"
-        kept.mkdir()
-        df = scratch.checkpointed(spark.range(5))
-        assert df.count() == 5 and len(os.listdir(tmp_path)) == 2
-        assert scratch.remove_scratch(spark) == 1 and os.listdir(tmp_path) == ["other"]
-        assert scratch.remove_scratch(spark) == 0
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    monkeypatch.setattr(scratch, "shared_folder", lambda session: f"file://{tmp_path}")
+    (tmp_path / "other").mkdir()
+    df = scratch.checkpointed(spark.range(5))
+    assert df.count() == 5 and len(os.listdir(tmp_path)) == 2
+    assert scratch.remove_scratch(spark) == 1 and os.listdir(tmp_path) == ["other"]
+    assert scratch.remove_scratch(spark) == 0
