@@ -16,7 +16,7 @@ _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0d
 _NEVER = np.int32(2**31 - 1)
 
 #: Most chunks of text whose ids a worker remembers, the longest it remembers, and the text it works on at once.
-REMEMBERED, LONGEST, AT_ONCE = 800_000, 64, 4_000_000
+REMEMBERED, LONGEST, AT_ONCE = 500_000, 64, 2_000_000
 
 
 class BytePairs:
@@ -29,17 +29,13 @@ class BytePairs:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = _spec(path)
         self.rules = Tokenizer.from_file(path)
         model = spec["model"]
         vocab, self.suffix = model["vocab"], model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         size = max([*vocab.values(), *self.special.values()]) + 1
-        self.tokens = np.empty(size, dtype=object)
-        for token, i in [*vocab.items(), *self.special.items()]:
-            self.tokens[i] = token.encode()
         self.size = np.int64(size)
         chars = _byte_chars()
         self.char_byte = {ord(c): b for c, b in chars.items()}
@@ -167,8 +163,24 @@ class BytePairs:
             del self.known[chunk]
         return out
 
+
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+class Tokens:
+    """Decoder for a tokenizer file without a decoder of its own."""
+
+    def __init__(self, path: str):
+        spec = _spec(path)
+        every = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+        self.tokens = np.empty(max(every.values()) + 1, dtype=object)
+        for token, i in every.items():
+            self.tokens[i] = token.encode()
+
     def decode(self, ids: bytes) -> bytes:
-        """The tokens of the ids in UTF-8, special ones too, with a space between them. The file has no decoder of its own."""
+        """The tokens of the ids in UTF-8, special ones too, with a space between them."""
         return b" ".join(self.tokens[np.frombuffer(ids, "<u4")].tolist())
 
 
@@ -185,6 +197,18 @@ def load(path: str) -> BytePairs:
     return BytePairs(path)
 
 
+@lru_cache(maxsize=4)
+def load_tokens(path: str) -> Tokens:
+    return Tokens(path)
+
+
+def slices(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """Smaller batches, so that a worker never holds the results of a large one."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at:at + rows]
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """One row per row of `docs`: doc_id, ids (binary, little-endian 32-bit). `path`: tokenizer file, on every executor.
 
@@ -194,8 +218,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs = load(path)
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": list(pairs.encode(batch["text"].tolist()))})
+        for batch in slices(batches):
+            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "ids": list(pairs.encode(batch["text"].tolist()))})
 
     return text_of(docs).mapInPandas(run, "doc_id long, ids binary")
 
@@ -203,9 +227,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """`tokens` (doc_id, ids as `encode` gives them) with decoded: the tokens' text. Null ids count as none."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pairs = load(path)
-        for batch in batches:
-            text = [pairs.decode(ids or b"").decode() for ids in batch["ids"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": batch["ids"], "decoded": text})
+        tokens_of = load_tokens(path)
+        for batch in slices(batches, 200):
+            text = [tokens_of.decode(ids or b"").decode() for ids in batch["ids"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "ids": batch["ids"].array, "decoded": text})
 
     return tokens.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids binary, decoded string")
