@@ -57,14 +57,24 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with the columns of `docs`. Of rows that repeat the doc_id that stays, any one stays."""
-    kept = checkpointed(exact_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("id")).count())
-    ids = docs["doc_id"].cast("long")
+    """The rows that stay, one for each group of equal texts, with the columns of `docs`.
+
+    Rows are told by doc_id, digest of the text without white space, and length, so a doc_id (or null) that repeats with
+    different texts stays with each of them. Where a group's doc_id repeats with the same length, any one of these rows stays.
+    """
+    key = ["doc_id", "text_sha256", "n_chars"]
+    kept = checkpointed(exact_duplicates(docs).where("kept").groupBy(*key).count())
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    rows = docs.select(
+        F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("doc_id"),
+        F.sha2(without_space(text).cast("binary"), 256).alias("text_sha256"), F.length(text).alias("n_chars"),
+    )
 
     def those(found: DataFrame) -> DataFrame:
-        return docs.join(found, ids.eqNullSafe(found["id"]), "left_semi")
+        same = [rows[c].eqNullSafe(found[c]) for c in key]
+        return rows.join(found, same[0] & same[1] & same[2], "left_semi")
 
     often = kept.where("count > 1")
     if often.isEmpty():
-        return those(kept)
-    return those(kept.where("count = 1")).unionByName(those(often).dropDuplicates(["doc_id"]))
+        return those(kept).select("row.*")
+    return those(kept.where("count = 1")).unionByName(those(often).dropDuplicates(key)).select("row.*")

@@ -77,6 +77,17 @@ def test_exact_null_id(spark):
     assert found == {(None, 3, 2, False), (3, 3, 2, True), (None, None, 2, True), (4, None, 2, False)}
 
 
+def test_exact_drops_by_content_where_ids_repeat(spark):
+    rows = [(None, "a"), (None, "b c"), (None, "bc"), (None, "b  c"), (None, None), (None, ""), (7, "one"), (7, "two"), (7, "tw o"),
+            (8, "t w o"), (9, "three"), (9, "x y"), (3, "x y"), (5, "same"), (5, "same"), (5, "s a m e")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, kept int")
+    left = exact.drop_exact_duplicates(docs)
+    found = [(r.doc_id, (r.text or "").replace(" ", ""), len(r.text or "")) for r in left.collect()]
+    assert left.dtypes == docs.dtypes
+    assert sorted(found, key=str) == sorted([(None, "a", 1), (None, "bc", 4), (None, "", 0), (7, "one", 3), (8, "two", 5), (9, "three", 5),
+                                             (3, "xy", 3), (5, "same", 7)], key=str)
+
+
 def test_byte_pairs_equal_the_library(both):
     from tokenizers import Tokenizer
 
