@@ -13,6 +13,7 @@ from convocases.llm.common import text_of
 
 #: Fixed value: how the vocabulary cuts ASCII text in lower case into words. Other text goes through the tokenizer file's own rules.
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0da-z0-9]+")
+_SPACE = re.compile(r"\s")  # all that the file's rules take for white space
 _NEVER = np.int32(2**31 - 1)
 
 #: Most chunks of text whose ids a worker remembers, the longest it remembers, and the text it works on at once.
@@ -111,20 +112,18 @@ class BytePairs:
             of = np.fromiter((w == " " for w in cut), np.int64, len(cut)).cumsum()
             word = np.fromiter((w != " " for w in cut), bool, len(cut))
             return [w.encode() for w in cut if w != " "], of[word]
+        if len(chunks) > 1 and _SPACE.search("".join(chunks)):  # which the rules would fold with the borders
+            each = [self._words([c])[0] for c in chunks]
+            return [w for words in each for w in words], np.repeat(np.arange(len(chunks)), list(map(len, each)))
         plain = self.rules.normalizer.normalize_str(joined)
-        borders = np.cumsum([len(x) + 1 for x in plain.split(" ")])
-        if len(borders) != len(chunks):  # other white space in them
-            each = [self._words([c]) for c in chunks] if len(chunks) > 1 else None
-            if each is not None:
-                return [w for words, _ in each for w in words], np.repeat(np.arange(len(chunks)), [len(w) for w, _ in each])
-            borders = np.array([len(plain) + 1])
+        borders = np.cumsum([len(x) + 1 for x in plain.split(" ")]) if len(chunks) > 1 else np.array([len(plain) + 1])
         cut = self.rules.pre_tokenizer.pre_tokenize_str(plain)
         of = np.searchsorted(borders, np.fromiter((at for _, (at, _) in cut), np.int64, len(cut)), side="right")
         return [w.translate(self.char_byte).encode("latin-1") for w, _ in cut], of
 
     def learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
         """The ids of each chunk, as little-endian 32-bit integers."""
-        plain = {True: [], False: []}
+        plain = {"ascii": [], "other": [], "spaced": []}
         found: dict[str, bytes] = {}
         for chunk in chunks:
             if "<|" in chunk and self.special_cut.search(chunk):
@@ -133,7 +132,7 @@ class BytePairs:
                     for x in self.special_cut.split(chunk)
                 )
             else:
-                plain[chunk.isascii()].append(chunk)
+                plain["ascii" if chunk.isascii() else "spaced" if _SPACE.search(chunk) else "other"].append(chunk)
         for own in filter(None, plain.values()):
             words, of = self._words(own)
             ids, counts = self.merge(b"".join(words), np.fromiter(map(len, words), np.int64, len(words)))

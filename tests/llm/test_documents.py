@@ -110,6 +110,24 @@ def test_byte_pairs_on_random_characters():
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_byte_pairs_where_white_space_balances():
+    from tokenizers import Tokenizer
+
+    library, spaces = Tokenizer.from_file(word_vocabulary()), "\xa0\u3000\u2003\x85\u2028\t"
+    one = ["é1", "\xa0", "x\xa0y", "é2"]
+    assert len(library.normalizer.normalize_str(" ".join(one)).split(" ")) == len(one)
+    for chunks in (one, ["é1", *spaces[:5], *(f"x{s}ß" for s in spaces[:5]), "é2"], ["\u3000é", "é\u3000", "ü\xa0\xa0ä", "\u3000\u3000", "ö"]):
+        found = bpe.BytePairs(word_vocabulary()).learn(chunks)
+        assert {c: np.frombuffer(found[c], "<u4").tolist() for c in chunks} == {c: library.encode(c, add_special_tokens=False).ids for c in chunks}
+
+
+def test_byte_pairs_white_space_is_all_that_the_library_folds():
+    from tokenizers import Tokenizer
+
+    fold = Tokenizer.from_file(word_vocabulary()).normalizer.normalize_str
+    assert not [c for c in map(chr, range(0x110000)) if not "\ud800" <= c <= "\udfff" and not bpe._SPACE.search(c) and " " in fold(f"x{c}y")]
+
+
 def test_byte_pairs_leftmost_rounds_agree():
     own, other = bpe.BytePairs(word_vocabulary()), bpe.BytePairs(word_vocabulary())
     assert own.whole_rounds
