@@ -142,35 +142,74 @@ class Lexicon:
         return found
 
 
-def clause_scores(text: str, lexicon: Lexicon, label: int | None = None) -> list[float]:
-    """The weight of each clause that has an insult or threat: the grammar's weight along it, times its words' mean odds.
+def _weights(symbols: list[str]) -> list[float]:
+    """The grammar's weight of each place of a clause; what a target adds goes to the insult or threat that waits for it."""
+    state, out, waiting = GRAMMAR.start, [0.0] * len(symbols), 0
+    for at, symbol in enumerate(symbols):
+        state, written, value = GRAMMAR.step(state, symbol)
+        if symbol in "IT" and not written.islower():
+            waiting = at
+        if value:
+            out[waiting if symbol == "Y" else at] += value
+    return out
+
+
+def _score(symbols: list[str], places: dict[int, float]) -> float:
+    """The grammar's weight along a clause, times the mean odds, if of its insults and threats only those at `places` (with odds) count."""
+    if not places:
+        return 0.0
+    total = sum(_weights([s if s not in "IT" or at in places else "O" for at, s in enumerate(symbols)]))
+    return total * sum(places.values()) / len(places)
+
+
+def _both_scores(text: str, lexicon: Lexicon, label: int | None = None) -> tuple[list[float], list[float]]:
+    """The scores of clauses, each on its own, and where a word counts once in the text; only those above 0.
 
-    An insult that the text repeats counts at its first place only.
+    A word that repeats counts at the place where the grammar gives it the largest weight, the first of them: in the
+    clause where the clause is scored on its own, else in the text.
     """
     text = text.lower()
     classes = {w: s for w in set(_WORD.findall(text)) if (s := lexicon.symbol(w, label))}
     if not any(s[1] for s in classes.values()):
-        return []
-    out = []
+        return [], []
+    own, found = [], []
+    best: dict[str, tuple[float, int, int]] = {}
     for clause in _CLAUSE.findall(text):
-        state, total, odds, n = GRAMMAR.start, 0.0, 0.0, 0
-        for word in _WORD.findall(clause):
-            symbol, weight = classes.get(word, ("O", 0.0))
-            state, _, value = GRAMMAR.step(state, symbol)
-            total += value
-            if weight:
-                odds += weight
-                n += 1
-                classes[word] = ("O", 0.0)
-        if n and total > 0:
-            out.append(total * odds / n)
-    return out
+        words = _WORD.findall(clause)
+        marked = {at: w for at, w in enumerate(words) if w in classes and classes[w][1]}
+        if not marked:
+            continue
+        symbols = [classes[w][0] if w in classes else "O" for w in words]
+        weights = _weights(symbols)
+        here: dict[str, int] = {}
+        for at, word in marked.items():
+            if word not in here or weights[at] > weights[here[word]]:
+                here[word] = at
+        places = {at: classes[w][1] for at, w in marked.items() if here[w] == at}
+        own.append(_score(symbols, places))
+        for word, at in here.items():
+            if word not in best or weights[at] > best[word][0]:
+                best[word] = weights[at], len(found), at
+        found.append((symbols, marked, places))
+    once = []
+    for i, (symbols, marked, places) in enumerate(found):
+        left = {at: odds for at, odds in places.items() if best[marked[at]][1] == i}
+        once.append(own[i] if len(left) == len(places) else _score(symbols, left))
+    return [x for x in own if x > 0], [x for x in once if x > 0]
+
+
+def clause_scores(text: str, lexicon: Lexicon, label: int | None = None) -> list[float]:
+    """The weight of each clause that has an insult or threat: the grammar's weight along it, times its words' mean odds.
+
+    Every clause is judged, and an insult or threat that the text repeats counts once, where it weighs most.
+    """
+    return _both_scores(text, lexicon, label)[1]
 
 
 def document_features(text: str, lexicon: Lexicon, label: int | None = None) -> tuple[float, float]:
-    """The best clause, and all clauses for each hundred words or so; both 0 where nothing matched."""
-    scores = clause_scores(text, lexicon, label)
-    return (max(scores), sum(scores) / (1 + len(text) / 600)) if scores else (0.0, 0.0)
+    """The best clause on its own, and all clauses, with each word once, for each hundred words or so; both 0 where nothing matched."""
+    own, once = _both_scores(text, lexicon, label)
+    return max(own, default=0.0), sum(once) / (1 + len(text) / 600)
 
 
 def features_of_words(text: str) -> set[str]:

@@ -338,6 +338,19 @@ def test_grammar():
     assert score("") == 0
 
 
+def test_grammar_counts_repeated_words_where_they_weigh_most():
+    lexicon = toxicity.Lexicon({"idiot$": (50, 50), "fool$": (50, 49)}, 0.0)
+    scores = lambda text: toxicity.clause_scores(text, lexicon)
+    assert scores("Shoot for the stars. I will shoot you.") == scores("I will shoot you.") != []
+    assert scores("He said idiot. You are an idiot.") == scores("You are an idiot.")
+    assert scores("You are an idiot. He said idiot. You idiot!") == scores("You are an idiot.")
+    assert scores("this is not an idiot but what an idiot") == scores("what an idiot")
+    assert scores("kill the idiot process. I will kill you.") == [*scores("the idiot process."), *scores("I will kill you.")]
+    for text in ("Burn a disc; beat eggs. They beat you", "what an idiot fool, you idiot"):
+        assert toxicity.document_features(text, lexicon)[0] == max(sum(scores(c)) for c in text.replace(";", ".").split("."))
+    assert toxicity.document_features("an idiot and fool. you idiot", lexicon)[0] == scores("an idiot and fool")[0]
+
+
 def test_empty_tables(spark, none):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     vocabulary = word_vocabulary()
