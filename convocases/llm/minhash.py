@@ -70,8 +70,12 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return _mixed(key).view(np.int64)
 
 
+def _content(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, digest (of the whole set; null without words), signature (binary)."""
+    """doc_id, content (SHA-256 of the text), n_shingles, digest (of the whole set; null without words), signature (binary)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
             for at in range(0, len(whole), 500):
@@ -80,12 +84,13 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 rows = iter(minima(full)) if full else iter(())
                 yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].array, "n_shingles": [len(s) for s in sets],
+                    "doc_id": batch["doc_id"].array, "content": batch["content"].array, "n_shingles": [len(s) for s in sets],
                     "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                     "signature": [next(rows).tobytes() if len(s) else None for s in sets],
                 })
 
-    return text_of(docs).mapInPandas(run, "doc_id long, n_shingles long, digest binary, signature binary")
+    texts = text_of(docs).withColumn("content", _content(F.col("text")))
+    return texts.mapInPandas(run, "doc_id long, content binary, n_shingles long, digest binary, signature binary")
 
 
 def _buckets(known: DataFrame) -> DataFrame:
@@ -99,13 +104,15 @@ def _buckets(known: DataFrame) -> DataFrame:
     return known.select("id", "signature").mapInPandas(run, "key long, id long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+def _sets(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """id, shingles (binary) of each of `classes` (id, doc_id, digest), from the text of that doc_id which has the digest."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "shingles": [shingle_set(t, size).tobytes() for t in batch["text"]]})
+            sets = [shingle_set(t, size).tobytes() for t in batch["text"]]
+            own = [xxhash.xxh3_128_digest(s) == d for s, d in zip(sets, batch["digest"])]
+            yield pd.DataFrame({"id": batch["id"], "shingles": sets})[np.array(own, bool)]
 
-    texts = text_of(docs).withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-    return texts.mapInPandas(run, "id long, shingles binary")
+    return text_of(docs).join(classes, "doc_id").select("id", "digest", "text").mapInPandas(run, "id long, shingles binary")
 
 
 def _compared(pairs: DataFrame, table: DataFrame, column: str, least) -> DataFrame:
@@ -198,19 +205,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
 
     Texts are in lower case (A-Z), words lie between white space; with fewer words than a shingle the whole sequence is
     one. Shingles are compared by 64-bit hashes. Without words or text the set is empty and linked with nothing. Rows
-    with a null doc_id are no one's representative; rows that repeat a doc_id count as that document. An empty table
-    gives no rows.
+    with a null doc_id are no one's representative. Classes have numbers of their own, so a doc_id that repeats with
+    different texts may represent several and lie in several components; all of its rows in a component that it names
+    stay. An empty table gives no rows.
     """
+    return _verdicts(docs, size, percent, star_rounds).drop("content")
+
+
+def _verdicts(docs: DataFrame, size: int, percent: int, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+    """The rows of `near_duplicates` with content, the SHA-256 of the text."""
     signed = checkpointed(signatures(docs, size))
-    classes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"))
-    classes = checkpointed(classes)
-    known = signed.select(F.col("doc_id").alias("id"), "signature", "digest").join(classes, ["id", "digest"]).select("id", "signature")
+    classes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    classes = checkpointed(classes.withColumn("id", F.monotonically_increasing_id()))
+    known = signed.select("doc_id", "signature", "digest").join(classes, ["doc_id", "digest"]).select("id", "signature")
     known = checkpointed(known.dropDuplicates(["id"]))
     shared = _buckets(known).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     in_buckets = checkpointed(_buckets(known).join(shared, "key"))
     members = checkpointed(in_buckets.groupBy("id").agg(F.sum("n").alias("meets")))
     buckets = checkpointed(in_buckets.drop("n").join(members, "id"))
-    sets = checkpointed(_sets(docs, members.select("id"), size).dropDuplicates(["id"]))
+    sets = checkpointed(_sets(docs, classes.join(members.select("id"), "id"), size).dropDuplicates(["id"]))
     known = checkpointed(known.join(members.select("id"), "id"))
 
     spark = docs.sparkSession
@@ -248,14 +261,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
         once = F.expr("key = array_min(array_intersect(v, w))")  # a pair may share many buckets
         take(one.join(two, (F.col("key") == F.col("other")) & (F.col("ca") < F.col("cb")) & _agreeing(percent) & once).select("a", "b"))
 
-    home = classes.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
-    return signed.select("doc_id", "n_shingles", "digest").join(home, "digest", "left").select(
+    placed = classes.join(found, "id", "left").select("digest", "doc_id", F.coalesce("component", "id").alias("component"))
+    home = placed.join(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("digest", "component_id")
+    return signed.select("doc_id", "n_shingles", "digest", "content").join(home, "digest", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.col("doc_id").eqNullSafe(F.coalesce("component_id", "doc_id")).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.coalesce("component_id", "doc_id")).alias("kept"), "content",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose document stays, with its columns."""
-    gone = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """The rows of `docs` that stay, with its columns: rows are told by doc_id (or null) and text."""
+    gone = _verdicts(docs, size, percent).where("not kept").select(F.col("doc_id").alias("_gone"), F.col("content").alias("_content")).distinct()
+    content = _content(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone"]) & (content == gone["_content"]), "left_anti")

@@ -299,6 +299,17 @@ def test_near_duplicates_in_a_chain(spark):
     assert minhash.drop_near_duplicates(docs, size=4).count() == len({w[1] for w in want.values()})
 
 
+def test_near_duplicates_of_ids_with_different_texts(spark):
+    a, b, c, d = (words(20 + i, 100) for i in range(4))
+    rows = [(5, a), (8, a + " x"), (5, b), (9, b + " x"), (2, c), (3, c + " x"), (3, d), (None, b), (None, words(30, 100))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted([(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs, size=4).collect()], key=str)
+    assert found == sorted([(5, 5, True), (8, 5, False), (5, 5, True), (9, 5, False), (2, 2, True), (3, 2, False), (3, 3, True),
+                            (None, 5, False), (None, None, True)], key=str)
+    left = [tuple(r) for r in minhash.drop_near_duplicates(docs, size=4).collect()]
+    assert sorted(left, key=str) == sorted([rows[i] for i in (0, 2, 4, 6, 8)], key=str)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 200), (300, 200), (7, 7)] + [(500, i) for i in range(501, 560)]
     found = {r.id: r.component for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
