@@ -34,16 +34,16 @@ def responses(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         pages["page_id"].cast("long").alias("page_id"), F.coalesce(pages["url"].cast("string"), F.lit("")).alias("url"),
         F.coalesce(pages["html"].cast("string"), F.lit("")).cast("binary").alias("payload"),
     )
-    digest = F.sha2("payload", 256)
+    known = known.withColumn("digest", F.unhex(F.sha2("payload", 256)))
     firsts = (
-        known.where(F.octet_length("payload") >= least).groupBy(F.unhex(digest).alias("digest"))
+        known.where(F.octet_length("payload") >= least).groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     )
-    later = known.where(F.octet_length("payload") >= least).select("page_id", F.unhex(digest).alias("digest")).join(firsts, "digest")
-    later = later.where("page_id <> first").select("page_id", F.col("first").alias("refers_to")).distinct()
-    return known.join(later, "page_id", "left").select(
+    later = known.where(F.octet_length("payload") >= least).select("page_id", "digest").join(firsts, "digest")
+    later = later.where("page_id <> first").select("page_id", "digest", F.col("first").alias("refers_to")).distinct()
+    return known.join(later, ["page_id", "digest"], "left").select(
         "page_id", "url", "payload", F.octet_length("payload").cast("long").alias("payload_bytes"),
-        digest.alias("payload_digest"), "refers_to",
+        F.lower(F.hex("digest")).alias("payload_digest"), "refers_to",
     )
 
 

@@ -92,6 +92,16 @@ def test_archives(spark, pages, tmp_path):
         assert gzip.decompress(data).count(b"WARC-Record-ID") == len(list(warc.members(data)))
 
 
+def test_archives_of_a_page_id_with_different_payloads(spark):
+    x, y, z = ("x" * 200, "y" * 200, "z" * 200)
+    rows = [(1, x), (2, x), (2, y), (3, z), (7, x), (7, z)]
+    df = spark.createDataFrame([(i, f"u{i}", t) for i, t in rows], "page_id long, url string, html string")
+    found = warc.archive_pages(df, with_payload=True).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to or 0, bytes(r.payload or b"").decode()) for r in found) == [
+        (1, "response", 0, x), (2, "response", 0, y), (2, "revisit", 1, ""), (3, "response", 0, z), (7, "revisit", 1, ""), (7, "revisit", 3, "")]
+    assert len({r.payload_digest for r in found if r.page_id == 7}) == 2
+
+
 def test_archives_without_pages(spark, pages):
     assert warc.archive_pages(pages[0].where("false")).count() == 0
 
