@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from convocases.llm import bpe, exact, minhash, packing, pii, quality, suffixes, toxicity, urls, warc
+from convocases.llm import bpe, credentials, exact, fim, merkle, minhash, packing, pii, quality, suffixes, toxicity, urls, warc
 
 QUERIES, SQL = {}, {}
 
@@ -122,3 +122,89 @@ def warc_archives(spark: SparkSession, sf: str) -> DataFrame:
 def repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.drop_repeats(table(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_secret_scans")
+def secret_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return credentials.secrets(table(spark, sf, "documents"))
+
+
+@query("op12_fill_in_middle", r"""
+    WITH t AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+            list_transform(regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+'), lambda x: length(x)) AS units
+        FROM documents),
+    drawn AS (
+        SELECT doc_id, text, units, len(units) AS n, ('0x' || h[1:8])::BIGINT % (len(units) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(units) + 1) AS c2,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100
+                THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+        FROM t),
+    cuts AS (
+        SELECT *, coalesce(list_sum(units[1:least(c1, c2)]), 0)::BIGINT AS a, coalesce(list_sum(units[1:greatest(c1, c2)]), 0)::BIGINT AS b FROM drawn),
+    parts AS (SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM cuts)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM parts""")
+def fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored().cast("binary"), 256).alias("restored_sha256"))
+
+
+@query("op13_merkle", r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, row_number() OVER () AS r,
+            list_reduce([4294967295::BIGINT] || list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT),
+                lambda c, x: list_reduce([xor(c, x)] || range(8), lambda a, k: xor(a >> 1, 3988292384 * (a & 1)))) % 2 = 1 AND doc_id IS NOT NULL AS even,
+            concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+            text, replace(text, chr(10), '') AS cut
+        FROM documents),
+    leaf AS (
+        SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+            CASE WHEN even THEN sha256(head || coalesce(strlen(cut) || ':' || cut, '-'))
+                ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS other
+        FROM d),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+            dense_rank() OVER (ORDER BY source IS NOT NULL, encode(coalesce(source, ''))) AS g FROM leaf),
+    low AS (
+        SELECT g, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY g) AS m FROM placed
+        UNION ALL
+        SELECT g, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), any_value((m + 2) // 3) FROM low WHERE m > 1 GROUP BY g, level, i // 3),
+    subroots AS (SELECT g, h, level AS depth FROM low WHERE m = 1),
+    high AS (
+        SELECT 0 AS level, g - 1 AS i, h, count(*) OVER () AS m FROM subroots
+        UNION ALL
+        SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), any_value((m + 2) // 3) FROM high WHERE m > 1 GROUP BY level, i // 3),
+    steps AS (
+        SELECT p.r, n.level, coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i < p.i // power(3, n.level)::BIGINT), '') AS before,
+            coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i > p.i // power(3, n.level)::BIGINT), '') AS after
+        FROM placed p JOIN low n ON n.g = p.g AND n.m > 1 AND n.i // 3 = p.i // power(3, n.level + 1)::BIGINT
+        GROUP BY p.r, n.level
+        UNION ALL
+        SELECT p.r, s.depth + n.level, coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i < (p.g - 1) // power(3, n.level)::BIGINT), ''),
+            coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i > (p.g - 1) // power(3, n.level)::BIGINT), '')
+        FROM placed p JOIN subroots s ON s.g = p.g JOIN high n ON n.m > 1 AND n.i // 3 = (p.g - 1) // power(3, n.level + 1)::BIGINT
+        GROUP BY p.r, s.depth, n.level),
+    folded AS (
+        SELECT r, 0 AS level, other AS h FROM placed
+        UNION ALL
+        SELECT f.r, f.level + 1, sha256(before || h || after) FROM folded f JOIN steps s ON s.r = f.r AND s.level = f.level),
+    ends AS (SELECT r, arg_max(h, level) AS folded_root FROM folded GROUP BY r),
+    proofs AS (SELECT r, string_agg(before || after, '' ORDER BY level) AS proof FROM steps GROUP BY r)
+    SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(coalesce(x.proof, '')) AS proof_sha256, e.folded_root, e.folded_root = t.h AS verified
+    FROM placed p JOIN subroots s ON s.g = p.g JOIN ends e ON e.r = p.r JOIN high t ON t.m = 1 LEFT JOIN proofs x ON x.r = p.r""")
+def merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    changed = F.when(F.crc32(docs["doc_id"].cast("string").cast("binary")) % 2 == 0, F.replace(docs["text"], F.lit("\n"), F.lit("")))
+    digest = merkle.leaf_digest([*(docs[c] for c in merkle.COLUMNS[:-1]), changed])
+    tampered = F.when(F.crc32(docs["doc_id"].cast("string").cast("binary")) % 2 == 0, digest)
+    found = merkle.manifest(docs, other=tampered)
+    folded = merkle.fold(F.coalesce("other", "leaf"), F.col("steps"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))

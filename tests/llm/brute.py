@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -117,3 +118,100 @@ def repeated_bytes(rows: list[tuple[int, str | None]], size: int = 200) -> dict[
         left = bytes(c for c, g in zip(t, gone) if not g)
         out[doc_id] = (len(t), sum(gone), runs, hashlib.sha256(left).hexdigest())
     return out
+
+
+SECRETS = [
+    ("assign", re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+     lambda m: len(m[2]) >= 8),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16),
+    ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 32),
+]
+
+
+def secrets(text: str | None) -> tuple:
+    """n_assign, n_access, n_hex, base_sha256, base spans"""
+    spans, counts = [], []
+    for k, (name, pattern, valid) in enumerate(SECRETS):
+        found = [m for m in pattern.finditer(text or "") if valid(m)]
+        counts.append(len(found))
+        spans += [(m.start(), k, m.end()) for m in found]
+    joined = [f"{SECRETS[k][0]}:{s}:{e}" for s, k, e in sorted(spans)]
+    return *counts, hashlib.sha256(",".join(joined).encode()).hexdigest(), joined
+
+
+def linked(text: str, parts: list[tuple[int, int, int]], roles: list[int], weak: list[bool], wants: dict[int, int], reach: int) -> list:
+    """Spans that stay with the start of their nearest complement, every part held against every other."""
+    borders = [m.end() for m in re.finditer(r"\n[ \t\r]*\n", text)]
+    block = [sum(b <= s for b in borders) for s, _, _ in parts]
+    out = []
+    for i, (s, k, e) in enumerate(parts):
+        near = sorted((abs(t - s), t) for j, (t, _, _) in enumerate(parts)
+                      if roles[j] & wants.get(roles[i], 0) and block[j] == block[i] and abs(t - s) <= reach)
+        if near or not weak[i]:
+            out.append((s, k, e, near[0][1] if near else None))
+    return out
+
+
+def fill_in_middle(doc_id: int | None, text: str | None) -> tuple:
+    """n, form, prefix_chars, middle_chars, output"""
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i:i + 8], 16) for i in (0, 8, 16, 24)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")):
+        return len(units), "plain", None, None, text
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < 50:
+        return len(units), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return len(units), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def hashed(parts) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(values) -> str:
+    return hashed("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values)
+
+
+def _levels(nodes: list[str], fanout: int) -> list[list[str]]:
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([hashed(levels[-1][i:i + fanout]) for i in range(0, len(levels[-1]), fanout)])
+    return levels
+
+
+def _steps(levels: list[list[str]], i: int, fanout: int) -> list[tuple[list[str], list[str]]]:
+    out = []
+    for level in levels[:-1]:
+        run = i // fanout * fanout
+        out.append((level[run:i], level[i + 1:run + fanout]))
+        i //= fanout
+    return out
+
+
+def manifest(rows: list[tuple], fanout: int = 3) -> list[tuple]:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of rows (doc_id, source, lang, n_chars, text)"""
+    groups: dict = {}
+    for row in rows:
+        groups.setdefault(row[1], []).append(row)
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for source in order:
+        groups[source].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees[source] = _levels([leaf(r) for r in groups[source]], fanout)
+    top = _levels([trees[s][-1][0] for s in order], fanout) if order else []
+    out = []
+    for g, source in enumerate(order):
+        for i, row in enumerate(groups[source]):
+            steps = _steps(trees[source], i, fanout) + _steps(top, g, fanout)
+            text = row[4]
+            if text is not None and row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0:
+                text = text.replace("\n", "")
+            x = leaf((*row[:4], text))
+            for left, right in steps:
+                x = hashed([*left, x, *right])
+            root = top[-1][0]
+            out.append((row[0], leaf(row), trees[source][-1][0], root, hashed(h for step in steps for side in step for h in side), x, x == root))
+    return out
