@@ -1,6 +1,7 @@
 """Repeated byte strings: deep-shallow sorting of the suffixes that share an anchor."""
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,9 @@ SHALLOW = 32
 #: Contexts that one sort takes at once, about, and from how many different ones a key is hot.
 AT_ONCE, HOT = 10_000, 2_000
 
+#: Windows of a run of a hot key that stay together, from one dealing to the next.
+WIDTHS = (40, 8, 1)
+
 #: Bytes of text whose anchors are looked for at once.
 _CHUNK = 2_000_000
 
@@ -224,15 +228,16 @@ def anchored(texts: list[bytes], size: int = SIZE, anchor: int = ANCHOR) -> dict
     return {n: np.concatenate(v) if v else np.zeros(0, np.int64) for n, v in out.items()}
 
 
-#: A document is known by its id and a hash of its text, so rows that repeat an id don't mix.
-_WHO = "doc_id long, tag int"
+#: A document is known by two hashes of its id and text, so rows that repeat an id (or have none) don't mix.
+_WHO = ["one", "two"]
+_WHO_TYPES = "one long, two long"
 
 
 def _bytes_of(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    text, doc_id = F.coalesce(docs["text"].cast("string"), F.lit("")), docs["doc_id"].cast("long")
     return docs.select(
-        docs["doc_id"].cast("long").alias("real_id"), F.coalesce(docs["doc_id"].cast("long"), F.lit(-1 << 63)).alias("doc_id"),
-        F.hash(text).alias("tag"), text.cast("binary").alias("data"),
+        doc_id.alias("doc_id"), F.xxhash64(F.lit(1), text, F.length(text), doc_id).alias("one"), F.xxhash64(F.lit(2), text, doc_id).alias("two"),
+        text.cast("binary").alias("data"),
     )
 
 
@@ -248,13 +253,12 @@ def _runs(rows: DataFrame, size: int, anchor: int, with_place: bool) -> DataFram
                     continue
                 text = found["text"].astype(np.int64)
                 yield pd.DataFrame({
-                    "key": found["key"], "context": found["context"], "doc_id": batch["doc_id"].to_numpy()[text],
-                    "tag": batch["tag"].to_numpy()[text], "first": found["first"].astype(np.int32),
-                    "shape": (1024 * found["windows"] + found["anchor"]).astype(np.int32),
+                    "key": found["key"], "context": found["context"], **{n: batch[n].to_numpy()[text] for n in _WHO},
+                    "first": found["first"].astype(np.int32), "shape": (1024 * found["windows"] + found["anchor"]).astype(np.int32),
                 })
 
-    kinds = "key long, context long" + f", {_WHO}, first int, shape int" * with_place
-    needed = rows.select(*(["doc_id", "tag"] * with_place), "data").where(F.octet_length("data") >= size)
+    kinds = "key long, context long" + f", {_WHO_TYPES}, first int, shape int" * with_place
+    needed = rows.select(*(_WHO * with_place), "data").where(F.octet_length("data") >= size)
     return needed.mapInPandas(run, kinds)
 
 
@@ -265,39 +269,59 @@ def _places(lengths: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndar
     return of, offset, np.repeat(np.cumsum(lengths) - lengths, count) + offset
 
 
-def _windows(pieces: pd.DataFrame, size: int) -> pd.DataFrame:
-    """One row for each window of the pieces, with a hash of its content instead of its bytes."""
+def _hashed(words: np.ndarray, start: np.ndarray, length: int, state: np.ndarray) -> np.ndarray:
+    """`state` mixed with the `length` bytes from each start on, the last eight in any case."""
+    for k in (*range(0, length - 7, 8), length - 8):
+        state = (state ^ words[start + k]) * _P
+        state ^= state >> np.uint64(31)
+    return state
+
+
+def _narrower(pieces: pd.DataFrame, size: int, width: int) -> pd.DataFrame:
+    """Runs cut where the anchor's place in the window passes a multiple of `width`, with keys of their own.
+
+    All windows of a part have size - width + 1 bytes around the anchor in common, wherever the part begins and ends. So
+    equal windows fall into parts with the same such bytes, which with the old key make the new one.
+    """
     count, mark = np.divmod(pieces["shape"].to_numpy().astype(np.int64), 1024)
     of, offset, start = _places(count - 1 + size, count)
     words = _words(b"".join(pieces["piece"]) + bytes(size + 16), "<")
-    content = np.zeros(len(of), np.uint64)
-    for k in range(0, size, 8):
-        content = (content ^ words[start + k]) * _P
-        content ^= content >> np.uint64(31)
+    block = (mark[of] - offset) // width
+    new = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (block[1:] != block[:-1])))
+    count = np.diff(np.append(new, len(of)))
+    of, offset, start, block = of[new], offset[new], start[new], block[new]
+    mark = mark[of] - offset
+    state = pieces["key"].to_numpy().view(np.uint64)[of] + block.astype(np.uint64) * _P
+    key = _hashed(words, start + mark - width * block, size - width + 1, state)
+    context = _hashed(words, start, size, key ^ (count * 1024 + mark).astype(np.uint64))
+    stop = start + count - 1 + size
+    for k in range(8, width + 7, 8):
+        context = (context ^ words[stop - k]) * _P
+        context ^= context >> np.uint64(31)
     whole = pieces.drop(columns="piece").iloc[of].reset_index(drop=True)
     return whole.assign(
-        content=pd.array(content.view(np.int64), "Int64"), piece=None, first=(whole["first"] + offset).astype("int32"),
-        shape=(1024 + mark[of] - offset).astype(np.int32))
+        key=key.view(np.int64), context=pd.array(context.view(np.int64), "Int64"), piece=None,
+        first=(whole["first"] + offset).astype("int32"), shape=(count * 1024 + mark).astype(np.int32))
 
 
-def _pieces(texts: DataFrame, size: int) -> DataFrame:
-    """For each wanted run of a document the bytes of its windows; windows of hot keys one by one, by their content."""
-    names = ["key", "content", "piece", "doc_id", "tag", "first", "shape", "sure"]
+def _pieces(texts: DataFrame, size: int, width: int | None) -> DataFrame:
+    """For each wanted run of a document the bytes of its windows; those of hot keys as narrower runs, without bytes."""
+    names = ["key", "context", "piece", *_WHO, "first", "shape", "sure"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows: dict[bool, list[tuple]] = {True: [], False: []}
-            for doc_id, tag, data, wanted in zip(batch["doc_id"], batch["tag"], batch["data"], batch["wanted"]):
+            for one, two, data, wanted in zip(batch["one"], batch["two"], batch["data"], batch["wanted"]):
                 for w in wanted:
                     first, shape = w["first"], w["shape"]
                     piece = data[first:first + shape // 1024 - 1 + size]
-                    rows[w["hot"]].append((w["key"], None, piece, doc_id, tag, first, shape, w["sure"]))
+                    rows[w["hot"]].append((w["key"], None, piece, one, two, first, shape, w["sure"]))
             for hot, own in rows.items():
                 for at in range(0, len(own), 2_000):
-                    out = pd.DataFrame(own[at:at + 2_000], columns=names).astype({"content": "Int64", "first": "int32", "shape": "int32"})
-                    yield _windows(out, size)[names] if hot else out
+                    out = pd.DataFrame(own[at:at + 2_000], columns=names).astype({"context": "Int64", "first": "int32", "shape": "int32"})
+                    yield _narrower(out, size, width)[names] if hot else out
 
-    return texts.mapInPandas(run, f"key long, content long, piece binary, {_WHO}, first int, shape int, sure boolean")
+    return texts.mapInPandas(run, f"key long, context long, piece binary, {_WHO_TYPES}, first int, shape int, sure boolean")
 
 
 def _sorted_repeats(pieces: DataFrame, size: int) -> DataFrame:
@@ -316,7 +340,7 @@ def _sorted_repeats(pieces: DataFrame, size: int) -> DataFrame:
         end = np.append(new[1:], len(of)) - 1 if len(of) else of
         begin = batch["first"].to_numpy()[of[new]]
         return pd.DataFrame({
-            "doc_id": batch["doc_id"].to_numpy()[of[new]], "tag": batch["tag"].to_numpy()[of[new]],
+            **{n: batch[n].to_numpy()[of[new]] for n in _WHO},
             "begin": begin + offset[new], "stop": begin + offset[end] + size, "sure": batch["sure"].to_numpy()[of[new]],
         })
 
@@ -336,63 +360,71 @@ def _sorted_repeats(pieces: DataFrame, size: int) -> DataFrame:
         if rows:
             yield stretch(pd.concat(held, ignore_index=True))
 
-    dealt = pieces.repartition("key").sortWithinPartitions("key", "context_order")
-    found = dealt.drop("context_order", "content").mapInPandas(run, f"{_WHO}, begin int, stop int, sure boolean")
+    dealt = pieces.repartition("key").sortWithinPartitions("key", *_WHO)
+    found = dealt.drop("context").mapInPandas(run, f"{_WHO_TYPES}, begin int, stop int, sure boolean")
     return found.where(~F.col("sure")).drop("sure")
 
 
-def repeated_stretches(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """doc_id (the least number for null), tag, begin, stop: stretches of bytes covered by repeated strings of `size` bytes.
+def repeated_stretches(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, hot: int = HOT, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+    """one, two (hashes of a document), begin, stop: stretches of bytes covered by repeated strings of `size` bytes.
 
     Each window of `size` bytes belongs to its anchor, and only one run of windows in eighty bytes or so is dealt out,
-    by a hash of the anchor. Anchors that occur once are done. Where all occurrences of an anchor have the same context,
-    all their windows are repeated; of other anchors, contexts that occur more than once are, and one of each different
-    context goes into the sort, with its text. An anchor with more than `hot` different contexts is dealt out further:
-    its windows go by their own content, and equal ones are counted with partial aggregation. Anchors and contexts are
-    told apart by 64 bits of hash each, so contexts counted as equal agree in 128.
+    by a hash of the anchor. Equality by hash comes first, as an exact filter: anchors that occur once are done; where
+    all runs of an anchor have the same context, all their windows are repeated; of other anchors, contexts that occur
+    more than once are. One run of each different context goes on with its bytes to the sort, which tells how far they
+    agree. An anchor with more than `hot` different contexts is dealt out anew: its runs are cut into narrower ones,
+    known by the bytes that all their windows share, and take the same way, at the last width as single windows.
+    Anchors and contexts are told apart by 64 bits of hash each, so runs counted as equal agree in 128.
     """
     rows = _bytes_of(docs)
-    keys = checkpointed(
-        _runs(rows, size, anchor, False).groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
-        .where("n > 1").select("key", (F.col("lo") != F.col("hi")).alias("mixed"))
-    )
-    runs = checkpointed(_runs(rows, size, anchor, True).join(keys, "key"))
-    mixed = runs.where("mixed")
-    contexts = checkpointed(
-        mixed.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "tag", "first", "shape")).alias("at"))
-    )
-    several = mixed.join(contexts.where("n > 1").select("key", "context"), ["key", "context"])
     stop = (F.col("first") + F.floor(F.col("shape") / 1024) - 1 + size).cast("int").alias("stop")
-    whole = runs.where("not mixed").drop("mixed").unionByName(several.drop("mixed")).select(
-        "doc_id", "tag", F.col("first").alias("begin"), stop)
-    hot_keys = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("key", F.lit(True).alias("hot"))
-    wanted = contexts.join(hot_keys, "key", "left").select(
-        "at.doc_id", "at.tag", F.struct("key", "at.first", "at.shape", (F.col("n") > 1).alias("sure"), F.coalesce("hot", F.lit(False)).alias("hot")).alias("w"))
-    wanted = wanted.groupBy("doc_id", "tag").agg(F.collect_list("w").alias("wanted"))  # as long as the document at most
-    texts = rows.select("doc_id", "tag", "data").join(wanted, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
-    pieces = checkpointed(_pieces(texts.select("doc_id", "tag", "data", "wanted"), size))
-    cold = pieces.where("content is null").withColumn("context_order", F.col("doc_id"))
-    single = pieces.where("content is not null").withColumn("mark", F.col("shape") % 1024)
-    often = single.groupBy("key", "content", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "content", "mark")
-    few = single.where("not sure").join(often, ["key", "content", "mark"]).select(
-        "doc_id", "tag", F.col("first").alias("begin"), (F.col("first") + size).cast("int").alias("stop"))
-    return whole.unionByName(_sorted_repeats(cold, size)).unionByName(few)
-
-
-def drop_repeats(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
+
+    def repeated_keys(runs: DataFrame) -> DataFrame:
+        seen = runs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
+        return seen.where("n > 1").select("key", (F.col("lo") != F.col("hi")).alias("mixed"))
+
+    runs = _runs(rows, size, anchor, True).withColumn("sure", F.lit(False))
+    keys = checkpointed(repeated_keys(_runs(rows, size, anchor, False)))
+    found = []
+    for width in (*widths, None):
+        runs = checkpointed(runs.join(keys, "key"))
+        mixed = runs.where("mixed")
+        contexts = checkpointed(
+            mixed.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_WHO, "first", "shape", "sure")).alias("at"))
+        )
+        several = mixed.join(contexts.where("n > 1").select("key", "context"), ["key", "context"])
+        whole = runs.where("not mixed").drop("mixed").unionByName(several.drop("mixed")).where("not sure")
+        found.append(whole.select(*_WHO, F.col("first").alias("begin"), stop))
+        many = (F.count(F.lit(1)) > hot) if width else F.lit(False)
+        hot_keys = contexts.groupBy("key").agg(many.alias("hot")).where("hot")
+        sure = (F.col("at.sure") | (F.col("n") > 1)).alias("sure")
+        wanted = contexts.join(hot_keys, "key", "left").select(
+            "at.one", "at.two", F.struct("key", "at.first", "at.shape", sure, F.coalesce("hot", F.lit(False)).alias("hot")).alias("w"))
+        wanted = wanted.groupBy(*_WHO).agg(F.collect_list("w").alias("wanted"))  # as long as the document at most
+        texts = rows.select(*_WHO, "data").join(wanted, _WHO).dropDuplicates(_WHO)
+        pieces = checkpointed(_pieces(texts.select(*_WHO, "data", "wanted"), size, width))
+        found.append(_sorted_repeats(pieces.where("context is null"), size))
+        runs = pieces.where("context is not null").drop("piece")
+        if runs.isEmpty():
+            break
+        keys = repeated_keys(runs)
+    return reduce(DataFrame.unionByName, found)
+
+
+def drop_repeats(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, hot: int = HOT, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept (binary): the text in UTF-8 without the bytes
     that a string of `size` bytes covers which also starts anywhere else, in the same document or another.
 
-    A null or empty text has no bytes; texts shorter than `size` stay whole. Rows that repeat a doc_id and its text
+    A null or empty text has no bytes; texts shorter than `size` stay whole. Null and repeated ids stand for themselves:
+    a document is known by 128 bits of hash of its id and text. Rows that repeat a doc_id and its text
     repeat each other; so do copies with other ids. An empty table gives no rows.
     """
-    gone = repeated_stretches(docs, size, anchor, hot).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "stop")).alias("gone"))
+    gone = repeated_stretches(docs, size, anchor, hot, widths).groupBy(*_WHO).agg(F.collect_list(F.struct("begin", "stop")).alias("gone"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, data, gone in zip(batch["real_id"], batch["data"], batch["gone"]):
+            for doc_id, data, gone in zip(batch["doc_id"], batch["data"], batch["gone"]):
                 kept, removed, spans = data, 0, 0
                 if gone is not None and len(gone):
                     edge = np.zeros(len(data) + 1, np.int32)
@@ -406,5 +438,5 @@ def drop_repeats(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, hot: i
                 out.append((doc_id, len(data), removed, spans, kept))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
 
-    joined = _bytes_of(docs).join(gone, ["doc_id", "tag"], "left")
-    return joined.select("real_id", "data", "gone").mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    joined = _bytes_of(docs).join(gone, _WHO, "left")
+    return joined.select("doc_id", "data", "gone").mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

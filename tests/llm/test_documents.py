@@ -205,6 +205,33 @@ def test_repeated_strings_with_hot_keys(documents, hot):
     assert {r.doc_id: r.n_removed for r in suffixes.drop_repeats(docs, hot=hot).collect()} == {d: w[1] for d, w in want.items()}
 
 
+@pytest.mark.parametrize("hot", [0, 3])
+def test_repeated_strings_around_a_common_line(spark, hot):
+    """One line in every text, with more of its neighbourhood shared by some: hot keys are dealt out at every width."""
+    r, line = random.Random(11), words(21, 30)
+    texts = []
+    for i in range(60):
+        before, after = words(100 + i % 7, 40)[-r.choice([0, 3, 20, 90]):], words(200 + i % 5, 40)[:r.choice([0, 5, 30, 100])]
+        texts.append(words(300 + i, 30) + " " + before + line + after + words(400 + i, 30))
+    texts += [line, "x" + line, "y" + line + "z", line * 3]
+    want = brute.repeated_bytes(list(enumerate(texts)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for widths in ((40, 8, 1), (16,), (1,)):
+        assert {d.doc_id: d.n_removed for d in suffixes.drop_repeats(docs, hot=hot, widths=widths).collect()} == {d: w[1] for d, w in want.items()}
+
+
+def test_repeated_strings_without_ids(spark):
+    """Texts without an id, or with the same, don't mix, whatever their lengths."""
+    passage = words(31, 60)
+    texts = [passage + " one", "two " + passage, "short", words(32, 90), None, "", passage]
+    want = brute.repeated_bytes(list(enumerate(texts)))
+    for doc_id in (None, 7):
+        docs = spark.createDataFrame([(doc_id, t) for t in texts], "doc_id long, text string")
+        found = suffixes.drop_repeats(docs).collect()
+        assert sorted((d.n_bytes, d.n_removed) for d in found) == sorted(w[:2] for w in want.values())
+        assert {d.doc_id for d in found} == {doc_id}
+
+
 def test_deep_shallow_order():
     r, rng = random.Random(3), np.random.default_rng(1)
     for _ in range(60):
