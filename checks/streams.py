@@ -6,7 +6,7 @@ from checks import adapters as a, bases as b
 from checks.ctes import sql
 from checks.registry import query
 from convocases.sources.scratch import new_path
-from convocases.streaming import live
+from convocases.streaming import live, queue
 
 
 def as_stream(spark, df, files: int = 1, per_batch: int = 1):
@@ -16,8 +16,11 @@ def as_stream(spark, df, files: int = 1, per_batch: int = 1):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
+FILES = 4
+
+
 def in_time_order(spark, df, batches: int):
-    """The timed rows as a feed of micro-batches, cut at times; a batch is written after the one before."""
+    """The timed rows as a feed of micro-batches of FILES files, cut at times; a batch is written after the one before."""
     df = df.where("created_time is not null")
     path = new_path(spark, "feed")
     shares = [i / batches for i in range(1, batches)]
@@ -25,8 +28,8 @@ def in_time_order(spark, df, batches: int):
     for low, high in zip(times, times[1:]):
         rows = df if low is None else df.where(F.unix_micros("created_time") >= int(low))
         rows = rows if high is None else rows.where(F.unix_micros("created_time") < int(high))
-        rows.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.repartition(FILES).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 def finish(spark, writer) -> None:
@@ -67,15 +70,30 @@ def sessions(spark, sf):
     return live.sessions(a.m2(spark, sf))
 
 
-@query("stream_sliding_queue", sql("""
+PIECES = """
 , segs AS (SELECT channel_url, case_index AS s, min(pos) AS first_pos, count(*) AS len, max(boundary_confidence) AS confidence FROM m2_seg GROUP BY 1, 2),
 pieces AS (SELECT m.channel_url, g.s, (m.pos - first_pos) // 3 AS piece, min(m.pos) AS start_pos, max(m.pos) AS end_pos, min(created_time) AS start_time,
   max(created_time) AS end_time, count(*) AS n_messages, any_value(len) AS len, any_value(confidence) AS confidence
-  FROM m2_seg m JOIN segs g ON m.channel_url = g.channel_url AND m.case_index = g.s GROUP BY 1, 2, 3)
-SELECT channel_url, case_index, start_pos, end_pos, start_time, end_time, n_messages, confidence, forced_starting, forced_ending FROM (
+  FROM m2_seg m JOIN segs g ON m.channel_url = g.channel_url AND m.case_index = g.s GROUP BY 1, 2, 3),
+queued AS (SELECT channel_url, case_index, start_pos, end_pos, start_time, end_time, n_messages, confidence, forced_starting, forced_ending FROM (
   SELECT *, row_number() OVER (PARTITION BY channel_url ORDER BY start_pos) - 1 AS case_index,
-    piece > 0 AS forced_starting, (piece + 1) * 3 < len AS forced_ending FROM pieces)""", "m2_seg"))
+    piece > 0 AS forced_starting, (piece + 1) * 3 < len AS forced_ending FROM pieces))"""
+
+
+@query("stream_sliding_queue", sql(PIECES + """
+, ends AS (SELECT date_trunc('millisecond', max(created_time)) - INTERVAL 2 HOUR AS seen FROM m2),
+after AS (SELECT *, lead(start_time) OVER (PARTITION BY channel_url ORDER BY case_index) AS next FROM queued)
+SELECT a.*  EXCLUDE (next), next IS NULL OR next >= seen OR next - end_time >= INTERVAL 30 HOUR AS idle
+FROM after a, ends WHERE next < seen OR end_time + INTERVAL 30 HOUR < seen""", "m2_seg"))
 def stream_sliding_queue(spark, sf):
+    """Cases that the event stream gives away by itself: finished by the next one, or silent for 30 hours at its end."""
+    for name, value in queue.STATE_STORE.items():
+        spark.conf.set(name, value)
+    return drained(spark, queue.stream_cases(in_time_order(spark, a.m2(spark, sf), 4), b.M2_RULES, 3, late="2 hours", idle="30 hours"))
+
+
+@query("stream_queue_tables", sql(PIECES + " SELECT * FROM queued", "m2_seg"))
+def stream_queue_tables(spark, sf):
     """All cases of the event stream, which comes in four micro-batches; at its end every channel counts as idle."""
     folder = new_path(spark, "queue")
     writer = live.stream_sliding_queue(in_time_order(spark, a.m2(spark, sf), 4), folder, b.M2_RULES, 3)
