@@ -11,6 +11,7 @@ from checks.registry import SQL, query
 from convocases.operators import blocks, cases as c, channels, context, messages as m, replies as r, segment
 from convocases.operators.blocks import Step
 from convocases.plans import pipeline, requests
+from convocases.sources.scratch import checkpointed
 
 ROWS = 48
 
@@ -80,6 +81,36 @@ def fallback_over_parts(spark, sf):
     return rows.select("channel_url", "case_index", "start_pos", "end_pos", "confidence")
 
 
+def answers_of(asked, truth):
+    """What a model would say that knows the true ranges, but only sees each request's own messages."""
+    seen = asked.select("request_id", "channel_url", "first_pos", "last_pos").join(truth, ["channel_url"])
+    seen = seen.where("start_pos <= last_pos and end_pos >= first_pos")
+    case = F.format_string(
+        '{"start_message": %d, "end_message": %d, "summary": "case from %d", "confidence": 0.75}',
+        F.greatest("start_pos", "first_pos"), F.least("end_pos", "last_pos"), F.col("start_pos"))
+    listed = F.sort_array(F.collect_list(F.struct("start_pos", case.alias("case"))))
+    content = F.concat(F.lit('{"complete_cases": ['), F.array_join(F.transform(listed, lambda c: c["case"]), ", "), F.lit("]}"))
+    return seen.groupBy("request_id").agg(content.alias("content")).withColumn("error", F.lit(None).cast("string"))
+
+
+@query("segment_with_overlapping_parts", sql("""
+SELECT channel_url, case_index, start_pos, end_pos, n_messages, false AS forced_ending, false AS forced_starting, 'case from ' || start_pos AS summary FROM m3_cases
+UNION ALL SELECT channel_url, k, CASE k WHEN 0 THEN 1 ELSE h + 1 END, CASE k WHEN 0 THEN h ELSE n END, CASE k WHEN 0 THEN h ELSE n - h END, false, false,
+  'case from ' || CASE k WHEN 0 THEN 1 ELSE h + 1 END
+FROM (SELECT channel_url, count(*) AS n, (count(*) + 1) // 2 AS h FROM m2 GROUP BY channel_url), (VALUES (0), (1)) t(k)""", "m3_cases", "m2"))
+def segment_with_overlapping_parts(spark, sf):
+    """A budget of 300 tokens, so that requests hold some seven messages: the cases are those of the whole transcript."""
+    halves = a.conv_sizes(a.m2(spark, sf)).select("channel_url", F.inline(F.expr(
+        "array(struct(1L as start_pos, h as end_pos), struct(h + 1 as start_pos, n as end_pos))")))
+    out = []
+    for feed, truth in ((a.m3(spark, sf), b.m3_rules(spark, sf).cases.select("channel_url", "start_pos", "end_pos")), (a.m2(spark, sf), halves)):
+        asked = checkpointed(requests.segmentation_requests(feed, budget=300, overlap=100))
+        cases = pipeline.segment_with_replies(feed, answers_of(asked, truth), requests=asked).cases
+        out.append(cases.select(
+            "channel_url", "case_index", "start_pos", "end_pos", "n_messages", "forced_ending", "forced_starting", "summary"))
+    return out[0].unionByName(out[1])
+
+
 @query("truncated_rows", sql(f"""
 , t AS (SELECT channel_url, message_id, sum(length({line('pos')}) // 4) OVER (PARTITION BY channel_url ORDER BY pos) AS running FROM m1_pos)
 SELECT channel_url, message_id, running <= 200 AS assigned, running <= 200 AND max(running) OVER (PARTITION BY channel_url) > 200 AS case_truncated FROM t""", "m1_pos"))

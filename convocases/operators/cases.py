@@ -114,9 +114,9 @@ def cases_of_boundaries(boundaries: DataFrame, positioned: DataFrame) -> DataFra
     """
     ranges = boundaries.select(*CASE, "start_pos", "end_pos")
     rows = cases_to_messages_range(ranges, positioned.select("channel_url", "pos", "created_time", "sender_id"))
-    truncated = [c for c in ("case_truncated",) if c in boundaries.columns]
-    labels = boundaries.select(*CASE, "channel_seq", "summary", "confidence", *truncated)
-    return with_summary(build_cases(rows, {}).join(labels, CASE))
+    given = [c for c in ("case_truncated", "forced_ending", "forced_starting") if c in boundaries.columns]
+    labels = boundaries.select(*CASE, "channel_seq", "summary", "confidence", *given)
+    return with_summary(build_cases(rows, {}).drop(*given).join(labels, CASE))
 
 
 def number_cases(cases: DataFrame, rows_per_block: int = CASES_PER_BLOCK) -> DataFrame:

@@ -236,6 +236,16 @@ def fallback() -> Column:
     return F.when(alone & (F.col("first_pos") > F.col("asked_from")), F.slice(F.array(case), 1, 0)).otherwise(F.array(case))
 
 
+def fallback_of_part() -> Column:
+    """Boundary structs of a request without usable reply, as a case of its own part."""
+    missing = F.col("status") == "missing"
+    return F.array(F.struct(
+        F.lit(0).cast("long").alias("case_index"), F.col("first_pos").alias("start_pos"), F.col("last_pos").alias("end_pos"),
+        F.when(missing, NO_REPLY_SUMMARY).otherwise(FAILED_SUMMARY).alias("summary"),
+        F.when(missing, NO_REPLY_CONFIDENCE).otherwise(FAILED_CONFIDENCE).alias("confidence"),
+    ))
+
+
 def _channel(joined: DataFrame) -> list[str]:
     return [c for c in ("channel_url", "channel_messages", "channel_seq", "case_truncated") if c in joined.columns]
 

@@ -6,7 +6,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from convocases.functions.text import parse_created_time
-from convocases.operators import cases as case_ops, classify, replies as reply_ops, reports, segment, stats
+from convocases.operators import cases as case_ops, classify, replies as reply_ops, reports, segment, stats, stitch
 from convocases.operators.blocks import Cuts
 from convocases.operators.channels import channel_counts, filter_channels
 from convocases.operators.messages import clean_messages, drop_untimed, message_cuts, message_positions
@@ -75,14 +75,18 @@ def segment_with_replies(
 ) -> Segmented:
     """Replies to boundaries (with fallbacks), range check, optional review rounds, cases, assignment.
 
-    Hand in the written `requests` the replies belong to, to spare building them again. The positions,
+    Hand in the written `requests` the replies belong to, to spare building them again. Replies to requests with an
+    overlap are stitched, so that the borders of parts cut no case. The positions,
     without the texts, are written once: case building and assignment both read them.
     """
     cuts = message_cuts(messages.where(F.col("created_time").isNotNull())) if cuts is None else cuts
     places = message_positions(messages, cuts)
     positioned = checkpointed(places.select("channel_url", "message_id", "pos", "created_time", "sender_id"))
     requests = request_ops.segmentation_requests(messages, cuts) if requests is None else requests
-    boundaries = reply_ops.valid_ranges(reply_ops.boundaries_of_replies(requests, replies))
+    if "overlap" in requests.columns:
+        boundaries = checkpointed(stitch.stitched(checkpointed(reply_ops.join_replies(requests, replies))))
+    else:
+        boundaries = reply_ops.valid_ranges(reply_ops.boundaries_of_replies(requests, replies))
     reviews = None
     if review is not None:
         boundaries, reviews = review_loop(boundaries, review)

@@ -57,16 +57,29 @@ def message_line(number: Column) -> Column:
 
 def transcript_parts(
     o: Ordered, number: str = "pos", budget: int = MAX_CONTEXT_TOKENS - RESERVE_TOKENS,
-    carry: Sequence[str] = (), token_expr: Callable[[Column], Column] = text.approx_tokens,
+    carry: Sequence[str] = (), token_expr: Callable[[Column], Column] = text.approx_tokens, overlap: int = 0,
 ) -> DataFrame:
     """Tagged text of each group in order, cut into parts of `budget` tokens.
 
-    Part 0 is the longest prefix within the budget; a later part exceeds it by one message at most.
+    Part 0 is the longest prefix within the budget; a later part exceeds it by one message at most. With `overlap`, in
+    tokens, a part begins so much before the end of the one before it; messages longer than that are not shared.
     """
+    if not 0 <= overlap <= budget // 2:
+        raise ValueError("overlap must be at least 0 and at most half of the budget")
     o = o._replace(rows=o.rows.withColumn("_line", message_line(F.col(number))))
     o = o._replace(rows=o.rows.withColumn("_tokens", token_expr(F.col("_line"))))
-    rows = blocks.finish(blocks.scan(o, _running=Step("sum", F.col("_tokens"))))
-    part = F.floor(F.greatest(F.col("_running") - 1, F.lit(0)) / budget).cast("int").alias("part")
+    running = Step("sum", F.col("_tokens"))
+    if overlap:
+        rows = blocks.finish(blocks.scan(o, _running=running, _whole=Step("total", F.col("_tokens"))))
+        own, zero = budget - overlap, F.lit(0).cast("long")
+        final = F.greatest(zero, F.ceil((F.col("_whole") - budget) / own))  # the part that reaches the end
+        first = F.greatest(zero, F.ceil((F.col("_running") - budget) / own))
+        last = F.least(F.floor(F.greatest(F.col("_running") - 1, zero) / own), final)
+        rows = rows.withColumn("_part", F.explode(F.sequence(F.least(first, last), last)))
+        part = F.col("_part").cast("int").alias("part")
+    else:
+        rows = blocks.finish(blocks.scan(o, _running=running))
+        part = F.floor(F.greatest(F.col("_running") - 1, F.lit(0)) / budget).cast("int").alias("part")
     lines = F.sort_array(F.collect_list(F.struct(F.col(number).alias("n"), "_line")))
     return rows.groupBy(*o.keys, part).agg(
         *(F.min(c).alias(c) for c in carry),
@@ -95,8 +108,13 @@ def as_requests(parts: DataFrame, call_type: str, id_columns: Sequence[Column],
 def segmentation_requests(
     messages: DataFrame, cuts: Cuts | None = None, overflow: str = "parts", task: str = SEGMENT_TASK, **options
 ) -> DataFrame:
-    """One request per channel and part; `overflow='truncate'` keeps only what fits the first part."""
+    """One request per channel and part; `overflow='truncate'` keeps only what fits the first part.
+
+    With `overlap`, in tokens, neighbouring parts share messages, and the replies are stitched so that cases cross them.
+    """
     parts = format_transcript(messages, cuts, **options)
+    if options.get("overlap"):
+        parts = parts.withColumn("overlap", F.lit(options["overlap"]))
     if overflow == "truncate":
         parts = parts.where(F.col("part") == 0)
     elif overflow != "parts":
