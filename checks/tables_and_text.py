@@ -1,6 +1,6 @@
 """Queries: sources and sinks, column functions, filters."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from checks import adapters as a, bases as b
 from checks.ctes import band, clean, fixed, line, percent_label, sql
@@ -29,6 +29,46 @@ def scan_messages_csv(spark, sf):
     )
 
 
+def with_splits(spark, size, read):
+    """What `read` gives where splits hold so many bytes, the borders of records being found at once."""
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k in settings:
+            spark.conf.set(k, size)
+        return read()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@query("scan_messages_csv_in_splits", sql("""
+SELECT channel_url, message_id, message, row_number() OVER (PARTITION BY channel_url ORDER BY turn) AS nth, false AS malformed FROM (
+  SELECT channel_url, message_id, turn, CASE turn % 3 WHEN 0 THEN text || chr(10) || '"' || text || '"' || chr(10) || ',' WHEN 1 THEN '"' || text ELSE text END AS message
+  FROM m1_raw)""", "m1_raw"))
+def scan_messages_csv_in_splits(spark, sf):
+    """Cells with line breaks, commas and quotes in files of many splits of 4 KB: records and their order stay."""
+    path = new_path(spark, "export")
+    rows = a.m1_raw(spark, sf).withColumn("message", F.expr(
+        "case (ingest_seq % 1000) % 3 when 0 then message || '\n\"' || message || '\"\n,' when 1 then '\"' || message else message end"))
+    ordered = rows.repartitionByRange(3, "ingest_seq").sortWithinPartitions("ingest_seq").drop("ingest_seq")
+    sinks.write_messages(ordered.withColumnsRenamed(SOURCE), path, "csv")
+    found = with_splits(spark, "4k", lambda: readers.read_messages(spark, path))
+    nth = F.row_number().over(Window.partitionBy("channel_url").orderBy("ingest_seq"))
+    return found.select("channel_url", "message_id", "message", nth.cast("long").alias("nth"), F.col(readers.MALFORMED).isNotNull().alias("malformed"))
+
+
+@query("load_raw_table_numbered", sql("""
+SELECT channel_url, message_id, row_number() OVER (PARTITION BY channel_url ORDER BY ingest_seq, message_id) AS nth FROM m3""", "m3"))
+def load_raw_table_numbered(spark, sf):
+    """A compressed table in ingest order whose numbers are gone: the reader numbers its rows in that order."""
+    path = new_path(spark, "raw")
+    order = ["channel_url", "ingest_seq", "message_id"]
+    a.m3(spark, sf).repartitionByRange(3, *order).sortWithinPartitions(*order).drop("ingest_seq").write.parquet(path)
+    nth = F.row_number().over(Window.partitionBy("channel_url").orderBy("ingest_seq"))
+    return readers.load_raw_table(spark, path).select("channel_url", "message_id", nth.cast("long").alias("nth"))
+
+
 @query("load_messages", sql("""
 SELECT channel_url, message_id, created_time, message, (ingest_seq % 1000)::VARCHAR AS round_1, type || '!' AS round_note, 2::BIGINT AS rounds
 FROM x1 WHERE created_time IS NOT NULL""", "x1"))

@@ -1,6 +1,7 @@
 """Readers and sinks: malformed files, round trips, label write-back."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from convocases.operators import stats
 from convocases.operators.cases import cases_of_boundaries, number_cases
 from convocases.operators.messages import message_positions
-from convocases.sources import readers, sinks
+from convocases.sources import readers, records, sinks
 from convocases.sources.scratch import new_path
 
 HEADER = "Created Time,Sender ID,Message,Message ID,Type,Channel URL,Sender Type,extra\n"
@@ -87,3 +88,85 @@ def test_ingest_seq_follows_file_names_not_sizes(spark, tmp_path):
         rows = readers.read_messages(spark, str(tmp_path), multi_line).orderBy("ingest_seq").collect()
         assert [r.message_id for r in rows] == sorted(r.message_id for r in rows) and len(rows) == 4008
         assert len({r.ingest_seq for r in rows}) == 4008
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of some dozens of bytes, so that records, cells and quotes lie across their borders."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in before:
+        spark.conf.set(k, "61b")
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def in_one_task(spark, path, names):
+    """The same file read by one task of Spark's CSV source."""
+    rows = spark.read.csv(str(path), header=True, schema=", ".join(f"`{n}` string" for n in (*names, "_malformed")), multiLine=True, quote='"', escape='"',
+                          mode="PERMISSIVE", columnNameOfCorruptRecord="_malformed", enforceSchema=True)
+    return [tuple(r) for r in rows.na.fill("", names).collect()]
+
+
+def cell(r):
+    kind = r.random()
+    if kind < 0.4:
+        return "".join(r.choice(["a", "bc", " ", "é", "😀", "x\"y"]) for _ in range(r.randint(0, 4))).lstrip('"')
+    inner = "".join(r.choice(["a", "\n", '""', ",", "\n\n", " word ", '"",""', "é", "\n,\n"]) for _ in range(r.randint(0, 9)))
+    return f'"{inner}"'
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_across_splits_equal_one_task(small_splits, tmp_path, end):
+    spark, names = small_splits, ["Message ID", "Channel URL", "Message", "n o"]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for seed in range(3):
+        r = random.Random(seed)
+        rows = [",".join([f"m{seed}-{i}", cell(r), cell(r), cell(r)][:r.choice([4] * 8 + [2, 3]) ] + ["more"] * (r.random() < 0.1)) for i in range(120)]
+        rows[50] = 'big,"' + "line with, comma and \"\"quotes\"\"\n" * 40 + '",z,"end"'  # one cell over many splits
+        text = ",".join(names) + "\n" + "\n".join(rows) + "\n" * (seed != 1)
+        (folder / f"f{seed}.csv").write_bytes(text.replace("\n", end).encode())
+    found = readers.read_messages(spark, str(folder)).orderBy("ingest_seq")
+    assert found.columns == ["message_id", "channel_url", "message", "n o", "_malformed", "ingest_seq"]
+    got = [tuple(r)[:5] for r in found.collect()]
+    want = [row for seed in range(3) for row in in_one_task(spark, folder / f"f{seed}.csv", names)]
+    want = [(*row[:4], row[4] and row[4].replace("\r\n", "\n")) for row in want]  # line ends are LF inside records
+    assert len(got) == 360 and got == want
+    assert len({x.ingest_seq for x in found.collect()}) == 360
+    parts = records.placed_lines(spark, str(folder)).select("_file", "_block").distinct().count()
+    assert parts > 100
+
+
+def test_records_of_odd_files(small_splits, tmp_path):
+    spark, names = small_splits, ["a", "b"]
+    files = {"empty": "a,b\n", "breaks": 'a,b\n\n1,2\n\n\n"3\n\n4",5\n\n', "no_end": 'a,b\n1,"2\n3"', "quoted_header": '"a","b"\n"1","x"\n',
+             "wide": "a,b\n" + '"' + "q" * 5_000 + '\n",1\n' + "z" * 3_000 + ",2\n", "cells": "a,b\n" + '"",""\n' * 50 + ",\n" + '" ",x\n'}
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+        path = tmp_path / f"{name}.csv"
+        got = [tuple(r)[:3] for r in readers.read_messages(spark, str(path)).orderBy("ingest_seq").collect()]
+        assert got == in_one_task(spark, path, names), name
+
+
+def test_many_quotes_in_a_line_need_no_stack(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n" + '"' + '""' * 60_000 + '\n"' + "," + "y\n" + "c," * 1 + '"' + '"",' * 60_000 + '"\n', encoding="utf-8")
+    rows = readers.read_messages(spark, str(tmp_path / "x.csv")).orderBy("ingest_seq").collect()
+    assert [(len(r.a), len(r.b), r._malformed) for r in rows] == [(60_001, 1, None), (1, 120_000, None)]
+
+
+def test_row_numbers_of_compressed_tables(spark):
+    """Far more rows than bytes, and splits of a few row groups: every row has a number of its own, in file order."""
+    path = new_path(spark, "t")
+    rows = spark.range(600_000, numPartitions=2).selectExpr("cast(id div 300000 as string) as channel_url", "'x' as message", "id")
+    rows.write.option("parquet.block.size", "65536").option("parquet.block.row.count.limit", "20000").parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = readers.load_raw_table(spark, path)
+        seen = found.agg(F.countDistinct("ingest_seq"), F.corr("ingest_seq", "id"), F.min("ingest_seq")).first()
+        assert seen[0] == 600_000 and seen[2] == 0
+        one = found.where("channel_url = '0'").agg(F.max("ingest_seq"), F.sum(F.abs(F.col("ingest_seq") - F.col("id")))).first()
+        assert tuple(one) == (299_999, 0)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
