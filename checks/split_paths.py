@@ -111,6 +111,25 @@ def segment_with_overlapping_parts(spark, sf):
     return out[0].unionByName(out[1])
 
 
+@query("assign_nested_cases", sql("""
+, k AS (SELECT channel_url, n, channel_seq, unnest(range(1, n // 2 + 1)) AS i FROM (SELECT channel_url, max(n) AS n, min(channel_seq) AS channel_seq FROM m2_pos GROUP BY 1)),
+numbered AS (SELECT channel_url, i, printf('CASE_%04d', row_number() OVER (ORDER BY channel_seq, channel_url, i)) AS case_number FROM k)
+SELECT p.channel_url, p.message_id, coalesce(case_number, '') AS case_number
+FROM m2_pos p LEFT JOIN numbered c ON c.channel_url = p.channel_url AND c.i = least(pos, n + 1 - pos, n // 2)""", "m2_pos"))
+def assign_nested_cases(spark, sf):
+    """Cases of which each lies inside the one before, half as many as messages: the last one that holds a message wins."""
+    feed = a.m2(spark, sf)
+    positioned = checkpointed(m.message_positions(feed))
+    sizes = positioned.groupBy("channel_url").agg(F.count(F.lit(1)).alias("n"), F.min("ingest_seq").alias("channel_seq"))
+    ranges = sizes.select("channel_url", "channel_seq", "n", F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("n") / 2))).alias("start_pos"))
+    nested = ranges.select(
+        "channel_url", "channel_seq", (F.col("start_pos") - 1).alias("case_index"), "start_pos", (F.col("n") + 1 - F.col("start_pos")).alias("end_pos"),
+        F.lit(None).cast("timestamp").alias("start_time"), F.lit(None).cast("timestamp").alias("end_time"), F.lit(0.0).alias("duration_minutes"),
+        F.lit(0.5).alias("confidence"), F.lit("").alias("summary"), F.lit(False).alias("forced_ending"), F.lit(False).alias("forced_starting"))
+    done = c.assign_cases(feed, c.number_cases(checkpointed(nested)), positioned)
+    return done.select("channel_url", "message_id", "case_number")
+
+
 @query("truncated_rows", sql(f"""
 , t AS (SELECT channel_url, message_id, sum(length({line('pos')}) // 4) OVER (PARTITION BY channel_url ORDER BY pos) AS running FROM m1_pos)
 SELECT channel_url, message_id, running <= 200 AS assigned, running <= 200 AND max(running) OVER (PARTITION BY channel_url) > 200 AS case_truncated FROM t""", "m1_pos"))

@@ -218,16 +218,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = ROWS_PER_BLOCK)
 
 def join_spread(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-    spread: Sequence[str] = (), hot_rows: int = ROWS_PER_BLOCK,
+    spread: Sequence[str] = (), hot_rows: int = ROWS_PER_BLOCK, hot: list | None = None,
 ) -> DataFrame:
     """Equi-join whose left side may hold a hot key: hot keys are dealt into shares by the `spread` columns.
 
+    Callers that know the sizes of keys hand in `hot`, rows of keys and `_shares`, which spares a pass over the left side.
+
     Only the right rows of hot keys are copied, once per share. `spread` has to tell the rows of one key
     apart and must not change when a task is run again; the default is every other left column that can be hashed.
     """
     keys = list(keys)
     added = [] if how == "left_semi" else [c for c in right.columns if c not in keys]
-    hot = hot_keys(left, keys, hot_rows)
+    hot = hot_keys(left, keys, hot_rows) if hot is None else hot
     if not hot:
         return left.join(right, keys, how).select(*left.columns, *added)
     spark = left.sparkSession

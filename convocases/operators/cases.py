@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from convocases.functions import text
-from convocases.operators import blocks
+from convocases.operators import blocks, intervals
 from convocases.operators.blocks import ROWS_PER_BLOCK, Step, join_spread
 from convocases.sources.scratch import checkpointed
 
@@ -154,8 +154,9 @@ def with_case_defaults(df: DataFrame) -> DataFrame:
 def assign_cases(messages: DataFrame, cases: DataFrame, positioned: DataFrame) -> DataFrame:
     """Case columns on every message; the last case wins, rows without a case get defaults.
 
-    The match is by (channel, message id), so copies of an id in one channel share its last case. Only numbers of
-    cases move with the ranges; the texts come in by case at the end, where a hot case is dealt into shares.
+    The match is by (channel, message id), so copies of an id in one channel share its last case. Overlapping ranges
+    become disjoint intervals first, so each message meets one number however many cases hold it. Only numbers of cases
+    move with the intervals; the texts come in by case at the end, where a hot case is dealt into shares.
     """
     columns = {
         "case_number": "case_number", "start_time": "case_start_time", "end_time": "case_end_time",
@@ -165,14 +166,17 @@ def assign_cases(messages: DataFrame, cases: DataFrame, positioned: DataFrame) -
     if "case_truncated" in cases.columns:
         columns["case_truncated"] = "case_truncated"
     nth = case_order(F.col("case_number")).alias("_nth_case")
-    rows = cases_to_messages_range(
-        cases.select("channel_url", "start_pos", "end_pos", nth), positioned.select("channel_url", "message_id", "pos"))
+    ranges = intervals.disjoint(cases.select("channel_url", "start_pos", "end_pos", nth), "_nth_case")
+    rows = cases_to_messages_range(ranges, positioned.select("channel_url", "message_id", "pos"))
     last = rows.groupBy("channel_url", "message_id").agg(F.max("_nth_case").alias("_nth_case"))
     left = messages.drop(*CASE_DEFAULTS)
     spread = [c for c in ("ingest_seq", "created_time") if c in left.columns]
     numbered = join_spread(left, last, ["channel_url", "message_id"], spread=spread)
     labels = cases.select(nth, *(F.col(a).alias(b) for a, b in columns.items()))
-    labelled = join_spread(numbered, labels, ["_nth_case"], spread=["message_id", *spread])
+    length = F.col("end_pos") - F.col("start_pos") + 1  # a case labels no more messages than it spans
+    shares = (F.floor(length / ROWS_PER_BLOCK) + 1).cast("int").alias("_shares")
+    large = cases.where(length >= ROWS_PER_BLOCK).select(nth, shares).orderBy(F.desc("_shares")).limit(blocks.MAX_CUTS).collect()
+    labelled = join_spread(numbered, labels, ["_nth_case"], spread=["message_id", *spread], hot=large)
     return with_case_defaults(labelled.drop("_nth_case"))
 
 
