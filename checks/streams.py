@@ -6,7 +6,9 @@ from checks import adapters as a, bases as b
 from checks.ctes import sql
 from checks.registry import query
 from convocases.sources.scratch import new_path
-from convocases.streaming import live, queue
+from convocases.streaming import live, queue, slices
+
+FILES = 4
 
 
 def as_stream(spark, df, files: int = 1, per_batch: int = 1):
@@ -16,9 +18,6 @@ def as_stream(spark, df, files: int = 1, per_batch: int = 1):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
-FILES = 4
-
-
 def in_time_order(spark, df, batches: int):
     """The timed rows as a feed of micro-batches of FILES files, cut at times; a batch is written after the one before."""
     df = df.where("created_time is not null")
@@ -57,12 +56,24 @@ SELECT channel_url, min(created_time) AS start_time, max(created_time) AS end_ti
 @query("stream_sessions", sql(SESSIONS, "m2_rule"))
 def stream_sessions(spark, sf):
     """Sessions of the event stream; one copied row, set far ahead, moves the watermark past them all."""
-    rows = a.m2(spark, sf)
+    stream = as_stream(spark, with_one_ahead(a.m2(spark, sf)))
+    return drained(spark, live.stream_sessions(stream)).where("channel_url <> 'ahead'")
+
+
+def with_one_ahead(rows):
     ahead = rows.orderBy("ingest_seq").limit(1).withColumns({
         "channel_url": F.lit("ahead"), "created_time": F.expr("created_time + interval 400 days"),
     })
-    stream = as_stream(spark, rows.unionByName(ahead))
-    return drained(spark, live.stream_sessions(stream)).where("channel_url <> 'ahead'")
+    return rows.unionByName(ahead)
+
+
+@query("stream_sessions_in_slices", sql(SESSIONS, "m2_rule"))
+def stream_sessions_in_slices(spark, sf):
+    """The same by slices of an hour, from several files."""
+    for name, value in queue.STATE_STORE.items():
+        spark.conf.set(name, value)
+    stream = as_stream(spark, with_one_ahead(a.m2(spark, sf)), FILES, FILES)
+    return drained(spark, slices.stream_sessions_in_slices(stream)).where("channel_url <> 'ahead'")
 
 
 @query("sessions", sql(SESSIONS, "m2_rule"))

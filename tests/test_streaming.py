@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from convocases.operators.cases import cases_of_segments
 from convocases.operators.segment import Rules, force_boundaries, segment_by_rules
 from convocases.sources.scratch import new_path
-from convocases.streaming import live, queue
+from convocases.streaming import live, queue, slices
 
 MINUTES = [0, 5, 9, 400, 405, 3000, 3001, 3002, 3003, 3004, 3005, 9000, 9100]
 
@@ -163,3 +163,23 @@ def test_keyed_queue_forced_cuts_and_nothing_to_read(keyed, chat):
     got = feed.run(messages.where("false"), messages)
     assert sorted(c for c in got if c[0]) == want and sum(c[9] for c in got) == 6
     assert [c[1:4] for c in got if c[0] is None] == [(0, 1, 1)]
+
+
+def test_sessions_in_slices(keyed, chat):
+    """A channel with most of the feed, sessions over many slices, out of order within the lateness, several batches."""
+    r = random.Random(9)
+    minutes = sorted(r.choice([r.uniform(0, 3_000), r.uniform(5_000, 5_100), 240 * r.randint(0, 30)]) for _ in range(400))
+    rows = [("hot", m, "x") for m in minutes] + [(ch, m, "x") for ch in ("a", "b") for m in MINUTES] + [("ahead", 600_000, "x")]
+    messages = chat(rows)
+    timed = messages.where("channel_url <> 'ahead'")
+    parts = [timed.where(f"pmod(hash(message_id), 3) = {i}") for i in range(3)] + [messages.where("channel_url = 'ahead'")]
+    path = new_path(keyed, "feed")
+    for part in parts:
+        part.repartition(2, "message_id").write.mode("append").parquet(path)
+        time.sleep(1.1)
+    stream = keyed.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    got = drain(keyed, slices.stream_sessions_in_slices(stream, late="10 days", slice_minutes=45)).collect()
+    want = live.sessions(timed).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) > 8
+    with pytest.raises(ValueError):
+        slices.stream_sessions_in_slices(stream, gap_hours=0.5)
