@@ -325,6 +325,37 @@ def pair_coherence(spark, sf):
     return rows.select("label", "vec_id", "coherence", "candidate_boundary")
 
 
+COHERENCE = """
+WITH v AS (SELECT 'label_' || label AS channel_url, vec_id, embedding, lag(embedding) OVER (PARTITION BY label ORDER BY vec_id) AS prev FROM embeddings),
+c AS (SELECT channel_url, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], prev::DOUBLE[]), 6) AS coherence FROM v),
+f AS (SELECT *, CASE WHEN coalesce(lag(coherence) OVER w < coherence, true) THEN coherence END AS l,
+  CASE WHEN coalesce(lead(coherence) OVER w < coherence, true) THEN coherence END AS r FROM c WINDOW w AS (PARTITION BY channel_url ORDER BY vec_id)),
+d AS (SELECT channel_url, vec_id, coherence, CASE WHEN coherence IS NOT NULL THEN
+  round(last_value(l IGNORE NULLS) OVER (PARTITION BY channel_url ORDER BY vec_id ROWS UNBOUNDED PRECEDING)
+    + last_value(r IGNORE NULLS) OVER (PARTITION BY channel_url ORDER BY vec_id DESC ROWS UNBOUNDED PRECEDING) - 2 * coherence, 6) END AS depth FROM f)
+"""
+
+
+@query("coherence_depth", COHERENCE + "SELECT * FROM d")
+def coherence_depth(spark, sf):
+    rows = a.f8_vectors(spark, sf).withColumn("channel_url", F.format_string("label_%d", "label"))
+    return context.coherence_depth(rows, ["channel_url"], ["vec_id"]).select("channel_url", "vec_id", "coherence", "depth")
+
+
+@query("segment_by_coherence", COHERENCE + """
+, m AS (SELECT channel_url, vec_id, CASE WHEN row_number() OVER (PARTITION BY channel_url ORDER BY vec_id) = 1 THEN 1 WHEN depth >= 0.6 THEN 6 END AS rule FROM d)
+SELECT channel_url, vec_id, rule, (sum(CASE WHEN rule IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY channel_url ORDER BY vec_id ROWS UNBOUNDED PRECEDING) - 1)::BIGINT AS case_index,
+  CASE rule WHEN 1 THEN 0.9 WHEN 6 THEN 0.4 END::DOUBLE AS boundary_confidence FROM m""")
+def segment_by_coherence(spark, sf):
+    """Cases of vectors, one a minute, where only a fall of coherence opens a new one."""
+    rows = a.f8_vectors(spark, sf).withColumns({
+        "channel_url": F.format_string("label_%d", "label"), "created_time": F.timestamp_seconds(F.lit(1704067200) + 60 * F.col("vec_id")),
+        "ingest_seq": F.col("vec_id"), "message_id": F.col("vec_id").cast("string"), "message": F.lit("")})
+    deep = context.coherence_depth(rows, ["channel_url"], ["vec_id"])
+    found = segment.segment_by_rules(deep, rules=segment.Rules(depth=0.6, session_hours=10_000, day_hours=10_000))
+    return found.select("channel_url", "vec_id", F.col("rule").cast("int").alias("rule"), "case_index", "boundary_confidence")
+
+
 @query("case_head", sql("""
 SELECT case_number, message_id, case_pos, greatest(k - 4, 0) AS remaining FROM (
   SELECT *, row_number() OVER (PARTITION BY case_number ORDER BY created_time, ingest_seq, message_id) AS case_pos, count(*) OVER (PARTITION BY case_number) AS k FROM m3_labelled)

@@ -82,3 +82,33 @@ def pair_coherence(
     out = blocks.finish(o).withColumn("coherence", value)
     candidate = F.coalesce(F.col("coherence") < threshold, F.lit(False))
     return out.withColumn("candidate_boundary", candidate).drop("_previous")
+
+
+def coherence_depth(
+    rows: DataFrame, keys: list[str], order: list[str], vector: str = "embedding", rows_per_block: int = blocks.ROWS_PER_BLOCK,
+) -> DataFrame:
+    """`coherence` with the row before, and `depth`: how far it falls below the peaks on both sides.
+
+    A peak is where the coherence stops to rise when one goes away from a row, so a single low value in a coherent
+    stretch is deep, and one in a stretch of low values is not. Coherence counts to six places. The first row of a group,
+    and a row without a vector or after one, has neither; others climb past it. One scan goes forward and one back.
+    """
+    cuts = blocks.find_cuts(rows, keys, order, rows_per_block)
+    o = blocks.in_blocks(rows, keys, order, cuts)
+    o = blocks.scan(o, _previous=Step("lag", F.col(vector)), _place=Step("row_number"), _length=Step("count"))
+    o = o._replace(rows=o.rows.withColumn("coherence", F.round(text.cosine(F.col(vector), F.col("_previous")), 6)).drop("_previous"))
+
+    def peak(o: blocks.Ordered, name: str) -> blocks.Ordered:
+        """The value at which a climb against the order ends."""
+        o = blocks.scan(o, _near=Step("last", F.col("coherence")))
+        foot = F.when(F.col("_near").isNull() | (F.col("_near") < F.col("coherence")), F.col("coherence"))
+        o = o._replace(rows=o.rows.withColumn("_foot", foot))
+        o = blocks.scan(o, _climbed=Step("last", F.col("_foot")))
+        return o._replace(rows=o.rows.withColumn(name, F.coalesce("_foot", "_climbed")).drop("_near", "_foot", "_climbed"))
+
+    forward = blocks.finish(peak(o, "_left")).withColumn("_back", F.col("_length") - F.col("_place") + 1)
+    back = blocks.by_place(forward, keys, "_back", F.col("_back"), F.col("_length"), bool(cuts.rows))
+    back = back._replace(null_keys=o.null_keys)
+    out = blocks.finish(peak(back, "_right"))
+    depth = F.round(F.col("_left") + F.col("_right") - 2 * F.col("coherence"), 6)
+    return out.withColumn("depth", F.when(F.col("coherence").isNotNull(), depth)).drop("_left", "_right", "_place", "_length", "_back")

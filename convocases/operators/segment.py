@@ -19,6 +19,7 @@ class Rules(NamedTuple):
     cue_pattern: str = CUE_PATTERN
     session_hours: float = SESSION_HOURS
     day_hours: float = DAY_HOURS
+    depth: float | None = None  # with a column `depth`: least fall of coherence that opens a case
 
 
 def first_match(text: Column, pattern: str) -> Column:
@@ -63,6 +64,8 @@ def opening(rules: Rules) -> dict[str, Column]:
         (4, (gap > session) & (gap <= day) & ~same & (cue | other_day), 0.6),
         (5, (gap <= session) & cue & ~same, 0.5),
     )
+    if rules.depth is not None:
+        lines += ((6, F.coalesce(F.col("depth") >= rules.depth, F.lit(False)) & ~same, 0.4),)
     rule, confidence = F.lit(None).cast("int"), F.lit(None).cast("double")
     for number, holds, score in reversed(lines):
         rule = F.when(holds, number).otherwise(rule)
@@ -73,6 +76,7 @@ def opening(rules: Rules) -> dict[str, Column]:
 def segment_by_rules(messages: DataFrame, cuts: Cuts | None = None, rules: Rules = Rules()) -> DataFrame:
     """Messages with `pos`, `channel_seq`, the rule that opens a case, and the case's `case_index` (from 0).
 
+    With `rules.depth`, messages that carry a `depth` (of `context.coherence_depth`) also open a case where it is as large.
     Both scans run on one exchange by channel (and block).
     """
     o = in_channel_order(drop_untimed(messages), cuts)
