@@ -3,6 +3,8 @@
 They have the SQL of the same operators with their usual limits: results must not depend on where groups are cut.
 """
 
+import time
+
 from pyspark.sql import functions as F
 
 from checks import adapters as a, bases as b, stats_and_order, tables_and_text  # noqa: F401
@@ -154,6 +156,24 @@ def map_requests_one_raises(spark, sf):
     return replies.select("request_id", (F.col("error") == "ValueError: no").isNotNull().alias("failed"))
 
 
+def slow_and_brittle(request):
+    """A stand-in for a model that takes some milliseconds for a request and refuses some."""
+    time.sleep(0.005)
+    if request["channel_url"].endswith("_7"):
+        raise ValueError("no")
+    return {"content": str(len(request["prompt"])), "input_tokens": request["prompt_tokens"]}
+
+
+@query("map_requests_in_flight", sql("""
+SELECT 'segment:' || channel_url || ':0' AS request_id, channel_url LIKE '%\\_7' ESCAPE '\\' AS failed, channel_url NOT LIKE '%\\_7' ESCAPE '\\' AS answered
+FROM m1_pos GROUP BY channel_url""", "m1_pos"))
+def map_requests_in_flight(spark, sf):
+    """Sixteen calls at once in each of two tasks, at a shared rate: a row for every request, errors where they belong."""
+    replies = requests.call_requests(b.m1_requests(spark, sf), slow_and_brittle, tasks=2, in_flight=16, tokens_per_minute=30_000_000)
+    return replies.select(
+        "request_id", (F.col("error") == "ValueError: no").isNotNull().alias("failed"), (F.col("input_tokens") > 0).isNotNull().alias("answered"))
+
+
 @query("channel_stats_reviewed", sql("""
 , per AS (SELECT channel_url, any_value(v) AS v, count(*) AS reviewed FROM r2 GROUP BY 1),
 found AS (SELECT channel_url, count(*) AS k, sum(confidence::DOUBLE) AS cs FROM refined GROUP BY 1)

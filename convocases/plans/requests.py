@@ -4,7 +4,9 @@ Request texts are bounded: a channel or case beyond the token budget is asked in
 its own messages and the numbering of the whole.
 """
 
+import time
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -201,6 +203,73 @@ def map_requests(
     return dealt.mapInPandas(call, REPLY_SCHEMA)
 
 
+class Pace:
+    """Starts of calls so far apart that `tokens_per_minute` are not exceeded on the long run; no limit without it."""
+
+    def __init__(self, tokens_per_minute: float | None):
+        self.seconds = 60 / tokens_per_minute if tokens_per_minute else 0.0
+        self.free = time.monotonic()
+
+    def wait(self, tokens: float) -> None:
+        now = time.monotonic()
+        start = max(now, self.free)
+        self.free = start + tokens * self.seconds
+        if start > now:
+            time.sleep(start - now)
+
+
+def call_requests(
+    requests: DataFrame, fn: Callable[[dict], dict | str], tasks: int, in_flight: int = 16,
+    tokens_per_minute: float | None = None, tokens: str = "prompt_tokens", slice_rows: int = 100,
+) -> DataFrame:
+    """Reply table from a callable that takes one request and waits for its answer, with many calls under way at once.
+
+    `fn` gets a request as a dict of its columns and returns the content, or a dict with `content` and other reply
+    columns. Each of `tasks` tasks keeps up to `in_flight` calls open on threads of its own, so a slow call holds up none
+    of the others, and reads on only as calls end. `tokens_per_minute` is a budget for the whole job: each task starts
+    its calls at its share of it, by the requests' column `tokens`, and the shares add up to the budget however many of
+    the tasks run at once. Every request gets one row; if `fn` raises or returns no content, that row has the error.
+    Write or checkpoint the result before reading it twice: each evaluation calls `fn` again.
+    """
+    kinds = dict(part.split() for part in REPLY_SCHEMA.split(", "))
+    share = tokens_per_minute / tasks if tokens_per_minute else None
+
+    def ask(request: dict) -> dict:
+        begun = time.monotonic()
+        try:
+            answer = fn(request)
+            row = dict(answer) if isinstance(answer, dict) else {"content": answer}
+            if row.get("content") is None and row.get("error") is None:
+                row["error"] = "no reply"
+        except Exception as problem:  # a failed call is a row, not a failed job
+            row = {"error": f"{type(problem).__name__}: {problem}"}
+        return {"seconds": time.monotonic() - begun, **row, "request_id": request["request_id"]}
+
+    def table(rows: list[dict]) -> pd.DataFrame:
+        frame = pd.DataFrame(rows).reindex(columns=list(kinds))
+        return pd.DataFrame({n: nullable(frame[n], kind) for n, kind in kinds.items()})
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pace, under_way, done = Pace(share), set(), []
+        with ThreadPoolExecutor(in_flight) as pool:
+            for batch in batches:
+                for request in batch.to_dict("records"):
+                    if len(under_way) == in_flight:
+                        ended, under_way = wait(under_way, return_when=FIRST_COMPLETED)
+                        done += [f.result() for f in ended]
+                    if share:
+                        pace.wait(float(request[tokens]))
+                    under_way.add(pool.submit(ask, request))
+                    if len(done) >= slice_rows:
+                        yield table(done)
+                        done = []
+            done += [f.result() for f in under_way]
+        if done:
+            yield table(done)
+
+    return requests.repartition(tasks, "request_id").mapInPandas(call, REPLY_SCHEMA)
+
+
 def retry_failed_requests(
     requests: DataFrame, replies: DataFrame, fns: Sequence[Callable], concurrency: int | None = None
 ) -> DataFrame:

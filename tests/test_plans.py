@@ -1,5 +1,8 @@
 """Requests, the model seam, and whole runs."""
 
+import os
+import time
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -200,3 +203,44 @@ def test_run_on_a_labelled_table_and_without_columns(spark):
     names = ["message_id", "case_number", "case_summary", "category"]
     assert sorted(map(tuple, again.select(*names).collect())) == sorted(map(tuple, first.select(*names).collect()))
     assert {r.channel_url for r in pipeline.run_pipeline(raw, skip_classify=True, channels=["c1"]).messages.collect()} == {"c1"}
+
+
+def most_at_once(spans):
+    edges = sorted([(start, 1) for start, _ in spans] + [(end, -1) for _, end in spans])
+    at, most = 0, 0
+    for _, step in edges:
+        at += step
+        most = max(most, at)
+    return most
+
+
+def test_calls_in_flight(spark):
+    """50 ms a call, 16 at once in each of two tasks, one slow call, some errors: one row each, soon and within bounds."""
+    asked = spark.range(320).selectExpr("'r' || id as request_id", "'p' as prompt", "id", "10L as prompt_tokens")
+
+    def fn(request):
+        start = time.time()
+        time.sleep(1.0 if request["id"] == 3 else 0.05)
+        if request["id"] % 40 == 7:
+            raise ValueError(f"no {request['id']}")
+        return None if request["id"] == 100 else f"{os.getpid()} {start} {time.time()}"
+
+    rows = requests.call_requests(asked, fn, tasks=2, in_flight=16).collect()
+    assert len(rows) == 320 and len({r.request_id for r in rows}) == 320
+    assert {r.request_id: r.error for r in rows if r.error} == {**{f"r{i}": f"ValueError: no {i}" for i in range(7, 320, 40)}, "r100": "no reply"}
+    tasks = {}
+    for r in rows:
+        if r.content:
+            pid, start, end = r.content.split()
+            tasks.setdefault(pid, []).append((float(start), float(end)))
+    for spans in tasks.values():
+        assert 8 <= most_at_once(spans) <= 16
+        assert max(e for _, e in spans) - min(s for s, _ in spans) < 0.05 * len(spans) / 3 + 1  # not one after the other
+
+
+def test_calls_share_a_rate(spark):
+    asked = spark.range(60).selectExpr("'r' || id as request_id", "'p' as prompt", "100L as prompt_tokens")
+    rows = requests.call_requests(asked, lambda request: {"content": str(time.time())}, tasks=3, tokens_per_minute=180_000).collect()
+    times = sorted(float(r.content) for r in rows)
+    assert len(times) == 60 and times[-1] - times[0] > 1.0  # 6,000 tokens at 3,000 a second, the tasks being of about the same size
+    assert requests.call_requests(asked.where("false"), lambda request: "x", tasks=2).count() == 0
