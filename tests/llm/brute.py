@@ -70,16 +70,16 @@ def exact(rows: list[tuple[int, str | None]]) -> list[tuple]:
     return out
 
 
-def shingles(text: str | None) -> set:
+def shingles(text: str | None, size: int = 4) -> set:
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
         return set()
-    return {tuple(words[i:i + 4]) for i in range(len(words) - 3)} or {tuple(words)}
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)} or {tuple(words)}
 
 
-def near(rows: list[tuple[int, str | None]]) -> dict[int, tuple]:
+def near(rows: list[tuple[int, str | None]], size: int = 4) -> dict[int, tuple]:
     """doc_id: n_shingles, component_id, kept"""
-    sets = {doc_id: shingles(text) for doc_id, text in rows}
+    sets = {doc_id: shingles(text, size) for doc_id, text in rows}
     at = {doc_id: doc_id for doc_id in sets}
 
     def top(x):
