@@ -12,7 +12,7 @@ from checks.ctes import line, sql
 from checks.registry import SQL, query
 from convocases.operators import blocks, cases as c, channels, context, messages as m, replies as r, segment
 from convocases.operators.blocks import Step
-from convocases.plans import pipeline, requests
+from convocases.plans import frontier, pipeline, requests
 from convocases.sources.scratch import checkpointed
 
 ROWS = 48
@@ -174,6 +174,20 @@ def map_requests_in_flight(spark, sf):
         "request_id", (F.col("error") == "ValueError: no").isNotNull().alias("failed"), (F.col("input_tokens") > 0).isNotNull().alias("answered"))
 
 
+@query("segment_by_queue", sql("""
+SELECT 'rules' AS model, channel_url, case_index, start_pos, end_pos, false AS forced_ending, false AS forced_starting FROM m2_cases
+UNION ALL SELECT 'whole', channel_url, k, 20 * k + 1, least(20 * (k + 1), n), 20 * (k + 1) < n, k > 0
+FROM (SELECT channel_url, n, unnest(range(0, (n + 19) // 20)) AS k FROM (SELECT channel_url, max(n) AS n FROM m2_pos GROUP BY 1))""", "m2_cases", "m2_pos"))
+def segment_by_queue(spark, sf):
+    """Windows of 20 messages: a model that knows the rule cases gives just these; one that sees no end is cut at 20."""
+    feed, out = a.m2(spark, sf), []
+    whole = a.conv_sizes(feed).selectExpr("channel_url", "1L as start_pos", "n as end_pos")
+    for model, truth in (("rules", b.m2_rules(spark, sf).cases.select("channel_url", "start_pos", "end_pos")), ("whole", whole)):
+        found = frontier.segment_by_queue(feed, lambda asked: answers_of(asked, truth), size=20)  # noqa: B023
+        out.append(found.select(F.lit(model).alias("model"), "channel_url", "case_index", "start_pos", "end_pos", "forced_ending", "forced_starting"))
+    return out[0].unionByName(out[1])
+
+
 @query("channel_stats_reviewed", sql("""
 , per AS (SELECT channel_url, any_value(v) AS v, count(*) AS reviewed FROM r2 GROUP BY 1),
 found AS (SELECT channel_url, count(*) AS k, sum(confidence::DOUBLE) AS cs FROM refined GROUP BY 1)
