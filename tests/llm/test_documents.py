@@ -419,6 +419,9 @@ def test_queries_return_their_columns(spark):
         "op6_packing": "doc_id piece start length ids_crc32 sequence_id offset", "op7_toxicity": "doc_id held_out score predicted",
         "op8_url_filters": "page_id host path rule verdict", "op9_minhash": "doc_id n_shingles component_id kept",
         "op10_warc": "page_id payload_bytes payload_digest record_type refers_to",
+        "op11_secret_scans": "doc_id n_assign n_access n_hex base_sha256 spans",
+        "op12_fill_in_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+        "op13_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
     }
     assert set(QUERIES) == set(columns)
     for name, want in columns.items():
