@@ -10,21 +10,26 @@ from convocases.sources.scratch import checkpointed
 #: Fixed values of the base measures.
 SYMBOLS, WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = "#*$%&|<>", 8, 20, 30
 
-#: (rule, measure, votes good up to, votes bad from); between the two it abstains.
+#: (rule, measure, votes good up to, votes bad from, kind); between the two it abstains.
 RULES = (
-    ("symbols", "n_symbols / n_words", 0.05, 0.3),
-    ("dup_lines", "n_dup_lines / n_lines", 0.1, 0.5),
-    ("repeat_words", "n_repeat_words / n_words", 0.05, 0.25),
-    ("long_words", "word_chars / n_words", 10.0, 25.0),
-    ("short_words", "n_words / word_chars", 0.4, 0.7),
-    ("few_words", "100 / n_words", 2.0, 5.0),
-    ("short_lines", "n_lines / n_words", 0.25, 0.8),
+    ("symbols", "n_symbols / n_words", 0.05, 0.3, "strong"),
+    ("dup_lines", "n_dup_lines / n_lines", 0.1, 0.5, "strong"),
+    ("repeat_words", "n_repeat_words / n_words", 0.05, 0.25, "strong"),
+    ("long_words", "word_chars / n_words", 10.0, 25.0, "weak"),
+    ("short_words", "n_words / word_chars", 0.4, 0.7, "weak"),
+    ("few_words", "100 / n_words", 2.0, 5.0, "weak"),
+    ("short_lines", "n_lines / n_words", 0.25, 0.8, "weak"),
 )
+KINDS = tuple(kind for *_, kind in RULES)
 
-#: Where the rates of the votes good (1), none (0) and bad (-1) start, for good (1) and bad (0) texts; the
-#: weight, in numbers of all texts, that holds them there; and the bounds of the share of good texts.
-START, HOLD = {1: {1: 0.75, 0: 0.248, -1: 0.002}, 0: {1: 0.6, 0: 0.1, -1: 0.3}}, 4
-GOOD_SHARE = (0.5, 0.85)
+#: Where the rates of the votes good (1), none (0) and bad (-1) start, for good (1) and bad (0) texts, by the kind of
+#: rule: good texts (lists, tables, short notes) do break weak rules. The weight, in numbers of all texts, that holds
+#: the rates there; and the bounds of the share of good texts.
+START = {
+    "strong": {1: {1: 0.75, 0: 0.248, -1: 0.002}, 0: {1: 0.6, 0: 0.1, -1: 0.3}},
+    "weak": {1: {1: 0.72, 0: 0.25, -1: 0.03}, 0: {1: 0.6, 0: 0.25, -1: 0.15}},
+}
+HOLD, GOOD_SHARE = 4, (0.5, 0.85)
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -72,16 +77,21 @@ def _vote(measure: str, good: float, bad: float) -> Column:
     return F.when(value <= good, 1).when(value >= bad, -1).otherwise(0)
 
 
-def fit_votes(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50, prior: float = 0.85) -> tuple[float, list[tuple[float, float]]]:
+def fit_votes(
+    patterns: list[tuple[tuple[int, ...], int]], kinds: tuple[str, ...] = KINDS, rounds: int = 50, prior: float = 0.85,
+) -> tuple[float, list[tuple[float, float]]]:
     """Expectation maximisation over (votes, count): share of good texts, and per rule the log weights of its votes.
 
     `patterns` has a row for each combination of votes that occurs, at most 3 ** len(RULES) whatever the corpus. A rule
     has a rate for each vote among good and among bad texts. Bad texts are bad in one way as a rule, so most rules find
-    nothing wrong with them either; a vote against a good text is rare. The rates start there and are held to it with
-    the weight of HOLD times as many texts as there are, so the two classes can't trade places.
+    nothing wrong with them either, and agreement alone can't tell a rule that alone finds its kind of junk from one that
+    errs: what a rule's kind says of it decides there. So the rates start from the kind's and are held to them with the
+    weight of HOLD times as many texts as there are, which gives the same verdicts at every size. A lone bad vote of a
+    strong rule rejects a text, one of a weak rule is outvoted by the others, two of them are not.
     """
     rules = len(patterns[0][0]) if patterns else 0
-    rate = {c: [dict(START[c]) for _ in range(rules)] for c in (0, 1)}
+    start = [START[kind] for kind in kinds[:rules]]
+    rate = {c: [dict(start[r][c]) for r in range(rules)] for c in (0, 1)}
     total = sum(k for _, k in patterns) or 1
     good = prior
     for _ in range(rounds):
@@ -98,7 +108,7 @@ def fit_votes(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50, pri
         for c in (0, 1):
             for r in range(rules):
                 whole = sum(mass[c][r].values())
-                rate[c][r] = {v: (mass[c][r][v] + HOLD * total * START[c][v]) / (whole + HOLD * total) for v in (1, 0, -1)}
+                rate[c][r] = {v: (mass[c][r][v] + HOLD * total * start[r][c][v]) / (whole + HOLD * total) for v in (1, 0, -1)}
     weights = [
         (max(0.0, math.log(rate[1][r][1] / rate[0][r][1])), min(0.0, math.log(rate[1][r][-1] / rate[0][r][-1])))
         for r in range(rules)
@@ -111,11 +121,11 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
     A rule votes good, bad or abstains; an abstention has no weight. Accuracies are estimated from the counts of vote
     combinations over all documents, p_good is the posterior probability, and a text stays if its p_good is at least
-    0.5 and it doesn't fail the base limits. The measures are written once to the shared folder, as both the fit and the
+    0.5 (a tie stays) and it doesn't fail the base limits. Rows that repeat count, and are judged, each. The measures are written once to the shared folder, as both the fit and the
     verdicts read them. A null or empty text has no words, so it fails the base; an empty table gives no rows.
     """
     measured = checkpointed(measures(docs))
-    votes = [_vote(m, good, bad).alias(f"_{name}") for name, m, good, bad in RULES]
+    votes = [_vote(m, good, bad).alias(f"_{name}") for name, m, good, bad, _ in RULES]
     names = [f"_{name}" for name, *_ in RULES]
     voted = measured.select("*", *votes)
     counted = voted.groupBy(*names).count().collect()  # at most 3 ** len(RULES) rows

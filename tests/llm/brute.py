@@ -57,6 +57,45 @@ def measures(text: str | None) -> tuple:
     return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), failed)
 
 
+def quality(rows: list[tuple[int, str | None]], rules, starts, hold: float, bounds: tuple[float, float]) -> list[tuple]:
+    """(doc_id, kept, p_good): votes text by text, expectation maximisation over all texts one by one."""
+    votes, failed = [], []
+    for _, text in rows:
+        n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base = measures(text)
+        n_lines = sum(1 for line in (text or "").split("\n") if line.strip(" \t\n\x0b\x0c\r"))
+        known = {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup_lines,
+                 "n_repeat_words": n_repeat_words, "n_lines": n_lines, "100": 100}
+        own = []
+        for _, measure, good, bad, _ in rules:
+            a, b = (known[x] for x in measure.split(" / "))
+            own.append(0 if b == 0 else 1 if a / b <= good else -1 if a / b >= bad else 0)
+        votes.append(own)
+        failed.append(base)
+    rates = [{c: dict(starts[kind][c]) for c in (0, 1)} for *_, kind in rules]
+    share = bounds[1]
+    for _ in range(50):
+        p = []
+        for own in votes:
+            a, b = share, 1 - share
+            for rate, v in zip(rates, own):
+                a, b = a * rate[1][v], b * rate[0][v]
+            p.append(a / (a + b))
+        share = min(bounds[1], max(bounds[0], sum(p) / len(p)))
+        for r, (*_, kind) in enumerate(rules):
+            for c in (0, 1):
+                part = [x if c else 1 - x for x in p]
+                whole = sum(part) + hold * len(rows)
+                rates[r][c] = {v: (sum(x for x, own in zip(part, votes) if own[r] == v) + hold * len(rows) * starts[kind][c][v]) / whole
+                               for v in (1, 0, -1)}
+    out = []
+    for (doc_id, _), own, base in zip(rows, votes, failed):
+        odds = share / (1 - share)
+        for rate, v in zip(rates, own):
+            odds *= max(1, rate[1][1] / rate[0][1]) if v == 1 else min(1, rate[1][-1] / rate[0][-1]) if v == -1 else 1
+        out.append((doc_id, not base and odds >= 1, odds / (1 + odds)))
+    return out
+
+
 def exact(rows: list[tuple[int, str | None]]) -> list[tuple]:
     groups: dict[str, list] = {}
     for doc_id, text in rows:

@@ -181,6 +181,28 @@ def test_quality_weights():
     assert quality.fit_votes([]) == quality.fit_votes([])
 
 
+def test_quality_verdicts_against_plain_em(both):
+    docs, rows = both
+    want = brute.quality(rows, quality.RULES, quality.START, quality.HOLD, quality.GOOD_SHARE)
+    found = [(r.doc_id, r.kept, r.p_good) for r in quality.quality_verdicts(docs).collect()]
+    rounded = lambda all_rows: sorted((str(d), k, round(p, 6)) for d, k, p in all_rows)
+    assert rounded(found) == rounded(want)
+
+
+@pytest.mark.parametrize("share", [0.001, 0.01, 0.03, 0.1])
+def test_a_weak_rule_is_outvoted(share):
+    """At any share and size: one bad vote of a weak rule does not reject a text, one of a strong rule or two weak ones do."""
+    count = len(quality.RULES)
+    for total in (1_000, 100_000):
+        for r, kind in enumerate(quality.KINDS):
+            lone = tuple(-1 if i == r else 1 for i in range(count))
+            bias, weights = quality.fit_votes([((1,) * count, round(total * (1 - share))), (lone, round(total * share))])
+            odds = lambda votes: bias + sum(w[0] if v == 1 else w[1] if v == -1 else 0 for v, w in zip(votes, weights))  # noqa: E731, B023
+            assert odds((1,) * count) > 0 and (odds(lone) > 0) == (kind == "weak")
+            weak = [i for i, k in enumerate(quality.KINDS) if k == "weak"]
+            assert all(odds(tuple(-1 if i in (a, b) else 1 for i in range(count))) < 0 for a in weak for b in weak if a < b)
+
+
 def test_quality_keeps_clean_and_rejects_junk(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
