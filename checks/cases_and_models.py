@@ -174,6 +174,41 @@ def classify_by_rules(spark, sf):
     return rows.selectExpr("case_number", "primary as primary_name", "secondary as secondary_name", "confidence")
 
 
+CANDIDATES = f"""{LEAF_WORDS}
+, frequency AS (SELECT word, count(*) AS leaves FROM leaf GROUP BY word)
+, keyed AS (SELECT prim, sec, any_value(n_words) AS n_words, arg_min(word, (leaves, word)) AS key FROM leaf JOIN frequency USING (word) GROUP BY prim, sec)
+, said AS (SELECT DISTINCT case_number, unnest(regexp_split_to_array(lower(message), '[^a-z0-9]+')) AS word FROM labelled WHERE case_number <> '')
+, hits AS (SELECT s.case_number, k.prim, k.sec, any_value(k.n_words) AS n, count(*) AS hits FROM said s JOIN keyed k ON k.key = s.word
+  JOIN leaf l ON l.prim = k.prim AND l.sec = k.sec JOIN said w ON w.case_number = s.case_number AND w.word = l.word GROUP BY 1, 2, 3)
+, placed AS (SELECT h.*, t.leaf AS no, round(hits / n, 6) AS score FROM hits h JOIN taxonomy t USING (prim, sec))
+, top AS (SELECT case_number, no, prim, sec, score, row_number() OVER (PARTITION BY case_number ORDER BY score DESC, hits DESC, no) AS rank FROM placed)
+, offered AS (SELECT case_number, no, prim, sec, max(score) AS score, min(rank) AS rank FROM (SELECT * FROM top WHERE rank <= 5
+  UNION ALL SELECT DISTINCT case_number, leaf, prim, sec, 0, 6 FROM labelled, taxonomy WHERE case_number <> '' AND prim = 'Other' AND sec = 'Other') GROUP BY ALL)"""
+
+
+@query("candidate_leaves", sql(f"""{CANDIDATES}
+SELECT case_number, prim AS primary_name, sec AS secondary_name, score::DOUBLE AS score, rank::INT AS place FROM offered""", "labelled", "taxonomy"))
+def candidate_leaves(spark, sf):
+    rows = classify.candidate_leaves(b.segmented(spark, sf).messages, taxonomy.taxonomy_table(spark), k=5)
+    return rows.selectExpr("case_number", "primary as primary_name", "secondary as secondary_name", "score", "rank as place")
+
+
+@query("classification_requests_of_candidates", sql(f"""{CANDIDATES}
+, blocks AS (SELECT case_number, min(no) AS first_no, '**' || prim || ':**' || chr(10) || string_agg('  - ' || sec, chr(10) ORDER BY no) || chr(10) AS block
+  FROM offered GROUP BY case_number, prim)
+, named AS (SELECT case_number, string_agg(block, chr(10) ORDER BY first_no) AS names FROM blocks GROUP BY case_number)
+, ranked AS (SELECT *, row_number() OVER (PARTITION BY case_number ORDER BY created_time, ingest_seq, message_id) AS case_pos FROM labelled WHERE case_number <> '')
+SELECT 'classify:' || case_number AS request_id, {quoted(requests.CLASSIFY_TASK)}
+  || 'Case: ' || case_number || chr(10) || 'Summary: ' || any_value(case_summary) || chr(10)
+  || 'Duration: ' || printf('%.1f', round_even(any_value(case_duration_minutes), 1)) || ' minutes' || chr(10) || 'Messages: ' || count(*) || chr(10) || chr(10)
+  || string_agg({EXCERPT_LINE}, chr(10) || chr(10) ORDER BY case_pos) || chr(10) || chr(10) || any_value(names) AS prompt
+FROM ranked JOIN named USING (case_number) GROUP BY case_number""", "labelled", "taxonomy"))
+def classification_requests_of_candidates(spark, sf):
+    """Prompts that name five leaves and the fallback, instead of the whole taxonomy."""
+    rows = requests.classification_requests(b.segmented(spark, sf).messages, taxonomy.taxonomy_table(spark), leaves_per_case=5)
+    return rows.select("request_id", "prompt")
+
+
 @query("run_pipeline", sql("""
 SELECT message_id, case_number, category, round(case_confidence::DOUBLE, 6) AS case_confidence, case_summary,
   round(classification_confidence::DOUBLE, 6) AS classification_confidence, message FROM final""", "final"))

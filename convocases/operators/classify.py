@@ -1,6 +1,6 @@
 """Classification: reply checks, taxonomy lookup, labels on messages, and a model-free rule."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from convocases.functions import text
 from convocases.operators.blocks import join_spread
@@ -8,7 +8,7 @@ from convocases.operators.cases import HEAD_MESSAGES, assigned_only, case_head
 from convocases.operators.replies import (
     CLASSIFICATION_KEYS, extract_json_classification, field, first_good_reply, has_keys, is_object, kind,
 )
-from convocases.operators.taxonomy import leaf_words, small
+from convocases.operators.taxonomy import leaf_index, leaf_words, small
 
 
 def taxonomy_lookup(labels: DataFrame, taxonomy: DataFrame) -> DataFrame:
@@ -135,5 +135,36 @@ def classify_by_rules(labelled: DataFrame, taxonomy: DataFrame) -> DataFrame:
     return found.withColumn("category", text.combine_category(F.col("primary"), F.col("secondary")))
 
 
+def candidate_leaves(labelled: DataFrame, taxonomy: DataFrame, k: int = 20, fallback: tuple[str, str] = ("Other", "Other")) -> DataFrame:
+    """`case_number, primary_no, leaf_no, primary, secondary, score, rank`: the `k` leaves of each case it fits best.
+
+    A leaf is found by its rarest word (`leaf_index`) and scored by the share of its words that the case has; ties go to
+    the leaf with more words, then by taxonomy order. The fallback leaf comes last (score 0.0), unless it is among the
+    `k`; a taxonomy without it offers none. The taxonomy may have any size: it is an inverted index that words of cases
+    are joined with, and what moves per case is its distinct known words and the leaves that they are the rarest word of.
+    """
+    leaves = leaf_index(taxonomy)
+    known = leaves.select(F.explode("words").alias("word")).distinct()
+    words = F.array_distinct(F.split(F.lower(F.coalesce("message", F.lit(""))), "[^a-z0-9]+"))
+    cases = assigned_only(labelled)
+    said = cases.select("case_number", F.explode(words).alias("word")).join(small(known), ["word"], "left_semi").distinct()
+    place = ["case_number", "primary_no", "leaf_no", "primary", "secondary"]
+    found = said.join(small(leaves.withColumnRenamed("key", "word")), ["word"]).select(
+        *place, F.size("words").alias("_n"), F.explode("words").alias("word"))
+    hits = found.join(said, ["case_number", "word"]).groupBy(*place, "_n").agg(F.count(F.lit(1)).alias("_hits"))
+    score = F.round(F.col("_hits") / F.col("_n"), 6)
+    order = Window.partitionBy("case_number").orderBy(F.desc("score"), F.desc("_hits"), "primary_no", "leaf_no")
+    top = hits.withColumn("score", score).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = top.select(*place, "score", "rank")
+    last = taxonomy.where((F.col("primary") == fallback[0]) & (F.col("secondary") == fallback[1])).agg(
+        F.min(F.struct("primary_no", "leaf_no")).alias("place")).first()["place"]
+    if last is None:
+        return best
+    both = best.unionByName(cases.select("case_number").distinct().select(
+        "case_number", F.lit(last.primary_no).alias("primary_no"), F.lit(last.leaf_no).alias("leaf_no"),
+        F.lit(fallback[0]).alias("primary"), F.lit(fallback[1]).alias("secondary"), F.lit(0.0).alias("score"), F.lit(k + 1).alias("rank")))
+    return both.groupBy(*place).agg(F.max("score").alias("score"), F.min("rank").alias("rank"))
+
+
 def sorted_classifications(classifications: DataFrame) -> DataFrame:
     return classifications.orderBy(F.desc("confidence"), "case_number")

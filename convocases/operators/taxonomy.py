@@ -1,6 +1,6 @@
 """Two-level category table: primary, secondary. Callers may pass their own."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MAX_TAXONOMY_ROWS = 10_000
 
@@ -73,8 +73,39 @@ def leaf_words(taxonomy: DataFrame) -> DataFrame:
     return leaves.select("primary", "secondary", F.size("_words").alias("n_words"), F.explode("_words").alias("word"))
 
 
+def leaf_index(taxonomy: DataFrame) -> DataFrame:
+    """`key, words, primary_no, leaf_no, primary, secondary`: a row per leaf, by the word of it that fewest leaves have.
+
+    Ties of `key` go to the first word. So words that many leaves share, as those of a primary, list no leaves. Leaves
+    without words beside stop words are left out.
+    """
+    places = taxonomy.groupBy("primary", "secondary").agg(F.min(F.struct("primary_no", "leaf_no")).alias("_place"))
+    words = leaf_words(taxonomy.select("primary", "secondary").distinct())
+    spread = words.join(words.groupBy("word").agg(F.count(F.lit(1)).alias("_leaves")), ["word"])
+    keys = spread.groupBy("primary", "secondary").agg(
+        F.min(F.struct("_leaves", "word")).alias("_key"), F.sort_array(F.collect_list("word")).alias("words"))
+    return keys.join(places, ["primary", "secondary"]).select(
+        F.col("_key.word").alias("key"), "words", "_place.primary_no", "_place.leaf_no", "primary", "secondary")
+
+
+def format_leaves(leaves: Column) -> Column:
+    """The text of `format_taxonomy` for an array of structs `primary_no, leaf_no, primary, secondary`."""
+    ordered = F.sort_array(leaves)
+
+    def line(x: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(ordered, i - 1)["primary_no"])
+        head = F.concat(F.when(i > 0, "\n").otherwise(""), F.lit("**"), x["primary"], F.lit(":**\n"))
+        return F.concat(F.when(before.eqNullSafe(x["primary_no"]), "").otherwise(head), F.lit("  - "), x["secondary"], F.lit("\n"))
+
+    return F.array_join(F.transform(ordered, line), "")
+
+
 def format_taxonomy(taxonomy: DataFrame) -> DataFrame:
-    """The taxonomy as one text: a bold line per primary, its leaves below, a blank line between."""
+    """The taxonomy as one text: a bold line per primary, its leaves below, a blank line between.
+
+    The text is one row, so it is meant for tables within `MAX_TAXONOMY_ROWS`; prompts from larger ones name the
+    candidates of each case instead (`classify.candidate_leaves`).
+    """
     leaves = F.transform(F.sort_array(F.collect_list(F.struct("leaf_no", "secondary"))),
                          lambda x: F.concat(F.lit("  - "), x["secondary"]))
     groups = taxonomy.groupBy("primary_no", "primary").agg(leaves.alias("_leaves"))

@@ -15,11 +15,11 @@ from convocases.functions import text
 from convocases.operators import blocks
 from convocases.operators.blocks import Cuts, Ordered, Step
 from convocases.operators.cases import CASE, cases_to_messages_range
-from convocases.operators.classify import format_case_excerpt
+from convocases.operators.classify import candidate_leaves, format_case_excerpt
 from convocases.operators.cases import assigned_only
 from convocases.operators.context import MAX_CONTEXT_TOKENS, RESERVE_TOKENS
 from convocases.operators.messages import drop_untimed, in_channel_order
-from convocases.operators.taxonomy import format_taxonomy
+from convocases.operators.taxonomy import MAX_TAXONOMY_ROWS, format_leaves, format_taxonomy
 from convocases.sources.scratch import checkpointed
 
 REPLY_SCHEMA = (
@@ -143,9 +143,16 @@ def review_requests(
     return as_requests(parts, "review", ids, F.concat(F.lit(task), F.col("transcript")))
 
 
-def classification_requests(labelled: DataFrame, taxonomy: DataFrame, task: str = CLASSIFY_TASK) -> DataFrame:
-    """One request per case: id, summary, duration, number of messages, first messages, category list."""
-    names = format_taxonomy(taxonomy).first()["taxonomy_text"]
+def classification_requests(
+    labelled: DataFrame, taxonomy: DataFrame, task: str = CLASSIFY_TASK, leaves_per_case: int | None = None,
+) -> DataFrame:
+    """One request per case: id, summary, duration, number of messages, first messages, category list.
+
+    The list is the whole taxonomy, which may then have `MAX_TAXONOMY_ROWS` leaves; with `leaves_per_case`, it names the
+    leaves that fit the case best and the fallback, and the taxonomy may have any size.
+    """
+    if leaves_per_case is None and taxonomy.limit(MAX_TAXONOMY_ROWS + 1).count() > MAX_TAXONOMY_ROWS:
+        raise ValueError(f"over {MAX_TAXONOMY_ROWS} leaves in every prompt: give leaves_per_case")
     first = F.struct("created_time", "ingest_seq", "message_id")
     facts = assigned_only(labelled).groupBy("case_number").agg(
         F.min_by("case_summary", first).alias("case_summary"),
@@ -157,8 +164,16 @@ def classification_requests(labelled: DataFrame, taxonomy: DataFrame, task: str
         "Case: %s\nSummary: %s\nDuration: %.1f minutes\nMessages: %d\n\n",
         "case_number", "case_summary", F.bround("case_duration_minutes", 1), "n_messages",
     )
-    prompt = F.concat(F.lit(task), head, F.col("excerpt"), F.lit("\n\n" + names))
-    return as_requests(rows, "classify", (F.col("case_number"),), prompt)
+    if leaves_per_case is None:
+        names = F.lit(format_taxonomy(taxonomy).first()["taxonomy_text"])
+    else:
+        leaf = F.struct("primary_no", "leaf_no", "primary", "secondary")
+        offered = candidate_leaves(labelled, taxonomy, leaves_per_case).groupBy("case_number").agg(
+            format_leaves(F.collect_list(leaf)).alias("_names"))
+        rows, names = rows.join(offered, ["case_number"], "left"), F.coalesce("_names", F.lit(""))
+    prompt = F.concat(F.lit(task), head, F.col("excerpt"), F.lit("\n\n"), names)
+    rows = rows.withColumn("prompt", prompt).drop("_names")
+    return as_requests(rows, "classify", (F.col("case_number"),), F.col("prompt"))
 
 
 def nullable(column: pd.Series, kind: str) -> pd.Series:
