@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from convocases.sources.scratch import checkpointed
+
 #: Points that one window of the sweep handles, about, and the most windows before they grow with the input.
 BLOCK_ROWS, MAX_PARTS = 5_000, 20_000
 
@@ -52,7 +54,8 @@ def stab(points: DataFrame, rules: DataFrame, group: str, key: str, out: str, bl
     borders are sorted together; an opening border puts its rule on the stack at its depth, a closing one takes it off,
     and a point sees the stack as it stands. The stack is one running column per depth. Blocks of the sort order, cut
     at sampled keys, are swept on their own, and a block with more points than `block_rows` is dealt out by a hash;
-    each block and part gets the rules that are open in it. `points` must not have a column named like these: _at,
+    each block and part gets the rules that are open in it. `points` is read four times, so hand in a written
+    table; it must not have a column named like these: _at,
     _kind, _row, _rule.
     """
     depths = _prefix_depth(rules, group, key)
@@ -68,10 +71,13 @@ def stab(points: DataFrame, rules: DataFrame, group: str, key: str, out: str, bl
         )
         cuts = sorted({sample[i * len(sample) // (wanted + 1)] for i in range(1, wanted + 1)} if sample else ())
     table = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(k.encode()).alias("k")) for g, k in cuts])
+    strides = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
 
     def block(at: Column) -> Column:
+        """Cuts at or before this place, by binary search."""
         here = F.struct(F.col(group).alias("g"), at.alias("k"))
-        return F.size(F.filter(table, lambda c: c <= here)) if cuts else F.lit(0)
+        further = lambda n, stride: F.when(F.get(table, n + stride - 1) <= here, n + stride).otherwise(n)
+        return F.aggregate(strides, F.lit(0), further) if cuts else F.lit(0)
 
     placed = points.withColumn("_block", block(_from(F.col(key))))
     sizes = placed.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_parts"))
@@ -108,20 +114,21 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", block
     longest host and path together wins, then the longer host; of rules with the same host and path a block wins. Where
     none fits, rule is null and the verdict `default`. The paths are stabbed first, then the hosts once for each rule
     path found, so a url has as many rows in the second sweep as there are nested rule paths around its path. Both
-    sweeps see each pair of host and path once. A url that is null or lacks `://` has empty host and path. Rows that
+    sweeps see each pair of host and path once; those pairs, the rules and the
+    first sweep are written to the shared folder. A url that is null or lacks `://` has empty host and path. Rows that
     repeat a page_id are judged each. Empty tables, of pages or rules, are fine.
     """
     host, path = host_and_path(F.col("url"))
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).select(
         "page_id", host.alias("host"), path.alias("path"))
-    places = urls.select("host", "path").distinct()
-    known = rules.select("host", "path", "verdict").groupBy("host", "path").agg(F.max("verdict").alias("verdict")).select(
+    places = checkpointed(urls.select("host", "path").distinct())
+    known = checkpointed(rules.select("host", "path", "verdict").groupBy("host", "path").agg(F.max("verdict").alias("verdict")).select(
         F.lit("*").alias("scope"), F.col("path").alias("rule_path"), host_key(F.col("host")).alias("rule_key"),
-        F.col("host").alias("rule_host"), "verdict")
+        F.col("host").alias("rule_host"), "verdict"))
     by_path = stab(places.select(F.lit("*").alias("scope"), "host", F.col("path").alias("rule_path")),
                    known.select("scope", "rule_path").distinct(), "scope", "rule_path", "paths", block_rows)
-    asked = by_path.select("host", F.col("rule_path").alias("path"), F.explode("paths").alias("rule_path")).withColumn(
-        "rule_key", host_key(F.col("host")))
+    asked = checkpointed(by_path.select("host", F.col("rule_path").alias("path"), F.explode("paths").alias("rule_path")).withColumn(
+        "rule_key", host_key(F.col("host"))))
     found = stab(asked, known.select("rule_path", "rule_key"), "rule_path", "rule_key", "keys", block_rows)
     hits = found.where(F.size("keys") > 0).select("host", "path", "rule_path", F.element_at("keys", -1).alias("rule_key"))
     name = F.concat("rule_host", "rule_path")
