@@ -55,8 +55,7 @@ def stab(points: DataFrame, rules: DataFrame, group: str, key: str, out: str, bl
     and a point sees the stack as it stands. The stack is one running column per depth. Blocks of the sort order, cut
     at sampled keys, are swept on their own, and a block with more points than `block_rows` is dealt out by a hash;
     each block and part gets the rules that are open in it. `points` is read four times, so hand in a written
-    table; it must not have a column named like these: _at,
-    _kind, _row, _rule.
+    table; it must not have a column named like these: _at, _kind, _row, _rule.
     """
     depths = _prefix_depth(rules, group, key)
     levels = (depths.agg(F.max("depth")).first()[0] or 0) + 1  # bounded by the longest chain of nested rules
