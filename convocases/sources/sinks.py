@@ -23,24 +23,29 @@ def write_messages(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     writer.save(path)
 
 
-def label_writeback_lookup(final: DataFrame) -> DataFrame:
-    """`message_id` to its last non-empty case number and category, by time and ingest order."""
+def label_writeback_lookup(final: DataFrame, keys: Sequence[str] = ("message_id",)) -> DataFrame:
+    """`keys` to their last non-empty case number and category, by time and ingest order."""
     place = F.struct("created_time", "ingest_seq")
 
     def last(column):
         filled = F.coalesce(F.col(column), F.lit("")) != ""
         return F.max_by(column, F.when(filled, place)).alias(column)
 
-    return final.groupBy("message_id").agg(last("case_number"), last("category"))
+    return final.groupBy(*keys).agg(last("case_number"), last("category"))
 
 
 def with_labels(original: DataFrame, final: DataFrame) -> DataFrame:
-    """The original rows with only `case_number`, `category` and `review` added; old values stay where no new one is."""
-    labels = label_writeback_lookup(final).select(
-        "message_id", F.col("case_number").alias("_case_number"), F.col("category").alias("_category")
+    """The original rows with only `case_number`, `category` and `review` added; old values stay where no new one is.
+
+    Rows meet by channel and message id where both tables name the channel, so an id used in two channels keeps them
+    apart; else by message id alone.
+    """
+    keys = [c for c in ("channel_url", "message_id") if c in original.columns and c in final.columns]
+    labels = label_writeback_lookup(final, keys).select(
+        *keys, F.col("case_number").alias("_case_number"), F.col("category").alias("_category")
     )
     spread = [c for c in ("ingest_seq", "created_time") if c in original.columns]
-    joined = join_spread(original, labels, ["message_id"], spread=spread)
+    joined = join_spread(original, labels, keys, spread=spread)
     for name in ("case_number", "category"):
         old = [F.col(name)] if name in original.columns else []
         joined = joined.withColumn(name, F.coalesce(F.col(f"_{name}"), *old, F.lit("")))

@@ -170,3 +170,14 @@ def test_row_numbers_of_compressed_tables(spark):
         assert tuple(one) == (299_999, 0)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_labels_of_an_id_in_two_channels(spark):
+    kinds = "channel_url string, message_id string, case_number string, category string, created_time timestamp, ingest_seq long"
+    final = spark.createDataFrame([("a", "1", "CASE_0001", "x", None, 0), ("b", "1", "CASE_0002", "y", None, 1)], kinds).withColumn(
+        "created_time", F.timestamp_seconds("ingest_seq"))
+    original = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1"), (None, "1")], "channel_url string, message_id string")
+    labels = {r.channel_url: r.case_number for r in sinks.with_labels(original, final).collect()}
+    assert labels == {"a": "CASE_0001", "b": "CASE_0002", "c": "", None: ""}
+    alone = sinks.with_labels(original.select("message_id"), final).collect()
+    assert [r.case_number for r in alone] == ["CASE_0002"] * 4
