@@ -5,7 +5,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from convocases.llm.common import text_of
 from convocases.sources.scratch import checkpointed
@@ -16,11 +16,7 @@ HASHES, ROWS = 160, 5
 #: Four standard deviations of the share of equal minima at a similarity of 0.8: less than that below it is no proof.
 SLACK = 4 * (0.8 * 0.2 / HASHES) ** 0.5
 
-#: Bits of the sketch that the last round compares, one for each of as many hashes, and four deviations of theirs.
-BITS = 2048
-BIT_SLACK = 4 * 2 * (0.9 * 0.1 / BITS) ** 0.5
-
-#: Rounds in which the members of a bucket are held against one of them, before all pairs between components are.
+#: Rounds in which the members of a bucket are held against one of them, before the prefixes of sets are.
 STAR_ROUNDS = 2
 
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -169,27 +165,45 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _sketches(sets: DataFrame) -> DataFrame:
-    """id, bits (array of 64-bit numbers), bands: one bit of each of BITS further minima, and the keys of the bands."""
-    seeds = np.random.default_rng(21).integers(0, 2**63, (2, BITS), dtype=np.uint64) * np.uint64(2) + np.array([[1], [0]], np.uint64)
-
-    def sketch(x: np.ndarray) -> np.ndarray:
-        least = [(x * seeds[0, i:i + 64, None] + seeds[1, i:i + 64, None]).min(axis=1) for i in range(0, BITS, 64)]
-        return np.packbits((np.concatenate(least) >> np.uint64(23) & np.uint64(1)).astype(np.uint8)).view(np.int64)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = [np.frombuffer(x, np.uint64) for x in batch["shingles"]]
-            if own:
-                yield pd.DataFrame({"id": batch["id"], "bits": [sketch(x) for x in own], "bands": list(band_keys(minima(own)))})
+def _prefix_pairs(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of `placed` (id, component) in different components, among them all whose sets are similar enough.
 
-    return sets.mapInPandas(run, "id long, bits array<long>, bands array<long>")
-
-
-def _agreeing(percent: int) -> Column:
-    """Whether the sketches x and y may belong to sets that similar: sets of similarity s agree in (1 + s) / 2 of the bits."""
-    most = int(BITS * (1 - (percent / 100 - BIT_SLACK)) / 2)
-    return F.expr(f"aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d) <= {most}")
+    Prefix filter: put every set in one order, rare shingles first. Two sets as similar as asked share a shingle among
+    the first `size - ceil(percent% of size) + 1` of the larger and the first `size - ceil(2 percent / (100 + percent) of
+    size) + 1` of the smaller, at places behind which enough is left of both. Shingles found in one component only come
+    first of all and are merely counted. So what many unlinked documents have in common stands behind the prefixes of
+    all that have something of their own, and makes no pairs. Components meet by shingle before their members do, so the
+    members of one component never meet each other.
+    """
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for at in range(0, len(whole), 200):
+                batch = whole.iloc[at:at + 200]
+                if len(batch):
+                    sizes = np.array([len(x) // 8 for x in batch["shingles"]])
+                    yield pd.DataFrame({
+                        "shingle": np.frombuffer(b"".join(batch["shingles"]), np.int64), "id": np.repeat(batch["id"].to_numpy(), sizes),
+                        "component": np.repeat(batch["component"].to_numpy(), sizes), "size": np.repeat(sizes, sizes),
+                    })
+
+    rows = sets.join(placed, "id").mapInPandas(spread, "shingle long, id long, component long, size long")
+    found = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    own = Window.partitionBy("id")
+    rank = F.row_number().over(own.orderBy("n", "shingle")) - F.count(F.lit(1)).over(own)
+    ranked = rows.join(found.where("lo < hi").select("shingle", "n"), "shingle").withColumn("pos", F.col("size") + rank)
+    early = F.expr(f"pos <= size - ceil({2 * percent} * size / {100 + percent}D) + 1")
+    prefixes = checkpointed(
+        ranked.where(f"pos <= size - ceil({percent} * size / 100D) + 1").select("shingle", "id", "component", "size", "pos", early.alias("early")))
+    homes = prefixes.groupBy("shingle", "component").agg(F.max("early").alias("early"))
+    one = homes.select("shingle", F.col("component").alias("ca"))
+    two = homes.where("early").select("shingle", F.col("component").alias("cb"))
+    meet = one.join(two, "shingle").where("ca <> cb")
+    larger = prefixes.select("shingle", F.col("component").alias("ca"), F.col("id").alias("a"), F.col("size").alias("m"), F.col("pos").alias("i"))
+    smaller = prefixes.where("early").select(
+        "shingle", F.col("component").alias("cb"), F.col("id").alias("b"), F.col("size").alias("n"), F.col("pos").alias("j"))
+    near = F.expr(f"""(n < m or n = m and b < a) and 100 * n >= {percent} * m
+        and {100 + percent} * (1 + least(m - i, n - j)) >= {percent} * (m + n)""")
+    return meet.join(larger, ["shingle", "ca"]).join(smaller, ["shingle", "cb"]).where(near).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_rounds: int = STAR_ROUNDS) -> DataFrame:
@@ -200,8 +214,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
     by its smallest doc_id, and only representatives go on. Those that share a band are candidates. In the first round
     each member of a bucket is held against the one that shares buckets with most others, as an original does with its
     copies; in further rounds against any other. Once a bucket lies in one component it is done. In the buckets that
-    remain, all pairs between different components are held against each other, by sketches of some thousand bits and
-    then by set, so no link between candidates is lost, and within a group of copies no pairs are made.
+    remain, sets of different components that share a shingle in their prefixes are held against each other, by
+    signature and then by set, so no link between candidates is lost, and neither within a group of copies nor among
+    unlinked documents around a common passage are all pairs made.
 
     Texts are in lower case (A-Z), words lie between white space; with fewer words than a shingle the whole sequence is
     one. Shingles are compared by 64-bit hashes. Without words or text the set is empty and linked with nothing. Rows
@@ -254,12 +269,7 @@ def _verdicts(docs: DataFrame, size: int, percent: int, star_rounds: int = STAR_
         take(left.join(hubs, "key").where("component <> hub_component").select(F.col("id").alias("a"), "b"))
     left = open_buckets(found)
     if not left.isEmpty():
-        sketches = checkpointed(_sketches(sets.join(left.select("id").distinct(), "id")))
-        spread = left.join(sketches, "id")
-        one = spread.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("bits").alias("x"), F.col("bands").alias("v"))
-        two = spread.select(F.col("key").alias("other"), F.col("id").alias("b"), F.col("component").alias("cb"), F.col("bits").alias("y"), F.col("bands").alias("w"))
-        once = F.expr("key = array_min(array_intersect(v, w))")  # a pair may share many buckets
-        take(one.join(two, (F.col("key") == F.col("other")) & (F.col("ca") < F.col("cb")) & _agreeing(percent) & once).select("a", "b"))
+        take(_prefix_pairs(sets, left.select("id", "component").distinct(), percent))
 
     placed = classes.join(found, "id", "left").select("digest", "doc_id", F.coalesce("component", "id").alias("component"))
     home = placed.join(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("digest", "component_id")

@@ -348,6 +348,27 @@ def test_near_duplicates_in_a_chain(spark):
     assert minhash.drop_near_duplicates(docs, size=4).count() == len({w[1] for w in want.values()})
 
 
+@pytest.mark.parametrize("rounds", [2, 0])
+def test_near_duplicates_around_the_threshold(spark, rounds):
+    """Sets of many sizes around one passage, with links just at, above and below 0.8."""
+    base = words(70, 90).split()
+    rng = random.Random(70)
+    rows = [(i, " ".join([*base[:rng.randint(60, 90)], *words(100 + i, rng.randint(0, 14)).split()])) for i in range(120)]
+    want = brute.near(rows)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=4, star_rounds=rounds).collect()
+    assert sorted(tuple(r) for r in found) == sorted((i, *want[i]) for i, _ in rows)
+
+
+def test_unlinked_documents_around_a_passage_make_no_pairs(spark):
+    """A passage of three quarters of every document shares out buckets, but stands behind the prefixes."""
+    base = words(71, 60)
+    sets = {i: minhash.shingle_set(f"{base} {words(1_000 + i, 24)}", 4) for i in range(400)}
+    sets |= {400 + i: minhash.shingle_set(f"{base} {words(1_000 + i, 24)} more", 4) for i in range(5)}
+    own = spark.createDataFrame([(i, x.tobytes()) for i, x in sets.items()], "id long, shingles binary")
+    pairs = minhash._prefix_pairs(own, own.select("id", F.col("id").alias("component")), 80)
+    assert sorted(tuple(sorted(r)) for r in pairs.collect()) == [(i, 400 + i) for i in range(5)]
+
+
 def test_near_duplicates_of_ids_with_different_texts(spark):
     a, b, c, d = (words(20 + i, 100) for i in range(4))
     rows = [(5, a), (8, a + " x"), (5, b), (9, b + " x"), (2, c), (3, c + " x"), (3, d), (None, b), (None, words(30, 100))]
