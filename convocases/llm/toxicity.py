@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from convocases.llm.common import text_of
 from convocases.sources.scratch import checkpointed
 
-#: Labelled rows that a fit reads at most, and the stems it keeps at most.
-SAMPLE, STEMS = 20_000, 20_000
+#: Labelled rows that a fit reads at most. What it keeps of their words is bounded by them alone.
+SAMPLE = 20_000
 
 #: A word or beginning of words counts if so many sampled documents have it; lengths of beginnings.
 SUPPORT, LENGTHS = 4, range(3, 10)
@@ -26,12 +26,26 @@ LEAST_ODDS = 2.0
 THRESHOLD = 0.7
 
 #: Words of the other classes.
-THREATS = frozenset("kill hurt destroy stab shoot beat burn hang strangle punch murder töten umbringen tuer matar".split())
+THREATS = "kill hurt destroy stab shoot beat burn hang strangle punch murder".split()
+THREAT_FORMS = (
+    "shot beaten hung burnt töten töte tötest tötet tötete getötet umbringen umbringe umbringst umbringt umgebracht"
+    " tuer tue tues tuez tuerai tuera tué matar mato matas mata mataré matará matado matando").split()
 TARGETS = frozenset(
     "you your yours yourself u he him his she her they them their those people du dich dir ihr euch tu te toi vous tú usted ustedes".split())
 NEGATIONS = frozenset("not no never none neither nor isn aren don doesn didn won cannot nicht kein keine nie pas jamais non nunca jamás".split())
 REPORTS = frozenset("said says say wrote writes quoted quotes claimed claims called reported told sagte schrieb dit écrit dijo escribió".split())
 
+
+
+def _inflected(verb: str) -> set[str]:
+    """An English verb with its regular endings: a silent e goes, a short vowel doubles the consonant behind it."""
+    stem = verb.removesuffix("e")
+    if re.fullmatch("[^aeiou]+[aeiou][bgpt]", verb):
+        stem += verb[-1]
+    return {verb, verb + ("es" if verb.endswith(("sh", "ch", "s")) else "s"), stem + "ed", stem + "ing"}
+
+
+_THREATS = frozenset(THREAT_FORMS).union(*map(_inflected, THREATS))
 _WORD = re.compile(r"[^\W\d_]+")
 _CLAUSE = re.compile(r"[^.!?;:\n]+")
 _KEPT_WORDS = 500_000
@@ -133,7 +147,7 @@ class Lexicon:
             found = "R", 0.0
         elif word in TARGETS:
             found = "Y", 0.0
-        elif word in THREATS:
+        elif word in _THREATS:
             found = "T", 1.0
         elif (odds := self.odds(word, label)) >= LEAST_ODDS:
             found = "I", odds
@@ -257,13 +271,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
     return np.where(keep, w, 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, stems: int = STEMS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Odds of words and beginnings, and the weights of a document's clauses, from labelled rows that are not held out.
 
     At most `sample` labelled rows, the first by a hash, are read and written to the shared folder. Both the odds and
     the weights come from all of them; for the weights, a document is left out of the counts it is judged by. Kept are
-    the `stems` of the highest odds, and as many longer stems that take words back from them. Without labels of both
-    kinds the score is the smoothed share of toxic rows.
+    all stems of high odds, and all longer ones that take words back from them. Without labels of both kinds the score
+    is the smoothed share of toxic rows.
     """
     marked = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
     marked = marked.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
@@ -287,12 +301,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, stems: int = S
     counts = texts.mapInPandas(count, "stem string, n long, t long").groupBy("stem").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     odds = F.log((F.col("t") + 0.5) / (F.col("n") - F.col("t") + 0.5)) - F.lit(base)
     common = checkpointed(counts.where(F.col("n") >= SUPPORT).withColumn("odds", odds))
-    strong = common.where(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), "stem").limit(stems)
-    begins = strong.where(~F.col("stem").endswith("$")).select(F.col("stem").alias("begin"))  # at most `stems` rows
+    strong = common.where(F.col("odds") >= LEAST_ODDS)
+    begins = strong.where(~F.col("stem").endswith("$")).select(F.col("stem").alias("begin"))
     longer = common.where(F.col("odds") < LEAST_ODDS).withColumn(
         "begin", F.explode(F.array(*[F.substring("stem", 1, n) for n in LENGTHS]))).where("begin <> stem")
-    weak = longer.join(F.broadcast(begins), "begin").select("stem", "n", "t", "odds").distinct().orderBy("odds", "stem").limit(stems)
-    known = {r.stem: (r.n, r.t) for r in [*strong.collect(), *weak.collect()]}
+    weak = longer.join(begins, "begin").select("stem", "n", "t").distinct()
+    known = {r.stem: (r.n, r.t) for r in strong.select("stem", "n", "t").unionByName(weak).collect()}  # words of the sample only
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon(known, base)

@@ -417,6 +417,9 @@ def test_grammar():
     assert score("the idiots") == 0 and score("foolish") > 0
     assert score("kill the process") == 0 < score("i will kill you or you kill me")
     assert score("") == 0
+    for threat in ("i am killing you", "he kills you", "i shot you", "ich töte dich", "she stabbed them", "they are strangling him", "he punches her"):
+        assert score(threat) == score("i will kill you") > 0
+    assert score("killjoy you") == score("hanger you") == 0
 
 
 def test_grammar_counts_repeated_words_where_they_weigh_most():
