@@ -78,7 +78,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, with_
 
 
 def _round(items: DataFrame, groups: int, capacity: int, seed: int) -> DataFrame:
-    """`items` (uid, length) packed within groups: with bin (the uid of its first item), offset, and room of the bin."""
+    """`items` (uid, length) packed within groups: with bin (the uid of its first item), offset, and room of the bin.
+
+    The number of tasks is given, since adaptive execution would join groups by their few bytes, not by their work.
+    """
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values(["length", "uid"], ascending=[False, True], kind="stable")
         bins, offsets, room = sum_of_squares(batch["length"].to_numpy(), capacity)
@@ -87,7 +90,9 @@ def _round(items: DataFrame, groups: int, capacity: int, seed: int) -> DataFrame
         return pd.DataFrame({"uid": uids, "length": batch["length"], "bin": first[bins], "offset": offsets, "room": room[bins]})
 
     group = F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(groups)).alias("g")
-    return items.select("uid", "length", group).groupBy("g").applyInPandas(run, "uid long, length long, bin long, offset long, room long")
+    tasks = min(groups, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = items.select("uid", "length", group).repartition(tasks, "g")
+    return dealt.groupBy("g").applyInPandas(run, "uid long, length long, bin long, offset long, room long")
 
 
 def pack(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, with_ids: bool = True, group: int = GROUP) -> DataFrame:
