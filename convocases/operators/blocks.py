@@ -6,6 +6,7 @@ state over the block borders, and the results equal those of one window over the
 group is too large nothing is cut and the plan is a plain window: one exchange and one sort.
 """
 
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -17,6 +18,8 @@ ROWS_PER_BLOCK = 2_000_000
 SAMPLES_PER_BLOCK = 64
 MAX_CUTS = 100_000
 MAX_GLOBAL_CUTS = 1_000
+#: Cuts that a row looks at in one step, less one: those of a larger group are found through a tree of such lists.
+FAN = 64
 BLOCK = "_block"
 SPLIT = "_split"
 
@@ -45,13 +48,16 @@ def find_cuts(
     """Sort keys at which groups larger than about `rows_per_block` are cut; none for smaller groups.
 
     Reads the key columns once and keeps one in `rows_per_block / 64` of the rows, by hash. The list that
-    comes to the driver holds at most rows / rows_per_block entries; beyond `MAX_CUTS` the blocks grow.
+    comes to the driver holds at most rows / rows_per_block entries; beyond `MAX_CUTS` the blocks grow. Small blocks may
+    come to that, so for them the rows are counted first: then the sample, too, stays below 64 rows for each cut.
     Any choice of cuts gives right results, they only balance the work.
     """
-    step = max(1, rows_per_block // SAMPLES_PER_BLOCK)
-    every = max(1, rows_per_block // step)
     limit = MAX_CUTS if keys else MAX_GLOBAL_CUTS
     sample = df.select(*keys, *order)
+    if rows_per_block < SAMPLES_PER_BLOCK ** 2:
+        rows_per_block = max(rows_per_block, -(-sample.count() * 5 // (limit * 4)))  # a fifth is left for chance
+    step = max(1, rows_per_block // SAMPLES_PER_BLOCK)
+    every = max(1, rows_per_block // step)
     schema = sample.schema
     if step > 1:
         sample = sample.where(F.pmod(F.xxhash64(*keys, *order), F.lit(step)) == 0)
@@ -75,29 +81,50 @@ def in_blocks(
         cuts = find_cuts(df, keys, order, rows_per_block)
     if not cuts.rows:
         return Ordered(df, keys, order, False)
-    spark = df.sparkSession
     here = F.struct(*order)
     if keys:
-        # Bounded by MAX_CUTS entries, so it fits a broadcast at any data size.
-        table = spark.createDataFrame(cuts.rows, cuts.schema)
-        lists = table.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
-        df = left_join_null_safe(df, F.broadcast(lists), keys)
-        bounds = F.col("_cuts")
+        df = find_block(df, keys, order, cuts)
     else:
         points = [F.struct(*(F.lit(r[c]).cast(cuts.schema[c].dataType).alias(c) for c in order)) for r in cuts.rows]
-        df = df.withColumn("_cuts", F.lit(True))
-        bounds = F.sort_array(F.array(*points))
-    # Binary search for the number of cuts at or before this row.
-    strides = [1 << i for i in reversed(range(len(cuts.rows).bit_length()))]
-    found = F.aggregate(
+        df = df.withColumns({BLOCK: cuts_upto(F.sort_array(F.array(*points)), here, len(cuts.rows)), SPLIT: F.lit(True)})
+    return Ordered(df, keys, order, True, any(r[k] is None for r in cuts.rows for k in keys))
+
+
+def cuts_upto(bounds: Column, here: Column, longest: int) -> Column:
+    """Number of the sorted `bounds` (null: none) at or before `here`, by binary search."""
+    strides = [1 << i for i in reversed(range(longest.bit_length()))]
+    return F.aggregate(
         F.array(*map(F.lit, strides)), F.lit(0),
         lambda at, stride: F.when(F.get(bounds, at + stride - 1) <= here, at + stride).otherwise(at),
     )
-    df = df.withColumns({
-        BLOCK: F.when(F.col("_cuts").isNull(), 0).otherwise(found),
-        SPLIT: F.col("_cuts").isNotNull(),
-    })
-    return Ordered(df.drop("_cuts"), keys, order, True, any(r[k] is None for r in cuts.rows for k in keys))
+
+
+def find_block(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: Cuts) -> DataFrame:
+    """The number of its group's cuts at or before each row, and whether its group has any.
+
+    A row carries the list it searches, so no list has more than FAN - 1 cuts: the cuts of a group make a tree, in which
+    a row goes down from every FAN^h-th cut to single ones. Groups with few cuts need one step.
+    """
+    # Bounded by MAX_CUTS entries, so it fits a broadcast at any data size.
+    table = df.sparkSession.createDataFrame(cuts.rows, cuts.schema)
+    numbered = table.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    longest = max(Counter(tuple(r[k] for k in keys) for r in cuts.rows).values())
+    unit = 1
+    while unit * FAN <= longest:
+        unit *= FAN
+    df = df.withColumns({BLOCK: F.lit(0), SPLIT: F.lit(False)})
+    while unit:
+        above = unit * FAN
+        some = numbered.where((F.col("_n") % unit == 0) & (F.col("_n") % above != 0))
+        lists = some.groupBy(*keys, (F.col("_n") - F.col("_n") % above).alias(BLOCK)).agg(
+            F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
+        df = left_join_null_safe(df, F.broadcast(lists), [*keys, BLOCK])
+        df = df.withColumns({
+            BLOCK: F.col(BLOCK) + unit * cuts_upto(F.col("_cuts"), F.struct(*order), min(longest, FAN - 1)),
+            SPLIT: F.col(SPLIT) | F.col("_cuts").isNotNull(),
+        }).drop("_cuts")
+        unit //= FAN
+    return df
 
 
 def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -122,3 +122,33 @@ def test_hot_join_on_rows_with_a_map(spark):
     left = spark.range(3000).selectExpr("if(id < 2500, 'hot', string(id)) as k", "id", "map('a', string(id)) as m")
     right = spark.createDataFrame([("hot",), ("2999",)], "k string")
     assert blocks.join_spread(left, right, ["k"], "left_semi", hot_rows=200).count() == 2501
+
+
+def test_many_cuts_are_searched_in_short_lists(spark, monkeypatch):
+    """A row carries no list of all cuts of its group: 300 of them are found by lists of three."""
+    monkeypatch.setattr(blocks, "FAN", 4)
+    longest = []
+    upto = blocks.cuts_upto
+    monkeypatch.setattr(blocks, "cuts_upto", lambda bounds, here, n: longest.append(n) or upto(bounds, here, n))
+    rows = spark.range(1300).selectExpr("case when id < 1200 then null when id % 2 = 0 then 'a' else 'b' || id end as g", "id as t")
+    o = blocks.in_blocks(rows, ["g"], ["t"], rows_per_block=4)
+    assert len(longest) == 5 and max(longest) == 3
+    sizes = o.rows.where(blocks.SPLIT).groupBy("g", blocks.BLOCK).count().collect()
+    assert {r["count"] for r in sizes} <= {1, 2, 3, 4} and len(sizes) == 300 + 13
+    found = blocks.finish(blocks.scan(o, n=Step("row_number")))
+    assert found.where("g is null and n <> t + 1 or g = 'a' and n <> (t - 1198) div 2").count() == 0
+
+
+def test_too_many_cuts_cost_no_further_pass(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "MAX_CUTS", 10)
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = spark.range(3000).selectExpr("'a' as g", "id as t").mapInPandas(count, "g string, t long")
+    cuts = blocks.find_cuts(rows, ["g"], ["t"], rows_per_block=4)
+    assert 5 <= len(cuts.rows) <= 10
+    assert read.value == 6000  # counted and sampled once, however many cuts the rows per block ask for
