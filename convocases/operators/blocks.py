@@ -251,14 +251,15 @@ def join_spread(
 
     Callers that know the sizes of keys hand in `hot`, rows of keys and `_shares`, which spares a pass over the left side.
 
-    Only the right rows of hot keys are copied, once per share. `spread` has to tell the rows of one key
+    Only the right rows of hot keys are copied, once per share. The right side may grow with the data and is never
+    broadcast, however small its compressed files look. `spread` has to tell the rows of one key
     apart and must not change when a task is run again; the default is every other left column that can be hashed.
     """
     keys = list(keys)
     added = [] if how == "left_semi" else [c for c in right.columns if c not in keys]
     hot = hot_keys(left, keys, hot_rows) if hot is None else hot
     if not hot:
-        return left.join(right, keys, how).select(*left.columns, *added)
+        return left.join(right.hint("merge"), keys, how).select(*left.columns, *added)
     spark = left.sparkSession
     schema = T.StructType([*(left.schema[k] for k in keys), T.StructField("_shares", T.IntegerType())])
     names = {k: f"_hot_{k}" for k in keys}
@@ -276,4 +277,4 @@ def join_spread(
     copies = with_shares(right).withColumn(
         "_share", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1))
     ).drop("_shares")
-    return dealt.join(copies, [*keys, "_share"], how).select(*left.columns, *added)
+    return dealt.join(copies.hint("merge"), [*keys, "_share"], how).select(*left.columns, *added)

@@ -47,12 +47,13 @@ def cases_to_messages_range(ranges: DataFrame, positioned: DataFrame) -> DataFra
     """Every case range with its messages, both ends included.
 
     An equi-join on (channel, bucket of 64 positions) with the exact range as a further condition: no
-    channel or case meets in one task, and a bucket holds at most 64 messages.
+    channel or case meets in one task, and a bucket holds at most 64 messages. No side is broadcast: a range becomes many
+    rows, which Spark's estimate of its size does not know.
     """
     kept = [c for c in ranges.columns if c not in positioned.columns or c == "channel_url"]
     left = position_buckets(ranges.select(*dict.fromkeys([*kept, "start_pos", "end_pos"])))
     right = positioned.withColumn("_bucket", F.floor(F.col("pos") / BUCKET))
-    joined = right.join(left, ["channel_url", "_bucket"])
+    joined = right.join(left.hint("merge"), ["channel_url", "_bucket"])
     return joined.where(F.col("pos").between(F.col("start_pos"), F.col("end_pos"))).drop("_bucket")
 
 

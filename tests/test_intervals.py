@@ -58,3 +58,14 @@ def test_no_ranges(spark):
     assert intervals.disjoint(spark.createDataFrame([], SCHEMA), "v").collect() == []
     empty = spark.createDataFrame([("a", 5, 4, 1), ("a", 2, 3, 2)], SCHEMA)
     assert [tuple(r) for r in intervals.disjoint(empty, "v").collect()] == [("a", 2, 3, 2)]
+
+
+def test_nothing_that_grows_is_broadcast(spark):
+    """Nested ranges compress to almost nothing, so a plan by the size of their files would send all of them to the driver."""
+    nested = spark.range(1, 3001).selectExpr("'a' as channel_url", "id as start_pos", "6001 - id as end_pos", "id as v")
+    found = intervals.disjoint(cases.checkpointed(nested), "v")
+    rows = cases.cases_to_messages_range(found, cases.checkpointed(spark.range(1, 6001).selectExpr("'a' as channel_url", "id as pos")))
+    last = blocks.join_spread(rows, cases.checkpointed(nested.selectExpr("v", "start_pos as w")), ["v"], hot=[])
+    assert last.count() == 6000 and last.where("w <> least(pos, 6001 - pos)").count() == 0
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
