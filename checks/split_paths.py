@@ -85,7 +85,7 @@ def fallback_over_parts(spark, sf):
 
 def answers_of(asked, truth):
     """What a model would say that knows the true ranges, but only sees each request's own messages."""
-    seen = asked.select("request_id", "channel_url", "first_pos", "last_pos").join(truth, ["channel_url"])
+    seen = asked.select("request_id", "channel_url", "first_pos", "last_pos").join(truth.hint("merge"), ["channel_url"])
     seen = seen.where("start_pos <= last_pos and end_pos >= first_pos")
     case = F.format_string(
         '{"start_message": %d, "end_message": %d, "summary": "case from %d", "confidence": 0.75}',

@@ -185,7 +185,7 @@ def join_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
         .when(F.col("reason").isNotNull(), "invalid")
         .otherwise("ok")
     )
-    joined = asked.join(answers.withColumn("_answered", F.lit(True)), ["request_id"], "left")
+    joined = asked.join(answers.withColumn("_answered", F.lit(True)).hint("merge"), ["request_id"], "left")
     several = not asked.where(F.col("part") > 0).isEmpty()
     return beside_parts(joined.withColumn("status", status).drop("_answered"), several)
 
@@ -216,7 +216,7 @@ def beside_parts(joined: DataFrame, several: bool) -> DataFrame:
         "request_id", (F.col("_upto") - F.col("_n")).alias("cases_before"), "answered", (F.col("_replies") == 0).alias("unasked"),
         "asked_from", (-F.col("_to")).alias("asked_to"),
     )
-    return joined.join(beside, ["request_id"])
+    return joined.join(beside.hint("merge"), ["request_id"])
 
 
 def fallback() -> Column:

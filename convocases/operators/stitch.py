@@ -25,7 +25,7 @@ def seams(parts: DataFrame) -> DataFrame:
         "own_from": F.coalesce(seam + 1, F.col("first_pos")), "blind": F.coalesce(~shared, F.lit(False)), "nth": F.col("_nth"),
     })
     following = rows.select("channel_url", (F.col("nth") - 1).alias("nth"), (F.col("own_from") - 1).alias("_until"))
-    joined = rows.drop("_before", "_nth").join(following, ["channel_url", "nth"], "left")
+    joined = rows.drop("_before", "_nth").join(following.hint("merge"), ["channel_url", "nth"], "left")
     return joined.withColumn("own_to", F.coalesce("_until", "last_pos")).drop("_until")
 
 
@@ -46,13 +46,14 @@ def stitched(joined: DataFrame) -> DataFrame:
 
     Summary and confidence of a case are those of its longest piece, of equal ones the first. Case numbers are dense in a
     channel, by the part and place in which a case first occurs. Only narrow rows move: one for each part and each range.
+    They are too many to be broadcast, however small Spark takes them to be by the files they come from.
     """
     channel = _channel(joined)
     parts = seams(joined.select("channel_url", "part", "first_pos", "last_pos"))
     listed = F.when(F.col("status") == "ok", proposals(F.lit(0))).otherwise(fallback_of_part())
     ranges = joined.select(*channel, "part", (F.col("status") != "ok").alias("fallback"), F.inline(listed))
     ranges = mark_ranges(ranges).where(F.col("reject_reason").isNull()).drop("reject_reason").withColumnRenamed("case_index", "index")
-    ranges = ranges.join(parts, PART)
+    ranges = ranges.join(parts.hint("merge"), PART)
     ranges = ranges.withColumns({"start_pos": F.greatest("start_pos", "first_pos"), "end_pos": F.least("end_pos", "last_pos")})
     ranges = ranges.where(F.col("start_pos") <= F.col("end_pos"))
 
@@ -61,7 +62,7 @@ def stitched(joined: DataFrame) -> DataFrame:
         _across(F.col("own_to"), (F.col("end_pos") > F.col("own_to")) | (F.col("end_pos") == F.col("last_pos"))).alias("_right"),
         _across(F.col("own_from"), F.col("start_pos") < F.col("own_from")).alias("_left"),
     )
-    o = blocks.in_blocks(parts.select(*PART, F.col("nth").alias("_n"), F.col("blind").alias("_blind")).join(ends.drop("nth", "blind"), PART, "left"),
+    o = blocks.in_blocks(parts.select(*PART, F.col("nth").alias("_n"), F.col("blind").alias("_blind")).join(ends.drop("nth", "blind").hint("merge"), PART, "left"),
                          ["channel_url"], ["part"])
     o = blocks.scan(o, _before=Step("lag", F.col("_right")))
     both = F.col("_before").isNotNull() & F.col("_left").isNotNull()
@@ -79,7 +80,7 @@ def stitched(joined: DataFrame) -> DataFrame:
 
     pieces = ranges.where((F.col("end_pos") >= F.col("own_from")) & (F.col("start_pos") <= F.col("own_to")))
     pieces = pieces.withColumns({"start_pos": F.greatest("start_pos", "own_from"), "end_pos": F.least("end_pos", "own_to")})
-    pieces = pieces.join(borders, PART)
+    pieces = pieces.join(borders.hint("merge"), PART)
     goes_on = F.col("_linked") & (F.col("index") == F.col("_left"))
     pieces = pieces.withColumns({
         "_group": F.when(goes_on, F.col("_chain")).when(F.col("index") == F.col("_right"), F.col("_starts")),
@@ -94,7 +95,7 @@ def stitched(joined: DataFrame) -> DataFrame:
     )
     # The case before a forced cut ends there.
     cut = cases.where("forced_starting").select("channel_url", (F.col("start_pos") - 1).alias("end_pos"), F.lit(True).alias("forced_ending")).distinct()
-    cases = cases.join(cut, ["channel_url", "end_pos"], "left")
+    cases = cases.join(cut.hint("merge"), ["channel_url", "end_pos"], "left")
     o = blocks.in_blocks(cases.withColumns({"_part": F.col("_at.part"), "_index": F.col("_at.index")}), ["channel_url"], ["_part", "_index"])
     rows = blocks.finish(blocks.scan(o, case_index=Step("row_number")))
     return rows.select(

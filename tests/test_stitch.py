@@ -125,3 +125,18 @@ def test_overlapping_requests(spark, chat):
     asked = requests.segmentation_requests(messages, budget=400, overlap=120)
     cases = pipeline.segment_with_replies(messages, empty, requests=asked).cases.orderBy("channel_url").collect()
     assert [(c.channel_url, c.start_pos, c.end_pos, c.confidence) for c in cases] == [("a", 1, 60, 0.3), ("b", 1, 1, 0.3), ("c", 1, 3, 0.3)]
+
+
+def test_stitching_broadcasts_nothing(spark):
+    """Parts and ranges grow with the messages, and their files look small."""
+    rows = spark.range(400).selectExpr(
+        "'c' || id div 4 as channel_url", "cast(id % 4 as int) as part", "(id % 4) * 5 + 1 as first_pos", "(id % 4) * 5 + 7 as last_pos",
+        "22L as channel_messages", "id div 4 as channel_seq", "false as case_truncated", "'segment:' || id as request_id")
+    content = """format_string('{"complete_cases": [{"start_message": %d, "end_message": %d, "summary": "s", "confidence": 1}]}', first_pos, last_pos)"""
+    answers = rows.selectExpr("request_id", f"{content} as content", "cast(null as string) as error")
+    joined = join_replies(checkpointed(rows), checkpointed(answers))
+    found = stitch.stitched(checkpointed(joined))
+    assert found.where("start_pos = 1 and end_pos = 22").count() == found.count() == 100
+    for df in (joined, found):
+        df.collect()
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
