@@ -14,6 +14,8 @@ PIECE, BUCKET = 65_536, 64
 NUMBER_ORDER = ["channel_seq", "channel_url", "case_index"]
 HEAD_MESSAGES = 10
 CASES_PER_BLOCK = 500_000
+#: Up to so many ranges may be smaller than that.
+SMALL_RANGES = 200
 
 # Case columns of a message without a case.
 CASE_DEFAULTS = {
@@ -95,7 +97,7 @@ def forced_endings(pieces: DataFrame) -> DataFrame:
     follower = pieces.where(F.col("forced_starting")).select(
         "channel_url", (F.col("case_index") - 1).alias("case_index"), F.lit(True).alias("_forced")
     )
-    joined = pieces.join(follower, ["channel_url", "case_index"], "left")
+    joined = pieces.join(follower.hint("merge"), ["channel_url", "case_index"], "left")
     return joined.withColumn("forced_ending", F.coalesce(F.col("_forced"), F.lit(False))).drop("_forced")
 
 
@@ -117,7 +119,7 @@ def cases_of_boundaries(boundaries: DataFrame, positioned: DataFrame) -> DataFra
     rows = cases_to_messages_range(ranges, positioned.select("channel_url", "pos", "created_time", "sender_id"))
     given = [c for c in ("case_truncated", "forced_ending", "forced_starting") if c in boundaries.columns]
     labels = boundaries.select(*CASE, "channel_seq", "summary", "confidence", *given)
-    return with_summary(build_cases(rows, {}).drop(*given).join(labels, CASE))
+    return with_summary(build_cases(rows, {}).drop(*given).join(labels.hint("merge"), CASE))
 
 
 def number_cases(cases: DataFrame, rows_per_block: int = CASES_PER_BLOCK) -> DataFrame:
@@ -125,9 +127,11 @@ def number_cases(cases: DataFrame, rows_per_block: int = CASES_PER_BLOCK) -> Dat
 
     The cases are dealt into ranges of the order, as many as their number asks for, and written once with the number of
     their range; a case's number is its place in the range and the sizes of the ranges before. So a task never holds
-    more than a range, and there is no limit to their number.
+    more than a range. Beyond SMALL_RANGES of them, ranges grow up to CASES_PER_BLOCK before there are more: a range
+    costs a task and files, and small ones would cost more than their rows.
     """
-    ranges = max(1, -(-cases.count() // rows_per_block))
+    count = cases.count()
+    ranges = max(1, min(-(-count // rows_per_block), max(SMALL_RANGES, -(-count // CASES_PER_BLOCK))))
     placed = cases.withColumn("_range", F.lit(0))
     if ranges > 1:
         dealt = cases.repartitionByRange(ranges, *NUMBER_ORDER)

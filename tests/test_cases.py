@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from convocases.sources.scratch import checkpointed
 from convocases.operators import cases as c, context, segment
 from convocases.operators.messages import message_cuts, message_positions
 from convocases.operators.replies import valid_ranges
@@ -157,3 +158,17 @@ def test_assignment_equals_brute_force(spark, chat, ids, ranges):
     got = sorted((r.ingest_seq, r.case_number) for r in done.messages.collect())
     assert got == [(i, expected.get(mid, "")) for i, mid in enumerate(ids)]
     assert done.cases.count() == n
+
+
+def test_small_ranges_are_few(spark, monkeypatch):
+    """Each range is a task and a file of its own: small ones stay few, and the numbers are the same."""
+    written = []
+    monkeypatch.setattr(c, "checkpointed", lambda df: written.append(checkpointed(df)) or written[-1])
+    monkeypatch.setattr(c, "SMALL_RANGES", 5)
+    rows = spark.range(3000).selectExpr("id as channel_seq", "'c' || id as channel_url", "0L as case_index")
+    numbered = c.number_cases(rows, rows_per_block=3)
+    assert len(written[0].inputFiles()) <= 5
+    assert numbered.where("cast(substring(case_number, 6) as int) <> channel_seq + 1").count() == 0
+    monkeypatch.setattr(c, "CASES_PER_BLOCK", 100)  # as many ranges as full ones ask for
+    c.number_cases(rows, rows_per_block=3)
+    assert written[1].select("_range").distinct().count() == 30
