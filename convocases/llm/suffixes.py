@@ -304,24 +304,24 @@ def _narrower(pieces: pd.DataFrame, size: int, width: int) -> pd.DataFrame:
         first=(whole["first"] + offset).astype("int32"), shape=(count * 1024 + mark).astype(np.int32))
 
 
-def _pieces(texts: DataFrame, size: int, width: int | None) -> DataFrame:
-    """For each wanted run of a document the bytes of its windows; those of hot keys as narrower runs, without bytes."""
+def _pieces(texts: DataFrame, size: int) -> DataFrame:
+    """For each wanted run of a document the bytes of its windows. A row is a run, so no task holds all runs of many texts."""
+    runs = texts.select(*_WHO, "data", F.explode("wanted").alias("w")).select(*_WHO, "data", "w.*")
+    length = F.floor(F.col("shape") / 1024).cast("int") - 1 + size
+    piece = F.substring("data", F.col("first") + 1, length)
+    return runs.select("key", F.lit(None).cast("long").alias("context"), piece.alias("piece"), *_WHO, "first", "shape", "sure", "hot")
+
+
+def _cut(pieces: DataFrame, size: int, width: int) -> DataFrame:
+    """Pieces of hot keys as narrower runs, without bytes."""
     names = ["key", "context", "piece", *_WHO, "first", "shape", "sure"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows: dict[bool, list[tuple]] = {True: [], False: []}
-            for one, two, data, wanted in zip(batch["one"], batch["two"], batch["data"], batch["wanted"]):
-                for w in wanted:
-                    first, shape = w["first"], w["shape"]
-                    piece = data[first:first + shape // 1024 - 1 + size]
-                    rows[w["hot"]].append((w["key"], None, piece, one, two, first, shape, w["sure"]))
-            for hot, own in rows.items():
-                for at in range(0, len(own), 2_000):
-                    out = pd.DataFrame(own[at:at + 2_000], columns=names).astype({"context": "Int64", "first": "int32", "shape": "int32"})
-                    yield _narrower(out, size, width)[names] if hot else out
+            for at in range(0, len(batch), 2_000):
+                yield _narrower(batch.iloc[at:at + 2_000], size, width)[names]
 
-    return texts.mapInPandas(run, f"key long, context long, piece binary, {_WHO_TYPES}, first int, shape int, sure boolean")
+    return pieces.select(*names).mapInPandas(run, f"key long, context long, piece binary, {_WHO_TYPES}, first int, shape int, sure boolean")
 
 
 def _sorted_repeats(pieces: DataFrame, size: int) -> DataFrame:
@@ -402,11 +402,12 @@ def repeated_stretches(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR,
             "at.one", "at.two", F.struct("key", "at.first", "at.shape", sure, F.coalesce("hot", F.lit(False)).alias("hot")).alias("w"))
         wanted = wanted.groupBy(*_WHO).agg(F.collect_list("w").alias("wanted"))  # as long as the document at most
         texts = rows.select(*_WHO, "data").join(wanted, _WHO).dropDuplicates(_WHO)
-        pieces = checkpointed(_pieces(texts.select(*_WHO, "data", "wanted"), size, width))
-        found.append(_sorted_repeats(pieces.where("context is null"), size))
-        runs = pieces.where("context is not null").drop("piece")
-        if runs.isEmpty():
+        pieces = checkpointed(_pieces(texts.select(*_WHO, "data", "wanted"), size))
+        found.append(_sorted_repeats(pieces.where("not hot").drop("hot"), size))
+        hot_pieces = pieces.where("hot")
+        if width is None or hot_pieces.isEmpty():
             break
+        runs = checkpointed(_cut(hot_pieces, size, width).drop("piece"))
         keys = repeated_keys(runs)
     return reduce(DataFrame.unionByName, found)
 

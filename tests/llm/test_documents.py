@@ -484,3 +484,13 @@ def test_long_runs_of_digits(spark):
     docs = spark.createDataFrame([(1, "1 " * 40_000), (2, "1.2.3." * 10_000), (3, "a" * 50_000 + "@" + "b." * 20_000), (4, "+" + "1-" * 50_000)],
                                  "doc_id long, text string")
     assert pii.personal_data(docs).agg(F.sum("n_card") + F.sum("n_phone")).first()[0] == 0
+
+
+def test_wanted_runs_are_cut_without_python(spark):
+    """A row is a run: no Python worker holds the lists of runs of thousands of texts."""
+    texts = spark.sql("""select 1L as one, 2L as two, cast('abcdefghij' as binary) as data, array(
+        named_struct('key', 7L, 'first', 2, 'shape', 2048 + 1, 'sure', false, 'hot', true),
+        named_struct('key', 8L, 'first', 5, 'shape', 1024, 'sure', true, 'hot', false)) as wanted""")
+    pieces = suffixes._pieces(texts, 4)
+    assert sorted((r.key, bytes(r.piece), r.first, r.hot) for r in pieces.collect()) == [(7, b"cdefg", 2, True), (8, b"fghi", 5, False)]
+    assert "InPandas" not in pieces._jdf.queryExecution().executedPlan().toString()
