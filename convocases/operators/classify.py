@@ -1,5 +1,7 @@
 """Classification: reply checks, taxonomy lookup, labels on messages, and a model-free rule."""
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from convocases.functions import text
@@ -109,28 +111,53 @@ def format_case_excerpt(labelled: DataFrame, n: int = HEAD_MESSAGES) -> DataFram
     return per_case.select("case_number", F.concat_ws("\n\n", lines, more).alias("excerpt"))
 
 
+def numbered_leaves(taxonomy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`_leaf, primary, secondary, n_words` by name from 0, and `_known, word, _leaves`: words from 0 with the leaves that have them."""
+    words = leaf_words(taxonomy)
+    names = words.select("primary", "secondary", "n_words").distinct()
+    leaves = names.withColumn("_leaf", F.row_number().over(Window.orderBy("primary", "secondary")) - 1)
+    held = words.drop("n_words").join(leaves, ["primary", "secondary"]).groupBy("word").agg(F.collect_list("_leaf").alias("_leaves"))
+    return leaves, held.withColumn("_known", F.row_number().over(Window.orderBy("word")) - 1)
+
+
+def constant(rows: DataFrame, column: str, kind: str) -> Column:
+    """The values of a small ordered table as one array, by their place."""
+    return F.from_json(F.lit(json.dumps([r[0] for r in rows.select(column).collect()])), kind)
+
+
 def classify_by_rules(labelled: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Leaf whose words are best covered by the words of the case; `Other_Other` with 0.0 if none is.
 
     Words meet the vocabulary while still in the message rows, and only distinct (case, known word) pairs
-    are shuffled, at most a vocabulary per case. From then on all steps share one partitioning by case.
+    are shuffled, at most a vocabulary per case. They become one row per case, in which leaves are counted, so no task
+    holds rows of (case, leaf). The lists of leaves by word come through the driver: they are as large as the taxonomy.
     """
-    leaves = leaf_words(taxonomy)
-    known = small(leaves.select("word", F.col("word").alias("_known")).distinct())
+    leaves, words_of = numbered_leaves(taxonomy)
+    known = small(words_of.select("word", "_known"))
     words = F.array_distinct(F.split(F.lower(F.coalesce("message", F.lit(""))), "[^a-z0-9]+"))
     rows = assigned_only(labelled).select("case_number", F.explode(words).alias("word"))
-    pairs = rows.join(known, ["word"], "left").select("case_number", F.col("_known").alias("word")).distinct()
-    hits = pairs.repartition("case_number").join(small(leaves), ["word"], "left")
-    scores = hits.groupBy("case_number", "primary", "secondary", "n_words").agg(
-        (F.count("word") / F.col("n_words")).alias("score")
-    )
-    ranked = F.struct((-F.col("score")).alias("s"), "primary", "secondary")
-    best = scores.groupBy("case_number").agg(F.min(F.when(F.col("score").isNotNull(), ranked)).alias("_b"))
-    found = best.select(
+    pairs = rows.join(known, ["word"], "left").select("case_number", "_known").distinct()
+    said = pairs.groupBy("case_number").agg(F.collect_list("_known").alias("_words"))
+    lists, sizes = constant(words_of.orderBy("_known"), "_leaves", "array<array<int>>"), constant(leaves.orderBy("_leaf"), "n_words", "array<int>")
+    hits = F.sort_array(F.flatten(F.transform("_words", lambda w: F.get(lists, w))))
+
+    def count(state: Column, leaf: Column) -> Column:
+        """A run of equal leaves is a leaf's words; the first leaf of the best score stays."""
+        n = F.when(state["leaf"] == leaf, state["n"] + 1).otherwise(F.lit(1))
+        score = n / F.get(sizes, leaf)
+        better = score > state["score"]
+        return F.struct(
+            leaf.alias("leaf"), n.alias("n"), F.when(better, score).otherwise(state["score"]).alias("score"),
+            F.when(better, leaf).otherwise(state["best"]).alias("best"))
+
+    none = F.struct(F.lit(-1).alias("leaf"), F.lit(0).alias("n"), F.lit(0.0).alias("score"), F.lit(-1).alias("best"))
+    best = said.select("case_number", F.aggregate(hits, none, count).alias("_b"))
+    named = best.join(small(leaves.select(F.col("_leaf").alias("_best"), "primary", "secondary")), F.col("_b.best") == F.col("_best"), "left")
+    found = named.select(
         "case_number",
-        F.coalesce("_b.primary", F.lit("Other")).alias("primary"),
-        F.coalesce("_b.secondary", F.lit("Other")).alias("secondary"),
-        F.coalesce(F.round(-F.col("_b.s"), 3), F.lit(0.0)).alias("confidence"),
+        F.coalesce("primary", F.lit("Other")).alias("primary"),
+        F.coalesce("secondary", F.lit("Other")).alias("secondary"),
+        F.round("_b.score", 3).alias("confidence"),
     )
     return found.withColumn("category", text.combine_category(F.col("primary"), F.col("secondary")))
 

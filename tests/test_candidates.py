@@ -94,3 +94,22 @@ def test_fifty_thousand_leaves_make_bounded_prompts(spark):
         assert len(named) == 5 and len(r.prompt) < 10_000
     case = {r.case_number: r.prompt for r in asked}["CASE_7"]
     assert {f"x{i * 7}" for i in range(7, 2_000, 50)} >= set(re.findall(r"Part (x\d+)\n", case))
+
+
+def test_rules_count_leaves_within_a_case(spark):
+    """A row for each case, not for each case and leaf; the score is that of the plain definition, ties go by name."""
+    table = spark.createDataFrame(
+        [(0, 0, "Order", "Lost item"), (0, 1, "Order", "Item"), (1, 0, "Aid", "Order item"), (2, 0, "Other", "Other"), (1, 1, "Aid", "Alpha beta")],
+        "primary_no int, leaf_no int, primary string, secondary string")
+    said = {"C1": ["my order", "an ITEM, an item"], "C2": ["beta"], "C3": ["", None], "C4": ["aid: order the lost item"], "": ["order"]}
+    rows = [(case, text) for case, texts in said.items() for text in texts]
+    found = classify.classify_by_rules(spark.createDataFrame(rows, "case_number string, message string"), table)
+    words = {tuple(r[2:]): {w for w in re.split("[^a-z0-9]+", f"{r[2]} {r[3]}".lower()) if w not in ("", "other")} for r in table.collect()}
+    expected = {}
+    for case, texts in said.items():
+        have = {w for t in texts for w in re.split("[^a-z0-9]+", (t or "").lower())}
+        scores = sorted((-len(ws & have) / len(ws), *leaf) for leaf, ws in words.items() if ws & have)
+        expected[case] = (*scores[0][1:], round(-scores[0][0], 3)) if scores else ("Other", "Other", 0.0)
+    del expected[""]
+    assert {r.case_number: (r.primary, r.secondary, r.confidence) for r in found.collect()} == expected
+    assert not re.search(r"keys=\[case_number#\w+, primary", found._jdf.queryExecution().executedPlan().toString())
