@@ -28,6 +28,17 @@ def once(fn):
     return get
 
 
+def kept(fn):
+    """A base whose operators write what is read again: built once, and each query reads of it the columns that it needs."""
+    @wraps(fn)
+    def get(spark, sf):
+        key = (fn.__name__, spark.sparkContext.applicationId, sf)
+        if key not in _kept:
+            _kept[key] = fn(spark, sf)
+        return _kept[key]
+    return get
+
+
 def written(base):
     """The tables of a base, each written once."""
     if isinstance(base, tuple):
@@ -74,12 +85,12 @@ def final(spark, sf):
     return assign_categories(segmented(spark, sf).messages, classifications(spark, sf))
 
 
-@once
+@kept
 def m2_rules(spark, sf):
     return pipeline.segment_with_rules(a.m2(spark, sf), M2_RULES)
 
 
-@once
+@kept
 def m3_rules(spark, sf):
     return pipeline.segment_with_rules(a.m3(spark, sf), M3_RULES)
 

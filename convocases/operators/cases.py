@@ -62,23 +62,17 @@ def cases_to_messages_range(ranges: DataFrame, positioned: DataFrame) -> DataFra
 def build_cases(case_messages: DataFrame, extra: dict[str, tuple[Callable, str]] | None = None) -> DataFrame:
     """One row per case from its messages (rows with `case_index`).
 
-    First per (case, sender), then per case, so the participant list is gathered from distinct senders.
-    `extra` names further columns, each an aggregate that may be taken twice (min or max) and its source.
+    Participants are gathered as sets, in the tasks that read the messages first, so a task hands on one row for each of
+    its cases. `extra` names further columns, each an aggregate and its source.
     """
     extra = extra or {}
-    per_sender = case_messages.groupBy(*CASE, "sender_id").agg(
+    cases = case_messages.groupBy(*CASE).agg(
         F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"),
         F.min("created_time").alias("start_time"), F.max("created_time").alias("end_time"),
         F.count(F.lit(1)).alias("n_messages"),
+        F.sort_array(F.collect_set("sender_id")).alias("participants"),
         *(agg(source).alias(name) for name, (agg, source) in extra.items()),
     )
-    cases = per_sender.groupBy(*CASE).agg(
-        F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"),
-        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
-        F.sum("n_messages").alias("n_messages"),
-        F.sort_array(F.collect_list("sender_id")).alias("participants"),
-        *(agg(name).alias(name) for name, (agg, _) in extra.items()),
-    )
     return cases.withColumns({
         "duration_minutes": text.minutes_between(F.col("start_time"), F.col("end_time")),
         **{flag: F.lit(False) for flag in ("forced_ending", "forced_starting") if flag not in cases.columns},
@@ -125,22 +119,23 @@ def cases_of_boundaries(boundaries: DataFrame, positioned: DataFrame) -> DataFra
 def number_cases(cases: DataFrame, rows_per_block: int = CASES_PER_BLOCK) -> DataFrame:
     """`CASE_0001`... over all channels in ingest order, then by case index; dense and without gaps.
 
-    The cases are dealt into ranges of the order, as many as their number asks for, and written once with the number of
-    their range; a case's number is its place in the range and the sizes of the ranges before. So a task never holds
-    more than a range. Beyond SMALL_RANGES of them, ranges grow up to CASES_PER_BLOCK before there are more: a range
-    costs a task and files, and small ones would cost more than their rows.
+    The cases are dealt into ranges of the order, as many as their number asks for, sorted, and written once with their
+    range and place in it; a case's number is its place and the sizes of the ranges before. So a task never holds
+    more than a range, and rows move once. Beyond SMALL_RANGES of them, ranges grow up to CASES_PER_BLOCK before there are
+    more: a range costs a task and files, and small ones would cost more than their rows.
     """
     count = cases.count()
     ranges = max(1, min(-(-count // rows_per_block), max(SMALL_RANGES, -(-count // CASES_PER_BLOCK))))
-    placed = cases.withColumn("_range", F.lit(0))
-    if ranges > 1:
-        dealt = cases.repartitionByRange(ranges, *NUMBER_ORDER)
-        placed = checkpointed(dealt.withColumn("_range", F.spark_partition_id()))
+    dealt = cases.repartitionByRange(ranges, *NUMBER_ORDER) if ranges > 1 else cases.repartition(1)
+    placed = dealt.sortWithinPartitions(*NUMBER_ORDER).withColumn("_n", F.monotonically_increasing_id())
+    if ranges == 1:
+        return placed.withColumn("case_number", text.case_id(F.col("_n") + 1)).drop("_n")
+    # Such an id is the partition's number, then 33 bits of the row's place in it.
+    placed = checkpointed(placed.withColumns({"_range": F.shiftright("_n", 33), "_n": F.col("_n").bitwiseAND((1 << 33) - 1) + 1}))
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
     before = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*NUMBER_ORDER))
-    numbered = placed.withColumn("_n", place).join(F.broadcast(before), ["_range"])
+    numbered = placed.join(F.broadcast(before), ["_range"])
     return numbered.withColumn("case_number", text.case_id(F.col("_n") + F.col("_before"))).drop("_n", "_before", "_range")
 
 
@@ -189,7 +184,7 @@ def assign_segments(segmented: DataFrame, cases: DataFrame) -> DataFrame:
     """Case columns on rule-segmented messages, by the case index they already carry.
 
     The join key takes in the million of the position, so one giant case meets in many tasks; a case has
-    one row per million it touches.
+    one row per million it touches. Cases grow with the messages and are never broadcast.
     """
     million = F.lit(1 << 20)
     first, last = (F.floor(F.col(c) / million) for c in ("start_pos", "end_pos"))
@@ -202,7 +197,7 @@ def assign_segments(segmented: DataFrame, cases: DataFrame) -> DataFrame:
     )
     rows = segmented.drop("rule", "boundary_confidence", "forced_starting", "segment_index")
     rows = rows.withColumn("_million", F.floor(F.col("pos") / million))
-    return with_case_defaults(rows.join(wanted, [*CASE, "_million"], "left").drop("_million"))
+    return with_case_defaults(rows.join(wanted.hint("merge"), [*CASE, "_million"], "left").drop("_million"))
 
 
 def assigned_only(df: DataFrame, column: str = "case_number") -> DataFrame:

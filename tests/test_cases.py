@@ -1,5 +1,7 @@
 """Boundaries, cases and labels on messages; rules; invariants."""
 
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -172,3 +174,29 @@ def test_small_ranges_are_few(spark, monkeypatch):
     monkeypatch.setattr(c, "CASES_PER_BLOCK", 100)  # as many ranges as full ones ask for
     c.number_cases(rows, rows_per_block=3)
     assert written[1].select("_range").distinct().count() == 30
+
+
+def test_cases_move_once_to_be_built_and_numbered(spark, chat, monkeypatch):
+    """A task hands on one row for each of its cases, and ranges of the order are numbered where they are sorted."""
+    messages = chat([("a", i, "x", f"u{i % 3}") for i in range(6)] + [("b", 1, "x", None)])
+    rows = messages.selectExpr("*", "0L as case_index", "ingest_seq + 1 as pos")
+    built = c.build_cases(rows, {"last": (F.max, "message_id")})
+    assert len(re.findall(r"Exchange hashpartitioning\(", plan(built))) == 1
+    found = {r.channel_url: (r.start_pos, r.end_pos, r.n_messages, r.participants, r.last) for r in built.collect()}
+    assert found == {"a": (1, 6, 6, ["u0", "u1", "u2"], "m5"), "b": (7, 7, 1, [], "m6")}
+    wide = spark.range(300).selectExpr("id % 7 as channel_seq", "'c' || id % 7 as channel_url", "id div 7 as case_index")
+    numbered = c.number_cases(wide, rows_per_block=40)
+    assert "Window" not in plan(numbered).split("BroadcastExchange")[0]
+    got = [(r.channel_seq, r.case_index) for r in numbered.orderBy("case_number").collect()]
+    assert got == sorted((i % 7, i // 7) for i in range(300))
+    assert [r.case_number for r in c.number_cases(wide).orderBy("channel_seq", "case_index").collect()] == [f"CASE_{i:04d}" for i in range(1, 301)]
+
+
+def test_labels_of_segments_are_merged(spark, chat):
+    """The table of cases grows with the messages, so it is not broadcast to them."""
+    done = pipeline.segment_with_rules(chat([("a", 0, "x"), ("a", 9999, "y")]))
+    assert "SortMergeJoin" in plan(done.messages) and "BroadcastHashJoin" not in plan(done.messages)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
