@@ -12,6 +12,8 @@ from convocases.sources import readers, sinks
 from convocases.sources.scratch import new_path
 
 SOURCE = {new: old for old, new in m.REQUIRED.items()}
+#: Rows that a task sorts and writes to a file of a source in order; fewer where they hold long texts.
+ROWS_PER_FILE, TEXTS_PER_FILE = 1_000_000, 200_000
 
 # ---- sources and sinks
 
@@ -51,7 +53,8 @@ def scan_messages_csv_in_splits(spark, sf):
     path = new_path(spark, "export")
     rows = a.m1_raw(spark, sf).withColumn("message", F.expr(
         "case (ingest_seq % 1000) % 3 when 0 then message || '\n\"' || message || '\"\n,' when 1 then '\"' || message else message end"))
-    ordered = rows.repartitionByRange(3, "ingest_seq").sortWithinPartitions("ingest_seq").drop("ingest_seq")
+    files = max(3, -(-a.table(spark, sf, "conversations").count() // TEXTS_PER_FILE))
+    ordered = rows.repartitionByRange(files, "ingest_seq").sortWithinPartitions("ingest_seq").drop("ingest_seq")
     sinks.write_messages(ordered.withColumnsRenamed(SOURCE), path, "csv")
     found = with_splits(spark, "4k", lambda: readers.read_messages(spark, path))
     nth = F.row_number().over(Window.partitionBy("channel_url").orderBy("ingest_seq"))
@@ -64,7 +67,8 @@ def load_raw_table_numbered(spark, sf):
     """A compressed table in ingest order whose numbers are gone: the reader numbers its rows in that order."""
     path = new_path(spark, "raw")
     order = ["channel_url", "ingest_seq", "message_id"]
-    a.m3(spark, sf).repartitionByRange(3, *order).sortWithinPartitions(*order).drop("ingest_seq").write.parquet(path)
+    files = max(3, -(-a.table(spark, sf, "lineitem").count() // ROWS_PER_FILE))
+    a.m3(spark, sf).repartitionByRange(files, *order).sortWithinPartitions(*order).drop("ingest_seq").write.parquet(path)
     nth = F.row_number().over(Window.partitionBy("channel_url").orderBy("ingest_seq"))
     return readers.load_raw_table(spark, path).select("channel_url", "message_id", nth.cast("long").alias("nth"))
 

@@ -12,12 +12,28 @@ _CLOSED = rf"^{_CELL}(?:,{_CELL})*+\z"
 _CLOSED_FROM_INSIDE = rf'^[^"]*+(?:""[^"]*+)*+"[^,]*+(?:,{_CELL})*+\z'
 _SPLIT = ["_file", "_block"]
 _ROW = (1 << 33) - 1
+#: Bytes of small splits that one task reads, and files whose ranks are broadcast.
+BYTES_PER_TASK, MANY_FILES = 8 << 20, 100_000
 
 
 def file_ranks(df: DataFrame) -> DataFrame | None:
-    """`_file, _rank`: the files of a source in the order of their paths; None if it has none. Spark has this listing anyway."""
+    """`_file, _rank`: the files of a source in the order of their paths; None if it has none. Spark has this listing anyway.
+
+    Up to MANY_FILES of them meet the rows where these are read: by a shuffle, the rows of a file would meet in one task.
+    """
     files = sorted({re.sub(":/+", ":/", f, count=1) for f in df.inputFiles()})
-    return df.sparkSession.createDataFrame(list(zip(files, range(len(files)))), "_file string, _rank long") if files else None
+    if not files:
+        return None
+    ranks = df.sparkSession.createDataFrame(list(zip(files, range(len(files)))), "_file string, _rank long")
+    return F.broadcast(ranks) if len(files) <= MANY_FILES else ranks
+
+
+def in_larger_tasks(df: DataFrame) -> DataFrame:
+    """The rows of a scan, its splits, where they are small, being read by tasks of BYTES_PER_TASK: each task reports to the driver."""
+    spark = df.sparkSession
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    together = BYTES_PER_TASK // size
+    return df.coalesce(max(1, -(-df.rdd.getNumPartitions() // together))) if together > 1 else df
 
 
 def file_of() -> Column:
@@ -31,10 +47,10 @@ def placed_lines(spark: SparkSession, path: str) -> DataFrame:
     either. So the state before a line is what the last setting line set it to, turned by the turning lines since. That
     is one sort within each split; one row for each split then carries the state over the borders of splits.
     """
-    lines = spark.read.text(path, lineSep="\n").select(
+    lines = in_larger_tasks(spark.read.text(path, lineSep="\n").select(
         file_of(), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"),
         F.regexp_replace("value", "\r$", "").alias("value"),
-    )
+    ))
     opens = (~F.col("value").rlike(_CLOSED)).cast("int")  # inside after the line, if it began outside
     stays = (~F.col("value").rlike(_CLOSED_FROM_INSIDE)).cast("int")  # if it began inside
     lines = lines.withColumns({"_opens": opens, "_stays": stays})
@@ -42,7 +58,7 @@ def placed_lines(spark: SparkSession, path: str) -> DataFrame:
     before = Window.partitionBy(*_SPLIT).orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
     lines = lines.withColumns({"_turns": turns}).withColumn("_turned", F.coalesce(F.sum("_turns").over(before), F.lit(0)) % 2)
     setting = F.when(F.col("_opens") == F.col("_stays"), (F.col("_opens") + F.col("_turned")) % 2)
-    lines = checkpointed(lines.withColumn("_sets", setting).withColumn("_set", F.last("_sets", ignorenulls=True).over(before)))
+    lines = in_larger_tasks(checkpointed(lines.withColumn("_sets", setting).withColumn("_set", F.last("_sets", ignorenulls=True).over(before))))
 
     last = lines.groupBy(*_SPLIT).agg(F.max_by(
         F.struct(((F.col("_turned") + F.col("_turns")) % 2).alias("turned"), F.coalesce("_sets", "_set").alias("set")), "_id").alias("_last"))
@@ -65,7 +81,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = placed_lines(spark, path)
     whole = lines.where(~F.col("_inside") & (F.col("_opens") == 0) & (F.col("value") != ""))
-    parts = checkpointed(lines.where(F.col("_inside") | (F.col("_opens") == 1)).select(*_SPLIT, "_id", "value", "_inside"))
+    parts = in_larger_tasks(checkpointed(lines.where(F.col("_inside") | (F.col("_opens") == 1)).select(*_SPLIT, "_id", "value", "_inside")))
     opener = F.when(~F.col("_inside"), F.struct("_block", "_id"))
     upto = Window.partitionBy(*_SPLIT).orderBy("_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parts = parts.withColumn("_own", F.last(opener, ignorenulls=True).over(upto))

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from checks import tables_and_text
 from convocases.operators import stats
 from convocases.operators.cases import cases_of_boundaries, number_cases
 from convocases.operators.messages import message_positions
@@ -181,3 +182,38 @@ def test_labels_of_an_id_in_two_channels(spark):
     assert labels == {"a": "CASE_0001", "b": "CASE_0002", "c": "", None: ""}
     alone = sinks.with_labels(original.select("message_id"), final).collect()
     assert [r.case_number for r in alone] == ["CASE_0002"] * 4
+
+
+def test_small_splits_share_tasks(spark, tmp_path):
+    """Every task reports to the driver, so splits of 200 bytes do not become tasks each; records and order stay."""
+    path = tmp_path / "export.csv"
+    lines = [f'2024-01-01T10:00:00Z,u1,"text {i}{chr(10) * (i % 3)}""",m{i},MESG,c1,user,x\n' for i in range(2000)]
+    path.write_text(HEADER + "".join(lines), encoding="utf-8")
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in settings}
+    context = spark.sparkContext
+    context.setJobGroup("small splits", "")
+    try:
+        for k in settings:
+            spark.conf.set(k, "200")
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 300
+        rows = readers.read_messages(spark, str(path)).orderBy("ingest_seq").collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [(r.message_id, r.message) for r in rows] == [(f"m{i}", f'text {i}{chr(10) * (i % 3)}"') for i in range(2000)]
+    tracker = context.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("small splits") for s in tracker.getJobInfo(j).stageIds}
+    assert max(info.numTasks for info in map(tracker.getStageInfo, stages) if info) <= 10
+
+
+def test_a_large_source_in_order_is_many_files(spark, monkeypatch):
+    """Rows of a file are sorted by one task, and met by the rank of their file where they are read."""
+    sf = "/root/testdata/sf0.001"
+    usual = tables_and_text.load_raw_table_numbered(spark, sf)
+    monkeypatch.setattr(tables_and_text, "ROWS_PER_FILE", 1000)
+    rows = tables_and_text.load_raw_table_numbered(spark, sf)
+    assert len(usual.inputFiles()) < 6 <= len(rows.inputFiles())
+    assert "hashpartitioning(_file" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, usual.collect()))
