@@ -9,6 +9,8 @@ from convocases.sources.scratch import new_path
 from convocases.streaming import live, queue, slices
 
 FILES = 4
+#: Rows of a feed that a task writes, and groups when it reads them.
+ROWS_PER_FILE = 1_000_000
 
 
 def as_stream(spark, df, files: int = 1, per_batch: int = 1):
@@ -55,8 +57,12 @@ SELECT channel_url, min(created_time) AS start_time, max(created_time) AS end_ti
 
 @query("stream_sessions", sql(SESSIONS, "m2_rule"))
 def stream_sessions(spark, sf):
-    """Sessions of the event stream; one copied row, set far ahead, moves the watermark past them all."""
-    stream = as_stream(spark, with_one_ahead(a.m2(spark, sf)))
+    """Sessions of the event stream; one copied row, set far ahead, moves the watermark past them all.
+
+    All come in one micro-batch, of as many files as their number asks for.
+    """
+    files = -(-a.table(spark, sf, "events").count() // ROWS_PER_FILE) or 1
+    stream = as_stream(spark, with_one_ahead(a.m2(spark, sf)), files, files)
     return drained(spark, live.stream_sessions(stream)).where("channel_url <> 'ahead'")
 
 

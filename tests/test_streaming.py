@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from checks import streams
 from convocases.operators.cases import cases_of_segments
 from convocases.operators.segment import Rules, force_boundaries, segment_by_rules
 from convocases.sources.scratch import new_path
@@ -183,3 +184,18 @@ def test_sessions_in_slices(keyed, chat):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) > 8
     with pytest.raises(ValueError):
         slices.stream_sessions_in_slices(stream, gap_hours=0.5)
+
+
+def test_a_large_feed_of_sessions_is_many_files(spark, monkeypatch):
+    """A task that reads a file groups its rows, so files hold a bounded number of rows; all still come in one batch."""
+    asked, feed_of = [], streams.as_stream
+
+    def seen(spark, df, files=1, per_batch=1):
+        asked.append((files, per_batch))
+        return feed_of(spark, df, files, per_batch)
+
+    monkeypatch.setattr(streams, "as_stream", seen)
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 300, raising=False)
+    rows = streams.stream_sessions(spark, "/root/testdata/sf0.001")
+    assert asked == [(4, 4)]  # 1,000 events
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, streams.sessions(spark, "/root/testdata/sf0.001").select(*rows.columns).collect()))
