@@ -1,5 +1,6 @@
 """The case queue of a live feed as keyed state: messages wait for the watermark, silent channels are closed by timers."""
 
+import json
 from collections.abc import Iterator
 from datetime import timedelta
 
@@ -12,12 +13,12 @@ from convocases.operators.segment import Rules, first_match
 #: The state store that keyed state with timers needs.
 STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
-WAITING = "t long, day int, ingest_seq long, message_id string, ref string, cue boolean"
-CHANNEL_STATE = (
-    "open boolean, case_index long, start_pos long, end_pos long, segment_start long, start_t long, end_t long, end_day int, "
-    "ref string, confidence double, forced_starting boolean"
-)
-_NAMES = tuple(part.split()[0] for part in CHANNEL_STATE.split(", "))
+#: Channels that a key of the state holds are those of a bucket, dealt by hash.
+BUCKETS = 4096
+#: The channels as JSON: each with the time it is due, the values of CASE_STATE, and its waiting messages; then the timer.
+BUCKET_STATE = "channels string, at long"
+CASE_STATE = "open case_index start_pos end_pos segment_start start_t end_t end_day ref confidence forced_starting"
+_NAMES = CASE_STATE.split()
 _CASE = (
     "channel_url string, case_index long, start_pos long, end_pos long, start_t long, end_t long, confidence double, "
     "forced_starting boolean, forced_ending boolean, idle boolean"
@@ -48,63 +49,74 @@ def _order(message: tuple) -> tuple:
 
 
 class CaseQueue(StatefulProcessor):
-    """State of a channel: the messages ahead of the watermark, its open or last case, and the time of its one timer."""
+    """State of a bucket of channels: of each the messages ahead of the watermark, its open or last case, and when it is due.
+
+    Every call to the state is a message to Spark and an answer, and each key has several in every batch; for a key of one
+    channel they took most of the time. So a bucket's channels are one value, read and written once for each batch that
+    has rows of any of them or finds the bucket's one timer due.
+    """
 
     def __init__(self, rules: Rules, max_queue_size: int, idle: int | None, forget: int | None):
         self.rules, self.size, self.idle, self.forget = rules, max_queue_size, idle, forget
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", WAITING)
-        self.channel = handle.getValueState("channel", CHANNEL_STATE)
-        self.timer = handle.getValueState("timer", "at long")
+        self.bucket = handle.getValueState("bucket", BUCKET_STATE)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new = [(r.t, r.day, r.ingest_seq, r.message_id, r.ref, r.cue) for r in rows]
-        self.waiting.appendList(new)
-        self._wake_at(min(m[0] for m in new) // 1000, earlier=True)
-        return iter(())
+        new = {}
+        for r in rows:
+            m = json.loads(r.place)
+            new.setdefault(r.channel_url, []).append((r.t, m["day"], m.get("ingest_seq"), m.get("message_id"), m.get("ref"), m["cue"]))
+        return iter(self._advance(new, timerValues.getCurrentWatermarkInMs()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        """All messages the watermark has passed, in time order; then the open case, if it has been silent for long."""
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [tuple(m) for m in self.waiting.get()]
-        state = dict(zip(_NAMES, self.channel.get())) if self.channel.exists() else None
+        return iter(self._advance({}, timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()))
+
+    def _advance(self, new: dict, watermark: int, expired: int | None = None) -> list[Row]:
+        """Every channel that has new messages or is due; the others stay as they are."""
+        channels, timer = self.bucket.get() or ("[]", None)
+        kept = {channel: rest for channel, *rest in json.loads(channels)}
         out = []
+        for channel in [*new, *(c for c, (at, _, _) in kept.items() if c not in new and at is not None and at < watermark)]:
+            _, state, held = kept.get(channel, (None, None, []))
+            state = dict(zip(_NAMES, state)) if state else None
+            after = self._pass(channel, [*held, *new.get(channel, ())], state, watermark * 1000, out)
+            if after:
+                kept[channel] = after
+            else:
+                kept.pop(channel, None)
+        at = min((at for at, _, _ in kept.values() if at is not None), default=None)
+        if at != timer:
+            if timer is not None and timer != expired:  # Spark takes away the one that has expired
+                self.handle.deleteTimer(timer)
+            if at is not None:
+                self.handle.registerTimer(at)
+        if kept:
+            self.bucket.update((json.dumps([(channel, *rest) for channel, rest in kept.items()]), at))
+        else:
+            self.bucket.clear()
+        return out
+
+    def _pass(self, channel, held: list, state: dict | None, now: int, out: list[Row]) -> tuple | None:
+        """All messages the watermark has passed, in time order; then the open case, if it has been silent for long.
+
+        Gives when the channel is due next, its case and what still waits; None if nothing of it is kept.
+        """
         for message in sorted((m for m in held if m[0] < now), key=_order):
             if state and state["open"] and self.idle is not None and message[0] - state["end_t"] >= self.idle:
-                out.append(self._close(key, state, idle=True))
-            state = self._take(key, message, state, out)
+                out.append(self._close(channel, state, idle=True))
+            state = self._take(channel, message, state, out)
         later = [m for m in held if m[0] >= now]
-        if len(later) < len(held):
-            self.waiting.put(later) if later else self.waiting.clear()
         if state and state["open"] and self.idle is not None and state["end_t"] + self.idle < now:
-            out.append(self._close(key, state, idle=True))
-        self.timer.clear()
-        gone = state and not later and not state["open"] and self.forget is not None and state["end_t"] + self.forget < now
-        if gone:
-            self.channel.clear()
-        elif state:
-            self.channel.update(tuple(state[n] for n in _NAMES))
-            wait = self.idle if state["open"] else self.forget
-            times = [m[0] for m in later] + ([state["end_t"] + wait] if wait is not None else [])
-            if times:
-                self._wake_at(min(times) // 1000)
-        elif later:
-            self._wake_at(min(m[0] for m in later) // 1000)
-        return iter(out)
-
-    def _wake_at(self, at: int, earlier: bool = False) -> None:
-        """One timer for each channel; `earlier`: only if there is none before."""
-        if self.timer.exists():
-            old = self.timer.get()[0]
-            if earlier and old <= at:
-                return
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer(at)
-        self.timer.update((at,))
-
-    def _take(self, key, message: tuple, state: dict | None, out: list[Row]) -> dict:
+            out.append(self._close(channel, state, idle=True))
+        if state and not later and not state["open"] and self.forget is not None and state["end_t"] + self.forget < now:
+            return None
+        wait = None if state is None else self.idle if state["open"] else self.forget
+        times = [m[0] for m in later] + ([state["end_t"] + wait] if wait is not None else [])
+        return max(min(times), now) // 1000 if times else None, state and [state[n] for n in _NAMES], later
+
+    def _take(self, channel, message: tuple, state: dict | None, out: list[Row]) -> dict:
         t, day, _, _, ref, _ = message
         confidence = opened_by(message, state, self.rules)
         pos = state["end_pos"] + 1 if state else 1
@@ -113,7 +125,7 @@ class CaseQueue(StatefulProcessor):
         if state and not full and confidence is None:
             return {**state, "end_pos": pos, "end_t": t, "end_day": day, "ref": ref if ref is not None else state["ref"]}
         if state and state["open"]:
-            out.append(self._close(key, state, forced=full))
+            out.append(self._close(channel, state, forced=full))
         return {
             "open": True, "case_index": state["case_index"] + 1 if state else 0, "start_pos": pos, "end_pos": pos,
             "segment_start": state["segment_start"] if full and not silent else pos, "start_t": t, "end_t": t, "end_day": day,
@@ -122,10 +134,10 @@ class CaseQueue(StatefulProcessor):
         }
 
     @staticmethod
-    def _close(key, state: dict, forced: bool = False, idle: bool = False) -> Row:
+    def _close(channel, state: dict, forced: bool = False, idle: bool = False) -> Row:
         state["open"] = False
         return Row(
-            channel_url=key[0], **{n: state[n] for n in ("case_index", "start_pos", "end_pos", "start_t", "end_t", "confidence", "forced_starting")},
+            channel_url=channel, **{n: state[n] for n in ("case_index", "start_pos", "end_pos", "start_t", "end_t", "confidence", "forced_starting")},
             forced_ending=forced, idle=idle)
 
 
@@ -138,7 +150,7 @@ def _micros(span: str | timedelta | None) -> int | None:
 
 def stream_cases(
     messages: DataFrame, rules: Rules = Rules(), max_queue_size: int = 128, late: str = "1 hour",
-    idle: str | timedelta | None = "24 hours", forget: str | timedelta | None = None,
+    idle: str | timedelta | None = "24 hours", forget: str | timedelta | None = None, buckets: int = BUCKETS,
 ) -> DataFrame:
     """Finished cases of a message stream, each once, as soon as the watermark lets them be known.
 
@@ -149,17 +161,23 @@ def stream_cases(
     in any case, with forced_starting where no rule asks for it. After a silence of `forget` nothing of a channel is
     kept, and it starts again at position 1. `idle` and `forget` are like "90 minutes"; None: never.
 
-    A batch reads and writes the state of channels that it holds messages of, or whose timer is due, and no others. State
-    and shuffle hold a message's time, place, reference and cue, not its text. Messages without a time are dropped; a
-    null channel is a channel. The session needs the settings in STATE_STORE.
+    State is kept by `buckets` of channels: a batch reads and writes the buckets of channels that it holds messages of, or
+    that are due, each once and whole, and no others. More channels to a bucket mean fewer calls to the state store; feeds of
+    many millions of channels, of which a batch has few, want more buckets. The number holds for the life of a checkpoint.
+    State and shuffle hold a message's time, place, reference and cue, not its text. Messages without a time are dropped;
+    a null channel is a channel. The session needs the settings in STATE_STORE.
     """
-    rows = drop_untimed(messages).withWatermark("created_time", late).select(
-        "channel_url", "created_time", F.unix_micros("created_time").alias("t"), F.unix_date(F.to_date("created_time")).alias("day"),
-        "ingest_seq", "message_id", first_match(F.col("message"), rules.ref_pattern).alias("ref"),
+    place = F.struct(
+        F.unix_date(F.to_date("created_time")).alias("day"), "ingest_seq", "message_id",
+        first_match(F.col("message"), rules.ref_pattern).alias("ref"),
         F.coalesce(F.col("message").rlike(rules.cue_pattern), F.lit(False)).alias("cue"),
     )
+    rows = drop_untimed(messages).withWatermark("created_time", late).select(
+        F.pmod(F.xxhash64("channel_url"), F.lit(buckets)).alias("bucket"), "channel_url", "created_time",
+        F.unix_micros("created_time").alias("t"), F.to_json(place).alias("place"),
+    )
     queue = CaseQueue(rules, max_queue_size, _micros(idle), _micros(forget))
-    cases = rows.groupBy("channel_url").transformWithState(queue, _CASE, "Append", "EventTime")
+    cases = rows.groupBy("bucket").transformWithState(queue, _CASE, "Append", "EventTime")
     return cases.select(
         "channel_url", "case_index", "start_pos", "end_pos", F.timestamp_micros("start_t").alias("start_time"), F.timestamp_micros("end_t").alias("end_time"),
         (F.col("end_pos") - F.col("start_pos") + 1).alias("n_messages"), "confidence", "forced_starting", "forced_ending", "idle",

@@ -157,6 +157,20 @@ def test_keyed_queue_touches_only_its_channels(keyed, chat):
     assert all(sum(s["numRowsUpdated"] for s in p.stateOperators) < 60 for p in feed.seen)
 
 
+def test_keyed_queue_touches_the_state_by_bucket(keyed, chat):
+    """A batch updates no more of the state than buckets, however many channels it holds; cases do not depend on the dealing."""
+    rows = [(f"c{i}", m + i * 0.001, t) for i in range(40) for m, t in zip(MINUTES, TEXTS)] + [(None, 3, "x"), (None, 4000, "x")]
+    messages = chat(sorted(rows, key=lambda r: r[1]) + [("ahead", 600_000, "x")])
+    got = []
+    for options in ({}, {"buckets": 3}):
+        feed = Feed(keyed, rules=RULES, max_queue_size=4, late="1 hour", idle="100 days", **options)
+        feed.run(messages.where("ingest_seq < 200"))
+        got.append(feed.run(messages.where("ingest_seq >= 200")))
+    assert got[0] == got[1] and [c[1:4] for c in got[1] if c[0] is None] == [(0, 1, 1), (1, 2, 2)]
+    assert [c for c in got[1] if c[0]] == batch_cases(messages.where("channel_url is not null"), RULES, 4)
+    assert max(sum(s["numRowsUpdated"] for s in p.stateOperators) for p in feed.seen) <= 3
+
+
 def test_keyed_queue_forced_cuts_and_nothing_to_read(keyed, chat):
     messages = chat([("hot", i, "x") for i in range(50)] + [(None, 3, "x"), ("ahead", 600_000, "x")])
     feed = Feed(keyed, rules=RULES, max_queue_size=8, late="1 hour", idle="1 day")
