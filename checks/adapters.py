@@ -36,8 +36,11 @@ def m1_raw(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def m1(spark: SparkSession, sf: str) -> DataFrame:
-    return load_messages(clean_messages(m1_raw(spark, sf))).drop("created_time_raw")
+def m1(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
+    """`spread` deals the rows out before they are cleaned: a row group is one task, however long cleaning its texts takes."""
+    raw = m1_raw(spark, sf)
+    raw = raw.repartition("channel_url", "message_id") if spread else raw
+    return load_messages(clean_messages(raw)).drop("created_time_raw")
 
 
 def m2(spark: SparkSession, sf: str) -> DataFrame:

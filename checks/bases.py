@@ -52,12 +52,17 @@ def at():
 
 @once
 def m1_pos(spark, sf):
-    return m.message_positions(a.m1(spark, sf))
+    return m.message_positions(a.m1(spark, sf, spread=True))
+
+
+def m1_cleaned(spark, sf):
+    """M1 from its written rows: cleaning costs more than all else that is done with a message."""
+    return m1_pos(spark, sf).drop("pos")
 
 
 @once
 def m1_requests(spark, sf):
-    return requests.segmentation_requests(a.m1(spark, sf))
+    return requests.segmentation_requests(m1_cleaned(spark, sf))
 
 
 @once
@@ -68,7 +73,7 @@ def boundaries(spark, sf):
 @once
 def segmented(spark, sf):
     """M1 with R1: labelled messages and numbered cases."""
-    return pipeline.segment_with_boundaries(a.m1(spark, sf), boundaries(spark, sf), m1_pos(spark, sf))
+    return pipeline.segment_with_boundaries(m1_cleaned(spark, sf), boundaries(spark, sf), m1_pos(spark, sf))
 
 
 @once

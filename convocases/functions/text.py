@@ -5,6 +5,10 @@ from pyspark.sql import Column, functions as F
 # Markers, limits and patterns the results must reproduce.
 EMPTY_MESSAGE = "[empty message]"
 CONTROL_CHARS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
+#: Those and the replacement character.
+DROPPED_CHARS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F\uFFFD]"
+#: Whitespace that is not a single blank already, so plain text has no match.
+UNTIDY_SPACE = r"(?U)\s\s+|[^\S ]"
 MAX_MESSAGE_LENGTH = 500
 AGENT_ID_PREFIX = "psops"
 AGENT, CUSTOMER = "customer_service", "user"
@@ -31,15 +35,16 @@ def clean_message(text: Column, straighten: bool = False, limit: int | None = No
     """Drop control and replacement characters, collapse whitespace, trim.
 
     A missing or empty text gives '', a text that cleans to nothing gives a marker. Curly quotes are
-    kept unless `straighten` is set; nothing is shortened unless `limit` is given.
+    kept unless `straighten` is set; nothing is shortened unless `limit` is given. The marker is put in by a pattern, since
+    a condition on the cleaned text would have it cleaned once more.
     """
-    kept = F.translate(F.regexp_replace(text, CONTROL_CHARS, ""), "�", "")
+    kept = F.regexp_replace(text, DROPPED_CHARS, "")
     if straighten:
         kept = straighten_quotes(kept)
-    tidy = F.trim(F.regexp_replace(kept, r"(?U)\s+", " "))
+    tidy = F.trim(F.regexp_replace(kept, UNTIDY_SPACE, " "))
     if limit:
         tidy = truncate_message(tidy, limit)
-    marked = F.coalesce(F.nullif(tidy, F.lit("")), F.lit(EMPTY_MESSAGE))
+    marked = F.regexp_replace(tidy, r"\A\z", EMPTY_MESSAGE)
     return F.when(F.coalesce(text, F.lit("")) == "", "").otherwise(marked)
 
 

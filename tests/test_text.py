@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from checks import adapters, bases
 from convocases.functions import text
 from convocases.operators import messages as m
 
@@ -97,3 +98,21 @@ def test_required_columns_come_first(spark):
 def test_round_columns(spark, columns, n):
     df = spark.createDataFrame([tuple("x" for _ in columns.split(","))], columns)
     assert df.select(F.size(m.collect_round_columns(df))).first()[0] == n
+
+
+def test_a_message_is_cleaned_once(spark):
+    """A condition on the cleaned text would hold its whole expression again."""
+    rows = spark.createDataFrame([("a \t b",)], "m string").select(text.clean_message(F.col("m")).alias("c"))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count(r"[\x00-\x08\x0B\x0C") == 1
+    odd = [" a", "a \n\t b", "\xa0", "a\xa0b", "\ufffd", "\ufffd \ufffd", "a \x00 b", "\x85", "\u3000a\u2003\u2003b", "$1 \\\\", "\x1f"]
+    assert one(spark, text.clean_message, odd) == [
+        "a", "a b", text.EMPTY_MESSAGE, "a b", text.EMPTY_MESSAGE, text.EMPTY_MESSAGE, "a b", text.EMPTY_MESSAGE, "a b", "$1 \\\\", text.EMPTY_MESSAGE]
+
+
+def test_queries_share_cleaned_messages(spark):
+    """What several steps need of a message is cleaned once, dealt out, and the rows are those of the plain way."""
+    sf = "/root/testdata/sf0.001"
+    cleaned = bases.m1_cleaned(spark, sf)
+    columns = [c for c in cleaned.columns if c != "round_columns"]
+    assert sorted(map(str, cleaned.select(columns).collect())) == sorted(map(str, adapters.m1(spark, sf).select(columns).collect()))
+    assert "regexp_replace" not in cleaned._jdf.queryExecution().optimizedPlan().toString()
