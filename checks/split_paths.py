@@ -105,7 +105,7 @@ def segment_with_overlapping_parts(spark, sf):
     halves = a.conv_sizes(a.m2(spark, sf)).select("channel_url", F.inline(F.expr(
         "array(struct(1L as start_pos, h as end_pos), struct(h + 1 as start_pos, n as end_pos))")))
     out = []
-    for feed, truth in ((a.m3(spark, sf), b.m3_rules(spark, sf).cases.select("channel_url", "start_pos", "end_pos")), (a.m2(spark, sf), halves)):
+    for feed, truth in ((b.m3_feed(spark, sf), b.m3_rules(spark, sf).cases.select("channel_url", "start_pos", "end_pos")), (a.m2(spark, sf), halves)):
         asked = checkpointed(requests.segmentation_requests(feed, budget=300, overlap=100))
         cases = pipeline.segment_with_replies(feed, answers_of(asked, truth), requests=asked).cases
         out.append(cases.select(

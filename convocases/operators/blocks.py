@@ -151,8 +151,8 @@ def by_place(df: DataFrame, keys: Sequence[str], order: str, place: Column, leng
 def scan(o: Ordered, **steps: Step) -> Ordered:
     """Add running columns in group order. Kinds of step:
 
-    row_number; lag(value); last(value): last non-null before this row; sum(value), max(value): up to and
-    with this row; count, least(value), total(value): over the whole group.
+    row_number; lag(value), lead(value): of the row before, after; last(value): last non-null before this row;
+    sum(value), max(value): up to and with this row; count, least(value), total(value): over the whole group.
     """
     group = Window.partitionBy(*o.keys, *([BLOCK] if o.split else []))
     ordered = group.orderBy(*o.order)
@@ -161,6 +161,7 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
     inside = {
         "row_number": lambda v: F.row_number().over(ordered).cast("long"),
         "lag": lambda v: F.lag(v).over(ordered),
+        "lead": lambda v: F.lead(v).over(ordered),
         "last": lambda v: F.last(v, ignorenulls=True).over(before),
         "sum": lambda v: F.sum(v).over(upto),
         "max": lambda v: F.max(v).over(upto),
@@ -175,6 +176,7 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
     per_block = {
         "row_number": lambda v: F.count(F.lit(1)),
         "lag": lambda v: F.max_by(v, place),
+        "lead": lambda v: F.min_by(v, place),
         "last": lambda v: F.max_by(v, F.when(v.isNotNull(), place)),
         "sum": lambda v: F.sum(v),
         "max": lambda v: F.max(v),
@@ -187,6 +189,7 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
     carried = {
         "row_number": lambda t: F.sum(t).over(earlier),
         "lag": lambda t: F.lag(t).over(blocks.orderBy(BLOCK)),
+        "lead": lambda t: F.lead(t).over(blocks.orderBy(BLOCK)),
         "last": lambda t: F.last(t, ignorenulls=True).over(earlier),
         "sum": lambda t: F.sum(t).over(earlier),
         "max": lambda t: F.max(t).over(earlier),
@@ -201,6 +204,8 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
             return F.when(own.isNull(), carry).otherwise(own + F.coalesce(carry, F.lit(0)))
         if kind == "lag":
             return F.when(F.col("_scan_row") == 1, carry).otherwise(own)
+        if kind == "lead":
+            return F.when(F.col("_scan_next").isNull(), carry).otherwise(own)
         if kind == "last":
             return F.coalesce(own, carry)
         if kind == "max":
@@ -215,14 +220,14 @@ def scan(o: Ordered, **steps: Step) -> Ordered:
         *o.keys, BLOCK, *(carried[s.kind](F.col(f"_carry_{n}")).alias(f"_carry_{n}") for n, s in steps.items())
     )
     rows = o.rows.withColumns({
-        "_scan_row": F.row_number().over(ordered),
+        "_scan_row": F.row_number().over(ordered), "_scan_next": F.lead(F.lit(True)).over(ordered),
         **{f"_in_{n}": inside[s.kind](s.value) for n, s in steps.items()},
     })
     # Rows already lie by (group, block); only the small carry table moves, unless a null group has to match too.
     at = [*o.keys, BLOCK]
     rows = left_join_null_safe(rows, carry, at) if o.null_keys else rows.join(carry, at, "left")
     rows = rows.withColumns({n: joined(s.kind, n) for n, s in steps.items()})
-    return o._replace(rows=rows.drop("_scan_row", *(f"_{p}_{n}" for p in ("in", "carry") for n in steps)))
+    return o._replace(rows=rows.drop("_scan_row", "_scan_next", *(f"_{p}_{n}" for p in ("in", "carry") for n in steps)))
 
 
 def finish(o: Ordered) -> DataFrame:

@@ -1,6 +1,6 @@
 """Cases: ranges to messages, numbering, case rows, labels on messages."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -69,7 +69,7 @@ def build_cases(case_messages: DataFrame, extra: dict[str, tuple[Callable, str]]
     cases = case_messages.groupBy(*CASE).agg(
         F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"),
         F.min("created_time").alias("start_time"), F.max("created_time").alias("end_time"),
-        F.count(F.lit(1)).alias("n_messages"),
+        F.count("pos").alias("n_messages"),
         F.sort_array(F.collect_set("sender_id")).alias("participants"),
         *(agg(source).alias(name) for name, (agg, source) in extra.items()),
     )
@@ -107,15 +107,38 @@ def cases_of_segments(segmented: DataFrame) -> DataFrame:
 def cases_of_boundaries(boundaries: DataFrame, positioned: DataFrame) -> DataFrame:
     """Cases of accepted boundary rows (`start_pos`, `end_pos`, `summary`, `confidence`, `channel_seq`).
 
-    The texts stay out of the message join and come back by case.
+    Ranges that share no message meet theirs in order, in one exchange by channel. Else they are joined with the messages;
+    the texts stay out of that join and come back by case.
     """
     ranges = boundaries.select(*CASE, "start_pos", "end_pos")
-    rows = cases_to_messages_range(ranges, positioned.select("channel_url", "pos", "created_time", "sender_id"))
+    held = positioned.select("channel_url", "pos", "created_time", "sender_id")
     given = [c for c in ("case_truncated", "forced_ending", "forced_starting") if c in boundaries.columns]
     labels = boundaries.select(*CASE, "channel_seq", "summary", "confidence", *given)
+    if intervals.reached_over(ranges).isEmpty():
+        return with_summary(cases_in_order(boundaries, held, labels.columns[len(CASE):]))
+    rows = cases_to_messages_range(ranges, held)
     return with_summary(build_cases(rows, {}).drop(*given).join(labels.hint("merge"), CASE))
 
 
+def cases_in_order(ranges: DataFrame, messages: DataFrame, labels: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Cases of disjoint ranges (with `labels`) from messages with `pos`.
+
+    A range is a row just before its first message, and a message belongs to the last range that starts at or before it,
+    if that reaches it. A scan finds it, in blocks where a channel is too large; no message carries a label.
+    """
+    starts = ranges.where(F.col("start_pos") <= F.col("end_pos")).select(
+        "channel_url", F.col("start_pos").alias("_at"), F.lit(False).alias("_message"), F.struct("case_index", "end_pos", *labels).alias("_range"))
+    rows = starts.unionByName(messages.withColumnRenamed("pos", "_at").withColumn("_message", F.lit(True)), allowMissingColumns=True)
+    o = blocks.in_blocks(rows, ["channel_url"], ["_at", "_message"], rows_per_block=rows_per_block)
+    place = F.when(~F.col("_message"), F.struct("_range.case_index", "_range.end_pos"))
+    rows = blocks.finish(blocks.scan(o._replace(rows=o.rows.withColumn("_opens", place)), _open=Step("last", F.col("_opens"))))
+    rows = rows.withColumn("_of", F.coalesce("_opens", "_open")).where(F.col("_at") <= F.col("_of.end_pos"))
+    rows = rows.withColumns({
+        "case_index": F.col("_of.case_index"), "pos": F.when(F.col("_message"), F.col("_at")), **{c: F.col(f"_range.{c}") for c in labels}})
+    cases = build_cases(rows, {c: (F.max, c) for c in labels})
+    return cases.where(F.col("n_messages") > 0).select(*(c for c in cases.columns if c not in labels), *labels)
+
+
 def number_cases(cases: DataFrame, rows_per_block: int = CASES_PER_BLOCK) -> DataFrame:
     """`CASE_0001`... over all channels in ingest order, then by case index; dense and without gaps.
 

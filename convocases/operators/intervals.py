@@ -19,6 +19,15 @@ def _nodes(low: str, high: str) -> Column:
         f"if({left} < {right} and {right} % 2 = 1, named_struct('h', h, 'node', {right} - 1), null)))), x -> x is not null)")
 
 
+def reached_over(ranges: DataFrame, *ties: str) -> DataFrame:
+    """The ranges that an earlier one of their channel, by start, end and `ties`, reaches into."""
+    rows = ranges.where("start_pos <= end_pos")
+    o = blocks.in_blocks(rows, ["channel_url"], ["start_pos", "end_pos", *ties])
+    o = blocks.scan(o, _reach=Step("max", F.col("end_pos")))
+    o = blocks.scan(o, _before=Step("lag", F.col("_reach")))
+    return blocks.finish(o).where(F.col("_before") >= F.col("start_pos")).select(*ranges.columns)
+
+
 def disjoint(ranges: DataFrame, value: str) -> DataFrame:
     """`channel_url, start_pos, end_pos, <value>`: disjoint intervals with the largest `value` of the ranges over them.
 
@@ -29,10 +38,7 @@ def disjoint(ranges: DataFrame, value: str) -> DataFrame:
     Both sides of each join grow with the ranges and compressed files look small, so none is broadcast.
     """
     rows = ranges.select("channel_url", "start_pos", "end_pos", value).where("start_pos <= end_pos")
-    o = blocks.in_blocks(rows, ["channel_url"], ["start_pos", "end_pos", value])
-    o = blocks.scan(o, _reach=Step("max", F.col("end_pos")))
-    o = blocks.scan(o, _before=Step("lag", F.col("_reach")))
-    tangled = checkpointed(blocks.finish(o).where(F.col("_before") >= F.col("start_pos")).select("channel_url").distinct())
+    tangled = checkpointed(reached_over(rows, value).select("channel_url").distinct())
     if tangled.isEmpty():
         return rows
     tangled = tangled.hint("merge")

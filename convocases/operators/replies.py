@@ -6,7 +6,7 @@ Everything is native expressions on `VARIANT`; a reply that fails a check keeps
 from pyspark.sql import Column, DataFrame, functions as F
 
 from convocases.operators import blocks
-from convocases.operators.blocks import Step
+from convocases.operators.blocks import Cuts, Step
 
 # Fallback cases and the patterns that find JSON in a reply.
 NO_REPLY_SUMMARY, NO_REPLY_CONFIDENCE = "No LLM analysis available - processed as single case", 0.3
@@ -19,6 +19,7 @@ TAGGED_OBJECT = r"(?is)<output>\s*(\{.*?\})\s*</output>"
 FENCED = r"(?is)```(?:json)?\s*(\{.*?\})\s*```"
 OUTER_BRACES = r"(?s)\{.*\}"
 ONE_LEVEL_OBJECT = r"\{[^{}]*+(?:\{[^{}]*+\}[^{}]*+)*+\}"
+PART_ORDER = ["part", "request_id"]
 
 
 def kind(value: Column) -> Column:
@@ -158,12 +159,16 @@ def explode_cases(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("cases").isNotNull()).select(*kept, F.inline(proposals(before)))
 
 
-def mark_ranges(boundaries: DataFrame) -> DataFrame:
-    """`reject_reason` of each boundary row; null where `1 <= start <= end <= channel_messages`."""
-    start, end = F.col("start_pos"), F.col("end_pos")
-    typed = start.isNotNull() & end.isNotNull() & F.col("confidence").isNotNull()
+def reject_reason(start: Column, end: Column, confidence: Column) -> Column:
+    """What is wrong with a range; null where `1 <= start <= end <= channel_messages`."""
+    typed = start.isNotNull() & end.isNotNull() & confidence.isNotNull()
     inside = (start >= 1) & (start <= end) & (end <= F.col("channel_messages"))
-    return boundaries.withColumn("reject_reason", F.when(~typed, "bad_type").when(~inside, "out_of_range"))
+    return F.when(~typed, "bad_type").when(~inside, "out_of_range")
+
+
+def mark_ranges(boundaries: DataFrame) -> DataFrame:
+    """`reject_reason` of each boundary row."""
+    return boundaries.withColumn("reject_reason", reject_reason(*(F.col(c) for c in ("start_pos", "end_pos", "confidence"))))
 
 
 def valid_ranges(boundaries: DataFrame) -> DataFrame:
@@ -187,15 +192,16 @@ def join_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
     )
     joined = asked.join(answers.withColumn("_answered", F.lit(True)).hint("merge"), ["request_id"], "left")
     several = not asked.where(F.col("part") > 0).isEmpty()
-    return beside_parts(joined.withColumn("status", status).drop("_answered"), several)
+    cuts = blocks.find_cuts(asked, ["channel_url"], PART_ORDER) if several else None  # of the same rows, without their replies
+    return beside_parts(joined.withColumn("status", status).drop("_answered"), several, cuts)
 
 
-def beside_parts(joined: DataFrame, several: bool) -> DataFrame:
+def beside_parts(joined: DataFrame, several: bool, cuts: Cuts | None = None) -> DataFrame:
     """What the other parts of the channel say: `cases_before` this part, `answered` (parts with a usable reply),
     `unasked` (parts without any reply is all there are), and `asked_from`, `asked_to`, the messages of all parts.
 
-    Where no channel has `several` parts there is nothing beside a request. Else a scan over narrow rows counts, which
-    cuts a channel of very many parts into blocks.
+    Where no channel has `several` parts there is nothing beside a request. Else a scan counts, which cuts a channel of
+    very many parts into blocks. The rows themselves go by channel, once: a join with counts would read the replies twice.
     """
     ok = F.col("status") == "ok"
     if not several:
@@ -203,20 +209,16 @@ def beside_parts(joined: DataFrame, several: bool) -> DataFrame:
             "cases_before": F.lit(0).cast("long"), "answered": ok.cast("long"), "unasked": F.col("status") == "missing",
             "asked_from": F.col("first_pos"), "asked_to": F.col("last_pos"),
         })
-    narrow = joined.select(
-        "request_id", "channel_url", "part", "first_pos", "last_pos", F.coalesce(F.size("cases"), F.lit(1)).alias("_n"),
-        ok.cast("long").alias("_ok"), (F.col("status") != "missing").cast("long").alias("_replied"),
-    )
-    o = blocks.in_blocks(narrow, ["channel_url"], ["part", "request_id"])
+    n = F.coalesce(F.size("cases"), F.lit(1))
+    o = blocks.in_blocks(joined, ["channel_url"], PART_ORDER, cuts)
     rows = blocks.finish(blocks.scan(
-        o, _upto=Step("sum", F.col("_n")), answered=Step("total", F.col("_ok")), _replies=Step("total", F.col("_replied")),
+        o, _upto=Step("sum", n), answered=Step("total", ok.cast("long")), _replies=Step("total", (F.col("status") != "missing").cast("long")),
         asked_from=Step("least", F.col("first_pos")), _to=Step("least", -F.col("last_pos")),
     ))
-    beside = rows.select(
-        "request_id", (F.col("_upto") - F.col("_n")).alias("cases_before"), "answered", (F.col("_replies") == 0).alias("unasked"),
+    return rows.select(
+        *joined.columns, (F.col("_upto") - n).alias("cases_before"), "answered", (F.col("_replies") == 0).alias("unasked"),
         "asked_from", (-F.col("_to")).alias("asked_to"),
     )
-    return joined.join(beside.hint("merge"), ["request_id"])
 
 
 def fallback() -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from convocases.functions.text import parse_created_time
 from convocases.operators import cases as case_ops, classify, replies as reply_ops, reports, segment, stats, stitch
-from convocases.operators.blocks import Cuts
+from convocases.operators.blocks import Cuts, find_cuts
 from convocases.operators.channels import channel_counts, filter_channels
 from convocases.operators.messages import clean_messages, drop_untimed, message_cuts, message_positions
 from convocases.operators.review import review_loop
@@ -84,7 +84,8 @@ def segment_with_replies(
     positioned = checkpointed(places.select("channel_url", "message_id", "pos", "created_time", "sender_id"))
     requests = request_ops.segmentation_requests(messages, cuts) if requests is None else requests
     if "overlap" in requests.columns:
-        boundaries = checkpointed(stitch.stitched(checkpointed(reply_ops.join_replies(requests, replies))))
+        part_cuts = find_cuts(requests, ["channel_url"], ["part"])
+        boundaries = checkpointed(stitch.stitched(reply_ops.join_replies(requests, replies), part_cuts))
     else:
         boundaries = reply_ops.valid_ranges(reply_ops.boundaries_of_replies(requests, replies))
     reviews = None

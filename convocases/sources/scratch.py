@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting by which the shuffle files of a query go when it has ended.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
 
@@ -42,8 +44,15 @@ def remove_scratch(spark: SparkSession) -> int:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Written as a table to the shared folder and read from there.
 
-    The lineage ends here and outlives lost executors; later reads take only the columns they need.
+    The lineage ends here and outlives lost executors; later reads take only the columns they need. Nothing reads the
+    shuffles behind a written step again, so their files go at once; else Spark keeps them until the driver collects garbage.
     """
-    path = new_path(df.sparkSession, "step")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, "step")
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.write.parquet(path, compression="zstd")
+    finally:
+        spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)

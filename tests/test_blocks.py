@@ -152,3 +152,13 @@ def test_too_many_cuts_cost_no_further_pass(spark, monkeypatch):
     cuts = blocks.find_cuts(rows, ["g"], ["t"], rows_per_block=4)
     assert 5 <= len(cuts.rows) <= 10
     assert read.value == 6000  # counted and sampled once, however many cuts the rows per block ask for
+
+
+@pytest.mark.parametrize("rows_per_block", [1, 3, 10**6])
+def test_lead_looks_over_borders(spark, rows_per_block):
+    rows = make_rows({"hot": 50, "b": 7, "c": 1})
+    df = spark.createDataFrame(rows, "k string, place long, v long").repartition(5)
+    o = blocks.scan(blocks.in_blocks(df, ["k"], ["place"], rows_per_block=rows_per_block), after=Step("lead", F.col("v")))
+    got = {(r.k, r.place): r.after for r in blocks.finish(o).select("k", "place", "after").collect()}
+    values = {(k, place): v for k, place, v in rows}
+    assert got == {(k, place): values.get((k, place + 1)) for k, place in values} and o.split == (rows_per_block < 50)

@@ -200,3 +200,23 @@ def test_labels_of_segments_are_merged(spark, chat):
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("rows_per_block", [3, 10**6])
+def test_disjoint_ranges_meet_their_messages_in_order(spark, monkeypatch, rows_per_block):
+    """The same cases as by the join, gaps, borders of blocks and ranges without messages included, in one exchange."""
+    positioned = checkpointed(spark.range(120).selectExpr(
+        "'c' || id div 60 as channel_url", "id % 60 + 1 as pos", "timestamp_seconds(id * 60) as created_time", "'u' || id % 3 as sender_id"))
+    bounds = [("c0", 0, 1, 1), ("c0", 1, 2, 30), ("c0", 2, 33, 60), ("c1", 0, 5, 64), ("c1", 1, 70, 80), ("c1", 2, 90, 85), ("none", 0, 1, 9)]
+    bounds = checkpointed(spark.createDataFrame(
+        [(*b, 7, f"s{i}" if i else None, 0.5 + i / 10, i == 2) for i, b in enumerate(bounds)],
+        "channel_url string, case_index long, start_pos long, end_pos long, channel_seq long, summary string, confidence double, forced_ending boolean"))
+    apart = c.cases_in_order
+    monkeypatch.setattr(c, "cases_in_order", lambda *given: apart(*given, rows_per_block))
+    scanned = c.cases_of_boundaries(bounds, positioned)
+    if rows_per_block > 120:
+        assert scanned._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    monkeypatch.setattr(c.intervals, "reached_over", lambda ranges: ranges)
+    joined = c.cases_of_boundaries(bounds, positioned)
+    assert scanned.columns == joined.columns and scanned.count() == 4
+    assert sorted(map(str, scanned.collect())) == sorted(map(str, joined.collect()))

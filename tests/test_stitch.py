@@ -140,3 +140,40 @@ def test_stitching_broadcasts_nothing(spark):
     for df in (joined, found):
         df.collect()
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cut_channels_stitch_alike(spark):
+    """Channels of many parts are cut into blocks, whose rows read on over the borders."""
+    r = random.Random(5)
+    channels = [some_channel(r) for _ in range(60)]
+    asked, answers = [], []
+    for i, (_, _, parts, replies) in enumerate(channels):
+        for p, ((f, t), reply) in enumerate(zip(parts, replies)):
+            asked.append((f"{i}:{p}", f"ch{i}", p, f, t, parts[-1][1], i, False, 1))
+            body = [{"start_message": s, "end_message": e, "summary": x, "confidence": c} for s, e, x, c in reply or []]
+            answers.append((f"{i}:{p}", "no json" if reply is None else json.dumps({"complete_cases": body}), None))
+    joined = checkpointed(join_replies(spark.createDataFrame(asked, ASKED), spark.createDataFrame(answers, "request_id string, content string, error string")))
+    plain = blocks.find_cuts(joined, ["channel_url"], ["part"])
+    cut = blocks.find_cuts(joined, ["channel_url"], ["part"], 3)
+    assert not plain.rows and len(cut.rows) > 20
+    whole, parted = (sorted(map(tuple, stitch.stitched(joined, cuts).collect()), key=str) for cuts in (plain, cut))
+    assert whole == parted and len(whole) > 100
+
+
+def tables_read(df):
+    """The files that a plan reads, once for each time it reads them, and its exchanges."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return plan.count("FileScan"), df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange ")
+
+
+def test_parts_move_once(spark):
+    """Replies are read once, and a row for each part goes by channel once: what grows with the messages is not shuffled over and over."""
+    rows = spark.range(400).selectExpr(
+        "'c' || id div 4 as channel_url", "cast(id % 4 as int) as part", "(id % 4) * 5 + 1 as first_pos", "(id % 4) * 5 + 7 as last_pos",
+        "22L as channel_messages", "id div 4 as channel_seq", "false as case_truncated", "'segment:' || id as request_id")
+    content = """format_string('{"complete_cases": [{"start_message": %d, "end_message": %d, "summary": "s", "confidence": 1}]}', first_pos, last_pos)"""
+    answers = rows.selectExpr("request_id", f"{content} as content", "cast(null as string) as error")
+    asked = checkpointed(rows)
+    found = stitch.stitched(join_replies(asked, checkpointed(answers)), blocks.find_cuts(asked, ["channel_url"], ["part"]))
+    assert tables_read(found) == (2, 3)  # requests and replies by request, then the parts by channel
+    assert found.where("start_pos = 1 and end_pos = 22").count() == found.count() == 100
