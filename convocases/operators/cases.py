@@ -133,10 +133,9 @@ def cases_in_order(ranges: DataFrame, messages: DataFrame, labels: Sequence[str]
     place = F.when(~F.col("_message"), F.struct("_range.case_index", "_range.end_pos"))
     rows = blocks.finish(blocks.scan(o._replace(rows=o.rows.withColumn("_opens", place)), _open=Step("last", F.col("_opens"))))
     rows = rows.withColumn("_of", F.coalesce("_opens", "_open")).where(F.col("_at") <= F.col("_of.end_pos"))
-    rows = rows.withColumns({
-        "case_index": F.col("_of.case_index"), "pos": F.when(F.col("_message"), F.col("_at")), **{c: F.col(f"_range.{c}") for c in labels}})
-    cases = build_cases(rows, {c: (F.max, c) for c in labels})
-    return cases.where(F.col("n_messages") > 0).select(*(c for c in cases.columns if c not in labels), *labels)
+    rows = rows.withColumns({"case_index": F.col("_of.case_index"), "pos": F.when(F.col("_message"), F.col("_at"))})
+    cases = build_cases(rows, {"_range": (F.max, "_range")}).where(F.col("n_messages") > 0)
+    return cases.select(*(c for c in cases.columns if c not in labels and c != "_range"), *(f"_range.{c}" for c in labels))
 
 
 def number_cases(cases: DataFrame, rows_per_block: int = CASES_PER_BLOCK) -> DataFrame:
