@@ -8,7 +8,7 @@ from checks import adapters as a
 from convocases.operators import messages as m, replies as r, segment
 from convocases.operators.taxonomy import taxonomy_table
 from convocases.plans import pipeline, requests
-from convocases.sources.scratch import checkpointed
+from convocases.sources.scratch import DENSE, checkpointed
 
 M2_RULES = segment.Rules(cue_pattern="^signup$")
 M1_RULES = segment.Rules(cue_pattern="^[A-D]")
@@ -95,10 +95,10 @@ def m2_rules(spark, sf):
     return pipeline.segment_with_rules(a.m2(spark, sf), M2_RULES)
 
 
-@once
+@kept
 def m3_feed(spark, sf):
-    """M3 as written rows: telling line items apart and joining the orders moves more than the messages."""
-    return a.m3(spark, sf)
+    """M3 as written rows, for steps that would each tell line items apart and join the orders anew."""
+    return checkpointed(a.m3(spark, sf), **DENSE)
 
 
 @kept

@@ -13,7 +13,7 @@ from checks.registry import SQL, query
 from convocases.operators import blocks, cases as c, channels, context, messages as m, replies as r, segment
 from convocases.operators.blocks import Step
 from convocases.plans import frontier, pipeline, requests
-from convocases.sources.scratch import checkpointed
+from convocases.sources.scratch import DENSE, checkpointed
 
 ROWS = 48
 
@@ -106,7 +106,7 @@ def segment_with_overlapping_parts(spark, sf):
         "array(struct(1L as start_pos, h as end_pos), struct(h + 1 as start_pos, n as end_pos))")))
     out = []
     for feed, truth in ((b.m3_feed(spark, sf), b.m3_rules(spark, sf).cases.select("channel_url", "start_pos", "end_pos")), (a.m2(spark, sf), halves)):
-        asked = checkpointed(requests.segmentation_requests(feed, budget=300, overlap=100))
+        asked = checkpointed(requests.segmentation_requests(feed, budget=300, overlap=100), **DENSE)
         cases = pipeline.segment_with_replies(feed, answers_of(asked, truth), requests=asked).cases
         out.append(cases.select(
             "channel_url", "case_index", "start_pos", "end_pos", "n_messages", "forced_ending", "forced_starting", "summary"))

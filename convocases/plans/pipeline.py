@@ -14,7 +14,7 @@ from convocases.operators.review import review_loop
 from convocases.operators.segment import Rules
 from convocases.operators.taxonomy import taxonomy_table
 from convocases.plans import requests as request_ops
-from convocases.sources.scratch import checkpointed
+from convocases.sources.scratch import DENSE, checkpointed
 
 
 class Segmented(NamedTuple):
@@ -58,7 +58,7 @@ def segment_with_rules(
 
     Rows and cases are written once: building, numbering and assigning the cases all read them.
     """
-    rows = checkpointed(segmented_rows(messages, rules, max_queue_size, cuts))
+    rows = checkpointed(segmented_rows(messages, rules, max_queue_size, cuts), **DENSE)
     cases = case_ops.number_cases(checkpointed(case_ops.cases_of_segments(rows)))
     return Segmented(case_ops.assign_segments(rows, cases), cases)
 
@@ -81,7 +81,7 @@ def segment_with_replies(
     """
     cuts = message_cuts(messages.where(F.col("created_time").isNotNull())) if cuts is None else cuts
     places = message_positions(messages, cuts)
-    positioned = checkpointed(places.select("channel_url", "message_id", "pos", "created_time", "sender_id"))
+    positioned = checkpointed(places.select("channel_url", "message_id", "pos", "created_time", "sender_id"), **DENSE)
     requests = request_ops.segmentation_requests(messages, cuts) if requests is None else requests
     if "overlap" in requests.columns:
         part_cuts = find_cuts(requests, ["channel_url"], ["part"])
